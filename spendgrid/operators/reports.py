@@ -1,0 +1,1125 @@
+"""Parameterised reports over the marts: category, merchant and thresholds are arguments."""
+
+from functools import reduce
+
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from spendgrid.functions.bands import at_least
+from spendgrid.functions.dialect import (
+    count_where,
+    distinct_small,
+    exact_avg,
+    exact_sum,
+    local_frame,
+    money_label,
+    month_span,
+    month_start,
+    pct,
+    ratio,
+    round_half,
+    scaled,
+    share_of_total,
+    spread,
+)
+from spendgrid.functions.labels import AT_RISK, WALLET_BANDS
+from spendgrid.operators.staging import UNKNOWN, last_months
+
+FEATURES = [
+    "val_trns",
+    "nr_trns",
+    "lst_trns_days",
+    "avg_val",
+    "active_months",
+    "active_destinations",
+    "active_nav_categories",
+    "NR_TRNS_WEEKEND",
+    "NR_TRNS_WEEK",
+]
+
+
+def _is(column, value):
+    return F.col(column) == F.lit(value)
+
+
+def _mean_pct(column="churn_probability"):
+    return round_half(exact_avg(column, 4) * F.lit(100.0), 1)
+
+
+# --- overview of the raw and staged data ------------------------------------
+
+
+def data_overview(txns):
+    """One row of totals; distinct counts of names run on the reduced name table."""
+    totals = txns.agg(
+        F.count("*").alias("total_transactions"),
+        F.min("EFF_DATE").alias("earliest_date"),
+        F.max("EFF_DATE").alias("latest_date"),
+        month_span(F.max("EFF_DATE"), F.min("EFF_DATE")).cast("bigint").alias("months_of_data"),
+        round_half(exact_sum("trns_amt"), 0).alias("total_spend"),
+        round_half(exact_avg("trns_amt"), 2).alias("avg_transaction"),
+        distinct_small("CATEGORY_TWO").alias("distinct_categories"),
+        distinct_small("DESTINATION").alias("distinct_destinations"),
+        distinct_small("PROVINCE").alias("distinct_provinces"),
+    )
+    people = txns.agg(F.count_distinct("UNIQUE_ID"))
+    return totals.withColumn("unique_customers", people.scalar())
+
+
+def top_categories(txns, n=20):
+    return (
+        txns.dropna(subset=["CATEGORY_TWO"])
+        .groupBy("CATEGORY_TWO")
+        .agg(
+            F.count("*").alias("transactions"),
+            F.count_distinct("UNIQUE_ID").alias("customers"),
+            round_half(exact_sum("trns_amt"), 0).alias("total_spend"),
+            round_half(exact_avg("trns_amt"), 2).alias("avg_txn"),
+        )
+        .orderBy(F.desc("total_spend"), "CATEGORY_TWO")
+        .limit(n)
+    )
+
+
+def top_destinations(txns, n=20):
+    return (
+        txns.dropna(subset=["DESTINATION"])
+        .groupBy("DESTINATION", "CATEGORY_TWO")
+        .agg(
+            F.count_distinct("UNIQUE_ID").alias("customers"),
+            round_half(exact_sum("trns_amt"), 0).alias("total_spend"),
+            round_half(exact_avg("trns_amt"), 2).alias("avg_txn"),
+        )
+        .orderBy(F.desc("total_spend"), "DESTINATION", "CATEGORY_TWO")
+        .limit(n)
+    )
+
+
+def customer_profile(customers):
+    return customers.agg(
+        F.count("*").alias("total_customers"),
+        round_half(exact_avg("age"), 1).alias("avg_age"),
+        round_half(exact_avg("estimated_income"), 0).alias("avg_income"),
+        count_where(_is("gender", 0)).alias("males"),
+        count_where(_is("gender", 1)).alias("females"),
+        count_where(_is("main_banked", 1)).alias("main_banked"),
+        count_where(F.col("age").isNull()).alias("null_age"),
+        count_where(F.col("estimated_income").isNull()).alias("null_income"),
+    )
+
+
+def band_distribution(customers, band):
+    return customers.where(F.col(band) != UNKNOWN).groupBy(band).agg(F.count("*").alias("customers"))
+
+
+def null_profile(df, columns):
+    """Rows, NULL count and NULL share per column, from one pass."""
+    counts = df.agg(
+        F.count("*").alias("total_rows"), *[count_where(F.col(c).isNull()).alias(c) for c in columns]
+    )
+    return counts.unpivot("total_rows", columns, "column_name", "null_count").withColumn(
+        "null_pct", pct("null_count", "total_rows", 2)
+    )
+
+
+def monthly_volume(txns):
+    return txns.groupBy(month_start("EFF_DATE").alias("month")).agg(
+        F.count("*").alias("transactions"),
+        F.count_distinct("UNIQUE_ID").alias("customers"),
+        round_half(exact_sum("trns_amt"), 0).alias("spend"),
+    )
+
+
+def analysis_window(txns, as_of, months=12):
+    """First and last day of the analysis window, also as display text."""
+    text = "dd MMM yyyy"
+    first, last = F.min("EFF_DATE"), F.max("EFF_DATE")
+    return last_months(txns, as_of, months).agg(
+        first.alias("data_from"),
+        last.alias("data_to"),
+        F.datediff(last, first).cast("bigint").alias("days_span"),
+        F.date_format(first, text).alias("from_str"),
+        F.date_format(last, text).alias("to_str"),
+        F.date_format(F.add_months(last, -months), text).alias("analysis_from_str"),
+    )
+
+
+# --- feature statistics -----------------------------------------------------
+
+
+def feature_stats(features, columns=FEATURES, accuracy=10_000):
+    """Mean, spread, extremes and quartiles per feature, from one unpivot."""
+    # every feature has at most two decimals
+    long = features.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot(
+        [], columns, "feature", "value"
+    )
+    quartiles = F.percentile_approx("value", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), accuracy)
+    return (
+        long.groupBy("feature")
+        .agg(
+            round_half(exact_avg("value"), 2).alias("mean"),
+            round_half(spread("value"), 2).alias("std"),
+            round_half(F.min("value"), 2).alias("min_val"),
+            round_half(F.max("value"), 2).alias("max_val"),
+            quartiles.alias("q"),
+        )
+        .select(
+            "feature",
+            "mean",
+            "std",
+            F.col("q")[1].alias("median"),
+            "min_val",
+            "max_val",
+            round_half(F.col("q")[0], 2).alias("q25"),
+            round_half(F.col("q")[2], 2).alias("q75"),
+            round_half(F.col("q")[2] - F.col("q")[0], 2).alias("iqr"),
+        )
+    )
+
+
+CORRELATIONS = {
+    "spend_vs_freq": ("val_trns", "nr_trns"),
+    "spend_vs_recency": ("val_trns", "lst_trns_days"),
+    "spend_vs_avg_txn": ("val_trns", "avg_val"),
+    "spend_vs_merchants": ("val_trns", "active_destinations"),
+    "freq_vs_merchants": ("nr_trns", "active_destinations"),
+    "freq_vs_recency": ("nr_trns", "lst_trns_days"),
+    "weekend_vs_weekday": ("NR_TRNS_WEEKEND", "NR_TRNS_WEEK"),
+    "months_vs_freq": ("active_months", "nr_trns"),
+}
+
+
+def feature_correlations(features):
+    return features.agg(*[round_half(F.corr(a, b), 3).alias(name) for name, (a, b) in CORRELATIONS.items()])
+
+
+def outlier_counts(features, sigmas=3.0):
+    """Customers beyond mean + 3 standard deviations; the limits are one row."""
+    columns = {"val_trns": "spend_outliers", "nr_trns": "freq_outliers", "avg_val": "avg_val_outliers"}
+    limits = features.agg(
+        *[(exact_avg(c) + F.lit(sigmas) * spread(c)).alias(c) for c in columns]
+    ).first()
+    return features.agg(
+        F.count("*").alias("total_customers"),
+        *[count_where(F.col(c) > F.lit(limits[c])).alias(name) for c, name in columns.items()],
+    )
+
+
+def quintile_distribution(scores):
+    dimensions = {"r_score": "Recency", "f_score": "Frequency", "m_score": "Monetary"}
+    renamed = scores.select(*[F.col(c).alias(name) for c, name in dimensions.items()])
+    return (
+        renamed.unpivot([], list(dimensions.values()), "dimension", "score")
+        .groupBy("dimension", "score")
+        .agg(F.count("*").alias("customers"))
+    )
+
+
+def sample_rows(df, n, seed=42, columns=FEATURES):
+    """About n random rows without a global sort: oversample, then limit."""
+    total = df.count()
+    fraction = min(1.0, 1.2 * n / total) if total else 1.0
+    return df.select(*columns).sample(fraction=fraction, seed=seed).limit(n)
+
+
+# --- merchant pitch ---------------------------------------------------------
+
+
+def pick_default_client(benchmarks, category=None):
+    """Largest category (unless given) and its largest merchant, as plain values."""
+    if category is None:
+        spend = benchmarks.groupBy("CATEGORY_TWO").agg(exact_sum("total_spend", 0).alias("spend"))
+        category = spend.orderBy(F.desc("spend"), "CATEGORY_TWO").first()["CATEGORY_TWO"]
+    leader = benchmarks.where(_is("CATEGORY_TWO", category)).orderBy(F.desc("total_spend"), "DESTINATION").first()
+    return category, leader["DESTINATION"]
+
+
+def client_kpis(benchmarks, category, client):
+    return benchmarks.where(_is("CATEGORY_TWO", category) & _is("DESTINATION", client)).select(
+        "customers",
+        "transactions",
+        "total_spend",
+        "avg_txn_value",
+        "spend_per_customer",
+        "market_share_pct",
+        "penetration_pct",
+        "spend_rank",
+    )
+
+
+def wallet_summary(ccs, category, client):
+    """Category and client customers, penetration and mean share of wallet, one row."""
+    of_client = _is("DESTINATION", client)
+    per_customer = (
+        ccs.where(_is("CATEGORY_TWO", category))
+        .groupBy("UNIQUE_ID")
+        .agg(
+            exact_sum("dest_spend").alias("category_spend"),
+            exact_sum("dest_spend", where=of_client).alias("client_spend"),
+            exact_avg("share_of_wallet_pct", 1, where=of_client).alias("share"),
+        )
+    )
+    buys = F.col("client_spend") > 0
+    return per_customer.agg(
+        F.count("*").alias("category_customers"),
+        count_where(buys).alias("client_customers"),
+        pct(count_where(buys), F.count("*")).alias("penetration"),
+        round_half(exact_avg("share", 1, where=buys), 1).alias("avg_share"),
+        round_half(exact_sum("client_spend"), 0).alias("total_client_spend"),
+        round_half(exact_sum("category_spend"), 0).alias("total_category_spend"),
+    )
+
+
+def wallet_bands(ccs, category, client):
+    return (
+        ccs.where(_is("CATEGORY_TWO", category) & _is("DESTINATION", client))
+        .groupBy(at_least(F.col("share_of_wallet_pct"), WALLET_BANDS).alias("wallet_band"))
+        .agg(F.count("*").alias("customers"), round_half(exact_sum("dest_spend"), 0).alias("client_spend"))
+    )
+
+
+def benchmark_vs_competitors(benchmarks, category, client, n=5):
+    """The client by name and its n largest competitors by number."""
+    rows = benchmarks.where(_is("CATEGORY_TWO", category))
+    mine = _is("DESTINATION", client)
+    place = F.row_number().over(Window.partitionBy("CATEGORY_TWO", mine).orderBy(F.desc("total_spend"), "DESTINATION"))
+    return (
+        rows.withColumn("_place", place)
+        .where(mine | (F.col("_place") <= n))
+        .select(
+            F.when(mine, F.lit(client))
+            .otherwise(F.concat(F.lit("Competitor "), F.col("_place").cast("string")))
+            .alias("display_name"),
+            F.when(mine, "Client").otherwise("Competitor").alias("entity_type"),
+            "customers",
+            "total_spend",
+            "market_share_pct",
+            "penetration_pct",
+            "spend_per_customer",
+            "avg_txn_value",
+        )
+    )
+
+
+def share_verdict(benchmarks, category, client, n=5):
+    """Whether the client's market share leads or trails its competitors' mean."""
+    field = benchmark_vs_competitors(benchmarks, category, client, n)
+    is_client = _is("entity_type", "Client")
+    share = F.col("client_share")
+    mean = F.col("competitor_mean")
+    return field.agg(
+        F.max(F.when(is_client, F.col("market_share_pct"))).alias("client_share"),
+        exact_avg("market_share_pct", 2, where=~is_client).alias("competitor_mean"),
+    ).select(
+        "client_share",
+        round_half(mean, 1).alias("competitor_mean"),
+        F.when(share > mean, "leads").otherwise("trails").alias("verdict"),
+    )
+
+
+def client_vs_category_trend(trends, category, client):
+    """Monthly client and category totals with the client's share; no sale counts as 0."""
+    mine = _is("DESTINATION", client)
+
+    def sums(prefix, where):
+        return [
+            F.coalesce(F.sum(F.when(where, F.col("txn_count"))), F.lit(0)).alias(f"{prefix}_txns"),
+            F.coalesce(F.sum(F.when(where, F.col("customer_count"))), F.lit(0)).alias(f"{prefix}_customers"),
+            F.coalesce(exact_sum("total_spend", 0, where=where), F.lit(0.0)).alias(f"{prefix}_spend"),
+        ]
+
+    return (
+        trends.where(_is("CATEGORY_TWO", category))
+        .groupBy("month")
+        .agg(*sums("category", F.lit(True)), *sums("client", mine))
+        .withColumn("client_share_pct", F.coalesce(pct("client_spend", "category_spend"), F.lit(0.0)))
+    )
+
+
+def roi_scenarios(ccs, category, client, percentages=(5, 10, 20), campaign_cost=500_000.0):
+    """Extra revenue from more customers or more spend per customer, per percentage."""
+    base = ccs.where(_is("CATEGORY_TWO", category) & _is("DESTINATION", client)).agg(
+        F.count("*").alias("total_customers"),
+        F.coalesce(round_half(exact_sum("dest_spend"), 0), F.lit(0.0)).alias("total_revenue"),
+        F.coalesce(round_half(exact_avg("dest_spend"), 0), F.lit(0.0)).alias("revenue_per_customer"),
+    )
+    share = F.col("percentage") / F.lit(100.0)
+    extra = F.col("new_customer_revenue") + F.col("extra_spend")
+    return (
+        base.withColumn("percentage", F.explode(F.array(*[F.lit(p).cast("bigint") for p in percentages])))
+        .withColumn("new_customers", F.floor(F.col("total_customers") * F.col("percentage") / F.lit(100.0)))
+        .withColumn("new_customer_revenue", F.col("new_customers") * F.col("revenue_per_customer"))
+        .withColumn("extra_spend", round_half(F.col("total_revenue") * share, 2))
+        .withColumn("roi_pct", pct(extra - F.lit(campaign_cost), F.lit(campaign_cost)))
+        .withColumn("total_revenue_label", money_label("total_revenue"))
+    )
+
+
+def province_rollup(geo, category):
+    return (
+        geo.where(_is("CATEGORY_TWO", category))
+        .groupBy("PROVINCE")
+        .agg(
+            F.sum("customers").alias("customers"),
+            F.sum("transactions").alias("transactions"),
+            exact_sum("total_spend", 0).alias("total_spend"),
+        )
+        .withColumn("pct", share_of_total("total_spend"))
+    )
+
+
+def top_municipalities(geo, category, n=15):
+    return (
+        geo.where(_is("CATEGORY_TWO", category))
+        .groupBy("PROVINCE", "MUNICIPALITY")
+        .agg(F.sum("customers").alias("customers"), exact_sum("total_spend", 0).alias("total_spend"))
+        .orderBy(F.desc("total_spend"), "PROVINCE", "MUNICIPALITY")
+        .limit(n)
+    )
+
+
+def demographic_rollup(demographics, category, by):
+    """Customers and spend of one category by one or more demographic columns."""
+    return (
+        demographics.where(_is("CATEGORY_TWO", category))
+        .groupBy(*([by] if isinstance(by, str) else by))
+        .agg(F.sum("customers").alias("customers"), exact_sum("total_spend", 0).alias("spend"))
+    )
+
+
+def category_list(benchmarks, n=20):
+    return (
+        benchmarks.groupBy("CATEGORY_TWO")
+        .agg(F.count("*").alias("destinations"), exact_sum("total_spend", 0).alias("total_spend"))
+        .orderBy(F.desc("total_spend"), "CATEGORY_TWO")
+        .limit(n)
+    )
+
+
+def destination_list(benchmarks, category, n=20):
+    return (
+        benchmarks.where(_is("CATEGORY_TWO", category))
+        .select("DESTINATION", "customers", "total_spend", "market_share_pct", "spend_rank")
+        .orderBy(F.desc("total_spend"), "DESTINATION")
+        .limit(n)
+    )
+
+
+# --- segments and churn -----------------------------------------------------
+
+
+def segment_radar(profiles):
+    """Segment means as an index of the best segment."""
+    everything = Window.partitionBy()
+
+    def index(column):
+        return ratio(column, F.max(column).over(everything))
+
+    return profiles.select(
+        "segment_name",
+        round_half(index("avg_total_spend") * F.lit(100.0), 0).alias("spend_index"),
+        round_half(index("avg_transactions") * F.lit(100.0), 0).alias("frequency_index"),
+        round_half((F.lit(1.0) - index("avg_recency_days")) * F.lit(100.0), 0).alias("recency_index"),
+        round_half(index("avg_merchants") * F.lit(100.0), 0).alias("diversity_index"),
+        round_half(index("avg_active_months") * F.lit(100.0), 0).alias("consistency_index"),
+    )
+
+
+def revenue_concentration(segments):
+    return (
+        segments.groupBy("segment_name")
+        .agg(F.count("*").alias("customers"), exact_sum("val_trns").alias("_spend"))
+        .select(
+            "segment_name",
+            "customers",
+            share_of_total("customers").alias("pct_customers"),
+            round_half("_spend", 0).alias("total_spend"),
+            share_of_total("_spend").alias("pct_revenue"),
+        )
+    )
+
+
+def probability_bands(churn):
+    """Customers per tenth of the churn probability."""
+    table = [(i / 10, f"{i * 10}-{i * 10 + 10}%") for i in range(9, 0, -1)] + [(None, "0-10%")]
+    return churn.groupBy(at_least(F.col("churn_probability"), table).alias("probability_band")).agg(
+        F.count("*").alias("customers")
+    )
+
+
+def risk_by_demographics(churn):
+    return (
+        churn.dropna(subset=["age_group", "income_group"])
+        .groupBy("age_group", "income_group", "churn_risk_level")
+        .agg(
+            F.count("*").alias("customers"),
+            _mean_pct().alias("avg_churn_pct"),
+            round_half(exact_sum("total_spend"), 0).alias("total_spend"),
+        )
+    )
+
+
+def win_back(churn):
+    """At-risk customers who spend more than the average scored customer."""
+    mean = churn.agg(exact_avg("total_spend"))
+    return (
+        churn.where(F.col("churn_risk_level").isin(AT_RISK) & (F.col("total_spend") > mean.scalar()))
+        .groupBy("churn_risk_level")
+        .agg(
+            F.count("*").alias("customers"),
+            round_half(exact_avg("total_spend"), 0).alias("avg_spend"),
+            round_half(exact_sum("total_spend"), 0).alias("total_spend_at_risk"),
+            _mean_pct().alias("avg_churn_pct"),
+        )
+    )
+
+
+def churn_reasons(explained, n=None):
+    reasons = explained.groupBy(F.col("reason_1").alias("reason")).agg(
+        F.count("*").alias("customers"),
+        _mean_pct().alias("avg_churn_pct"),
+        round_half(exact_sum("total_spend"), 0).alias("spend"),
+    )
+    return reasons if n is None else reasons.orderBy(F.desc("customers"), "reason").limit(n)
+
+
+def at_risk_profile(explained):
+    return explained.agg(
+        F.count("*").alias("total_at_risk"),
+        _mean_pct().alias("avg_churn_pct"),
+        round_half(exact_avg("total_spend"), 0).alias("avg_spend"),
+        round_half(exact_sum("total_spend"), 0).alias("total_spend_at_risk"),
+        round_half(exact_avg("days_since_last", 0), 0).alias("avg_days_inactive"),
+        round_half(exact_avg("txns_last_3m", 0), 1).alias("avg_recent_txns"),
+        round_half(exact_avg("txns_prev_3m", 0), 1).alias("avg_prior_txns"),
+    )
+
+
+def churn_samples(explained, n=10):
+    """Largest customers at critical risk with their reasons."""
+    return (
+        explained.where(_is("churn_risk_level", "Critical"))
+        .orderBy(F.desc("total_spend"), "UNIQUE_ID")
+        .limit(n)
+        .select(
+            "churn_risk_level",
+            round_half(F.col("churn_probability") * F.lit(100.0), 1).alias("churn_pct"),
+            round_half("total_spend", 0).alias("total_spend"),
+            "days_since_last",
+            "reason_1",
+            "reason_2",
+            "reason_3",
+        )
+    )
+
+
+def momentum_mix(momentum, statuses=None):
+    rows = momentum if statuses is None else momentum.where(F.col("momentum_status").isin(statuses))
+    return rows.groupBy("momentum_status").agg(
+        F.count("*").alias("customers"),
+        round_half(exact_avg("total_spend_12m"), 0).alias("avg_spend"),
+        round_half(exact_avg("spend_change_pct", 1), 1).alias("avg_spend_change"),
+        round_half(exact_avg("urgency_score"), 2).alias("avg_urgency"),
+        round_half(exact_sum("total_spend_12m"), 0).alias("total_spend"),
+    )
+
+
+def churn_by(churn, other, key):
+    """Mean churn and customers per value of another customer table's column."""
+    return (
+        other.select("UNIQUE_ID", key)
+        .join(churn.select("UNIQUE_ID", "churn_probability"), "UNIQUE_ID")
+        .groupBy(key)
+        .agg(_mean_pct().alias("avg_churn_pct"), F.count("*").alias("customers"))
+    )
+
+
+# --- retention --------------------------------------------------------------
+
+
+def retention_pivot(cohorts, min_size=1000, horizon=12):
+    """Cohorts as rows, months since the first purchase as columns."""
+    return (
+        cohorts.where(F.col("cohort_size") >= min_size)
+        .groupBy(F.date_format("cohort_month", "yyyy-MM").alias("cohort"))
+        .pivot("months_since_first", list(range(horizon + 1)))
+        .agg(F.max("retention_pct"))
+        .withColumnsRenamed({str(i): f"m{i}" for i in range(horizon + 1)})
+    )
+
+
+def retention_milestones(cohorts, min_size=1000, months=(1, 3, 6, 12)):
+    return (
+        cohorts.where((F.col("cohort_size") >= min_size) & F.col("months_since_first").isin(list(months)))
+        .groupBy(F.col("months_since_first").alias("months"))
+        .agg(round_half(exact_avg("retention_pct", 1), 2).alias("avg_retention_pct"))
+    )
+
+
+def retention_curve(cohorts, min_size=1000):
+    return (
+        cohorts.where((F.col("cohort_size") >= min_size) & F.col("months_since_first").between(0, 12))
+        .groupBy("months_since_first")
+        .agg(round_half(exact_avg("retention_pct", 1), 1).alias("ret"))
+    )
+
+
+def best_and_worst_cohorts(cohorts, min_size=1000, at_month=6, n=5):
+    """The n best and n worst cohorts at one age."""
+    rows = cohorts.where((F.col("cohort_size") >= min_size) & (F.col("months_since_first") == at_month)).select(
+        F.date_format("cohort_month", "yyyy-MM").alias("cohort"), "cohort_size", "retention_pct"
+    )
+    best = rows.orderBy(F.desc("retention_pct"), "cohort").limit(n).withColumn("rank_group", F.lit("best"))
+    worst = rows.orderBy("retention_pct", F.desc("cohort")).limit(n).withColumn("rank_group", F.lit("worst"))
+    return best.unionByName(worst)
+
+
+# --- pitches, affinity, scorecard, propensity -------------------------------
+
+
+def pitch_ranking(pitch, n=20):
+    return (
+        pitch.orderBy(F.desc("pitch_score"), "CATEGORY_TWO", "DESTINATION")
+        .limit(n)
+        .select(
+            "CATEGORY_TWO",
+            "DESTINATION",
+            "customers",
+            "total_spend",
+            "market_share_pct",
+            "penetration_pct",
+            "addressable_market",
+            "gap_to_leader_pct",
+            round_half(F.col("avg_churn_probability") * F.lit(100.0), 1).alias("churn_risk_pct"),
+            "pitch_score",
+            "recommended_action",
+        )
+    )
+
+
+def pitch_by_action(pitch):
+    return pitch.groupBy("recommended_action").agg(
+        F.count("*").alias("num_clients"),
+        exact_sum("total_spend", 0).alias("total_spend"),
+        exact_sum("addressable_market", 0).alias("total_addressable"),
+        round_half(exact_avg("pitch_score", 2), 2).alias("avg_pitch_score"),
+    )
+
+
+def best_pitch_per_category(pitch, n=20):
+    """Best-scored merchant of each category that does not already lead it."""
+    order = Window.partitionBy("CATEGORY_TWO").orderBy(F.desc("pitch_score"), "DESTINATION")
+    return (
+        pitch.where(F.col("spend_rank") > 1)
+        .withColumn("_n", F.row_number().over(order))
+        .where(F.col("_n") == 1)
+        .select(
+            "CATEGORY_TWO",
+            "DESTINATION",
+            "total_spend",
+            "market_share_pct",
+            "gap_to_leader_pct",
+            "addressable_market",
+            "pitch_score",
+            "recommended_action",
+        )
+        .orderBy(F.desc("addressable_market"), "CATEGORY_TWO")
+        .limit(n)
+    )
+
+
+def defend_list(pitch, top_ranks=3, min_churn=0.2, n=15):
+    return (
+        pitch.where((F.col("spend_rank") <= top_ranks) & (F.col("avg_churn_probability") > min_churn))
+        .orderBy(F.desc("high_risk_customers"), "CATEGORY_TWO", "DESTINATION")
+        .limit(n)
+        .select(
+            "CATEGORY_TWO",
+            "DESTINATION",
+            "customers",
+            "total_spend",
+            "market_share_pct",
+            round_half(F.col("avg_churn_probability") * F.lit(100.0), 1).alias("churn_risk_pct"),
+            "high_risk_customers",
+            "recommended_action",
+        )
+    )
+
+
+def strongest_affinities(affinity, min_lift=1.0, n=30):
+    return (
+        affinity.where(F.col("lift") > min_lift).orderBy(F.desc("lift"), "category_a", "category_b").limit(n)
+    )
+
+
+def affinity_matrix(affinity, categories):
+    """Symmetric lift matrix for a given list of categories; missing pairs are 0."""
+    swapped = affinity.select(
+        F.col("category_b").alias("category_a"), F.col("category_a").alias("category_b"), "lift"
+    )
+    both = affinity.select("category_a", "category_b", "lift").unionByName(swapped)
+    inside = F.col("category_a").isin(categories) & F.col("category_b").isin(categories)
+    return (
+        both.where(inside)
+        .groupBy(F.col("category_a").alias("category"))
+        .pivot("category_b", categories)
+        .agg(F.max("lift"))
+        .na.fill(0.0)
+    )
+
+
+def cross_sell(affinity, min_lift=1.2, max_jaccard=30.0, n=15):
+    """Pairs with high lift and low overlap, with the customers still missing on each side."""
+    return (
+        affinity.where((F.col("lift") > min_lift) & (F.col("jaccard_pct") < max_jaccard))
+        .withColumn("gap_a", F.col("customers_in_a") - F.col("shared_customers"))
+        .withColumn("gap_b", F.col("customers_in_b") - F.col("shared_customers"))
+        .orderBy(F.desc("shared_customers"), "category_a", "category_b")
+        .limit(n)
+    )
+
+
+def health_counts(scorecard):
+    return scorecard.groupBy("health_status").agg(
+        F.count("*").alias("categories"), exact_sum("total_spend", 0).alias("total_spend")
+    )
+
+
+def scorecard_top(scorecard, by, n=10):
+    return (
+        scorecard.where(F.col(by).isNotNull())
+        .orderBy(F.desc(by), "CATEGORY_TWO")
+        .limit(n)
+        .select("CATEGORY_TWO", by, "total_spend", "health_status")
+    )
+
+
+def top_propensity(propensity, n=20):
+    return (
+        propensity.where(F.col("propensity_level").isin("Very High", "High"))
+        .orderBy(F.desc("potential_revenue"), "segment_name", "CATEGORY_TWO")
+        .limit(n)
+        .select(
+            "segment_name",
+            "CATEGORY_TWO",
+            "adoption_rate_pct",
+            "unadopted_customers",
+            "potential_revenue",
+            "propensity_level",
+        )
+    )
+
+
+def propensity_heatmap(propensity, top=15):
+    """Adoption rates for the categories with the largest potential."""
+    largest = (
+        propensity.groupBy("CATEGORY_TWO")
+        .agg(exact_sum("potential_revenue", 0).alias("_potential"))
+        .orderBy(F.desc("_potential"), "CATEGORY_TWO")
+        .limit(top)
+    )
+    return propensity.join(largest, "CATEGORY_TWO", "left_semi").select(
+        "segment_name", "CATEGORY_TWO", "adoption_rate_pct"
+    )
+
+
+def propensity_by_segment(propensity):
+    return (
+        propensity.where(F.col("propensity_level").isin("Very High", "High", "Medium"))
+        .groupBy("segment_name")
+        .agg(
+            F.sum("unadopted_customers").alias("total_unadopted"),
+            exact_sum("potential_revenue", 0).alias("total_potential"),
+        )
+    )
+
+
+# --- lifetime value ---------------------------------------------------------
+
+
+def clv_by_tier(clv):
+    return clv.groupBy("clv_tier").agg(
+        F.count("*").alias("customers"),
+        round_half(exact_avg("predicted_clv"), 0).alias("avg_clv"),
+        round_half(exact_sum("predicted_clv"), 0).alias("total_projected_value"),
+        round_half(exact_avg("historical_spend"), 0).alias("avg_historical"),
+    )
+
+
+def clv_by_segment(clv, segments):
+    return (
+        segments.select("UNIQUE_ID", "segment_name")
+        .join(clv.select("UNIQUE_ID", "predicted_clv"), "UNIQUE_ID")
+        .groupBy("segment_name")
+        .agg(
+            F.count("*").alias("customers"),
+            round_half(exact_avg("predicted_clv"), 0).alias("avg_clv"),
+            exact_sum("predicted_clv").alias("_total"),
+        )
+        .select(
+            "segment_name",
+            "customers",
+            "avg_clv",
+            round_half("_total", 0).alias("total_clv"),
+            share_of_total("_total").alias("pct_of_total_value"),
+        )
+    )
+
+
+def clv_by_band(clv, band):
+    return (
+        clv.dropna(subset=[band])
+        .groupBy(band)
+        .agg(F.count("*").alias("customers"), round_half(exact_avg("predicted_clv"), 0).alias("avg_clv"))
+    )
+
+
+def value_at_risk(clv, churn):
+    return (
+        clv.where(F.col("clv_tier").isin("Platinum", "Gold"))
+        .select("UNIQUE_ID", "clv_tier", "predicted_clv")
+        .join(
+            churn.where(F.col("churn_risk_level").isin(AT_RISK)).select("UNIQUE_ID", "churn_risk_level"), "UNIQUE_ID"
+        )
+        .groupBy("clv_tier", "churn_risk_level")
+        .agg(
+            F.count("*").alias("customers"),
+            round_half(exact_sum("predicted_clv"), 0).alias("projected_value_at_risk"),
+        )
+    )
+
+
+# --- audiences --------------------------------------------------------------
+
+
+def audience_spend_breakdown(members, ccs, by, min_customers=50):
+    """Customers and spend per audience and category or merchant.
+
+    Spend is first reduced to one row per customer and value and the audiences to
+    one array per customer, so the join carries no duplicates.
+    """
+    spend = ccs.groupBy("UNIQUE_ID", by).agg(F.sum(scaled("dest_spend", 2)).alias("cents"))
+    lists = members.groupBy("UNIQUE_ID").agg(F.collect_list("audience_id").alias("audiences"))
+    return (
+        spend.join(lists, "UNIQUE_ID")
+        .select(by, "cents", F.explode("audiences").alias("audience_id"))
+        .groupBy("audience_id", by)
+        .agg(F.count("*").alias("customers"), round_half(F.sum("cents") / F.lit(100.0), 0).alias("spend"))
+        .where(F.col("customers") >= min_customers)
+    )
+
+
+def audience_band_breakdown(members, customers, band, keep_unknown=False):
+    bands = customers.dropna(subset=[band]).select("UNIQUE_ID", band)
+    if not keep_unknown:
+        bands = bands.where(F.col(band) != UNKNOWN)
+    return (
+        members.select("audience_id", "UNIQUE_ID")
+        .join(bands, "UNIQUE_ID")
+        .groupBy("audience_id", band)
+        .agg(F.count("*").alias("customers"))
+    )
+
+
+def audience_provinces(catalog):
+    return catalog.select(
+        "audience_id",
+        "audience_name",
+        "audience_type",
+        F.col("top_province").alias("PROVINCE"),
+        F.col("audience_size").alias("customers"),
+        round_half(F.col("avg_spend") * F.col("audience_size"), 0).alias("spend"),
+    )
+
+
+def brand_predicates():
+    """Named customer filters used for brand audiences."""
+    female, age, income = _is("gender_label", "Female"), F.col("age"), F.col("income_group")
+    middle = ["R5.5k-R13.5k", "R13.5k-R23.5k", "R23.5k-R32.5k"]
+    return {
+        "mass_makeup": female & income.isin(middle) & age.between(18, 40),
+        "premium_skincare": female & income.isin("R32.5k-R56k", "R56k+") & age.between(25, 55),
+        "supplements": ~income.isin("R0-R5.5k", UNKNOWN) & age.between(30, 60),
+        "textured_hair": female & age.between(18, 45),
+    }
+
+
+def _brand_rows(ccs, customers, client, predicate):
+    """Spend rows of the client's customers that satisfy the predicate."""
+    people = customers if predicate is None else customers.where(predicate)
+    return ccs.where(_is("DESTINATION", client)).join(
+        people.select("UNIQUE_ID", "age", "estimated_income", "gender_label", "age_group", "income_group"), "UNIQUE_ID"
+    )
+
+
+def brand_profile(ccs, customers, client, predicate=None):
+    return _brand_rows(ccs, customers, client, predicate).agg(
+        F.count_distinct("UNIQUE_ID").alias("audience_size"),
+        round_half(exact_avg("age"), 1).alias("avg_age"),
+        round_half(exact_avg("estimated_income"), 0).alias("avg_income"),
+        pct(count_where(_is("gender_label", "Female")), F.count("*")).alias("pct_female"),
+        round_half(exact_sum("dest_spend"), 0).alias("total_spend"),
+        round_half(exact_avg("dest_spend"), 0).alias("avg_spend"),
+    )
+
+
+def brand_bands(ccs, customers, client, predicate, band):
+    return (
+        _brand_rows(ccs, customers, client, predicate)
+        .where(F.col(band).isNotNull() & (F.col(band) != UNKNOWN))
+        .groupBy(band)
+        .agg(F.count_distinct("UNIQUE_ID").alias("n"))
+    )
+
+
+def brand_other_categories(ccs, customers, client, predicate, n=8):
+    """Where the audience shops besides the client."""
+    audience = _brand_rows(ccs, customers, client, predicate).select("UNIQUE_ID")
+    return _cross_shop(ccs.where(~_is("DESTINATION", client)), audience, ["CATEGORY_TWO"], n)
+
+
+def brand_segments(ccs, customers, segments, client, predicate):
+    audience = _brand_rows(ccs, customers, client, predicate).select("UNIQUE_ID")
+    return segments.join(audience, "UNIQUE_ID", "left_semi").groupBy("segment_name").agg(F.count("*").alias("n"))
+
+
+def _cross_shop(rows, audience, keys, n):
+    """Customers and spend per key for rows of the audience, largest n by spend."""
+    return (
+        rows.join(audience.select("UNIQUE_ID"), "UNIQUE_ID", "left_semi")
+        .groupBy("UNIQUE_ID", *keys)
+        .agg(F.sum(scaled("dest_spend", 2)).alias("cents"))
+        .groupBy(*keys)
+        .agg(F.count("*").alias("customers"), round_half(F.sum("cents") / F.lit(100.0), 0).alias("spend"))
+        .orderBy(F.desc("spend"), *keys)
+        .limit(n)
+    )
+
+
+# --- category pitch ---------------------------------------------------------
+
+
+def category_size(ccs, category):
+    return ccs.where(_is("CATEGORY_TWO", category)).agg(
+        F.count_distinct("UNIQUE_ID").alias("shoppers"),
+        round_half(exact_sum("dest_spend"), 0).alias("spend"),
+        round_half(exact_avg("dest_spend"), 0).alias("avg_spend"),
+    )
+
+
+def category_leaders(benchmarks, category, n=8):
+    return (
+        benchmarks.where(_is("CATEGORY_TWO", category))
+        .orderBy("spend_rank")
+        .limit(n)
+        .select(
+            "DESTINATION",
+            "customers",
+            F.col("total_spend").alias("spend"),
+            round_half("market_share_pct", 1).alias("share"),
+            F.col("spend_per_customer").alias("per_cust"),
+            F.col("avg_share_of_wallet").alias("sow"),
+            "spend_rank",
+        )
+    )
+
+
+def category_months(txns, as_of, category, months=12):
+    return (
+        last_months(txns, as_of, months)
+        .where(_is("CATEGORY_TWO", category))
+        .groupBy(F.date_format("EFF_DATE", "yyyy-MM").alias("month"), F.date_format("EFF_DATE", "MMM yyyy").alias("month_label"))
+        .agg(
+            F.count_distinct("UNIQUE_ID").alias("customers"),
+            round_half(exact_sum("trns_amt"), 0).alias("spend"),
+            F.count("*").alias("txns"),
+        )
+    )
+
+
+def category_demographics(ccs, customers, category, band, keep_unknown=False):
+    bands = customers.dropna(subset=[band]).select("UNIQUE_ID", band)
+    if not keep_unknown:
+        bands = bands.where(F.col(band) != UNKNOWN)
+    return (
+        ccs.where(_is("CATEGORY_TWO", category))
+        .groupBy("UNIQUE_ID")
+        .agg(F.sum(scaled("dest_spend", 2)).alias("cents"))
+        .join(bands, "UNIQUE_ID")
+        .groupBy(band)
+        .agg(F.count("*").alias("customers"), round_half(F.sum("cents") / F.lit(100.0), 0).alias("spend"))
+    )
+
+
+def category_cross_shop(ccs, category, n=10):
+    audience = ccs.where(_is("CATEGORY_TWO", category))
+    return _cross_shop(ccs.where(~_is("CATEGORY_TWO", category)), audience, ["CATEGORY_TWO"], n)
+
+
+def category_segments(ccs, segments, category):
+    audience = ccs.where(_is("CATEGORY_TWO", category)).select("UNIQUE_ID")
+    return segments.join(audience, "UNIQUE_ID", "left_semi").groupBy("segment_name").agg(F.count("*").alias("n"))
+
+
+def store_overlap(ccs, client, pattern):
+    """Customers of a merchant who also visit a merchant whose name matches the pattern."""
+    flags = (
+        ccs.select("UNIQUE_ID", "DESTINATION")
+        .groupBy("UNIQUE_ID")
+        .agg(
+            F.max(_is("DESTINATION", client)).alias("a"), F.max(F.upper("DESTINATION").like(pattern)).alias("b")
+        )
+    )
+    return flags.agg(count_where(F.col("a") & F.col("b")).alias("shared_customers"))
+
+
+def season_skewed_audience(txns, as_of, category, season=(5, 6, 7, 8), share=0.45, months=12):
+    """Customers of a category with more than `share` of their spend in the season."""
+    in_season = F.month("EFF_DATE").isin(list(season))
+    per_customer = (
+        last_months(txns, as_of, months)
+        .where(_is("CATEGORY_TWO", category))
+        .groupBy("UNIQUE_ID")
+        .agg(
+            exact_sum("trns_amt").alias("year"),
+            exact_sum("trns_amt", where=in_season).alias("season"),
+        )
+    )
+    return per_customer.where(F.col("season") > F.col("year") * F.lit(share)).agg(
+        F.count("*").alias("audience_size"), round_half(exact_avg("year"), 0).alias("avg_annual_spend")
+    )
+
+
+def multi_category_audience(ccs, category, others, at_least_n=2):
+    """Shoppers of a category active in at least n of the other categories."""
+    per_customer = ccs.groupBy("UNIQUE_ID").agg(
+        F.max(_is("CATEGORY_TWO", category)).alias("base"),
+        F.size(F.collect_set(F.when(F.col("CATEGORY_TWO").isin(others), F.col("CATEGORY_TWO")))).alias("n"),
+    )
+    return per_customer.agg(count_where(F.col("base") & (F.col("n") >= at_least_n)).alias("audience_size"))
+
+
+def category_pair_overlap(ccs, first, second, customers=None, predicate=None):
+    """Customers active in any category of both lists, optionally filtered by person."""
+    flags = ccs.groupBy("UNIQUE_ID").agg(
+        F.max(F.col("CATEGORY_TWO").isin(first)).alias("a"), F.max(F.col("CATEGORY_TWO").isin(second)).alias("b")
+    )
+    both = flags.where(F.col("a") & F.col("b"))
+    if predicate is not None:
+        both = both.join(customers.where(predicate).select("UNIQUE_ID"), "UNIQUE_ID", "left_semi")
+    return both.agg(F.count("*").alias("audience_size"))
+
+
+def search_names(benchmarks, column, patterns, excluding=(), n=15):
+    """Merchants whose upper-cased name or category matches a pattern.
+
+    `excluding` binds to the last pattern only, as AND does before OR.
+    """
+    name = F.upper(column)
+    tests = [name.like(p) for p in patterns]
+    for pattern in excluding:
+        tests[-1] = tests[-1] & ~name.like(pattern)
+    return (
+        benchmarks.where(reduce(lambda a, b: a | b, tests))
+        .select("DESTINATION", "CATEGORY_TWO", "customers", "total_spend", "market_share_pct", "spend_rank")
+        .orderBy(F.desc("total_spend"), "DESTINATION", "CATEGORY_TWO")
+        .limit(n)
+    )
+
+
+def client_demographics(ccs, customers, client):
+    buyers = ccs.where(_is("DESTINATION", client)).select("UNIQUE_ID")
+    return (
+        customers.join(buyers, "UNIQUE_ID", "left_semi")
+        .groupBy("age_group", "income_group", "gender_label")
+        .agg(
+            F.count("*").alias("customers"),
+            round_half(exact_avg("age"), 1).alias("avg_age"),
+            round_half(exact_avg("estimated_income"), 0).alias("avg_income"),
+        )
+    )
+
+
+def client_cross_shop(ccs, client, excluded_category, n=50):
+    """Merchants outside the client's own category that its customers use."""
+    buyers = ccs.where(_is("DESTINATION", client))
+    rows = ccs.where(~_is("CATEGORY_TWO", excluded_category))
+    return _cross_shop(rows, buyers, ["CATEGORY_TWO", "DESTINATION"], n)
+
+
+def brand_coverage(ccs, brands):
+    """Customers per listed brand, 0 where the data has none; names match in any case."""
+    listed = local_frame(ccs.sparkSession, [(b,) for b in brands], ["brand"])
+    found = (
+        ccs.where(F.upper("DESTINATION").isin([b.upper() for b in brands]))
+        .groupBy(F.upper("DESTINATION").alias("_name"))
+        .agg(F.count_distinct("UNIQUE_ID").alias("customers"))
+    )
+    return (
+        listed.join(found, F.upper("brand") == F.col("_name"), "left")
+        .select("brand", F.coalesce("customers", F.lit(0)).alias("customers"))
+    )
+
+
+# --- usage ------------------------------------------------------------------
+
+GB, TB = float(1024**3), float(1024**4)
+
+
+def finished_jobs(jobs, since):
+    """Successful query jobs of a job-log table from a point in time on."""
+    return jobs.where(
+        (F.col("creation_time") >= F.lit(since).cast(jobs.schema["creation_time"].dataType))
+        & _is("job_type", "QUERY")
+        & _is("state", "DONE")
+        & F.col("error_result").isNull()
+    )
+
+
+def _bytes(unit, dp, price=1.0):
+    return round_half(F.sum("total_bytes_processed") / F.lit(unit) * F.lit(price), dp)
+
+
+def usage_totals(jobs, price=6.25):
+    return jobs.agg(
+        F.count("*").alias("total_jobs"),
+        _bytes(GB, 2).alias("total_gb_scanned"),
+        _bytes(TB, 4).alias("total_tb_scanned"),
+        _bytes(TB, 2, price).alias("estimated_cost_usd"),
+        round_half(F.sum("total_slot_ms") / F.lit(1000.0) / F.lit(3600.0), 2).alias("total_slot_hours"),
+    )
+
+
+def usage_by_day(jobs, price=6.25):
+    return jobs.groupBy(F.to_date("creation_time").alias("day")).agg(
+        F.count("*").alias("queries"), _bytes(GB, 2).alias("gb_scanned"), _bytes(TB, 2, price).alias("est_cost_usd")
+    )
+
+
+def usage_top(jobs, price=6.25, n=10):
+    return (
+        jobs.orderBy(F.desc("total_bytes_processed"), "job_id")
+        .limit(n)
+        .select(
+            "job_id",
+            F.to_date("creation_time").alias("day"),
+            round_half(F.col("total_bytes_processed") / F.lit(GB), 2).alias("gb_scanned"),
+            round_half(F.col("total_bytes_processed") / F.lit(TB) * F.lit(price), 4).alias("est_cost_usd"),
+            round_half(F.col("total_slot_ms") / F.lit(1000.0), 1).alias("slot_seconds"),
+            F.substring("query", 1, 80).alias("query_preview"),
+        )
+    )
+
+
+def usage_by_table(jobs, price=6.25, n=15):
+    return (
+        jobs.select("total_bytes_processed", F.explode("referenced_tables").alias("t"))
+        .groupBy(F.col("t.dataset_id").alias("dataset_id"), F.col("t.table_id").alias("table_id"))
+        .agg(
+            F.count("*").alias("times_scanned"),
+            _bytes(GB, 2).alias("total_gb"),
+            _bytes(TB, 2, price).alias("est_cost_usd"),
+        )
+        .orderBy(F.desc("total_gb"), "dataset_id", "table_id")
+        .limit(n)
+    )
