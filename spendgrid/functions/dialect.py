@@ -122,9 +122,28 @@ def distinct_months(day, as_of, where=None):
     return F.coalesce(F.bit_count(F.bit_or(bit)), F.lit(0)).cast("bigint")
 
 
-def distinct_small(x):
-    """Distinct count for values drawn from a bounded lookup table."""
-    return F.size(F.collect_set(col_of(x))).cast("bigint")
+def distinct_ids(x, bounded):
+    """Exact distinct count of lookup ids.
+
+    When the lookups are known to be small a set per group is cheapest: one pass, no
+    row expansion, and no group can outgrow the lookup. Otherwise the values are
+    shuffled, so that even one huge group is spread over many tasks.
+    """
+    x = col_of(x)
+    return F.size(F.collect_set(x)).cast("bigint") if bounded else F.count_distinct(x)
+
+
+def totals_within(df, keys, bounded, **sums):
+    """Add totals per group; `sums` maps a new column to an aggregate.
+
+    With bounded groups a window reuses the shuffle; otherwise the totals are
+    aggregated and joined back, which AQE can split when one group is huge.
+    """
+    if bounded:
+        group = Window.partitionBy(*keys)
+        return df.select("*", *[agg.over(group).alias(name) for name, agg in sums.items()])
+    totals = df.groupBy(*keys).agg(*[agg.alias(name) for name, agg in sums.items()])
+    return df.join(totals, list(keys))
 
 
 def is_weekend(dow):

@@ -122,6 +122,48 @@ def global_ntile(df, n, columns, total=None, **limits):
     return bucket
 
 
+def _place(columns, cuts, low, high):
+    """Number of cuts the row lies beyond, by binary search."""
+    if low == high:
+        return F.lit(low)
+    middle = (low + high) // 2
+    return F.when(_after(columns, cuts[middle]), _place(columns, cuts, middle + 1, high)).otherwise(
+        _place(columns, cuts, low, middle)
+    )
+
+
+def row_number_within(df, group, columns, name, limit=CANDIDATE_LIMIT, sample_rows=SAMPLE_ROWS, slices=256):
+    """Add row_number() over (partition by group order by columns), ascending.
+
+    A table of at most `limit` rows is numbered by a plain window. A larger one is cut
+    along the order at sampled points, numbered inside each slice and shifted by the
+    rows before it, so that no group has to fit one task. df must be deterministic
+    and the columns non-NULL and unique per group.
+    """
+    total = df.count()
+    if total <= limit:
+        order = Window.partitionBy(group).orderBy(*columns)
+        return df.withColumn(name, F.row_number().over(order).cast("bigint"))
+    drawn = df.select(*columns).sample(fraction=min(1.0, sample_rows / total), seed=7)
+    sample = [tuple(row) for row in drawn.limit(2 * sample_rows).orderBy(*columns).collect()]
+    slices = min(slices, -(-4 * total // limit), len(sample))
+    cuts = [sample[i * len(sample) // slices] for i in range(1, slices)]
+    placed = df.withColumn("_slice", _place(columns, cuts, 0, len(cuts)))
+    before = Window.partitionBy(group).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
+        placed.groupBy(group, "_slice")
+        .agg(F.count("*").alias("_n"))
+        .select(group, "_slice", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    )
+    inside = Window.partitionBy(group, "_slice").orderBy(*columns)
+    return (
+        placed.withColumn("_inside", F.row_number().over(inside))
+        .join(offsets, [group, "_slice"])
+        .withColumn(name, F.col("_inside") + F.col("_before"))
+        .drop("_slice", "_inside", "_before")
+    )
+
+
 def exclusive_rank(groups, value, weight):
     """RANK() - 1 for members of weighted groups: members with a smaller value.
 

@@ -2,26 +2,26 @@
 
 from dataclasses import dataclass
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from spendgrid.functions.dialect import (
     count_where,
+    distinct_ids,
     distinct_months,
-    distinct_small,
     exact_avg,
     exact_sum,
-    exact_sum_over,
     is_weekend,
     months_before,
     pct,
     ratio,
     ratio_avg,
     round_half,
+    scaled,
     spread,
     sum_where,
+    totals_within,
 )
-from spendgrid.functions.ordering import global_ntile
+from spendgrid.functions.ordering import global_ntile, row_number_within
 from spendgrid.operators.staging import in_window, last_months
 
 
@@ -34,11 +34,11 @@ def _gap_days():
     return round_half(ratio(F.datediff(F.max("EFF_DATE"), F.min("EFF_DATE")), F.count("*") - 1), 2)
 
 
-def rfm_features(txns, as_of, months=12, min_txns=2, accuracy=10_000):
+def rfm_features(txns, as_of, months=12, min_txns=2, accuracy=10_000, bounded_ids=False):
     """Behaviour of each customer over the last months, in one aggregation.
 
-    Distinct counts of lookup ids use sets bounded by the lookup size and months a
-    bit mask, so nothing expands the rows; the median is a bounded sketch, exact
+    Months are counted with a bit mask and, when the lookups are known to be small,
+    ids with sets, so nothing expands the rows. The median is a bounded sketch, exact
     for customers with fewer rows than `accuracy`.
     """
     n = F.count("*")
@@ -65,10 +65,10 @@ def rfm_features(txns, as_of, months=12, min_txns=2, accuracy=10_000):
             count_where(~_hours(6, 21)).alias("NR_TRNS_LATE"),
             count_where(is_weekend("trns_dow")).alias("NR_TRNS_WEEKEND"),
             count_where(~is_weekend("trns_dow")).alias("NR_TRNS_WEEK"),
-            distinct_small("NAV_CATEGORY_ID").alias("active_nav_categories"),
-            distinct_small("DESTINATION_ID").alias("active_destinations"),
-            distinct_small("SUBURB_ID").alias("active_suburbs"),
-            distinct_small("LOCATION_ID").alias("active_locations"),
+            distinct_ids("NAV_CATEGORY_ID", bounded_ids).alias("active_nav_categories"),
+            distinct_ids("DESTINATION_ID", bounded_ids).alias("active_destinations"),
+            distinct_ids("SUBURB_ID", bounded_ids).alias("active_suburbs"),
+            distinct_ids("LOCATION_ID", bounded_ids).alias("active_locations"),
         )
         .where(F.col("nr_trns") >= min_txns)
     )
@@ -89,13 +89,8 @@ def rfm_scores(features, n=5, **limits):
     ).withColumn("rfm_combined", F.concat(*[F.col(c).cast("string") for c in ("r_score", "f_score", "m_score")]))
 
 
-def customer_category_spend(txns, as_of, months=12):
-    """Spend per customer, category and merchant with the share inside the category.
-
-    Category totals come from a window on the shuffle key of the aggregate's prefix
-    instead of a second aggregation joined back.
-    """
-    category = Window.partitionBy("UNIQUE_ID", "CATEGORY_TWO")
+def customer_category_spend(txns, as_of, months=12, bounded_ids=False):
+    """Spend per customer, category and merchant with the share inside the category."""
     spend = (
         last_months(txns, as_of, months)
         .dropna(subset=["CATEGORY_TWO", "DESTINATION"])
@@ -106,11 +101,23 @@ def customer_category_spend(txns, as_of, months=12):
             F.max("EFF_DATE").alias("last_txn_date"),
         )
     )
-    return spend.select(
-        "*",
-        F.sum("dest_txn_count").over(category).alias("category_txn_count"),
-        exact_sum_over("dest_spend", category).alias("category_spend"),
-    ).withColumn("share_of_wallet_pct", round_half(ratio("dest_spend", "category_spend") * F.lit(100.0), 1))
+    return totals_within(
+        spend,
+        ["UNIQUE_ID", "CATEGORY_TWO"],
+        bounded_ids,
+        category_txn_count=F.sum("dest_txn_count"),
+        _cents=F.sum(scaled("dest_spend", 2)),
+    ).select(
+        "UNIQUE_ID",
+        "CATEGORY_TWO",
+        "DESTINATION",
+        "dest_txn_count",
+        "dest_spend",
+        "last_txn_date",
+        "category_txn_count",
+        (F.col("_cents") / F.lit(100.0)).alias("category_spend"),
+        round_half(ratio("dest_spend", F.col("_cents") / F.lit(100.0)) * F.lit(100.0), 1).alias("share_of_wallet_pct"),
+    )
 
 
 def category_customers(ccs):
@@ -118,25 +125,39 @@ def category_customers(ccs):
     return ccs.groupBy("CATEGORY_TWO").agg(F.count_distinct("UNIQUE_ID").alias("cat_total_customers"))
 
 
-def destination_metrics(ccs):
-    """Customers, spend, shares and rank per category and merchant.
+def merchant_totals(ccs):
+    """Customers, transactions, spend and means per category and merchant.
 
     ccs has one row per customer, category and merchant, so counting rows counts
-    customers. The totals and the rank run over merchants, not customers.
+    customers.
     """
-    per_merchant = ccs.groupBy("CATEGORY_TWO", "DESTINATION").agg(
+    return ccs.groupBy("CATEGORY_TWO", "DESTINATION").agg(
         F.count("*").alias("customers"),
         F.sum("dest_txn_count").alias("transactions"),
-        exact_sum("dest_spend").alias("_spend"),
+        exact_sum("dest_spend").alias("spend"),
+        round_half(exact_sum("dest_spend"), 0).alias("total_spend"),
         round_half(ratio_avg(ratio("dest_spend", "dest_txn_count")), 2).alias("avg_txn_value"),
+        round_half(ratio(exact_sum("dest_spend"), F.count("*")), 0).alias("spend_per_customer"),
         round_half(exact_avg("share_of_wallet_pct", 1), 1).alias("avg_share_of_wallet"),
     )
-    category = Window.partitionBy("CATEGORY_TWO")
-    category_spend = round_half(exact_sum_over("_spend", category), 0)
-    by_spend = category.orderBy(F.col("total_spend").desc(), F.col("DESTINATION"))
+
+
+def destination_metrics(totals, ccs, **limits):
+    """Merchant totals with market share, penetration and spend rank.
+
+    `totals` is merchant_totals as a written table: ranking a large one reads it
+    more than once.
+    """
+    categories = totals.groupBy("CATEGORY_TWO").agg(round_half(exact_sum("spend"), 0).alias("category_spend"))
+    ranked = row_number_within(
+        totals.withColumn("_order", -F.col("total_spend")),
+        "CATEGORY_TWO",
+        ["_order", "DESTINATION"],
+        "spend_rank",
+        **limits,
+    )
     return (
-        per_merchant.withColumn("total_spend", round_half("_spend", 0))
-        .withColumn("_category_spend", category_spend)
+        ranked.join(categories, "CATEGORY_TWO")
         .join(category_customers(ccs), "CATEGORY_TWO")
         .select(
             "CATEGORY_TWO",
@@ -145,11 +166,11 @@ def destination_metrics(ccs):
             "transactions",
             "total_spend",
             "avg_txn_value",
-            round_half(ratio("_spend", "customers"), 0).alias("spend_per_customer"),
+            "spend_per_customer",
             "avg_share_of_wallet",
-            pct("total_spend", "_category_spend", 2).alias("market_share_pct"),
+            pct("total_spend", "category_spend", 2).alias("market_share_pct"),
             pct("customers", "cat_total_customers", 2).alias("penetration_pct"),
-            F.row_number().over(by_spend).cast("bigint").alias("spend_rank"),
+            "spend_rank",
         )
     )
 
@@ -168,7 +189,7 @@ class ActivityWindow:
     early: int = 9
 
 
-def activity(txns, as_of, window, min_txns=3):
+def activity(txns, as_of, window, min_txns=3, bounded_ids=False):
     """Model features per customer over one window, in one aggregation."""
     start = months_before(as_of, window.start)
     anchor = months_before(as_of, window.end) if window.end else F.lit(as_of)
@@ -186,8 +207,8 @@ def activity(txns, as_of, window, min_txns=3):
             round_half(exact_avg("trns_amt"), 2).alias("avg_val"),
             distinct_months("EFF_DATE", F.lit(as_of)).alias("active_months"),
             _gap_days().alias("days_between"),
-            distinct_small("DESTINATION_ID").alias("active_destinations"),
-            distinct_small("NAV_CATEGORY_ID").alias("active_nav_categories"),
+            distinct_ids("DESTINATION_ID", bounded_ids).alias("active_destinations"),
+            distinct_ids("NAV_CATEGORY_ID", bounded_ids).alias("active_nav_categories"),
             count_where(is_weekend("trns_dow")).alias("NR_TRNS_WEEKEND"),
             count_where(~is_weekend("trns_dow")).alias("NR_TRNS_WEEK"),
             pct(count_where(_hours(6, 10)), n).alias("pct_morning"),

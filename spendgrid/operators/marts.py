@@ -23,6 +23,7 @@ from spendgrid.functions.dialect import (
     strict_least,
     sum_where,
     top_value,
+    totals_within,
 )
 from spendgrid.functions.labels import (
     AT_RISK,
@@ -545,15 +546,19 @@ def category_propensity(txns, segments, ccs, as_of, months=12, max_adoption=90.0
 # --- merchants --------------------------------------------------------------
 
 
-def store_loyalty(ccs, min_customers=100):
+def store_loyalty(ccs, min_customers=100, bounded_ids=False):
     """Share-of-wallet loyalty and number of stores visited, per merchant."""
-    visited = F.count("*").over(Window.partitionBy("UNIQUE_ID", "CATEGORY_TWO"))
-    rows = ccs.select(
-        "CATEGORY_TWO",
-        "DESTINATION",
-        "dest_spend",
-        round_half("share_of_wallet_pct", 1).alias("loyalty_pct"),
-        visited.alias("stores"),
+    rows = totals_within(
+        ccs.select(
+            "UNIQUE_ID",
+            "CATEGORY_TWO",
+            "DESTINATION",
+            "dest_spend",
+            round_half("share_of_wallet_pct", 1).alias("loyalty_pct"),
+        ),
+        ["UNIQUE_ID", "CATEGORY_TWO"],
+        bounded_ids,
+        stores=F.count("*"),
     )
     n, loyalty, stores = F.count("*"), F.col("loyalty_pct"), F.col("stores")
     return (

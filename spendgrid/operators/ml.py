@@ -116,11 +116,11 @@ def assign_segments(clustered, customers):
 # --- churn ------------------------------------------------------------------
 
 
-def churn_training_set(txns, customers, as_of, params, keep_id=False):
+def churn_training_set(txns, customers, as_of, params, keep_id=False, bounded_ids=False):
     """Observation-window features and whether the customer stayed away afterwards."""
     outcome = params.churn_outcome_months
     window = ActivityWindow(params.window_months, outcome, params.trend_recent_months, params.churn_early_months)
-    observed = activity(txns, as_of, window, params.min_model_txns)
+    observed = activity(txns, as_of, window, params.min_model_txns, bounded_ids)
     returned = (
         in_window(txns, months_before(as_of, outcome))
         .select("UNIQUE_ID")
@@ -134,9 +134,9 @@ def churn_training_set(txns, customers, as_of, params, keep_id=False):
     return _with_person(labelled, customers).select(*key, *CHURN_FEATURES, "churned")
 
 
-def churn_features_current(txns, as_of, params):
+def churn_features_current(txns, as_of, params, bounded_ids=False):
     window = ActivityWindow(params.window_months, 0, params.trend_recent_months, params.trend_early_months)
-    return activity(txns, as_of, window, params.min_model_txns).drop("spend_trend")
+    return activity(txns, as_of, window, params.min_model_txns, bounded_ids).drop("spend_trend")
 
 
 def _split(rows):
@@ -213,12 +213,12 @@ def score_churn(predictions, features, customers):
 # --- lifetime value ---------------------------------------------------------
 
 
-def clv_training_set(txns, customers, as_of, params, keep_id=False):
+def clv_training_set(txns, customers, as_of, params, keep_id=False, bounded_ids=False):
     """Features from months -18 to -6 and the spend of the last 6 months."""
     window = ActivityWindow(
         params.clv_observation_start, params.clv_future_months, params.trend_recent_months, params.trend_early_months
     )
-    observed = activity(txns, as_of, window, params.min_model_txns)
+    observed = activity(txns, as_of, window, params.min_model_txns, bounded_ids)
     future = (
         in_window(txns, months_before(as_of, params.clv_future_months))
         .groupBy("UNIQUE_ID")
@@ -233,9 +233,9 @@ def clv_training_set(txns, customers, as_of, params, keep_id=False):
     )
 
 
-def clv_features_current(txns, as_of, params):
+def clv_features_current(txns, as_of, params, bounded_ids=False):
     window = ActivityWindow(params.window_months, 0, params.trend_recent_months, params.trend_early_months)
-    return activity(txns, as_of, window, params.min_model_txns).withColumnRenamed("days_since_last", "recency_days")
+    return activity(txns, as_of, window, params.min_model_txns, bounded_ids).withColumnRenamed("days_since_last", "recency_days")
 
 
 _CLV_INPUTS = ["recency_days" if c == "days_since_last" else c for c in CLV_FEATURES]

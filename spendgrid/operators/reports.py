@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from spendgrid.functions.bands import at_least
 from spendgrid.functions.dialect import (
     count_where,
-    distinct_small,
     exact_avg,
     exact_sum,
     local_frame,
@@ -50,20 +49,26 @@ def _mean_pct(column="churn_probability"):
 
 
 def data_overview(txns):
-    """One row of totals; distinct counts of names run on the reduced name table."""
-    totals = txns.agg(
-        F.count("*").alias("total_transactions"),
-        F.min("EFF_DATE").alias("earliest_date"),
-        F.max("EFF_DATE").alias("latest_date"),
-        month_span(F.max("EFF_DATE"), F.min("EFF_DATE")).cast("bigint").alias("months_of_data"),
-        round_half(exact_sum("trns_amt"), 0).alias("total_spend"),
-        round_half(exact_avg("trns_amt"), 2).alias("avg_transaction"),
-        distinct_small("CATEGORY_TWO").alias("distinct_categories"),
-        distinct_small("DESTINATION").alias("distinct_destinations"),
-        distinct_small("PROVINCE").alias("distinct_provinces"),
-    )
-    people = txns.agg(F.count_distinct("UNIQUE_ID"))
-    return totals.withColumn("unique_customers", people.scalar())
+    """One row of totals; names are counted on rows reduced to distinct names."""
+    cents, n = F.sum("cents"), F.sum("n")
+    reduced = txns.groupBy("CATEGORY_TWO", "DESTINATION", "PROVINCE").agg(
+        F.count("*").alias("n"),
+        F.sum(scaled("trns_amt", 2)).alias("cents"),
+        F.min("EFF_DATE").alias("first"),
+        F.max("EFF_DATE").alias("last"),
+    )
+    first, last = F.min("first"), F.max("last")
+    return reduced.agg(
+        n.alias("total_transactions"),
+        first.alias("earliest_date"),
+        last.alias("latest_date"),
+        month_span(last, first).cast("bigint").alias("months_of_data"),
+        round_half(cents / F.lit(100.0), 0).alias("total_spend"),
+        round_half(ratio(cents / F.lit(100.0), n), 2).alias("avg_transaction"),
+        F.count_distinct("CATEGORY_TWO").alias("distinct_categories"),
+        F.count_distinct("DESTINATION").alias("distinct_destinations"),
+        F.count_distinct("PROVINCE").alias("distinct_provinces"),
+    ).withColumn("unique_customers", txns.agg(F.count_distinct("UNIQUE_ID")).scalar())
 
 
 def top_categories(txns, n=20):
@@ -285,7 +290,7 @@ def benchmark_vs_competitors(benchmarks, category, client, n=5):
     place = F.row_number().over(Window.partitionBy("CATEGORY_TWO", mine).orderBy(F.desc("total_spend"), "DESTINATION"))
     return (
         rows.withColumn("_place", place)
-        .where(mine | (F.col("_place") <= n))
+        .where(F.col("_place") <= n)
         .select(
             F.when(mine, F.lit(client))
             .otherwise(F.concat(F.lit("Competitor "), F.col("_place").cast("string")))

@@ -565,7 +565,8 @@ RELATIONS = {
         count(distinct UNIQUE_ID) as overlap_customers, client_total_customers,
         {percent('count(distinct UNIQUE_ID)', 'client_total_customers', 2)} as pct_of_client
       from ccs join t using (DESTINATION, CATEGORY_TWO) join hits h using (UNIQUE_ID)
-        left join catalog k on k.audience_id = h.audience_id group by all""",
+        left join catalog k on k.audience_id = h.audience_id
+      group by DESTINATION, CATEGORY_TWO, h.audience_id, k.audience_name, k.audience_type, client_total_customers""",
 }
 
 _REFERENCES = {
@@ -585,4 +586,4 @@ def sql_for(query):
     """Query text with the relations it needs in front."""
     used = [r for r in RELATIONS if re.search(rf"\b{r}\b", query)]
     bodies = ",\n".join(f"{name} as ({RELATIONS[name].strip()})" for name in _ordered(used, []))
-    return f"with {bodies}\n{query.strip()}" if bodies else query.strip()
+    return f"with {bodies}\nselect * from ({query.strip()})" if bodies else query.strip()

@@ -20,6 +20,8 @@ STORED = {
     "transactions": (["txn_month"], ["CATEGORY_TWO", "DESTINATION"]),
     "customers": ([], ["income_segment", "gender"]),
     "customer_category_spend": ([], ["CATEGORY_TWO", "DESTINATION"]),
+    "merchant_totals": ([], []),
+    "destination_metrics": ([], ["CATEGORY_TWO", "DESTINATION"]),
     "rfm_features": ([], []),
     "rfm_scores": ([], []),
     "segments": ([], ["segment_name"]),
@@ -29,6 +31,7 @@ STORED = {
     "momentum": ([], ["momentum_status"]),
     "audience_members": ([], ["audience_id"]),
 }
+SMALL_LOOKUP = 1_000_000
 _BUILT = {}
 
 
@@ -65,6 +68,15 @@ class Warehouse:
             _BUILT[slot] = staging.date_bounds(self.table("transactions"))
         return _BUILT[slot]
 
+    @property
+    def bounded_ids(self):
+        """Whether every lookup is small enough for a set of its ids to fit a task."""
+        slot = (self._root, self._base, "bounded_ids")
+        if slot not in _BUILT:
+            sizes = [lookup.limit(SMALL_LOOKUP + 1).count() for lookup in self.raw.lookups.values()]
+            _BUILT[slot] = max(sizes) <= SMALL_LOOKUP
+        return _BUILT[slot]
+
     def __getattr__(self, name):
         if name.startswith("_") or not hasattr(type(self), f"_build_{name}"):
             raise AttributeError(name)
@@ -100,15 +112,20 @@ class Warehouse:
         return staging.stage_customers(self.raw.snapshots)
 
     def _build_customer_category_spend(self):
-        return features.customer_category_spend(self.transactions, self.as_of, self.params.window_months)
+        return features.customer_category_spend(
+            self.transactions, self.as_of, self.params.window_months, self.bounded_ids
+        )
+
+    def _build_merchant_totals(self):
+        return features.merchant_totals(self.customer_category_spend)
 
     def _build_destination_metrics(self):
-        return features.destination_metrics(self.customer_category_spend)
+        return features.destination_metrics(self.merchant_totals, self.customer_category_spend)
 
     def _build_rfm_features(self):
         p = self.params
         return features.rfm_features(
-            self.transactions, self.as_of, p.window_months, p.min_feature_txns, p.percentile_accuracy
+            self.transactions, self.as_of, p.window_months, p.min_feature_txns, p.percentile_accuracy, self.bounded_ids
         )
 
     def _build_rfm_scores(self):
@@ -127,16 +144,20 @@ class Warehouse:
         return ml.fit_clv(self.clv_training, self.params.model_iterations)
 
     def _build_churn_training(self):
-        return ml.churn_training_set(self.transactions, self.customers, self.as_of, self.params)
+        return ml.churn_training_set(
+            self.transactions, self.customers, self.as_of, self.params, bounded_ids=self.bounded_ids
+        )
 
     def _build_clv_training(self):
-        return ml.clv_training_set(self.transactions, self.customers, self.as_of, self.params)
+        return ml.clv_training_set(
+            self.transactions, self.customers, self.as_of, self.params, bounded_ids=self.bounded_ids
+        )
 
     def _build_churn_features(self):
-        return ml.churn_features_current(self.transactions, self.as_of, self.params)
+        return ml.churn_features_current(self.transactions, self.as_of, self.params, self.bounded_ids)
 
     def _build_clv_features(self):
-        return ml.clv_features_current(self.transactions, self.as_of, self.params)
+        return ml.clv_features_current(self.transactions, self.as_of, self.params, self.bounded_ids)
 
     def _build_clustered(self):
         if self.modelled:
@@ -226,7 +247,9 @@ class Warehouse:
         )
 
     def _build_store_loyalty(self):
-        return marts.store_loyalty(self.customer_category_spend, self.params.min_store_customers)
+        return marts.store_loyalty(
+            self.customer_category_spend, self.params.min_store_customers, self.bounded_ids
+        )
 
     def _build_store_time_patterns(self):
         p = self.params
@@ -278,6 +301,7 @@ BUILD_ORDER = [
     "rfm_features",
     "customer_category_spend",
     "rfm_scores",
+    "merchant_totals",
     "destination_metrics",
     "segments",
     "churn",
