@@ -1,5 +1,7 @@
 """Segments, churn and lifetime value: training sets, models, scoring, evaluation."""
 
+from math import ceil
+
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.clustering import KMeans
@@ -29,7 +31,7 @@ from spendgrid.functions.dialect import (
     sum_where,
 )
 from spendgrid.functions.labels import CHURN_LEVELS, CLV_TIERS, SEGMENTS
-from spendgrid.functions.ordering import global_ntile
+from spendgrid.functions.ordering import global_ntile, order_statistics
 from spendgrid.operators.features import ActivityWindow, activity
 from spendgrid.operators.staging import in_window
 
@@ -256,16 +258,17 @@ def predict_clv(model, features, customers):
 def score_clv(predictions, customers, params, **limits):
     """Predictions floored at zero, capped at the top percentile and cut into tiers.
 
-    `predictions` must be a written table: the cap and the tier limits are read from
-    it before the tiers are assigned by comparison with literals.
+    `predictions` must be a written table: the cap and the tier limits are selected
+    from it before the tiers are assigned by comparison with literals.
     """
     floored = strict_greatest(F.col("predicted_future_spend"), F.lit(0.0))
-    cap = predictions.agg(
-        F.percentile_approx(floored, params.clv_cap_percentile, params.percentile_accuracy)
-    ).first()[0]
-    capped = predictions.withColumn("_value", strict_least(floored, F.lit(cap)))
+    valued = predictions.withColumn("_value", floored)
+    total = valued.count()
+    top = max(1, ceil(params.clv_cap_percentile * total))
+    cap = order_statistics(valued, ["_value", "UNIQUE_ID"], [top], total=total, **limits).get(top, (None,))[0]
+    capped = valued.withColumn("_value", strict_least(F.col("_value"), F.lit(cap).cast("double")))
     tiers = {params.quantiles - i: tier for i, tier in enumerate(CLV_TIERS)}
-    quintile = global_ntile(capped, params.quantiles, ["_value", "UNIQUE_ID"], **limits)
+    quintile = global_ntile(capped, params.quantiles, ["_value", "UNIQUE_ID"], total=total, **limits)
     person = customers.select("UNIQUE_ID", "age", "gender_label", "income_segment", "age_group", "income_group")
     return capped.select(
         "UNIQUE_ID",

@@ -152,7 +152,7 @@ def analysis_window(txns, as_of, months=12):
 # --- feature statistics -----------------------------------------------------
 
 
-def feature_stats(features, columns=FEATURES, accuracy=10_000):
+def feature_stats(features, columns=FEATURES, accuracy=100_000):
     """Mean, spread, extremes and quartiles per feature, from one unpivot."""
     # every feature has at most two decimals
     long = features.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot(

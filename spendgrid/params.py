@@ -20,7 +20,8 @@ class Params:
     model_iterations: int = 50
     seed: int = 42
     clv_cap_percentile: float = 0.99
-    percentile_accuracy: int = 10_000
+    median_accuracy: int = 10_000
+    quartile_accuracy: int = 100_000
     retention_horizon: int = 12
     min_shared_customers: int = 100
     min_store_customers: int = 100
@@ -38,6 +39,7 @@ class Params:
 # The test tables hold about a hundred stores and a thousand customers, so the
 # size floors are lowered there; every other value stays at its default.
 SMALL_DATA = Params(
+    min_shared_customers=20,
     min_client_customers=10,
     min_audience_size=20,
     min_store_customers=10,

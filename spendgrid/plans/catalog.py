@@ -278,7 +278,7 @@ def _feature_stats_sql(feature):
 
 _add(
     "report_feature_stats",
-    lambda w: reports.feature_stats(w.rfm_features),
+    lambda w: reports.feature_stats(w.rfm_features, accuracy=w.params.quartile_accuracy),
     " union all ".join(_feature_stats_sql(f) for f in reports.FEATURES),
 )
 _add(

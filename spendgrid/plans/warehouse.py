@@ -125,7 +125,7 @@ class Warehouse:
     def _build_rfm_features(self):
         p = self.params
         return features.rfm_features(
-            self.transactions, self.as_of, p.window_months, p.min_feature_txns, p.percentile_accuracy, self.bounded_ids
+            self.transactions, self.as_of, p.window_months, p.min_feature_txns, p.median_accuracy, self.bounded_ids
         )
 
     def _build_rfm_scores(self):
