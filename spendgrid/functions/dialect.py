@@ -173,6 +173,23 @@ def top_value(counts, keys, value, weight="n", name=None):
     return totals.groupBy(*keys).agg(pick["v"].alias(name))
 
 
+def weigh_modes(counts, keys, values, weight="n"):
+    """Add the total weight of each value inside its group, for pick_mode()."""
+    for value in values:
+        group = Window.partitionBy(*keys, value)
+        counts = counts.withColumn(f"_{value}_weight", F.sum(weight).over(group))
+    return counts
+
+
+def pick_mode(value):
+    """Aggregate giving the mode after weigh_modes(), with the ties of top_value()."""
+    return F.min(
+        F.struct(
+            (-F.col(f"_{value}_weight")).alias("a"), F.col(value).isNull().alias("b"), F.col(value).alias("v")
+        )
+    )["v"]
+
+
 def null_safe_join(left, right, keys, how="left"):
     """Join on keys that may be NULL, keeping one copy of each key."""
     renamed = right.select(*[F.col(k).alias(f"_r_{k}") if k in keys else F.col(k) for k in right.columns])

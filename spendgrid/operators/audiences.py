@@ -9,10 +9,11 @@ from spendgrid.functions.dialect import (
     count_where,
     months_before,
     pct,
+    pick_mode,
     ratio,
     round_half,
     scaled,
-    top_value,
+    weigh_modes,
 )
 from spendgrid.functions.labels import (
     AT_RISK,
@@ -195,8 +196,10 @@ def audience_catalog(members, customers, features, segments, churn, min_size=100
         return ratio(F.sum(f"{c}_sum") / F.lit(float(10**dp)), F.sum(f"{c}_n"))
 
     audience = F.col("audience_id")
+    modes = {"age_group": "top_age_group", "income_group": "top_income_group", "segment_name": "top_segment"}
     catalog = (
-        cube.groupBy("audience_id")
+        weigh_modes(cube, ["audience_id"], modes)
+        .groupBy("audience_id")
         .agg(
             F.sum("n").alias("audience_size"),
             round_half(mean("val_trns", 2), 0).alias("avg_spend"),
@@ -204,15 +207,10 @@ def audience_catalog(members, customers, features, segments, churn, min_size=100
             pct(F.sum("women"), F.sum("n")).alias("pct_female"),
             round_half(mean("estimated_income", 2), 0).alias("avg_income"),
             round_half(mean("churn_probability", 4), 3).alias("avg_churn_prob"),
+            *[pick_mode(value).alias(name) for value, name in modes.items()],
         )
         .where(F.col("audience_size") >= min_size)
     )
-    for value, name in (
-        ("age_group", "top_age_group"),
-        ("income_group", "top_income_group"),
-        ("segment_name", "top_segment"),
-    ):
-        catalog = catalog.join(top_value(cube, ["audience_id"], value, name=name), "audience_id", "left")
     return catalog.select(
         "*",
         lookup_text(audience, {k: v[0] for k, v in AUDIENCES.items()}).alias("audience_name"),

@@ -15,6 +15,7 @@ from spendgrid.functions.dialect import (
     months_before,
     null_safe_join,
     pct,
+    pick_mode,
     ratio,
     round_half,
     scaled,
@@ -24,6 +25,7 @@ from spendgrid.functions.dialect import (
     sum_where,
     top_value,
     totals_within,
+    weigh_modes,
 )
 from spendgrid.functions.labels import (
     AT_RISK,
@@ -603,8 +605,8 @@ DAYS = ["sunday", "monday", "tuesday", "wednesday", "thursday", "friday", "satur
 def store_time_patterns(txns, as_of, months=12, min_txns=1000):
     """Hour and weekday profile per merchant.
 
-    Rows are first reduced to merchant x hour x weekday cells (at most 25 x 7 each),
-    from which all shares, baskets and modes are derived.
+    Rows are first reduced to merchant x hour x weekday cells (at most 25 x 7 each);
+    all shares, baskets and modes follow from the cells without a second scan.
     """
     keys = ["CATEGORY_TWO", "DESTINATION"]
     rows = last_months(txns, as_of, months)
@@ -624,7 +626,8 @@ def store_time_patterns(txns, as_of, months=12, min_txns=1000):
         for name, span in BASKETS.items()
     ]
     profile = (
-        cells.groupBy(*keys)
+        weigh_modes(cells, keys, ["trns_hour", "trns_dow"])
+        .groupBy(*keys)
         .agg(
             total.alias("total_transactions"),
             round_half(F.sum("cents") / F.lit(100.0), 0).alias("total_spend"),
@@ -634,17 +637,13 @@ def store_time_patterns(txns, as_of, months=12, min_txns=1000):
             pct(weight(dow.isin(1, 7)), total).alias("pct_weekend"),
             pct(weight(dow.between(2, 6)), total).alias("pct_weekday"),
             *baskets,
+            pick_mode("trns_hour").alias("peak_hour"),
+            pick_mode("trns_dow").alias("peak_day_number"),
         )
         .where(F.col("total_transactions") >= min_txns)
     )
     people = rows.groupBy(*keys).agg(F.count_distinct("UNIQUE_ID").alias("unique_customers"))
-    for extra in (
-        people,
-        top_value(cells, keys, "trns_hour", name="peak_hour"),
-        top_value(cells, keys, "trns_dow", name="peak_day_number"),
-    ):
-        profile = null_safe_join(profile, extra, keys)
-    return profile
+    return null_safe_join(profile, people, keys)
 
 
 def client_segment_mix(ccs, segments, min_customers=1000):

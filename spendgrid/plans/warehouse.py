@@ -1,8 +1,8 @@
 """The table graph: raw tables -> staged -> features -> marts.
 
-Customer-level tables are written once to the shared folder and read back, so
-downstream marts scan a pruned Parquet table instead of repeating the joins, and a
-lost executor costs a re-read, not a recomputation. Summary tables stay lazy.
+Tables are written once to the shared folder and read back, so downstream tables and
+reports scan a pruned Parquet table instead of repeating the joins, and a lost
+executor costs a re-read, not a recomputation. Views and reports stay lazy.
 """
 
 import hashlib
@@ -15,21 +15,45 @@ from spendgrid.params import Params
 from spendgrid.session import shared_folder
 from spendgrid.sources.tables import write_table
 
-# table -> (partition columns, cluster columns) for tables that are written.
+# Written tables: name -> (partition columns, cluster columns).
+_MERCHANT = ([], ["CATEGORY_TWO", "DESTINATION"])
+_PLAIN = ([], [])
 STORED = {
     "transactions": (["txn_month"], ["CATEGORY_TWO", "DESTINATION"]),
     "customers": ([], ["income_segment", "gender"]),
-    "customer_category_spend": ([], ["CATEGORY_TWO", "DESTINATION"]),
-    "merchant_totals": ([], []),
-    "destination_metrics": ([], ["CATEGORY_TWO", "DESTINATION"]),
-    "rfm_features": ([], []),
-    "rfm_scores": ([], []),
+    "rfm_features": _PLAIN,
+    "customer_category_spend": _MERCHANT,
+    "rfm_scores": _PLAIN,
+    "merchant_totals": _PLAIN,
+    "destination_metrics": _MERCHANT,
+    "churn_training": _PLAIN,
+    "churn_features": _PLAIN,
+    "clv_training": _PLAIN,
     "segments": ([], ["segment_name"]),
     "churn": ([], ["churn_risk_level"]),
-    "clv_predictions": ([], []),
+    "clv_predictions": _PLAIN,
     "clv": ([], ["clv_tier"]),
+    "cluster_profiles": _PLAIN,
+    "cluster_summary": _PLAIN,
+    "behavioral_summary": _PLAIN,
+    "geo_summary": ([], ["PROVINCE", "CATEGORY_TWO"]),
+    # small enough that one folder per month would only make tiny files
+    "monthly_trends": ([], ["month", "CATEGORY_TWO", "DESTINATION"]),
+    "demographic_summary": ([], ["CATEGORY_TWO"]),
+    "cohort_retention": _PLAIN,
+    "category_affinity": _PLAIN,
+    "churn_rules": ([], ["risk_level"]),
     "momentum": ([], ["momentum_status"]),
+    "category_propensity": ([], ["CATEGORY_TWO"]),
+    "store_loyalty": _PLAIN,
+    "store_time_patterns": _PLAIN,
+    "client_segment_mix": _MERCHANT,
+    "category_scorecard": _PLAIN,
+    "pitch_opportunities": _PLAIN,
+    "churn_explained": ([], ["churn_risk_level"]),
     "audience_members": ([], ["audience_id"]),
+    "audience_catalog": _PLAIN,
+    "audience_client_overlap": _MERCHANT,
 }
 SMALL_LOOKUP = 1_000_000
 _BUILT = {}
@@ -292,35 +316,16 @@ class Warehouse:
         )
 
 
-_MODEL_TABLES = {"segments", "churn", "clv_predictions", "clv", "audience_members"}
-
-# Every table in dependency order, as a full run writes them.
-BUILD_ORDER = [
-    "transactions",
-    "customers",
-    "rfm_features",
-    "customer_category_spend",
-    "rfm_scores",
-    "merchant_totals",
-    "destination_metrics",
+# Tables that differ between fitted models and fixed formulas.
+_MODEL_TABLES = {
     "segments",
     "churn",
     "clv_predictions",
     "clv",
-    "benchmarks",
     "cluster_profiles",
     "cluster_summary",
     "behavioral_summary",
-    "geo_summary",
-    "monthly_trends",
-    "demographic_summary",
-    "cohort_retention",
-    "category_affinity",
-    "churn_rules",
-    "momentum",
     "category_propensity",
-    "store_loyalty",
-    "store_time_patterns",
     "client_segment_mix",
     "category_scorecard",
     "pitch_opportunities",
@@ -328,16 +333,15 @@ BUILD_ORDER = [
     "audience_members",
     "audience_catalog",
     "audience_client_overlap",
-]
+}
 
 
-def build_all(warehouse, folder, tables=BUILD_ORDER):
-    """Write every table under folder; returns name -> path."""
+def build_all(warehouse, folder, tables=tuple(STORED)):
+    """Write every table under folder, in dependency order; returns name -> path."""
     paths = {}
     for name in tables:
         paths[name] = f"{folder}/{name}"
-        partition_by, cluster_by = STORED.get(name, ([], []))
-        write_table(warehouse.table(name), paths[name], partition_by, cluster_by)
+        write_table(warehouse.table(name), paths[name], *STORED[name])
     return paths
 
 
