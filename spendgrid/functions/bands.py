@@ -25,3 +25,11 @@ def lookup_text(key, texts, default=None):
     for name, text in texts.items():
         value = F.when(key == name, text).otherwise(value)
     return value
+
+
+def position_in(key, names):
+    """1-based position of a name in a list, one past the end for any other value."""
+    position = F.lit(len(names) + 1)
+    for i, name in enumerate(names):
+        position = F.when(key == name, F.lit(i + 1)).otherwise(position)
+    return position

@@ -266,7 +266,7 @@ def category_affinity(txns, as_of, months=12, min_shared=100):
         .agg(F.sum("n").alias("shared_customers"))
         .where(F.col("shared_customers") >= min_shared)
     )
-    total = sets.agg(F.sum("n")).first()[0] or 0
+    total = sets.agg(F.sum("n")).scalar()
     shared = F.col("shared_customers")
     in_a, in_b = F.col("customers_in_a"), F.col("customers_in_b")
     return (
@@ -280,7 +280,7 @@ def category_affinity(txns, as_of, months=12, min_shared=100):
             "customers_in_b",
             pct(shared, in_a).alias("pct_a_also_shops_b"),
             pct(shared, in_b).alias("pct_b_also_shops_a"),
-            round_half(ratio(shared * F.lit(total), in_a.cast("double") * in_b), 2).alias("lift"),
+            round_half(ratio(shared * total, in_a.cast("double") * in_b), 2).alias("lift"),
             round_half(ratio(shared, in_a + in_b - shared) * F.lit(100.0), 1).alias("jaccard_pct"),
         )
     )

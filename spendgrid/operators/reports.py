@@ -5,7 +5,7 @@ from functools import reduce
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from spendgrid.functions.bands import at_least
+from spendgrid.functions.bands import at_least, position_in
 from spendgrid.functions.dialect import (
     count_where,
     exact_avg,
@@ -21,9 +21,10 @@ from spendgrid.functions.dialect import (
     share_of_total,
     spread,
 )
-from spendgrid.functions.labels import AT_RISK, WALLET_BANDS
+from spendgrid.functions.labels import AT_RISK, CHURN_LEVELS, WALLET_BANDS
 from spendgrid.operators.staging import UNKNOWN, last_months
 
+# The features that segments are built on, and the compared pairs below.
 FEATURES = [
     "val_trns",
     "nr_trns",
@@ -464,6 +465,22 @@ def risk_by_demographics(churn):
     )
 
 
+def churn_levels(churn):
+    """Customers, spend and inactivity per level, from the highest risk down."""
+    levels = [name for _, name in CHURN_LEVELS]
+    return (
+        churn.groupBy("churn_risk_level")
+        .agg(
+            F.count("*").alias("customers"),
+            _mean_pct().alias("avg_churn_pct"),
+            round_half(exact_sum("total_spend"), 0).alias("spend"),
+            round_half(exact_avg("days_since_last", 0), 0).alias("avg_days"),
+        )
+        .withColumn("level_order", position_in(F.col("churn_risk_level"), levels).cast("bigint"))
+        .orderBy("level_order")
+    )
+
+
 def win_back(churn):
     """At-risk customers who spend more than the average scored customer."""
     mean = churn.agg(exact_avg("total_spend"))
@@ -569,6 +586,22 @@ def retention_curve(cohorts, min_size=1000):
     )
 
 
+def recent_cohorts(cohorts, min_size=1000, n=6):
+    """Retention of the n newest cohorts."""
+    large = cohorts.where(F.col("cohort_size") >= min_size)
+    newest = large.select("cohort_month").distinct().orderBy(F.desc("cohort_month")).limit(n)
+    return large.join(newest, "cohort_month", "left_semi").select(
+        F.date_format("cohort_month", "yyyy-MM").alias("cohort"), "months_since_first", "retention_pct"
+    )
+
+
+def cohort_sizes(cohorts, min_size=1000):
+    """New customers per month."""
+    return cohorts.where((F.col("cohort_size") >= min_size) & (F.col("months_since_first") == 0)).select(
+        F.date_format("cohort_month", "yyyy-MM").alias("cohort"), "cohort_size"
+    )
+
+
 def best_and_worst_cohorts(cohorts, min_size=1000, at_month=6, n=5):
     """The n best and n worst cohorts at one age."""
     rows = cohorts.where((F.col("cohort_size") >= min_size) & (F.col("months_since_first") == at_month)).select(
@@ -657,6 +690,15 @@ def strongest_affinities(affinity, min_lift=1.0, n=30):
     )
 
 
+def largest_pairs(affinity, n=15):
+    """Pairs that share the most customers."""
+    return (
+        affinity.orderBy(F.desc("shared_customers"), "category_a", "category_b")
+        .limit(n)
+        .select("category_a", "category_b", "shared_customers", "lift", "pct_a_also_shops_b", "pct_b_also_shops_a")
+    )
+
+
 def affinity_matrix(affinity, categories):
     """Symmetric lift matrix for a given list of categories; missing pairs are 0."""
     swapped = affinity.select(
@@ -699,6 +741,15 @@ def scorecard_top(scorecard, by, n=10):
     )
 
 
+def scorecard_mix(scorecard, n=20):
+    """Share of first and last segment in the n largest categories."""
+    return (
+        scorecard.orderBy(F.desc("total_spend"), "CATEGORY_TWO")
+        .limit(n)
+        .select("CATEGORY_TWO", "total_spend", "pct_champions", "pct_dormant")
+    )
+
+
 def top_propensity(propensity, n=20):
     return (
         propensity.where(F.col("propensity_level").isin("Very High", "High"))
@@ -728,6 +779,16 @@ def propensity_heatmap(propensity, top=15):
     )
 
 
+def propensity_pivot(propensity, categories):
+    """Adoption rates with segments as rows and the given categories as columns."""
+    return (
+        propensity.where(F.col("CATEGORY_TWO").isin(categories))
+        .groupBy("segment_name")
+        .pivot("CATEGORY_TWO", categories)
+        .agg(F.max("adoption_rate_pct"))
+    )
+
+
 def propensity_by_segment(propensity):
     return (
         propensity.where(F.col("propensity_level").isin("Very High", "High", "Medium"))
@@ -838,7 +899,7 @@ def audience_provinces(catalog):
 
 
 def brand_predicates():
-    """Named customer filters used for brand audiences."""
+    """Named customer filters used for brand audiences; the limits are fixed values."""
     female, age, income = _is("gender_label", "Female"), F.col("age"), F.col("income_group")
     middle = ["R5.5k-R13.5k", "R13.5k-R23.5k", "R23.5k-R32.5k"]
     return {
@@ -1032,6 +1093,29 @@ def search_names(benchmarks, column, patterns, excluding=(), n=15):
     )
 
 
+def search_categories(benchmarks, patterns):
+    """Distinct categories whose upper-cased name matches any pattern."""
+    name = F.upper("CATEGORY_TWO")
+    tests = [name.like(p) for p in patterns]
+    return benchmarks.where(reduce(lambda a, b: a | b, tests)).select("CATEGORY_TWO").distinct()
+
+
+def destination_spellings(ccs, pattern):
+    """Merchant names matching a pattern, with their number of spend rows."""
+    return (
+        ccs.where(F.upper("DESTINATION").like(pattern))
+        .groupBy("DESTINATION")
+        .agg(F.count("*").alias("n"))
+    )
+
+
+def client_categories(ccs, client):
+    """Customers of a merchant per category."""
+    return (
+        ccs.where(_is("DESTINATION", client)).groupBy("CATEGORY_TWO").agg(F.count("*").alias("customers"))
+    )
+
+
 def client_demographics(ccs, customers, client):
     buyers = ccs.where(_is("DESTINATION", client)).select("UNIQUE_ID")
     return (

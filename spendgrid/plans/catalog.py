@@ -467,6 +467,14 @@ _add(
       {rnd(total('total_spend'))} as total_spend from churn where age_group is not null and income_group is not null
       group by all""",
 )
+_add(
+    "report_churn_levels",
+    lambda w: reports.churn_levels(w.churn),
+    f"""select churn_risk_level, count(*) as customers, {_CHURN_MEAN} as avg_churn_pct,
+      {rnd(total('total_spend'))} as spend, {rnd(mean('days_since_last', 0))} as avg_days,
+      list_position(['Critical', 'High', 'Medium', 'Low', 'Stable'], churn_risk_level) as level_order
+      from churn group by churn_risk_level""",
+)
 _add(
     "report_win_back",
     lambda w: reports.win_back(w.churn),
@@ -581,6 +589,18 @@ _add(
       (select *, 'worst' as rank_group from ({_AT_SIX}) order by retention_pct, cohort desc limit 5)""",
 )
 
+_add(
+    "report_recent_cohorts",
+    lambda w: reports.recent_cohorts(w.cohort_retention, w.params.min_cohort_size),
+    f"""select strftime(cohort_month, '%Y-%m') as cohort, months_since_first, retention_pct from {_COHORTS}
+      and cohort_month in (select distinct cohort_month from {_COHORTS} order by cohort_month desc limit 6)""",
+)
+_add(
+    "report_cohort_sizes",
+    lambda w: reports.cohort_sizes(w.cohort_retention, w.params.min_cohort_size),
+    f"select distinct strftime(cohort_month, '%Y-%m') as cohort, cohort_size from {_COHORTS}",
+)
+
 # --- pitch, affinity, scorecard, propensity ---------------------------------
 
 _CHURN_PCT = rnd("avg_churn_probability * 100::double", 1)
@@ -634,6 +654,27 @@ _add(
     """select *, customers_in_a - shared_customers as gap_a, customers_in_b - shared_customers as gap_b from affinity
       where lift > 0.9 and jaccard_pct < 90 order by shared_customers desc, category_a, category_b limit 15""",
 )
+_add(
+    "report_largest_pairs",
+    lambda w: reports.largest_pairs(w.category_affinity),
+    """select category_a, category_b, shared_customers, lift, pct_a_also_shops_b, pct_b_also_shops_a from affinity
+      order by shared_customers desc, category_a, category_b limit 15""",
+)
+_add(
+    "report_scorecard_mix",
+    lambda w: reports.scorecard_mix(w.category_scorecard),
+    """select CATEGORY_TWO, total_spend, pct_champions, pct_dormant from scorecard
+      order by total_spend desc, CATEGORY_TWO limit 20""",
+)
+_add(
+    "report_propensity_pivot",
+    lambda w: reports.propensity_pivot(w.category_propensity, _MATRIX),
+    "select segment_name, "
+    + ", ".join(
+        f"max(adoption_rate_pct) filter (where CATEGORY_TWO = {text(c)}) as {chr(34)}{c}{chr(34)}" for c in _MATRIX
+    )
+    + f" from propensity where CATEGORY_TWO in {texts(_MATRIX)} group by segment_name",
+)
 _add(
     "report_health_counts",
     lambda w: reports.health_counts(w.category_scorecard),
@@ -792,7 +833,7 @@ _add(
 )
 _add(
     "report_store_overlap",
-    lambda w: reports.store_overlap(w.customer_category_spend, CLIENT, "%" + OTHER_CLIENTS.strip("%").upper()),
+    lambda w: reports.store_overlap(w.customer_category_spend, CLIENT, OTHER_CLIENTS),
     f"""select count(*) as shared_customers from (select UNIQUE_ID from ccs where {_OF_CLIENT} intersect
       select UNIQUE_ID from ccs where upper(DESTINATION) like '%00000_')""",
 )
@@ -832,6 +873,21 @@ _add(
         and upper(CATEGORY_TWO) not like '%TRAVEL%' and upper(CATEGORY_TWO) not like '%FUEL%'
       order by total_spend desc, DESTINATION, CATEGORY_TWO limit 15""",
 )
+_add(
+    "report_category_search",
+    lambda w: reports.search_categories(w.benchmarks, ["%GROC%", "%TRAV%", "%CLOTH%"]),
+    "select distinct CATEGORY_TWO from bench where regexp_matches(upper(CATEGORY_TWO), 'GROC|TRAV|CLOTH')",
+)
+_add(
+    "report_destination_spellings",
+    lambda w: reports.destination_spellings(w.customer_category_spend, "%00000_"),
+    "select DESTINATION, count(*) as n from ccs where upper(DESTINATION) like '%00000_' group by all",
+)
+_add(
+    "report_client_categories",
+    lambda w: reports.client_categories(w.customer_category_spend, CLIENT),
+    f"select CATEGORY_TWO, count(distinct UNIQUE_ID) as customers from ccs where {_OF_CLIENT} group by all",
+)
 _add(
     "report_client_demographics",
     lambda w: reports.client_demographics(w.customer_category_spend, w.customers, CLIENT),

@@ -6,6 +6,7 @@ executor costs a re-read, not a recomputation. Views and reports stay lazy.
 """
 
 import hashlib
+from functools import reduce
 
 from pyspark.sql import functions as F
 
@@ -97,8 +98,9 @@ class Warehouse:
         """Whether every lookup is small enough for a set of its ids to fit a task."""
         slot = (self._root, self._base, "bounded_ids")
         if slot not in _BUILT:
-            sizes = [lookup.limit(SMALL_LOOKUP + 1).count() for lookup in self.raw.lookups.values()]
-            _BUILT[slot] = max(sizes) <= SMALL_LOOKUP
+            sizes = [lookup.limit(SMALL_LOOKUP + 1).agg(F.count("*").alias("n")) for lookup in self.raw.lookups.values()]
+            largest = reduce(lambda a, b: a.unionByName(b), sizes).agg(F.max("n")).first()[0]
+            _BUILT[slot] = largest <= SMALL_LOOKUP
         return _BUILT[slot]
 
     def __getattr__(self, name):
