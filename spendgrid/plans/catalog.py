@@ -1,1239 +1,17 @@
 """Every named query: how Spark builds it and, where SQL can say it, the check."""
 
-import uuid
-from dataclasses import dataclass
 from functools import partial
 
-from pyspark.sql import functions as F
-
-from spendgrid.operators import ml, quality, reports, views
 from spendgrid.params import SMALL_DATA
-from spendgrid.plans import oracle as o
-from spendgrid.plans.oracle import div, mean, n_where, percent, rnd, sql_for, text, texts, total
+from spendgrid.plans import queries_core, queries_reports  # noqa: F401  (fill the registry)
+from spendgrid.plans.oracle import sql_for
+from spendgrid.plans.registry import QUERIES
 from spendgrid.plans.warehouse import Warehouse
-from spendgrid.sources import ingest, samples
-from spendgrid.sources.order_tables import raw_tables, read_table
-from spendgrid.sources.tables import export_json, table_overview, write_table
-from spendgrid.streaming import incremental
-
-# Arguments of the parameterised reports.
-CATEGORY, SECOND_CATEGORY = "Groceries", "Restaurants"
-CLIENT, OTHER_CLIENTS = "Supplier#000000007", "%00000_"
-RISKY = "churn_risk_level in ('Critical', 'High')"
-SOURCE_TABLES = ["lineitem", "orders", "customer", "part", "supplier", "nation", "region", "events"]
-JOBS_SINCE = "2024-01-08 00:00:00"
-
-
-@dataclass(frozen=True)
-class Query:
-    build: object  # Warehouse -> DataFrame
-    sql: str | None = None  # query over the oracle relations
-    modelled: bool = False  # fit models instead of the fixed formulas
-
-
-QUERIES = {}
-
-
-def _add(name, build, sql=None, modelled=False):
-    QUERIES[name] = Query(build, sql, modelled)
-
-
-def _table(name, table, sql):
-    _add(name, lambda w: w.table(table), sql)
-
-
-def _scratch(w, name):
-    return f"{w._root}/spendgrid/{w._base}/scratch/{name}-{uuid.uuid4().hex[:8]}"
-
-
-# --- tables -----------------------------------------------------------------
-
-_add("raw_transactions", lambda w: w.raw.transactions, "select * from raw_txn")
-_add("raw_snapshots", lambda w: w.raw.snapshots, "select * from raw_base")
-for _name, _tbl, _rel in [
-    ("stage_transactions", "transactions", "txn"),
-    ("stage_customers", "customers", "cust"),
-    ("rfm_features", "rfm_features", "rfm"),
-    ("rfm_scores", "rfm_scores", "scores"),
-    ("customer_category_spend", "customer_category_spend", "ccs"),
-    ("destination_metrics", "destination_metrics", "metrics"),
-    ("destination_benchmarks", "benchmarks", "bench"),
-    ("segments", "segments", "seg"),
-    ("churn_training_set", "churn_training", "churn_train"),
-    ("clv_training_set", "clv_training", "clv_train"),
-    ("churn_risk", "churn", "churn"),
-    ("customer_clv", "clv", "clv"),
-    ("cluster_profiles", "cluster_profiles", "profiles"),
-    ("cluster_summary", "cluster_summary", "summary"),
-    ("behavioral_summary", "behavioral_summary", "behav"),
-    ("geo_summary", "geo_summary", "geo"),
-    ("monthly_trends", "monthly_trends", "trends"),
-    ("demographic_summary", "demographic_summary", "demo"),
-    ("cohort_retention", "cohort_retention", "cohort"),
-    ("category_affinity", "category_affinity", "affinity"),
-    ("category_scorecard", "category_scorecard", "scorecard"),
-    ("pitch_opportunities", "pitch_opportunities", "pitch"),
-    ("churn_explained", "churn_explained", "explained"),
-    ("churn_rules", "churn_rules", "rules"),
-    ("spend_momentum", "momentum", "mom"),
-    ("category_propensity", "category_propensity", "propensity"),
-    ("store_loyalty", "store_loyalty", "loyalty"),
-    ("store_time_patterns", "store_time_patterns", "timepat"),
-    ("client_segment_mix", "client_segment_mix", "segmix"),
-    ("audience_members", "audience_members", "members"),
-    ("audience_catalog", "audience_catalog", "catalog"),
-    ("audience_client_overlap", "audience_client_overlap", "overlap"),
-]:
-    _table(_name, _tbl, f"select * from {_rel}")
-_add("churn_features_current", lambda w: w.churn_features, "select * exclude (spend_trend) from act")
-_add(
-    "date_bounds",
-    lambda w: w.transactions.agg(F.max("EFF_DATE").alias("max_date")).withColumn(
-        "start_date", F.add_months("max_date", -w.params.window_months)
-    ),
-    "select d as max_date, m12 as start_date from bounds",
-)
-
-# --- views ------------------------------------------------------------------
-
-_add(
-    "view_executive_summary",
-    lambda w: views.executive_summary(w.spark, w.customers, w.transactions, w.segments, w.benchmarks, w.churn),
-    f"""select (select count(*) from cust) as total_customers, (select count(*) from txn) as total_transactions,
-      (select {total('val_trns')} from seg) as total_spend,
-      (select count(distinct DESTINATION) from bench) as total_destinations,
-      (select count(*) from seg where cluster_id = 1) as champion_customers,
-      (select {rnd(total('val_trns'))} from seg where cluster_id = 1) as champion_spend,
-      (select count(*) from churn where {RISKY}) as at_risk_customers,
-      (select {rnd(total('total_spend'))} from churn where {RISKY}) as at_risk_spend""",
-)
-_add(
-    "view_dashboard_overview",
-    lambda w: views.dashboard_overview(w.spark, w.customers, w.transactions, w.segments, w.benchmarks, w.churn),
-    """select (select count(*) from txn) as total_transactions, (select count(*) from cust) as total_customers,
-      (select count(*) from seg) as segmented_customers, (select count(*) from churn) as churn_scored,
-      (select count(distinct DESTINATION) from bench) as destinations""",
-)
-_add(
-    "view_customer_segments",
-    lambda w: views.customer_segments(w.segments),
-    f"""select segment_name, count(*) as customers, {percent('count(*)', '(select count(*) from seg)')} as pct_customers,
-      {rnd(total('val_trns'))} as total_spend,
-      {percent(total('val_trns'), f"(select {total('val_trns')} from seg)")} as pct_revenue,
-      {rnd(mean('val_trns'))} as avg_spend, {rnd(mean('nr_trns', 0))} as avg_transactions,
-      {rnd(mean('lst_trns_days', 0))} as avg_recency_days, {rnd(mean('active_destinations', 0), 1)} as avg_merchants,
-      {rnd(mean('active_months', 0), 1)} as avg_active_months from seg group by segment_name""",
-)
-_CHURN_MEAN = rnd(mean("churn_probability", 4) + " * 100::double", 1)
-_add(
-    "view_churn_risk_summary",
-    lambda w: views.churn_risk_summary(w.churn),
-    f"""select churn_risk_level, count(*) as customers,
-      {percent('count(*)', '(select count(*) from churn)')} as pct_of_total, {_CHURN_MEAN} as avg_churn_pct,
-      {rnd(total('total_spend'))} as total_spend_at_risk, {rnd(mean('total_spend'))} as avg_spend,
-      {rnd(mean('days_since_last', 0))} as avg_days_since_last, {rnd(mean('txns_last_3m', 0), 1)} as avg_recent_txns
-      from churn group by churn_risk_level""",
-)
-_add(
-    "view_geo_insights",
-    lambda w: views.geo_insights(w.geo_summary),
-    f"""select g.*, {percent('g.total_spend', f'''(select sum(h.total_spend) from geo h
-      where h.CATEGORY_TWO = g.CATEGORY_TWO)''')} as pct_of_category from geo g""",
-)
-_WEEKEND_SHARE = "NR_TRNS_WEEKEND * 100::double / (NR_TRNS_WEEKEND + NR_TRNS_WEEK)::double"
-_add(
-    "view_dashboard_segments",
-    lambda w: views.dashboard_segments(w.segments, w.cluster_summary),
-    f"""select s.*, m.top_age_group, m.top_income_group, m.business_description, m.recommended_action from (
-      select segment_name, count(*) as customers, {rnd(mean('val_trns'))} as avg_spend,
-        {rnd(mean('nr_trns', 0))} as avg_txns, {rnd(mean('lst_trns_days', 0))} as avg_recency_days,
-        {rnd(mean('active_destinations', 0), 1)} as avg_merchants, {rnd(mean('active_months', 0), 1)} as avg_active_months,
-        {rnd(f"sum(cast({_WEEKEND_SHARE} as decimal(28,10)))::double / count(*)::double", 1)} as pct_weekend,
-        {rnd(mean('age'), 1)} as avg_age, {rnd(mean('estimated_income'))} as avg_income,
-        {percent(n_where("gender_label = 'Female'"), 'count(*)')} as pct_female from seg group by segment_name) s
-      join summary m using (segment_name)""",
-)
-_add(
-    "view_dashboard_churn",
-    lambda w: views.dashboard_churn(w.churn, w.segments, w.churn_explained, w.clv, w.momentum),
-    """select c.UNIQUE_ID, c.churn_risk_level, c.churn_probability, c.total_spend, c.days_since_last, c.age,
-      c.age_group, c.gender_label, c.income_group, s.segment_name, e.reason_1, e.reason_2, e.reason_3, v.clv_tier,
-      v.predicted_clv, v.historical_spend, m.momentum_status, m.spend_change_pct, m.urgency_score
-      from churn c left join seg s on s.UNIQUE_ID = c.UNIQUE_ID left join explained e on e.UNIQUE_ID = c.UNIQUE_ID
-      left join clv v on v.UNIQUE_ID = c.UNIQUE_ID left join mom m on m.UNIQUE_ID = c.UNIQUE_ID""",
-)
-_add(
-    "view_client_pitch_flat",
-    lambda w: views.client_pitch_flat(w.benchmarks, w.store_loyalty, w.store_time_patterns),
-    f"""select b.* exclude (transactions), {', '.join('l.' + c for c in views._LOYALTY)},
-      {', '.join('t.' + c for c in views._TIME)}
-      from bench b left join loyalty l on l.CATEGORY_TWO = b.CATEGORY_TWO and l.DESTINATION = b.DESTINATION
-      left join timepat t on t.CATEGORY_TWO = b.CATEGORY_TWO and t.DESTINATION = b.DESTINATION""",
-)
-_add(
-    "view_client_segment_mix",
-    lambda w: views.client_segment_view(w.client_segment_mix, w.cluster_summary),
-    """select m.*, s.business_description, s.recommended_action, s.cluster_id as segment_order
-      from segmix m left join summary s using (segment_name)""",
-)
-_add(
-    "view_pitch_internal",
-    lambda w: views.pitch_internal(w.benchmarks),
-    "select *, DESTINATION as display_name, 'internal' as view_mode from bench",
-)
-_add(
-    "view_pitch_external",
-    lambda w: views.pitch_external(w.benchmarks),
-    """select *, case spend_rank when 1 then 'Market Leader (#1)' else printf('Competitor #%d', spend_rank) end
-      as display_name, 'external' as view_mode from bench""",
-)
-
-
-def _view_by_name(w):
-    names = views.register_views(w)
-    return w.spark.table(names[names.index("v_monthly_trends")])
-
-
-_add("view_by_name", _view_by_name, "select * from trends")
-
-# --- overview reports -------------------------------------------------------
-
-_add(
-    "report_data_overview",
-    lambda w: reports.data_overview(w.transactions),
-    f"""select count(*) as total_transactions, count(distinct UNIQUE_ID) as unique_customers,
-      min(EFF_DATE) as earliest_date, max(EFF_DATE) as latest_date,
-      date_diff('month', min(EFF_DATE), max(EFF_DATE)) as months_of_data, {rnd(total('trns_amt'))} as total_spend,
-      {rnd(mean('trns_amt'), 2)} as avg_transaction, count(distinct CATEGORY_TWO) as distinct_categories,
-      count(distinct DESTINATION) as distinct_destinations, count(distinct PROVINCE) as distinct_provinces from txn""",
-)
-_add(
-    "report_top_categories",
-    lambda w: reports.top_categories(w.transactions),
-    f"""select CATEGORY_TWO, count(*) as transactions, count(distinct UNIQUE_ID) as customers,
-      {rnd(total('trns_amt'))} as total_spend, {rnd(mean('trns_amt'), 2)} as avg_txn from txn
-      where CATEGORY_TWO is not null group by all order by total_spend desc, CATEGORY_TWO limit 20""",
-)
-_add(
-    "report_top_destinations",
-    lambda w: reports.top_destinations(w.transactions),
-    f"""select DESTINATION, CATEGORY_TWO, count(distinct UNIQUE_ID) as customers,
-      {rnd(total('trns_amt'))} as total_spend, {rnd(mean('trns_amt'), 2)} as avg_txn from txn
-      where DESTINATION is not null group by all order by total_spend desc, DESTINATION, CATEGORY_TWO limit 20""",
-)
-_add(
-    "report_customer_profile",
-    lambda w: reports.customer_profile(w.customers),
-    f"""select count(*) as total_customers, {rnd(mean('age'), 1)} as avg_age,
-      {rnd(mean('estimated_income'))} as avg_income, {n_where('gender = 0')} as males, {n_where('gender = 1')} as females,
-      {n_where('main_banked = 1')} as main_banked, {n_where('age is null')} as null_age,
-      {n_where('estimated_income is null')} as null_income from cust""",
-)
-for _band in ("age_group", "income_group"):
-    _add(
-        f"report_{_band}s",
-        lambda w, band=_band: reports.band_distribution(w.customers, band),
-        f"select {_band}, count(*) as customers from cust where {_band} <> 'Unknown' group by all",
-    )
-_NULLABLE = ["UNIQUE_ID", "EFF_DATE", "trns_amt", "CATEGORY_TWO", "DESTINATION", "PROVINCE", "MUNICIPALITY", "trns_hour"]
-_add(
-    "report_null_profile",
-    lambda w: reports.null_profile(w.transactions, _NULLABLE),
-    " union all ".join(
-        f"select count(*) as total_rows, '{c}' as column_name, {n_where(f'{c} is null')} as null_count, "
-        f"{percent(n_where(f'{c} is null'), 'count(*)', 2)} as null_pct from txn"
-        for c in _NULLABLE
-    ),
-)
-_add(
-    "report_monthly_volume",
-    lambda w: reports.monthly_volume(w.transactions),
-    f"""select txn_month as month, count(*) as transactions, count(distinct UNIQUE_ID) as customers,
-      {rnd(total('trns_amt'))} as spend from txn group by all""",
-)
-_add(
-    "report_analysis_window",
-    lambda w: reports.analysis_window(w.transactions, w.as_of),
-    """select min(EFF_DATE) as data_from, max(EFF_DATE) as data_to,
-      date_diff('day', min(EFF_DATE), max(EFF_DATE)) as days_span, strftime(min(EFF_DATE), '%d %b %Y') as from_str,
-      strftime(max(EFF_DATE), '%d %b %Y') as to_str,
-      strftime((select m12 from bounds), '%d %b %Y') as analysis_from_str from yr""",
-)
-
-# --- feature reports --------------------------------------------------------
-
-
-def _feature_stats_sql(feature):
-    value = f"({feature})::double"
-    moment = (
-        f"sqrt((count(*)::hugeint * sum({o.units(feature)}::hugeint * {o.units(feature)}) - "
-        f"sum({o.units(feature)})::hugeint * sum({o.units(feature)}))::double / "
-        f"(count(*)::double * (count(*)::double - 1))) / 100::double"
-    )
-    return f"""select '{feature}' as feature, {rnd(mean(value), 2)} as mean, {rnd(moment, 2)} as std,
-      quantile_disc({value}, 0.5) as median, {rnd(f'min({value})', 2)} as min_val, {rnd(f'max({value})', 2)} as max_val,
-      {rnd(f'quantile_disc({value}, 0.25)', 2)} as q25, {rnd(f'quantile_disc({value}, 0.75)', 2)} as q75,
-      {rnd(f'quantile_disc({value}, 0.75) - quantile_disc({value}, 0.25)', 2)} as iqr from rfm"""
-
-
-_add(
-    "report_feature_stats",
-    lambda w: reports.feature_stats(w.rfm_features, accuracy=w.params.quartile_accuracy),
-    " union all ".join(_feature_stats_sql(f) for f in reports.FEATURES),
-)
-_add(
-    "report_feature_correlations",
-    lambda w: reports.feature_correlations(w.rfm_features),
-    "select "
-    + ", ".join(f"{rnd(f'corr({a}, {b})', 3)} as {name}" for name, (a, b) in reports.CORRELATIONS.items())
-    + " from rfm",
-)
-_add(
-    "report_outliers",
-    lambda w: reports.outlier_counts(w.rfm_features),
-    "select count(*) as total_customers, "
-    + ", ".join(
-        f"{n_where(f'{c} > (select avg({c}) + 3 * stddev_samp({c}) from rfm)')} as {name}"
-        for c, name in [("val_trns", "spend_outliers"), ("nr_trns", "freq_outliers"), ("avg_val", "avg_val_outliers")]
-    )
-    + " from rfm",
-)
-_add(
-    "report_quintiles",
-    lambda w: reports.quintile_distribution(w.rfm_scores),
-    " union all ".join(
-        f"select '{name}' as dimension, {c} as score, count(*) as customers from scores group by {c}"
-        for c, name in [("r_score", "Recency"), ("f_score", "Frequency"), ("m_score", "Monetary")]
-    ),
-)
-_add("report_feature_sample", lambda w: reports.sample_rows(w.rfm_features, 50_000))
-
-# --- merchant reports -------------------------------------------------------
-
-_IN_CATEGORY = f"CATEGORY_TWO = {text(CATEGORY)}"
-_OF_CLIENT = f"DESTINATION = {text(CLIENT)}"
-_KPIS = (
-    "customers, transactions, total_spend, avg_txn_value, spend_per_customer, market_share_pct, penetration_pct, spend_rank"
-)
-
-
-def _default_client_kpis(w):
-    category, client = reports.pick_default_client(w.benchmarks)
-    return reports.client_kpis(w.benchmarks, category, client).withColumn("DESTINATION", F.lit(client))
-
-
-_add(
-    "report_default_client_kpis",
-    _default_client_kpis,
-    f"""select {_KPIS}, DESTINATION from bench where CATEGORY_TWO = (select CATEGORY_TWO from bench group by all
-      order by sum(total_spend) desc, CATEGORY_TWO limit 1) order by total_spend desc, DESTINATION limit 1""",
-)
-_add(
-    "report_client_kpis",
-    lambda w: reports.client_kpis(w.benchmarks, CATEGORY, CLIENT),
-    f"select {_KPIS} from bench where {_IN_CATEGORY} and {_OF_CLIENT}",
-)
-_add(
-    "report_wallet_summary",
-    lambda w: reports.wallet_summary(w.customer_category_spend, CATEGORY, CLIENT),
-    f"""select count(distinct UNIQUE_ID) as category_customers, {n_where(_OF_CLIENT)} as client_customers,
-      {percent(n_where(_OF_CLIENT), 'count(distinct UNIQUE_ID)')} as penetration,
-      {rnd(mean(f'case when {_OF_CLIENT} then share_of_wallet_pct end', 1), 1)} as avg_share,
-      {rnd(total('dest_spend', where=_OF_CLIENT))} as total_client_spend,
-      {rnd(total('dest_spend'))} as total_category_spend from ccs where {_IN_CATEGORY}""",
-)
-_add(
-    "report_wallet_bands",
-    lambda w: reports.wallet_bands(w.customer_category_spend, CATEGORY, CLIENT),
-    f"""select {o.ladder('share_of_wallet_pct', reports.WALLET_BANDS, '>=')} as wallet_band, count(*) as customers,
-      {rnd(total('dest_spend'))} as client_spend from ccs where {_IN_CATEGORY} and {_OF_CLIENT} group by all""",
-)
-_COMPETITORS = f"""select case when {_OF_CLIENT} then DESTINATION else 'Competitor ' || pos end as display_name,
-      case when {_OF_CLIENT} then 'Client' else 'Competitor' end as entity_type, customers, total_spend,
-      market_share_pct, penetration_pct, spend_per_customer, avg_txn_value
-      from (select *, row_number() over (partition by {_OF_CLIENT} order by total_spend desc, DESTINATION) as pos
-        from bench where {_IN_CATEGORY}) where pos <= 5"""
-_add(
-    "report_competitors",
-    lambda w: reports.benchmark_vs_competitors(w.benchmarks, CATEGORY, CLIENT, 5),
-    _COMPETITORS,
-)
-_add(
-    "report_share_verdict",
-    lambda w: reports.share_verdict(w.benchmarks, CATEGORY, CLIENT, 5),
-    f"""select s as client_share, {rnd('m', 1)} as competitor_mean, case when s > m then 'leads' else 'trails' end
-      as verdict from (select max(case when entity_type = 'Client' then market_share_pct end) as s,
-        {mean("case when entity_type = 'Competitor' then market_share_pct end")} as m from ({_COMPETITORS}))""",
-)
-_add(
-    "report_client_trend",
-    lambda w: reports.client_vs_category_trend(w.monthly_trends, CATEGORY, CLIENT),
-    f"""select month, cast(sum(txn_count) as bigint) as category_txns,
-      cast(sum(customer_count) as bigint) as category_customers, {total('total_spend', 0)} as category_spend,
-      cast(coalesce(sum(txn_count) filter (where {_OF_CLIENT}), 0) as bigint) as client_txns,
-      cast(coalesce(sum(customer_count) filter (where {_OF_CLIENT}), 0) as bigint) as client_customers,
-      {o.total0('total_spend', _OF_CLIENT, 0)} as client_spend,
-      coalesce({percent(o.total0('total_spend', _OF_CLIENT, 0), total('total_spend', 0))}, 0) as client_share_pct
-      from trends where {_IN_CATEGORY} group by month""",
-)
-_add(
-    "report_roi_scenarios",
-    lambda w: reports.roi_scenarios(w.customer_category_spend, CATEGORY, CLIENT),
-    f"""select b.*, p as percentage, cast(floor(total_customers * p / 100::double) as bigint) as new_customers,
-      floor(total_customers * p / 100::double) * revenue_per_customer as new_customer_revenue,
-      {rnd('total_revenue * (p / 100::double)', 2)} as extra_spend,
-      {percent("floor(total_customers * p / 100::double) * revenue_per_customer + "
-               + rnd('total_revenue * (p / 100::double)', 2) + " - 500000", '500000')} as roi_pct,
-      case when total_revenue >= 1000000 then printf('R%.1fM', {rnd('total_revenue / 1000000::double', 1)})
-        when total_revenue >= 1000 then printf('R%.1fk', {rnd('total_revenue / 1000::double', 1)})
-        else printf('R%.0f', total_revenue) end as total_revenue_label
-      from (select count(*) as total_customers, coalesce({rnd(total('dest_spend'))}, 0) as total_revenue,
-        coalesce({rnd(mean('dest_spend'))}, 0) as revenue_per_customer
-        from ccs where {_IN_CATEGORY} and {_OF_CLIENT}) b, (values (5), (10), (20)) v(p)""",
-)
-_add(
-    "report_provinces",
-    lambda w: reports.province_rollup(w.geo_summary, CATEGORY),
-    f"""select PROVINCE, cast(sum(customers) as bigint) as customers, cast(sum(transactions) as bigint) as transactions,
-      {total('total_spend', 0)} as total_spend,
-      {percent(total('total_spend', 0), f"(select {total('total_spend', 0)} from geo where {_IN_CATEGORY})")} as pct
-      from geo where {_IN_CATEGORY} group by PROVINCE""",
-)
-_add(
-    "report_municipalities",
-    lambda w: reports.top_municipalities(w.geo_summary, CATEGORY),
-    f"""select PROVINCE, MUNICIPALITY, cast(sum(customers) as bigint) as customers,
-      {total('total_spend', 0)} as total_spend from geo where {_IN_CATEGORY} group by all
-      order by total_spend desc, PROVINCE, MUNICIPALITY limit 15""",
-)
-for _name, _by in [
-    ("age", ["age_group"]),
-    ("gender", ["gender_label"]),
-    ("income", ["income_group"]),
-    ("all", ["gender_label", "age_group", "income_group"]),
-]:
-    _add(
-        f"report_demographics_{_name}",
-        lambda w, by=_by: reports.demographic_rollup(w.demographic_summary, CATEGORY, by),
-        f"""select {', '.join(_by)}, cast(sum(customers) as bigint) as customers, {total('total_spend', 0)} as spend
-          from demo where {_IN_CATEGORY} group by {', '.join(_by)}""",
-    )
-_add(
-    "report_category_list",
-    lambda w: reports.category_list(w.benchmarks),
-    f"""select CATEGORY_TWO, count(*) as destinations, {total('total_spend', 0)} as total_spend from bench group by all
-      order by total_spend desc, CATEGORY_TWO limit 20""",
-)
-_add(
-    "report_destination_list",
-    lambda w: reports.destination_list(w.benchmarks, CATEGORY),
-    f"""select DESTINATION, customers, total_spend, market_share_pct, spend_rank from bench where {_IN_CATEGORY}
-      order by total_spend desc, DESTINATION limit 20""",
-)
-
-# --- segment, churn and value reports ---------------------------------------
-
-
-def _index(column, flip=False):
-    best = f"{column} / max({column}) over ()"
-    return rnd(f"(1::double - {best}) * 100::double" if flip else f"{best} * 100::double")
-
-
-_add(
-    "report_segment_radar",
-    lambda w: reports.segment_radar(w.cluster_profiles),
-    f"""select segment_name, {_index('avg_total_spend')} as spend_index,
-      {_index('avg_transactions')} as frequency_index, {_index('avg_recency_days', True)} as recency_index,
-      {_index('avg_merchants')} as diversity_index, {_index('avg_active_months')} as consistency_index from profiles""",
-)
-_add(
-    "report_revenue_concentration",
-    lambda w: reports.revenue_concentration(w.segments),
-    f"""select segment_name, count(*) as customers, {percent('count(*)', '(select count(*) from seg)')} as pct_customers,
-      {rnd(total('val_trns'))} as total_spend,
-      {percent(total('val_trns'), f"(select {total('val_trns')} from seg)")} as pct_revenue from seg group by all""",
-)
-_add(
-    "report_probability_bands",
-    lambda w: reports.probability_bands(w.churn),
-    """select printf('%d-%d%%', t * 10, t * 10 + 10) as probability_band, count(*) as customers
-      from (select least(9, cast(floor(churn_probability * 10000 + 0.5) as bigint) // 1000) as t from churn)
-      group by t""",
-)
-_add(
-    "report_risk_by_demographics",
-    lambda w: reports.risk_by_demographics(w.churn),
-    f"""select age_group, income_group, churn_risk_level, count(*) as customers, {_CHURN_MEAN} as avg_churn_pct,
-      {rnd(total('total_spend'))} as total_spend from churn where age_group is not null and income_group is not null
-      group by all""",
-)
-_add(
-    "report_churn_levels",
-    lambda w: reports.churn_levels(w.churn),
-    f"""select churn_risk_level, count(*) as customers, {_CHURN_MEAN} as avg_churn_pct,
-      {rnd(total('total_spend'))} as spend, {rnd(mean('days_since_last', 0))} as avg_days,
-      list_position(['Critical', 'High', 'Medium', 'Low', 'Stable'], churn_risk_level) as level_order
-      from churn group by churn_risk_level""",
-)
-_add(
-    "report_win_back",
-    lambda w: reports.win_back(w.churn),
-    f"""select churn_risk_level, count(*) as customers, {rnd(mean('total_spend'))} as avg_spend,
-      {rnd(total('total_spend'))} as total_spend_at_risk, {_CHURN_MEAN} as avg_churn_pct from churn
-      where {RISKY} and total_spend > (select {mean('total_spend')} from churn) group by all""",
-)
-_add(
-    "report_churn_reasons",
-    lambda w: reports.churn_reasons(w.churn_explained),
-    f"""select reason_1 as reason, count(*) as customers, {_CHURN_MEAN} as avg_churn_pct,
-      {rnd(total('total_spend'))} as spend from explained group by all""",
-)
-_add(
-    "report_at_risk_profile",
-    lambda w: reports.at_risk_profile(w.churn_explained),
-    f"""select count(*) as total_at_risk, {_CHURN_MEAN} as avg_churn_pct, {rnd(mean('total_spend'))} as avg_spend,
-      {rnd(total('total_spend'))} as total_spend_at_risk, {rnd(mean('days_since_last', 0))} as avg_days_inactive,
-      {rnd(mean('txns_last_3m', 0), 1)} as avg_recent_txns, {rnd(mean('txns_prev_3m', 0), 1)} as avg_prior_txns
-      from explained""",
-)
-_add(
-    "report_churn_samples",
-    lambda w: reports.churn_samples(w.churn_explained),
-    f"""select churn_risk_level, {rnd('churn_probability * 100::double', 1)} as churn_pct,
-      {rnd('spend')} as total_spend, days_since_last, reason_1, reason_2, reason_3
-      from (select *, total_spend as spend from explained) where churn_risk_level = 'Critical'
-      order by spend desc, UNIQUE_ID limit 10""",
-)
-_MOMENTUM_SQL = f"""select momentum_status, count(*) as customers, {rnd(mean('total_spend_12m'))} as avg_spend,
-      {rnd(mean('spend_change_pct', 1), 1)} as avg_spend_change, {rnd(mean('urgency_score'), 2)} as avg_urgency,
-      {rnd(total('total_spend_12m'))} as total_spend from mom"""
-_add("report_momentum_mix", lambda w: reports.momentum_mix(w.momentum), _MOMENTUM_SQL + " group by all")
-_add(
-    "report_urgent_momentum",
-    lambda w: reports.momentum_mix(w.momentum, ["Declining", "Slowing"]),
-    _MOMENTUM_SQL + " where momentum_status in ('Declining', 'Slowing') group by all",
-)
-_add(
-    "report_accelerating",
-    lambda w: reports.momentum_mix(w.momentum, ["Accelerating"]),
-    _MOMENTUM_SQL + " where momentum_status = 'Accelerating' group by all",
-)
-for _name, _tbl, _rel, _key in [
-    ("momentum", "momentum", "mom", "momentum_status"),
-    ("segment", "segments", "seg", "segment_name"),
-]:
-    _add(
-        f"report_churn_by_{_name}",
-        lambda w, table=_tbl, key=_key: reports.churn_by(w.churn, w.table(table), key),
-        f"""select {_key}, {_CHURN_MEAN} as avg_churn_pct, count(*) as customers
-          from {_rel} x join churn k on k.UNIQUE_ID = x.UNIQUE_ID group by all""",
-    )
-_add(
-    "report_clv_by_tier",
-    lambda w: reports.clv_by_tier(w.clv),
-    f"""select clv_tier, count(*) as customers, {rnd(mean('predicted_clv'))} as avg_clv,
-      {rnd(total('predicted_clv'))} as total_projected_value, {rnd(mean('historical_spend'))} as avg_historical
-      from clv group by all""",
-)
-_add(
-    "report_clv_by_segment",
-    lambda w: reports.clv_by_segment(w.clv, w.segments),
-    f"""with j as (select s.segment_name, v.predicted_clv from seg s join clv v on v.UNIQUE_ID = s.UNIQUE_ID)
-      select segment_name, count(*) as customers, {rnd(mean('predicted_clv'))} as avg_clv,
-      {rnd(total('predicted_clv'))} as total_clv,
-      {percent(total('predicted_clv'), f"(select {total('predicted_clv')} from j)")} as pct_of_total_value
-      from j group by all""",
-)
-for _band in ("age_group", "income_group"):
-    _add(
-        f"report_clv_by_{_band}",
-        lambda w, band=_band: reports.clv_by_band(w.clv, band),
-        f"""select {_band}, count(*) as customers, {rnd(mean('predicted_clv'))} as avg_clv from clv
-          where {_band} is not null group by all""",
-    )
-_add(
-    "report_value_at_risk",
-    lambda w: reports.value_at_risk(w.clv, w.churn),
-    f"""select clv_tier, k.churn_risk_level, count(*) as customers,
-      {rnd(total('predicted_clv'))} as projected_value_at_risk from clv v join churn k on k.UNIQUE_ID = v.UNIQUE_ID
-      where clv_tier in ('Platinum', 'Gold') and {RISKY} group by all""",
-)
-
-# --- retention --------------------------------------------------------------
-
-_COHORTS = f"cohort where cohort_size >= {SMALL_DATA.min_cohort_size}"
-_add(
-    "report_retention_pivot",
-    lambda w: reports.retention_pivot(w.cohort_retention, w.params.min_cohort_size),
-    "select strftime(cohort_month, '%Y-%m') as cohort, "
-    + ", ".join(f"max(retention_pct) filter (where months_since_first = {i}) as m{i}" for i in range(13))
-    + f" from {_COHORTS} group by cohort_month",
-)
-_add(
-    "report_retention_milestones",
-    lambda w: reports.retention_milestones(w.cohort_retention, w.params.min_cohort_size),
-    f"""select months_since_first as months, {rnd(mean('retention_pct', 1), 2)} as avg_retention_pct from {_COHORTS}
-      and months_since_first in (1, 3, 6, 12) group by all""",
-)
-_add(
-    "report_retention_curve",
-    lambda w: reports.retention_curve(w.cohort_retention, w.params.min_cohort_size),
-    f"select months_since_first, {rnd(mean('retention_pct', 1), 1)} as ret from {_COHORTS} group by all",
-)
-_AT_SIX = f"""select strftime(cohort_month, '%Y-%m') as cohort, cohort_size, retention_pct from {_COHORTS}
-      and months_since_first = 6"""
-_add(
-    "report_best_worst_cohorts",
-    lambda w: reports.best_and_worst_cohorts(w.cohort_retention, w.params.min_cohort_size),
-    f"""(select *, 'best' as rank_group from ({_AT_SIX}) order by retention_pct desc, cohort limit 5) union all
-      (select *, 'worst' as rank_group from ({_AT_SIX}) order by retention_pct, cohort desc limit 5)""",
-)
-
-_add(
-    "report_recent_cohorts",
-    lambda w: reports.recent_cohorts(w.cohort_retention, w.params.min_cohort_size),
-    f"""select strftime(cohort_month, '%Y-%m') as cohort, months_since_first, retention_pct from {_COHORTS}
-      and cohort_month in (select distinct cohort_month from {_COHORTS} order by cohort_month desc limit 6)""",
-)
-_add(
-    "report_cohort_sizes",
-    lambda w: reports.cohort_sizes(w.cohort_retention, w.params.min_cohort_size),
-    f"select distinct strftime(cohort_month, '%Y-%m') as cohort, cohort_size from {_COHORTS}",
-)
-
-# --- pitch, affinity, scorecard, propensity ---------------------------------
-
-_CHURN_PCT = rnd("avg_churn_probability * 100::double", 1)
-_add(
-    "report_pitch_ranking",
-    lambda w: reports.pitch_ranking(w.pitch_opportunities),
-    f"""select CATEGORY_TWO, DESTINATION, customers, total_spend, market_share_pct, penetration_pct, addressable_market,
-      gap_to_leader_pct, {_CHURN_PCT} as churn_risk_pct, pitch_score, recommended_action from pitch
-      order by pitch_score desc, CATEGORY_TWO, DESTINATION limit 20""",
-)
-_add(
-    "report_pitch_actions",
-    lambda w: reports.pitch_by_action(w.pitch_opportunities),
-    f"""select recommended_action, count(*) as num_clients, {total('total_spend', 0)} as total_spend,
-      {total('addressable_market', 0)} as total_addressable, {rnd(mean('pitch_score'), 2)} as avg_pitch_score
-      from pitch group by all""",
-)
-_add(
-    "report_best_pitch_per_category",
-    lambda w: reports.best_pitch_per_category(w.pitch_opportunities),
-    """select CATEGORY_TWO, DESTINATION, total_spend, market_share_pct, gap_to_leader_pct, addressable_market,
-      pitch_score, recommended_action from (select *, row_number() over (partition by CATEGORY_TWO
-        order by pitch_score desc, DESTINATION) as pos from pitch where spend_rank > 1) where pos = 1
-      order by addressable_market desc, CATEGORY_TWO limit 20""",
-)
-_add(
-    "report_defend_list",
-    lambda w: reports.defend_list(w.pitch_opportunities),
-    f"""select CATEGORY_TWO, DESTINATION, customers, total_spend, market_share_pct, {_CHURN_PCT} as churn_risk_pct,
-      high_risk_customers, recommended_action from pitch where spend_rank <= 3 and avg_churn_probability > 0.2
-      order by high_risk_customers desc, CATEGORY_TWO, DESTINATION limit 15""",
-)
-_add(
-    "report_strongest_affinities",
-    lambda w: reports.strongest_affinities(w.category_affinity, 0.5),
-    "select * from affinity where lift > 0.5 order by lift desc, category_a, category_b limit 30",
-)
-_MATRIX = ["Clothing & Apparel", "Electronics", "Groceries"]
-_add(
-    "report_affinity_matrix",
-    lambda w: reports.affinity_matrix(w.category_affinity, _MATRIX),
-    "select category, "
-    + ", ".join(f"coalesce(max(lift) filter (where other = {text(c)}), 0) as {chr(34)}{c}{chr(34)}" for c in _MATRIX)
-    + f""" from (select category_a as category, category_b as other, lift from affinity union all
-      select category_b, category_a, lift from affinity) where category in {texts(_MATRIX)} and other in {texts(_MATRIX)}
-      group by category""",
-)
-_add(
-    "report_cross_sell",
-    lambda w: reports.cross_sell(w.category_affinity, 0.9, 90.0),
-    """select *, customers_in_a - shared_customers as gap_a, customers_in_b - shared_customers as gap_b from affinity
-      where lift > 0.9 and jaccard_pct < 90 order by shared_customers desc, category_a, category_b limit 15""",
-)
-_add(
-    "report_largest_pairs",
-    lambda w: reports.largest_pairs(w.category_affinity),
-    """select category_a, category_b, shared_customers, lift, pct_a_also_shops_b, pct_b_also_shops_a from affinity
-      order by shared_customers desc, category_a, category_b limit 15""",
-)
-_add(
-    "report_scorecard_mix",
-    lambda w: reports.scorecard_mix(w.category_scorecard),
-    """select CATEGORY_TWO, total_spend, pct_champions, pct_dormant from scorecard
-      order by total_spend desc, CATEGORY_TWO limit 20""",
-)
-_add(
-    "report_propensity_pivot",
-    lambda w: reports.propensity_pivot(w.category_propensity, _MATRIX),
-    "select segment_name, "
-    + ", ".join(
-        f"max(adoption_rate_pct) filter (where CATEGORY_TWO = {text(c)}) as {chr(34)}{c}{chr(34)}" for c in _MATRIX
-    )
-    + f" from propensity where CATEGORY_TWO in {texts(_MATRIX)} group by segment_name",
-)
-_add(
-    "report_health_counts",
-    lambda w: reports.health_counts(w.category_scorecard),
-    f"""select health_status, count(*) as categories, {total('total_spend', 0)} as total_spend from scorecard
-      group by all""",
-)
-for _by in ("growth_pct", "high_risk_pct"):
-    _add(
-        f"report_scorecard_top_{_by}",
-        lambda w, by=_by: reports.scorecard_top(w.category_scorecard, by),
-        f"""select CATEGORY_TWO, {_by}, total_spend, health_status from scorecard where {_by} is not null
-          order by {_by} desc, CATEGORY_TWO limit 10""",
-    )
-_add(
-    "report_top_propensity",
-    lambda w: reports.top_propensity(w.category_propensity),
-    """select segment_name, CATEGORY_TWO, adoption_rate_pct, unadopted_customers, potential_revenue, propensity_level
-      from propensity where propensity_level in ('Very High', 'High')
-      order by potential_revenue desc, segment_name, CATEGORY_TWO limit 20""",
-)
-_add(
-    "report_propensity_heatmap",
-    lambda w: reports.propensity_heatmap(w.category_propensity, 4),
-    """select segment_name, CATEGORY_TWO, adoption_rate_pct from propensity where CATEGORY_TWO in (
-      select CATEGORY_TWO from propensity group by all order by sum(potential_revenue) desc, CATEGORY_TWO limit 4)""",
-)
-_add(
-    "report_propensity_by_segment",
-    lambda w: reports.propensity_by_segment(w.category_propensity),
-    f"""select segment_name, cast(sum(unadopted_customers) as bigint) as total_unadopted,
-      {total('potential_revenue', 0)} as total_potential from propensity
-      where propensity_level in ('Very High', 'High', 'Medium') group by all""",
-)
-
-# --- audience reports -------------------------------------------------------
-
-for _name, _by in [("categories", "CATEGORY_TWO"), ("merchants", "DESTINATION")]:
-    _add(
-        f"report_audience_{_name}",
-        lambda w, by=_by: reports.audience_spend_breakdown(
-            w.audience_members, w.customer_category_spend, by, w.params.min_breakdown_customers
-        ),
-        f"""select h.audience_id, {_by}, count(distinct UNIQUE_ID) as customers, {rnd(total('dest_spend'))} as spend
-          from hits h join ccs using (UNIQUE_ID) group by all
-          having count(distinct UNIQUE_ID) >= {SMALL_DATA.min_breakdown_customers}""",
-    )
-for _band, _keep in [("age_group", True), ("income_group", False), ("gender_label", False)]:
-    _add(
-        f"report_audience_{_band}",
-        lambda w, band=_band, keep=_keep: reports.audience_band_breakdown(w.audience_members, w.customers, band, keep),
-        f"""select h.audience_id, {_band}, count(*) as customers from hits h join cust using (UNIQUE_ID)
-          where {_band} is not null {'' if _keep else f"and {_band} <> 'Unknown'"} group by all""",
-    )
-_add(
-    "report_audience_provinces",
-    lambda w: reports.audience_provinces(w.audience_catalog),
-    f"""select audience_id, audience_name, audience_type, top_province as PROVINCE, audience_size as customers,
-      {rnd('avg_spend * audience_size')} as spend from catalog""",
-)
-_BRANDS = {
-    "mass_makeup": "gender_label = 'Female' and age between 18 and 40 "
-    "and income_group in ('R5.5k-R13.5k', 'R13.5k-R23.5k', 'R23.5k-R32.5k')",
-    "premium_skincare": "gender_label = 'Female' and income_group in ('R32.5k-R56k', 'R56k+') and age between 25 and 55",
-    "supplements": "income_group not in ('R0-R5.5k', 'Unknown') and age between 30 and 60",
-    "textured_hair": "gender_label = 'Female' and age between 18 and 45",
-}
-
-
-def _brand(operator, brand, **arguments):
-    def build(w):
-        predicate = None if brand is None else reports.brand_predicates()[brand]
-        tables = [w.customer_category_spend, w.customers]
-        if operator is reports.brand_segments:
-            tables.append(w.segments)
-        return operator(*tables, CLIENT, predicate, **arguments)
-
-    return build
-
-
-for _name, _predicate in [("all", None), *_BRANDS.items()]:
-    _add(
-        f"report_brand_profile_{_name}",
-        _brand(reports.brand_profile, None if _predicate is None else _name),
-        f"""select count(distinct UNIQUE_ID) as audience_size, {rnd(mean('age'), 1)} as avg_age,
-          {rnd(mean('estimated_income'))} as avg_income,
-          {percent(n_where("gender_label = 'Female'"), 'count(*)')} as pct_female,
-          {rnd(total('dest_spend'))} as total_spend, {rnd(mean('dest_spend'))} as avg_spend
-          from ccs join cust using (UNIQUE_ID) where {_OF_CLIENT} and {_predicate or 'true'}""",
-    )
-_BRAND = "textured_hair"
-_AUDIENCE = f"select distinct UNIQUE_ID from ccs join cust using (UNIQUE_ID) where {_OF_CLIENT} and {_BRANDS[_BRAND]}"
-for _band in ("age_group", "income_group"):
-    _add(
-        f"report_brand_{_band}",
-        _brand(reports.brand_bands, _BRAND, band=_band),
-        f"""select {_band}, count(*) as n from ({_AUDIENCE}) join cust using (UNIQUE_ID)
-          where {_band} <> 'Unknown' group by all""",
-    )
-_add(
-    "report_brand_other_categories",
-    _brand(reports.brand_other_categories, _BRAND),
-    f"""select CATEGORY_TWO, count(distinct UNIQUE_ID) as customers, {rnd(total('dest_spend'))} as spend
-      from ({_AUDIENCE}) join ccs using (UNIQUE_ID) where not {_OF_CLIENT} group by all
-      order by spend desc, CATEGORY_TWO limit 8""",
-)
-_add(
-    "report_brand_segments",
-    _brand(reports.brand_segments, _BRAND),
-    f"select segment_name, count(*) as n from ({_AUDIENCE}) join seg using (UNIQUE_ID) group by all",
-)
-
-# --- category pitch ---------------------------------------------------------
-
-_SHOPPERS = f"select distinct UNIQUE_ID from ccs where {_IN_CATEGORY}"
-_add(
-    "report_category_size",
-    lambda w: reports.category_size(w.customer_category_spend, CATEGORY),
-    f"""select count(distinct UNIQUE_ID) as shoppers, {rnd(total('dest_spend'))} as spend,
-      {rnd(mean('dest_spend'))} as avg_spend from ccs where {_IN_CATEGORY}""",
-)
-_add(
-    "report_category_leaders",
-    lambda w: reports.category_leaders(w.benchmarks, CATEGORY),
-    f"""select DESTINATION, customers, total_spend as spend, {rnd('market_share_pct', 1)} as share,
-      spend_per_customer as per_cust, avg_share_of_wallet as sow, spend_rank from bench
-      where {_IN_CATEGORY} and spend_rank <= 8""",
-)
-_add(
-    "report_category_months",
-    lambda w: reports.category_months(w.transactions, w.as_of, CATEGORY),
-    f"""select strftime(EFF_DATE, '%Y-%m') as month, strftime(EFF_DATE, '%b %Y') as month_label,
-      count(distinct UNIQUE_ID) as customers, {rnd(total('trns_amt'))} as spend, count(*) as txns from yr
-      where {_IN_CATEGORY} group by 1, 2""",
-)
-for _band, _keep in [("age_group", False), ("income_group", False), ("gender_label", True)]:
-    _add(
-        f"report_category_{_band}",
-        lambda w, band=_band, keep=_keep: reports.category_demographics(
-            w.customer_category_spend, w.customers, CATEGORY, band, keep
-        ),
-        f"""select {_band}, count(distinct UNIQUE_ID) as customers, {rnd(total('dest_spend'))} as spend
-          from ccs join cust using (UNIQUE_ID) where {_IN_CATEGORY} and {_band} is not null
-          {'' if _keep else f"and {_band} <> 'Unknown'"} group by all""",
-    )
-_add(
-    "report_category_cross_shop",
-    lambda w: reports.category_cross_shop(w.customer_category_spend, CATEGORY),
-    f"""select CATEGORY_TWO, count(distinct UNIQUE_ID) as customers, {rnd(total('dest_spend'))} as spend
-      from ({_SHOPPERS}) join ccs using (UNIQUE_ID) where not {_IN_CATEGORY} group by all
-      order by spend desc, CATEGORY_TWO limit 10""",
-)
-_add(
-    "report_category_segments",
-    lambda w: reports.category_segments(w.customer_category_spend, w.segments, CATEGORY),
-    f"select segment_name, count(*) as n from ({_SHOPPERS}) join seg using (UNIQUE_ID) group by all",
-)
-_add(
-    "report_store_overlap",
-    lambda w: reports.store_overlap(w.customer_category_spend, CLIENT, OTHER_CLIENTS),
-    f"""select count(*) as shared_customers from (select UNIQUE_ID from ccs where {_OF_CLIENT} intersect
-      select UNIQUE_ID from ccs where upper(DESTINATION) like '%00000_')""",
-)
-_add(
-    "report_season_skewed_audience",
-    lambda w: reports.season_skewed_audience(w.transactions, w.as_of, CATEGORY),
-    f"""select count(*) as audience_size, {rnd(mean('y'))} as avg_annual_spend from (
-      select UNIQUE_ID, {total('trns_amt')} as y, {total('trns_amt', where='month(EFF_DATE) in (5, 6, 7, 8)')} as s
-      from yr where {_IN_CATEGORY} group by UNIQUE_ID) where s > y * 0.45::double""",
-)
-_OTHERS = ["Clothing & Apparel", "Electronics", "Travel"]
-_add(
-    "report_multi_category_audience",
-    lambda w: reports.multi_category_audience(w.customer_category_spend, CATEGORY, _OTHERS),
-    f"""select count(*) as audience_size from (select UNIQUE_ID from ccs join ({_SHOPPERS}) using (UNIQUE_ID)
-      where CATEGORY_TWO in {texts(_OTHERS)} group by UNIQUE_ID having count(distinct CATEGORY_TWO) >= 2)""",
-)
-_add(
-    "report_young_parents",
-    lambda w: reports.category_pair_overlap(
-        w.customer_category_spend, [CATEGORY], [SECOND_CATEGORY], w.customers, F.col("age").between(25, 42)
-    ),
-    f"""select count(distinct UNIQUE_ID) as audience_size from ({_SHOPPERS}) join cust using (UNIQUE_ID)
-      join ccs using (UNIQUE_ID) where age between 25 and 42 and CATEGORY_TWO = {text(SECOND_CATEGORY)}""",
-)
-_add(
-    "report_category_pair_overlap",
-    lambda w: reports.category_pair_overlap(w.customer_category_spend, [SECOND_CATEGORY, "Travel"], [CATEGORY]),
-    f"""select count(*) as audience_size from (select UNIQUE_ID from ccs where CATEGORY_TWO in
-      {texts([SECOND_CATEGORY, 'Travel'])} intersect {_SHOPPERS})""",
-)
-_add(
-    "report_name_search",
-    lambda w: reports.search_names(w.benchmarks, "CATEGORY_TWO", ["%GROC%", "%E%"], ["%TRAVEL%", "%FUEL%"]),
-    """select DESTINATION, CATEGORY_TWO, customers, total_spend, market_share_pct, spend_rank from bench
-      where upper(CATEGORY_TWO) like '%GROC%' or upper(CATEGORY_TWO) like '%E%'
-        and upper(CATEGORY_TWO) not like '%TRAVEL%' and upper(CATEGORY_TWO) not like '%FUEL%'
-      order by total_spend desc, DESTINATION, CATEGORY_TWO limit 15""",
-)
-_add(
-    "report_category_search",
-    lambda w: reports.search_categories(w.benchmarks, ["%GROC%", "%TRAV%", "%CLOTH%"]),
-    "select distinct CATEGORY_TWO from bench where regexp_matches(upper(CATEGORY_TWO), 'GROC|TRAV|CLOTH')",
-)
-_add(
-    "report_destination_spellings",
-    lambda w: reports.destination_spellings(w.customer_category_spend, "%00000_"),
-    "select DESTINATION, count(*) as n from ccs where upper(DESTINATION) like '%00000_' group by all",
-)
-_add(
-    "report_client_categories",
-    lambda w: reports.client_categories(w.customer_category_spend, CLIENT),
-    f"select CATEGORY_TWO, count(distinct UNIQUE_ID) as customers from ccs where {_OF_CLIENT} group by all",
-)
-_add(
-    "report_client_demographics",
-    lambda w: reports.client_demographics(w.customer_category_spend, w.customers, CLIENT),
-    f"""select age_group, income_group, gender_label, count(*) as customers, {rnd(mean('age'), 1)} as avg_age,
-      {rnd(mean('estimated_income'))} as avg_income from cust
-      where UNIQUE_ID in (select UNIQUE_ID from ccs where {_OF_CLIENT}) group by all""",
-)
-_add(
-    "report_client_cross_shop",
-    lambda w: reports.client_cross_shop(w.customer_category_spend, CLIENT, CATEGORY),
-    f"""select CATEGORY_TWO, DESTINATION, count(*) as customers, {rnd(total('dest_spend'))} as spend from ccs
-      where not {_IN_CATEGORY} and UNIQUE_ID in (select UNIQUE_ID from ccs where {_OF_CLIENT}) group by all
-      order by spend desc, CATEGORY_TWO, DESTINATION limit 50""",
-)
-_LISTED = ["supplier#000000001", "Supplier#000000002", "No Such Brand"]
-_add(
-    "report_brand_coverage",
-    lambda w: reports.brand_coverage(w.customer_category_spend, _LISTED),
-    f"""select brand, count(distinct UNIQUE_ID) as customers from (values {', '.join(f'({text(b)})' for b in _LISTED)})
-      v(brand) left join ccs on lower(DESTINATION) = lower(brand) group by all""",
-)
-
-# --- usage ------------------------------------------------------------------
-
-_JOBS = f"""(select 'job-' || event_id as job_id, cast(ts as date) as day, user_id, event_type,
-      cast(floor(value * 1e9::double) as bigint) as bytes, event_id * 37 % 100000 as slot_ms,
-      substr('SELECT ' || event_type || ' FROM marts.t WHERE props = ''' || props || '''', 1, 80) as query_preview
-      from events where ts >= timestamp '{JOBS_SINCE}' and event_type not in ('signup', 'error')
-        and event_id % 50 <> 0)"""
-_GB, _TB = "1073741824::double", "1099511627776::double"
-
-
-def _scan(bytes_, unit, dp, price=None):
-    return rnd(f"{bytes_}::double / {unit}" + (f" * {price}::double" if price else ""), dp)
-
-
-def _jobs(w):
-    return reports.finished_jobs(samples.job_log(w.spark, w.folder), JOBS_SINCE)
-
-
-_add(
-    "usage_totals",
-    lambda w: reports.usage_totals(_jobs(w)),
-    f"""select count(*) as total_jobs, {_scan('sum(bytes)', _GB, 2)} as total_gb_scanned,
-      {_scan('sum(bytes)', _TB, 4)} as total_tb_scanned, {_scan('sum(bytes)', _TB, 2, 6.25)} as estimated_cost_usd,
-      {rnd('sum(slot_ms)::double / 1000::double / 3600::double', 2)} as total_slot_hours from {_JOBS}""",
-)
-_add(
-    "usage_by_day",
-    lambda w: reports.usage_by_day(_jobs(w)),
-    f"""select day, count(*) as queries, {_scan('sum(bytes)', _GB, 2)} as gb_scanned,
-      {_scan('sum(bytes)', _TB, 2, 6.25)} as est_cost_usd from {_JOBS} group by day""",
-)
-_add(
-    "usage_top",
-    lambda w: reports.usage_top(_jobs(w)),
-    f"""select job_id, day, {_scan('bytes', _GB, 2)} as gb_scanned, {_scan('bytes', _TB, 4, 6.25)} as est_cost_usd,
-      {rnd('slot_ms / 1000::double', 1)} as slot_seconds, query_preview from {_JOBS}
-      order by bytes desc, job_id limit 10""",
-)
-_add(
-    "usage_by_table",
-    lambda w: reports.usage_by_table(_jobs(w)),
-    f"""select dataset_id, table_id, count(*) as times_scanned, {_scan('sum(bytes)', _GB, 2)} as total_gb,
-      {_scan('sum(bytes)', _TB, 2, 6.25)} as est_cost_usd from (
-        select 'marts' as dataset_id, 'mart_' || (user_id % 7) as table_id, bytes from {_JOBS} union all
-        select 'staging', event_type, bytes from {_JOBS})
-      group by all order by total_gb desc, dataset_id, table_id limit 15""",
-)
-
-# --- quality ----------------------------------------------------------------
-
-_COUNTED = {
-    "transactions": "txn",
-    "customers": "cust",
-    "rfm_features": "rfm",
-    "rfm_scores": "scores",
-    "customer_category_spend": "ccs",
-    "destination_metrics": "metrics",
-    "segments": "seg",
-    "cluster_profiles": "profiles",
-    "cluster_summary": "summary",
-    "behavioral_summary": "behav",
-    "geo_summary": "geo",
-    "churn": "churn",
-    "monthly_trends": "trends",
-    "demographic_summary": "demo",
-    "benchmarks": "bench",
-    "cohort_retention": "cohort",
-    "category_affinity": "affinity",
-    "category_scorecard": "scorecard",
-    "pitch_opportunities": "pitch",
-    "churn_explained": "explained",
-    "momentum": "mom",
-    "category_propensity": "propensity",
-    "clv": "clv",
-}
-_add(
-    "quality_row_counts",
-    lambda w: quality.row_counts({name: w.table(name) for name in _COUNTED}),
-    " union all ".join(
-        f"select '{name}' as table_name, count(*) as row_count from {rel}" for name, rel in _COUNTED.items()
-    ),
-)
-
-
-def _checks(*rows):
-    """SQL for check rows given as (name, scalar query, condition on v)."""
-    return " union all ".join(
-        f"select {text(name)} as check_name, case when {condition} then 'PASS' else 'FAIL' end as status, "
-        f"v::double as detail from (select ({query}) as v)"
-        for name, query, condition in rows
-    )
-
-
-_add(
-    "quality_table_checks",
-    lambda w: quality.table_checks(w.cluster_profiles, w.segments, w.benchmarks, w.monthly_trends),
-    _checks(
-        ("five segment profiles", "select count(*) from profiles", "v = 5"),
-        ("no NULL segment name", f"select {n_where('segment_name is null')} from seg", "v = 0"),
-        ("under 5% without age", f"select {div(n_where('age is null') + ' * 100', 'count(*)')} from seg", "v < 5"),
-        (
-            "every merchant has a market share",
-            f"select {n_where('market_share_pct is null')} from bench",
-            "v = 0",
-        ),
-        ("at least three months of trends", "select count(distinct month) from trends", "v >= 3"),
-    ),
-)
-_SHARES = f"select segment_name, {percent('count(*)', '(select count(*) from seg)')} as share from seg group by all"
-_BY_SPEND = "select segment_name, avg(val_trns) as a from seg group by all"
-_add(
-    "quality_segment_checks",
-    lambda w: quality.segment_checks(w.segments),
-    _checks(
-        ("largest segment under 40%", f"select max(share) from ({_SHARES})", "v < 40"),
-        ("smallest segment over 5%", f"select min(share) from ({_SHARES})", "v > 5"),
-        ("exactly five segments", "select count(distinct segment_name) from seg", "v = 5"),
-        (
-            "first segment spends most",
-            f"select cast(segment_name = 'Champions' as int) from ({_BY_SPEND}) order by a desc limit 1",
-            "v = 1",
-        ),
-        (
-            "last segment spends least",
-            f"select cast(segment_name = 'Dormant' as int) from ({_BY_SPEND}) order by a limit 1",
-            "v = 1",
-        ),
-        (
-            "all segment names known",
-            f"select count(distinct segment_name) from seg where segment_name in {texts(o.SEGMENTS)}",
-            "v = 5",
-        ),
-        ("no duplicate customers", "select count(*) - count(distinct UNIQUE_ID) from seg", "v = 0"),
-    ),
-)
-_add(
-    "quality_churn_checks",
-    lambda w: quality.churn_checks(w.churn),
-    _checks(
-        (
-            "critical risk under 20%",
-            f"""select {percent(n_where("churn_risk_level = 'Critical'"), 'count(*)')} from churn""",
-            "v < 20",
-        ),
-        (
-            "stable customers exist",
-            "select cast(count(*) > 0 as int) from churn where churn_risk_level = 'Stable'",
-            "v = 1",
-        ),
-    ),
-)
-_add(
-    "quality_clv_checks",
-    lambda w: quality.clv_checks(w.clv),
-    _checks(
-        ("no negative value", f"select {n_where('predicted_clv < 0')} from clv", "v = 0"),
-        ("mean value plausible", f"select {rnd(mean('predicted_clv'), 2)} from clv", "v > 100 and v < 5e6"),
-        ("highest value plausible", "select max(predicted_clv) from clv", "v < 50e6"),
-        ("five value tiers", "select count(distinct clv_tier) from clv", "v = 5"),
-    ),
-)
-_add(
-    "quality_integrity_checks",
-    lambda w: quality.integrity_checks(w.benchmarks, w.cohort_retention),
-    _checks(
-        (
-            "market shares add up to 100",
-            f"""select count(*) from (select {total('market_share_pct')} as s from bench group by CATEGORY_TWO)
-              where abs(s - 100) > 2""",
-            "v = 0",
-        ),
-        ("retention within 100%", f"select {n_where('retention_pct > 100.1')} from cohort", "v = 0"),
-    ),
-)
-
-
-def _gap(left, key, right, value, high, low):
-    return f"""select cast(avg({value}) filter (where {key} = '{high}') > avg({value}) filter (where {key} = '{low}')
-      as int) from {left} a join {right} b on b.UNIQUE_ID = a.UNIQUE_ID"""
-
-
-_add(
-    "quality_consistency_checks",
-    lambda w: quality.consistency_checks(w.segments, w.churn, w.clv, w.momentum),
-    _checks(
-        (
-            "last segment churns more than first",
-            _gap("seg", "segment_name", "churn", "churn_probability", "Dormant", "Champions"),
-            "v = 1",
-        ),
-        (
-            "first segment is worth more than last",
-            _gap("seg", "segment_name", "clv", "predicted_clv", "Champions", "Dormant"),
-            "v = 1",
-        ),
-        (
-            "declining customers churn more than accelerating",
-            _gap("mom", "momentum_status", "churn", "churn_probability", "Declining", "Accelerating"),
-            "v = 1",
-        ),
-    ),
-)
-
-# --- sources and sinks ------------------------------------------------------
-
-_add(
-    "source_table_overview",
-    lambda w: table_overview(w.spark, {name: read_table(w.spark, w.folder, name) for name in SOURCE_TABLES}),
-    " union all ".join(
-        f"select '{name}' as table_name, (select count(*) from {name}) as row_count, "
-        f"(select count(*) from (describe select * from {name})) as column_count"
-        for name in SOURCE_TABLES
-    ),
-)
-
-
-def _partitioned_roundtrip(w):
-    """Write the trend table by month and read one year back through the partitions."""
-    written = write_table(w.monthly_trends, _scratch(w, "trends"), ["month"], ["CATEGORY_TWO", "DESTINATION"])
-    return written.where(F.col("month") >= F.lit("2000-08-01").cast("date"))
-
-
-_add("sink_partitioned_table", _partitioned_roundtrip, "select * from trends where month >= date '2000-08-01'")
-
-
-def _json_roundtrip(w):
-    table = w.geo_summary
-    paths = export_json({"geo_summary": table}, _scratch(w, "json"))
-    return w.spark.read.schema(table.schema).json(paths["geo_summary"])
-
-
-_add("sink_json_export", _json_roundtrip, "select * from geo")
-
-
-def _monthly_drop(w):
-    target = samples.write_monthly_drop(w.spark, w.folder, _scratch(w, "drop"))
-    return ingest.read_monthly_csv(w.spark, target)
-
-
-_DROP = f"""(select UNIQUE_ID, case when k % 53 <> 0 then cast(date '2001-07-01' + cast(k % 28 as integer) as date) end
-      as EFF_DATE, sha256('id' || lower(UNIQUE_ID)) as cust_id_reg_no,
-      case when k % 10 <> 0 then sha256('user' || lower(UNIQUE_ID) || '@mail.example') end as EMAIL_ADDR,
-      sha256('07' || (k % 1000)) as CUST_CELL_NO, demo_1, case when k % 37 <> 0 then demo_2 end as demo_2, demo_4, demo_7
-      from (select *, cast(substr(UNIQUE_ID, 2) as bigint) as k from raw_base) where month = date '2001-07-01')"""
-_add("ingest_monthly_csv", _monthly_drop, f"select * from {_DROP}")
-_add(
-    "ingest_hash_check",
-    lambda w: ingest.check_hashed(_monthly_drop(w)),
-    " union all ".join(
-        f"select '{c}' as column_name, count({c}) as checked, {n_where(f'length({c}) <> 64')} as not_hashed from {_DROP}"
-        for c in ingest.PERSONAL_COLUMNS
-    ),
-)
-
-
-def _incremental(w):
-    """Stage the days up to 2000, then append the later days, and count per month."""
-    raw, path = w.raw, _scratch(w, "incremental")
-    cut = F.lit("2000-12-31").cast("date")
-    write_table(
-        incremental.stage_transactions(raw.transactions.where(F.col("EFF_DATE") <= cut), raw.lookups),
-        path,
-        ["txn_month"],
-    )
-    staged = w.spark.read.parquet(path)
-    last_day = staged.agg(F.max("EFF_DATE")).first()[0]
-    table = incremental.incremental_stage(raw.transactions, raw.lookups, path, last_day)
-    return reports.monthly_volume(table)
-
-
-_VOLUME = f"""select txn_month as month, count(*) as transactions, count(distinct UNIQUE_ID) as customers,
-      {rnd(total('trns_amt'))} as spend from txn group by all"""
-_add("incremental_append", _incremental, _VOLUME)
-
-
-def _streamed(w):
-    """Raw facts arriving as files, staged by two runs of the stream."""
-    incoming, path = _scratch(w, "incoming"), _scratch(w, "streamed")
-    facts = w.raw.transactions
-    run = partial(
-        incremental.stream_stage, w.spark, incoming, w.raw.lookups, path, _scratch(w, "offsets"), facts.schema
-    )
-    late = F.col("EFF_DATE") >= F.lit("2001-01-01").cast("date")
-    facts.where(~late).write.parquet(incoming)
-    run()
-    facts.where(late).write.mode("append").parquet(incoming)
-    run()
-    return reports.monthly_volume(incremental.read_staged(w.spark, path))
-
-
-_add("incremental_stream", _streamed, _VOLUME)
-
-# --- models -----------------------------------------------------------------
-
-_add("model_segments", lambda w: w.segments, modelled=True)
-_add("model_segment_profiles", lambda w: w.cluster_profiles, modelled=True)
-_add("model_churn_risk", lambda w: w.churn, modelled=True)
-_add("model_customer_clv", lambda w: w.clv, modelled=True)
-_add("model_evaluate_clusters", lambda w: ml.evaluate_clusters(w.clustered), modelled=True)
-_add("model_evaluate_churn", lambda w: ml.evaluate_churn(w.model("churn"), w.churn_training), modelled=True)
-_add("model_evaluate_clv", lambda w: ml.evaluate_clv(w.model("clv"), w.clv_training), modelled=True)
-_add("model_centroids", lambda w: ml.centroid_table(w.clustered), modelled=True)
-_add("model_churn_training_curve", lambda w: ml.training_curve(w.spark, w.model("churn")), modelled=True)
-_add(
-    "model_segment_training_curve",
-    lambda w: ml.segment_training_curve(w.rfm_scores, (1, 2, 4, 8, 16, 20), w.params.segments, w.params.seed),
-    modelled=True,
-)
-_add("model_elbow", lambda w: ml.elbow(w.rfm_scores, range(3, 9)), modelled=True)
-_add(
-    "model_quality_checks",
-    lambda w: quality.metric_checks(ml.davies_bouldin(w.clustered), quality.CLUSTER_LIMITS)
-    .unionByName(
-        quality.metric_checks(ml.evaluate_churn(w.model("churn"), w.churn_training), quality.CHURN_LIMITS)
-    )
-    .unionByName(quality.metric_checks(ml.evaluate_clv(w.model("clv"), w.clv_training), quality.CLV_LIMITS)),
-    modelled=True,
-)
+from spendgrid.sources.order_tables import raw_tables
 
 
 def warehouse(spark, folder, modelled=False, params=SMALL_DATA):
-    w = Warehouse(spark, folder, lambda: raw_tables(spark, folder), params, modelled)
-    w.folder = folder
-    return w
+    return Warehouse(spark, folder, lambda: raw_tables(spark, folder), params, modelled)
 
 
 def run(name, spark, folder):

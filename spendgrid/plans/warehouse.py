@@ -63,13 +63,15 @@ _BUILT = {}
 class Warehouse:
     """Derived tables of one set of raw tables, by name.
 
-    `raw` is a callable returning RawTables. With modelled=False the segment, churn
+    `raw` is a callable returning RawTables and `key` names the source, usually its
+    folder. With modelled=False the segment, churn
     and value tables come from fixed formulas in place of fitted models, which makes
     every table reproducible in plain SQL; with modelled=True models are fitted.
     """
 
     def __init__(self, spark, key, raw, params=None, modelled=False):
         self.spark = spark
+        self.folder = key
         self.params = params or Params()
         self.modelled = modelled
         self._raw_source = raw
@@ -123,6 +125,10 @@ class Warehouse:
         path, schema = _BUILT[slot]
         return self.spark.read.schema(schema).parquet(path)
 
+    def scratch(self, name):
+        """Folder in the shared folder for files of one query."""
+        return f"{self._root}/spendgrid/{self._base}/scratch/{name}"
+
     def model(self, name):
         slot = (self._root, self._base, "model", name)
         if slot not in _BUILT:
