@@ -20,7 +20,7 @@ def above(x, table):
 
 
 def lookup_text(key, texts, default=None):
-    """Text for a key out of a short dict."""
+    """Value for a key out of a short dict."""
     value = F.lit(default)
     for name, text in texts.items():
         value = F.when(key == name, text).otherwise(value)

@@ -91,24 +91,17 @@ def cluster(model, scores):
 def assign_segments(clustered, customers):
     """Rank clusters by mean spend, name them and add demographics.
 
-    `clustered` is the scores with a centroid_id; the ranking runs over one row per
-    cluster.
+    `clustered` is the scores with a centroid_id. One row per cluster comes to the
+    driver; the ranks go back as literals, so the customers are not shuffled by a
+    handful of cluster ids.
     """
-    ranked = (
-        clustered.groupBy("centroid_id")
-        .agg(exact_avg("val_trns").alias("_spend"))
-        .select(
-            "centroid_id",
-            F.row_number()
-            .over(Window.orderBy(F.col("_spend").desc(), F.col("centroid_id")))
-            .cast("bigint")
-            .alias("cluster_id"),
-        )
-    )
-    names = {i + 1: name for i, name in enumerate(SEGMENTS)}
+    spend = clustered.groupBy("centroid_id").agg(exact_avg("val_trns").alias("spend")).collect()
+    ranked = sorted(spend, key=lambda row: (-row["spend"], row["centroid_id"]))
+    ranks = {row["centroid_id"]: i + 1 for i, row in enumerate(ranked)}
+    names = dict(enumerate(SEGMENTS, start=1))
     scores = [c for c in clustered.columns if c not in ("centroid_id", "UNIQUE_ID", "features")]
     return (
-        clustered.join(ranked, "centroid_id")
+        clustered.withColumn("cluster_id", lookup_text(F.col("centroid_id"), ranks).cast("bigint"))
         .withColumn("segment_name", lookup_text(F.col("cluster_id"), names))
         .select("UNIQUE_ID", "cluster_id", "segment_name", *scores)
         .join(customers.drop("vertical_sales_index"), "UNIQUE_ID", "left")
@@ -296,16 +289,22 @@ def _distance(a, b):
 def davies_bouldin(clustered):
     """Davies-Bouldin index and mean squared distance of clustered vectors.
 
-    Two aggregations over the rows; only k x k centroid pairs are compared.
+    Two aggregations over the rows. The centres, one per cluster, go back to the rows
+    as literals, and only pairs of centres are compared.
     """
     size = len(SEGMENT_FEATURES)
     rows = clustered.select("centroid_id", vector_to_array("features").alias("x"))
-    centres = rows.groupBy("centroid_id").agg(F.array(*[F.avg(F.col("x")[i]) for i in range(size)]).alias("centre"))
+    centres = rows.groupBy("centroid_id").agg(*[F.avg(F.col("x")[i]).alias(f"c{i}") for i in range(size)]).collect()
+    centre = F.lit(None).cast("array<double>")
+    for row in centres:
+        centre = F.when(
+            F.col("centroid_id") == row["centroid_id"], F.array(*[F.lit(row[f"c{i}"]) for i in range(size)])
+        ).otherwise(centre)
     scatter = (
-        rows.join(centres, "centroid_id")
-        .withColumn("_d", _distance(F.col("x"), F.col("centre")))
-        .groupBy("centroid_id", "centre")
+        rows.withColumn("_d", _distance(F.col("x"), centre))
+        .groupBy("centroid_id")
         .agg(F.avg("_d").alias("s"), F.sum(F.col("_d") * F.col("_d")).alias("sq"), F.count("*").alias("n"))
+        .withColumn("centre", centre)
     )
     everything = scatter.agg(
         F.collect_list(F.struct("centroid_id", "centre", "s")).alias("cs"),

@@ -64,9 +64,9 @@ class Warehouse:
     """Derived tables of one set of raw tables, by name.
 
     `raw` is a callable returning RawTables and `key` names the source, usually its
-    folder. With modelled=False the segment, churn
-    and value tables come from fixed formulas in place of fitted models, which makes
-    every table reproducible in plain SQL; with modelled=True models are fitted.
+    folder. With modelled=False the segment, churn and value tables come from fixed
+    formulas in place of fitted models, which makes every table reproducible in plain
+    SQL; with modelled=True models are fitted.
     """
 
     def __init__(self, spark, key, raw, params=None, modelled=False):
