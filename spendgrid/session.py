@@ -12,9 +12,6 @@ RECOMMENDED = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.parquet.filterPushdown": "true",
-    # HotSpot does not compile methods above 8000 bytes; the default lets long join
-    # chains run interpreted instead of falling back to separate operators.
-    "spark.sql.codegen.hugeMethodLimit": "8000",
     # collect_set and percentile_approx keep objects per group; the default of
     # 128 groups per task would push every such aggregate onto the sort path.
     "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "65536",

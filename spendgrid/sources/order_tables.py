@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spendgrid.functions.dialect import local_frame
+from spendgrid.sources.schemas import TRANSACTIONS
 
 # Part type -> (category id, category name, parent id).
 CATEGORY_OF_PART = {
@@ -56,35 +57,42 @@ def _part_lookup(column, position):
 
 
 def transactions(spark, folder):
-    lines = read_table(spark, folder, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice"
-    )
-    orders = read_table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    parts = read_table(spark, folder, "part").select("p_partkey", "p_type", "p_brand")
-    suppliers = read_table(spark, folder, "supplier").select("s_suppkey", "s_nationkey")
-    hour = F.lpad(((F.col("l_orderkey") * 7 + F.col("l_linenumber") * 5) % 24).cast("string"), 2, "0")
+    """Facts; everything that depends on one side only is computed before the join."""
     kind = F.split_part(F.col("p_type"), F.lit(" "), F.lit(1))
-    return (
-        lines.join(orders, lines.l_orderkey == orders.o_orderkey)
-        .join(parts, lines.l_partkey == parts.p_partkey)
-        .join(suppliers, lines.l_suppkey == suppliers.s_suppkey)
+    orders = read_table(spark, folder, "orders").select(
+        "o_orderkey", customer_key("o_custkey").alias("UNIQUE_ID"), F.to_date("o_orderdate").alias("EFF_DATE")
+    )
+    parts = (
+        read_table(spark, folder, "part")
         .withColumn("kind", kind)
         .select(
-            customer_key("o_custkey").alias("UNIQUE_ID"),
-            F.to_date("o_orderdate").alias("EFF_DATE"),
+            "p_partkey",
             _part_lookup("kind", 2).cast("bigint").alias("CATEGORY_ONE_ID"),
             _part_lookup("kind", 0).cast("bigint").alias("CATEGORY_TWO_ID"),
             F.replace(F.col("p_brand"), F.lit("Brand#"), F.lit("")).cast("bigint").alias("NAV_CATEGORY_ID"),
-            F.col("l_suppkey").alias("DESTINATION_ID"),
-            F.col("l_suppkey").cast("double").alias("LOCATION_ID"),
-            F.col("s_nationkey").cast("double").alias("SUBURB_ID"),
-            # every 97th order carries an unreadable time
-            F.when(F.col("l_orderkey") % 97 == 0, F.lit("xx00"))
-            .otherwise(F.concat(hour, F.lit("00")))
-            .alias("trns_time"),
-            (F.floor(F.col("l_extendedprice") * F.lit(10.0)).cast("double") / F.lit(100.0)).alias("trns_amt"),
         )
     )
+    suppliers = read_table(spark, folder, "supplier").select(
+        "s_suppkey", F.col("s_nationkey").cast("double").alias("SUBURB_ID")
+    )
+    hour = F.lpad(((F.col("l_orderkey") * 7 + F.col("l_linenumber") * 5) % 24).cast("string"), 2, "0")
+    lines = read_table(spark, folder, "lineitem").select(
+        "l_orderkey",
+        "l_partkey",
+        F.col("l_suppkey").alias("DESTINATION_ID"),
+        F.col("l_suppkey").cast("double").alias("LOCATION_ID"),
+        # every 97th order carries an unreadable time
+        F.when(F.col("l_orderkey") % 97 == 0, F.lit("xx00"))
+        .otherwise(F.concat(hour, F.lit("00")))
+        .alias("trns_time"),
+        (F.floor(F.col("l_extendedprice") * F.lit(10.0)).cast("double") / F.lit(100.0)).alias("trns_amt"),
+    )
+    return (
+        lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        .join(parts, F.col("l_partkey") == F.col("p_partkey"))
+        .join(suppliers, F.col("DESTINATION_ID") == F.col("s_suppkey"))
+        .select(*TRANSACTIONS.names)
+    )
 
 
 def snapshots(spark, folder):
