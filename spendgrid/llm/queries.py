@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from spendgrid.llm import mixing, packing, quality_rules, store, token_files
+from spendgrid.llm import mixing, ngram_join, packing, quality_rules, store, token_files
 
 
 def _read(spark, folder, table):
@@ -15,6 +15,10 @@ def tokenizer():
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op2_ngram_jaccard(spark, folder):
+    return ngram_join.joined(_read(spark, folder, "documents"), k=4, threshold="0.85")
+
+
 def op3_mixing(spark, folder):
     out = mixing.mix(_read(spark, folder, "documents"), columns=["doc_id"])
     return out.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
@@ -48,6 +52,7 @@ def op10_token_files(spark, folder):
 
 
 QUERIES = {
+    "op2_ngram_jaccard": op2_ngram_jaccard,
     "op3_mixing": op3_mixing,
     "op4_quality_rules": op4_quality_rules,
     "op9_best_fit_packing": op9_best_fit_packing,
