@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from spendgrid.llm import mixing, ngram_join, packing, quality_rules, store, token_files
+from spendgrid.llm import mixing, ngram_join, packing, quality_rules, store, suffix_dedup, token_files
 
 
 def _read(spark, folder, table):
@@ -40,6 +40,10 @@ def op4_quality_rules(spark, folder):
     )
 
 
+def op5_suffix_dedup(spark, folder):
+    return suffix_dedup.removed(_read(spark, folder, "documents"))
+
+
 def op9_best_fit_packing(spark, folder):
     return packing.pack(_read(spark, folder, "documents"), tokenizer())
 
@@ -55,6 +59,7 @@ QUERIES = {
     "op2_ngram_jaccard": op2_ngram_jaccard,
     "op3_mixing": op3_mixing,
     "op4_quality_rules": op4_quality_rules,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_token_files": op10_token_files,
 }
