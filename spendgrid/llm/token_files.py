@@ -129,12 +129,12 @@ def write_token_files(docs, folder, tokenizer, id_col="doc_id", text_col="text",
 
         for batch in batches:
             ids_of = batch.column(0)
-            for first, end, data, offsets in byte_chunks(batch.column(1), 4 << 20):
+            for first, end, data, offsets in byte_chunks(batch.column(1)):
                 ids, bounds = encoder.encode(data, offsets, end_id)
                 for i, doc_id in enumerate(ids_of.slice(first, end - first).to_pylist()):
                     if writer is None:
                         path = f"{base}/{part:06d}-{count:04d}-{uuid.uuid4().hex}.tokens"
-                        writer, tokens = FileWriter(files.open_output_stream(path), frame_bytes), 0
+                        writer, tokens = FileWriter(files.open_output_stream(path, compression=None), frame_bytes), 0
                     writer.add(doc_id, ids[bounds[i] : bounds[i + 1]])
                     tokens += int(bounds[i + 1] - bounds[i])
                     if writer.written >= file_bytes:

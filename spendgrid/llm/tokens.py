@@ -32,7 +32,7 @@ def shared_encoder(path):
 class Encoder:
     """Encodes rows of bytes; remembers up to `remember` distinct pieces."""
 
-    def __init__(self, path, remember=2_000_000):
+    def __init__(self, path, remember=400_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
