@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from spendgrid.llm import mixing, ngram_join, packing, quality_rules, store, suffix_dedup, token_files
+from spendgrid.llm import mixing, ngram_join, packing, quality_rules, store, suffix_dedup, token_files, topk, warc
 
 
 def _read(spark, folder, table):
@@ -44,6 +44,22 @@ def op5_suffix_dedup(spark, folder):
     return suffix_dedup.removed(_read(spark, folder, "documents"))
 
 
+def op6_exact_topk(spark, folder):
+    return topk.top_k(_read(spark, folder, "embeddings"), k=20, query_every=20)
+
+
+def op8_warc(spark, folder):
+    """Writes the archives to the shared folder and reads them back, payloads of responses included."""
+    with store.scratch(spark, "op8") as place:
+        warc.write_warc(_read(spark, folder, "pages"), place)
+        digest = F.regexp_replace("payload_digest", "^sha1:", "")
+        responses = warc.read_warc(spark, place, ["record_type", "page_id", "payload_digest", "payload"]).where("record_type = 'response'")
+        revisits = warc.read_warc(spark, place, ["record_type", "page_id", "payload_digest", "payload_length", "refers_to"]).where("record_type = 'revisit'")
+        out = responses.select("page_id", F.octet_length("payload").cast("long").alias("payload_bytes"), digest.alias("payload_digest"), "record_type", F.lit(None).cast("long").alias("refers_to"))
+        page = F.regexp_extract("refers_to", r"^<urn:page:(-?\d+)>$", 1).cast("long")
+        return store.cut(out.union(revisits.select("page_id", F.col("payload_length"), digest, "record_type", page)))
+
+
 def op9_best_fit_packing(spark, folder):
     return packing.pack(_read(spark, folder, "documents"), tokenizer())
 
@@ -60,6 +76,8 @@ QUERIES = {
     "op3_mixing": op3_mixing,
     "op4_quality_rules": op4_quality_rules,
     "op5_suffix_dedup": op5_suffix_dedup,
+    "op6_exact_topk": op6_exact_topk,
+    "op8_warc": op8_warc,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_token_files": op10_token_files,
 }
