@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from spendgrid.llm import mixing, ngram_join, packing, quality_rules, store, suffix_dedup, token_files, topk, warc
+from spendgrid.llm import langid, mixing, ngram_join, packing, quality_rank, quality_rules, store, suffix_dedup, token_files, topk, warc
 
 
 def _read(spark, folder, table):
@@ -15,6 +15,17 @@ def tokenizer():
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def _held_out(column="doc_id"):
+    """The fold that no model learns from."""
+    return F.crc32(F.col(column).cast("string").cast("binary")) % 3 == 1
+
+
+def op1_quality_ranking(spark, folder):
+    docs, labels = _read(spark, folder, "documents"), _read(spark, folder, "labels")
+    model = quality_rank.fit(docs, labels.where(~_held_out()))
+    return quality_rank.score(docs, model).select("doc_id", _held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op2_ngram_jaccard(spark, folder):
     return ngram_join.joined(_read(spark, folder, "documents"), k=4, threshold="0.85")
 
@@ -48,6 +59,12 @@ def op6_exact_topk(spark, folder):
     return topk.top_k(_read(spark, folder, "embeddings"), k=20, query_every=20)
 
 
+def op7_language_id(spark, folder):
+    docs = _read(spark, folder, "documents")
+    model = langid.fit(docs.where(~_held_out()))
+    return langid.predict(docs, model).select("doc_id", _held_out().alias("held_out"), "lang_pred", "score")
+
+
 def op8_warc(spark, folder):
     """Writes the archives to the shared folder and reads them back, payloads of responses included."""
     with store.scratch(spark, "op8") as place:
@@ -72,11 +89,13 @@ def op10_token_files(spark, folder):
 
 
 QUERIES = {
+    "op1_quality_ranking": op1_quality_ranking,
     "op2_ngram_jaccard": op2_ngram_jaccard,
     "op3_mixing": op3_mixing,
     "op4_quality_rules": op4_quality_rules,
     "op5_suffix_dedup": op5_suffix_dedup,
     "op6_exact_topk": op6_exact_topk,
+    "op7_language_id": op7_language_id,
     "op8_warc": op8_warc,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_token_files": op10_token_files,
