@@ -16,8 +16,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import functions as F
 
-from spendgrid.llm.store import pick
-
 WINDOW_WORDS = 8
 MEASURES = ["n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "n_upper", "n_marks", "n_echo_words"]
 
@@ -59,14 +57,16 @@ def _pieces(text, pattern):
     return F.size(F.split(text, pattern)) - 1
 
 
-def measure(docs, id_col="doc_id", text_col="text"):
-    """doc_id and the measures of every whole text.
+def measure(docs, id_col="doc_id", text_col="text", keep=None):
+    """doc_id and the measures of every whole text; `keep` is a column to return in place of doc_id.
 
     word_chars: code points in words. n_dup_lines: lines with a word that equal an earlier
     line. n_repeat_words: words in 8-word windows that occur twice or more in the text.
     n_echo_words: words equal to the word before.
     """
-    rows = pick(docs, doc_id=id_col, text=text_col).withColumn("text", F.coalesce(F.col("text").cast("string"), F.lit("")))
+    own = F.col(f"`{id_col}`").alias("doc_id") if keep is None else keep
+    rows = docs.select(own, F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
+    own = rows.columns[0]
     words = F.array_remove(F.split("text", r"[\x20\x09-\x0D]+"), "")
     lines = F.filter(F.split("text", "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
     # One element of an array of one: a lambda's variable is evaluated once, where a
@@ -77,7 +77,7 @@ def measure(docs, id_col="doc_id", text_col="text"):
     )
     echoes = lambda w: F.size(F.filter(F.zip_with(w, F.slice(w, 2, F.greatest(F.size(w), F.lit(1))), lambda a, b: a == b), lambda same: same))
     return rows.select(
-        "doc_id",
+        own,
         bind(
             words,
             lambda w: F.struct(
@@ -91,7 +91,7 @@ def measure(docs, id_col="doc_id", text_col="text"):
         _pieces(F.col("text"), r"\p{Lu}").cast("long").alias("n_upper"),
         _pieces(F.col("text"), "!").cast("long").alias("n_marks"),
         bind(lines, lambda x: F.struct(F.size(x).cast("long").alias("n_lines"), (F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"))).alias("l"),
-    ).select("doc_id", *(F.col({"n_words": "w.", "word_chars": "w.", "n_repeat_words": "w.", "n_echo_words": "w.", "n_lines": "l.", "n_dup_lines": "l."}.get(m, "") + m).alias(m) for m in MEASURES))
+    ).select(own, *(F.col({"n_words": "w.", "word_chars": "w.", "n_repeat_words": "w.", "n_echo_words": "w.", "n_lines": "l.", "n_dup_lines": "l."}.get(m, "") + m).alias(m) for m in MEASURES))
 
 
 def _repeat_words(hashes):
@@ -112,11 +112,15 @@ def _repeat_words(hashes):
 
 def ledger(docs, id_col="doc_id", text_col="text"):
     """The measures and `bits`, in which every failed rule has its bit set."""
+    return measure(docs, id_col, text_col).withColumn("bits", _bits())
+
+
+def _bits():
     bits = None
     for place, (_, condition) in enumerate(RULES):
         bit = F.when(F.expr(condition), F.lit(1 << place)).otherwise(0).cast("long")
         bits = bit if bits is None else bits.bitwiseOR(bit)
-    return measure(docs, id_col, text_col).withColumn("bits", bits)
+    return bits
 
 
 def kept(policy):
@@ -124,6 +128,12 @@ def kept(policy):
     return F.col("bits").bitwiseAND(F.lit(policy.mask)) == 0
 
 
+def passing(docs, policy=POLICIES["v2"], id_col="doc_id", text_col="text"):
+    """The documents that the policy keeps, with the columns of docs."""
+    whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("whole")
+    return measure(docs, id_col, text_col, whole).withColumn("bits", _bits()).where(kept(policy)).select("whole.*")
+
+
 def ablations(ledger_rows, policies=tuple(POLICIES.values())):
     """Per policy and rule: documents that fail it, and those it alone rejects.
 
