@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from spendgrid.llm import langid, mixing, ngram_join, packing, quality_rank, quality_rules, store, suffix_dedup, token_files, topk, warc
+from spendgrid.llm import checks, langid, mixing, ngram_join, packing, quality_rank, quality_rules, store, suffix_dedup, token_files, topk, warc
 
 
 def _read(spark, folder, table):
@@ -101,4 +101,10 @@ QUERIES = {
     "op10_token_files": op10_token_files,
 }
 
-SQL = {}
+SQL = {
+    "op2_ngram_jaccard": checks.NGRAM_JACCARD,
+    "op3_mixing": checks.MIXING,
+    "op4_quality_rules": checks.QUALITY_RULES,
+    "op6_exact_topk": checks.EXACT_TOPK,
+    "op8_warc": checks.WARC,
+}

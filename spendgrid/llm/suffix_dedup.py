@@ -34,6 +34,7 @@ from spendgrid.llm.store import cut, new_folder, pick, release, remove
 GRAM = 64
 HOT_ROWS = 20_000
 HOT_WINDOWS = 16
+MATCH = "gram long, context long, at long, first int, windows int, place int, whole boolean"
 ENTRY = "gram long, context long, at long, first int, windows int, place int"
 
 
@@ -123,7 +124,7 @@ def merge_scan(rows):
         keep[-1] = False
         return out.filter(pa.array(keep)), (rows.slice(len(gram) - 1, 1), (bool(by[-1]), bool(whole[-1])))
 
-    return sorted_array(rows).mapInArrow(scan, ENTRY + ", whole boolean")
+    return sorted_array(rows).mapInArrow(scan, MATCH)
 
 
 class SuffixIndex:
@@ -152,7 +153,11 @@ class SuffixIndex:
         matches = merge_scan(new)
         for level in self.levels.values():
             matches = matches.union(merge_scan(new.union(self._read(level[0]))))
-        matches = cut(matches)
+        # Written packed: this is the largest thing kept until the index is closed.
+        found = f"{self.folder}/matches-{self.number:06d}"
+        self.number += 1
+        matches.write.parquet(found)
+        matches = self.spark.read.schema(MATCH).parquet(found)
         self.levels.setdefault(0, []).append(path)
         release(self.spark)
         return matches
@@ -253,7 +258,7 @@ def repeated_spans(rows, length=200, gram=GRAM, batches=4):
     arrays = f"{index.folder}/arrays"
     everything = entries(rows, length, index.gram).withColumn("batch", F.pmod("at", F.lit(batches)))
     everything.repartition("gram").sortWithinPartitions("batch", "gram", "context").write.partitionBy("batch").parquet(arrays)
-    matches = spark.createDataFrame([], ENTRY + ", whole boolean")
+    matches = spark.createDataFrame([], MATCH)
     for number in sorted(r["batch"] for r in spark.read.schema(ENTRY + ", batch long").parquet(arrays).select("batch").distinct().collect()):
         matches = matches.union(index.add_array(f"{arrays}/batch={number}"))
     entry = ["gram", "context", "at", "first", "windows", "place"]
