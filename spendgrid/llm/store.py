@@ -5,6 +5,7 @@ import gc
 import uuid
 
 from pyarrow import fs
+from pyspark.sql import functions as F
 
 from spendgrid.session import shared_folder
 
@@ -52,8 +53,15 @@ def filesystem(uri):
     return fs.FileSystem.from_uri(uri.replace("s3a://", "s3://", 1))
 
 
+def bound_batches(spark, size="4m"):
+    """Bound the bytes of an Arrow batch for the session, so that long texts don't fill a worker's memory."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
+
+
 def pick(df, **columns):
-    """Only the named columns, under names of our own: other columns of the table cannot clash."""
-    from pyspark.sql import functions as F
+    """Only the named columns, under names of our own: other columns of the table cannot clash.
 
+    What follows runs Python on them, in batches of bounded size.
+    """
+    bound_batches(df.sparkSession)
     return df.select(*(F.col(f"`{old}`").alias(new) for new, old in columns.items()))

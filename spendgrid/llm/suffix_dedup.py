@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from spendgrid.llm.arrays import SpanHash, byte_chunks, mix, ranges, row_of
-from spendgrid.llm.store import cut, new_folder, pick, release, remove
+from spendgrid.llm.store import bound_batches, cut, new_folder, pick, release, remove
 
 GRAM = 64
 HOT_ROWS = 20_000
@@ -254,6 +254,7 @@ def _equal_windows(length):
 def repeated_spans(rows, length=200, gram=GRAM, batches=4):
     """(at, spans) of all rows (at, text) with repeated bytes; spans is an array of (first, end)."""
     spark = rows.sparkSession
+    bound_batches(spark)
     index = SuffixIndex(spark, new_folder(spark, "suffixes"), length, gram)
     arrays = f"{index.folder}/arrays"
     everything = entries(rows, length, index.gram).withColumn("batch", F.pmod("at", F.lit(batches)))
