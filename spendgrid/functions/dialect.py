@@ -1,28 +1,37 @@
 """Column helpers that fix rounding, division, date and NULL behaviour.
 
-Amounts have two decimals and percentages one or two, so every sum and mean is
-taken over an exact integer image of the value. Results then do not depend on
-the order in which partitions are merged, and the aggregation buffers stay plain
-longs inside whole-stage codegen.
+Sums and means are taken over integers: the whole part of every value and its
+fraction in millionths, each summed in a long. Results then do not depend on the order
+in which partitions are merged, nothing above a millionth is cut, totals up to 9e18 fit,
+and the aggregation buffers stay plain longs inside whole-stage codegen.
 """
 
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 PCT_DP = 1
-MONEY_DP = 2
-PROBABILITY_DP = 4
+FRACTION = 1_000_000
+MONTHS_PER_MASK = 62
 
 
 def col_of(x):
     return F.col(x) if isinstance(x, str) else x
 
 
-def scaled(x, dp):
-    """Long holding x * 10**dp for a value that has at most dp decimals."""
-    return F.floor(col_of(x).cast("double") * F.lit(float(10**dp)) + F.lit(0.5))
+def _parts(x):
+    """The whole part of a value and its fraction in millionths, both longs."""
+    x = col_of(x).cast("double")
+    whole = F.floor(x)
+    return whole, F.floor((x - whole.cast("double")) * F.lit(float(FRACTION)) + F.lit(0.5))
+
+
+def _joined(whole, fraction):
+    """Both sums as one decimal, so that the double is the one nearest to the exact total."""
+    millionths = fraction.cast("decimal(20,0)") * F.lit(Decimal(1) / FRACTION)
+    return (whole.cast("decimal(20,0)") + millionths).cast("double")
 
 
 def round_half(x, dp=0):
@@ -41,23 +50,23 @@ def pct(a, b, dp=PCT_DP):
     return round_half(ratio(col_of(a).cast("double") * F.lit(100.0), b), dp)
 
 
-def exact_sum(x, dp=MONEY_DP, where=None):
-    units = scaled(x, dp)
+def exact_sum(x, where=None):
+    x = col_of(x)
     if where is not None:
-        units = F.when(where, units)
-    return F.sum(units) / F.lit(float(10**dp))
+        x = F.when(where, x)
+    return _joined(*[F.sum(part) for part in _parts(x)])
 
 
-def exact_sum_over(x, window, dp=MONEY_DP):
-    return F.sum(scaled(x, dp)).over(window) / F.lit(float(10**dp))
+def exact_sum_over(x, window):
+    return _joined(*[F.sum(part).over(window) for part in _parts(x)])
 
 
-def exact_avg(x, dp=MONEY_DP, where=None):
+def exact_avg(x, where=None):
     """Mean of the non-NULL values that satisfy `where`."""
     x = col_of(x)
     if where is not None:
         x = F.when(where, x)
-    return ratio(F.sum(scaled(x, dp)) / F.lit(float(10**dp)), F.count(x))
+    return ratio(exact_sum(x), F.count(x))
 
 
 def ratio_avg(x):
@@ -70,9 +79,9 @@ def count_where(predicate):
     return F.count_if(predicate)
 
 
-def sum_where(predicate, x, dp=MONEY_DP):
+def sum_where(predicate, x):
     """Conditional sum that counts other rows as zero."""
-    return F.sum(F.when(predicate, scaled(x, dp)).otherwise(F.lit(0))) / F.lit(float(10**dp))
+    return exact_sum(F.when(predicate, col_of(x).cast("double")).otherwise(F.lit(0.0)))
 
 
 def strict_least(*columns):
@@ -109,39 +118,39 @@ def month_span(later, earlier):
     return month_number(later) - month_number(earlier)
 
 
-def distinct_months(day, as_of, where=None):
-    """Count distinct calendar months of a window of at most 63 months.
+def distinct_months(day, as_of, months, where=None):
+    """Count distinct calendar months of a window that starts `months` months before as_of.
 
-    One bit per month keeps the buffer a single long, so it merges map-side and
-    needs no distinct expansion.
+    One bit per month in as many longs as the window needs: the buffers merge map-side
+    and need no distinct expansion.
     """
     age = month_span(as_of, day)
-    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), age)
-    if where is not None:
-        bit = F.when(where, bit)
-    return F.coalesce(F.bit_count(F.bit_or(bit)), F.lit(0)).cast("bigint")
+    counts = []
+    for first in range(0, months + 1, MONTHS_PER_MASK):
+        inside = age.between(first, first + MONTHS_PER_MASK - 1)
+        inside = inside if where is None else inside & where
+        bit = F.when(inside, F.call_function("shiftleft", F.lit(1).cast("bigint"), age - F.lit(first)))
+        counts.append(F.coalesce(F.bit_count(F.bit_or(bit)), F.lit(0)))
+    return reduce(lambda a, b: a + b, counts).cast("bigint")
 
 
-def distinct_ids(x, bounded):
-    """Exact distinct count of lookup ids.
+def distinct_counts(df, key, columns):
+    """One row per key with the number of distinct non-NULL values of each column.
 
-    When the lookups are known to be small a set per group is cheapest: one pass, no
-    row expansion, and no group can outgrow the lookup. Otherwise the values are
-    shuffled, so that even one huge group is spread over many tasks.
+    Rows are first reduced to distinct (key, column, value), on the map side too, and
+    shuffled by all three: a key with very many values is spread over many tasks. A key
+    without any value has no row.
     """
-    x = col_of(x)
-    return F.size(F.collect_set(x)).cast("bigint") if bounded else F.count_distinct(x)
+    values = F.array(*[F.struct(F.lit(i).alias("i"), F.col(c).cast("string").alias("v")) for i, c in enumerate(columns)])
+    pairs = df.select(key, F.explode(values).alias("p")).where("p.v IS NOT NULL").select(key, "p.i", "p.v").distinct()
+    return pairs.groupBy(key).agg(*[F.count_if(F.col("i") == i).alias(name) for i, name in enumerate(columns.values())])
 
 
-def totals_within(df, keys, bounded, **sums):
+def totals_within(df, keys, **sums):
     """Add totals per group; `sums` maps a new column to an aggregate.
 
-    With bounded groups a window reuses the shuffle; otherwise the totals are
-    aggregated and joined back, which AQE can split when one group is huge.
+    The totals are aggregated and joined back, which AQE can split when one group is huge.
     """
-    if bounded:
-        group = Window.partitionBy(*keys)
-        return df.select("*", *[agg.over(group).alias(name) for name, agg in sums.items()])
     totals = df.groupBy(*keys).agg(*[agg.alias(name) for name, agg in sums.items()])
     return df.join(totals, list(keys))
 
@@ -150,15 +159,9 @@ def is_weekend(dow):
     return col_of(dow).isin(1, 7)
 
 
-def spread(x, dp=MONEY_DP):
-    """Sample standard deviation from exact integer moments, NULL for one row."""
-    units = scaled(x, dp)
-    n = F.count(units).cast("decimal(18,0)")
-    total = F.sum(units.cast("decimal(18,0)"))
-    squares = F.sum((units * units).cast("decimal(20,0)"))
-    spread_units = (n * squares - total * total).cast("double")
-    n = n.cast("double")
-    return F.sqrt(ratio(spread_units, n * (n - F.lit(1.0)))) / F.lit(float(10**dp))
+def spread(x):
+    """Sample standard deviation, NULL for one row."""
+    return F.stddev_samp(col_of(x).cast("double"))
 
 
 def top_value(counts, keys, value, weight="n", name=None):
@@ -208,6 +211,12 @@ def local_frame(spark, rows, names):
     return spark.range(1, numPartitions=1).select(F.inline(F.array(*structs)))
 
 
+def plain_number(x):
+    """A number as text without trailing zeros: 0.3, not 0.30; 2, not 2.0."""
+    digits = F.format_string("%.6f", col_of(x).cast("double"))
+    return F.regexp_replace(digits, r"\.?0+$", "")
+
+
 def money_label(x):
     """R1.2M / R3.4k / R56 display text."""
     x = col_of(x).cast("double")

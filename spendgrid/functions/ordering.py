@@ -10,8 +10,10 @@ from bisect import bisect_right
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-CANDIDATE_LIMIT = 200_000  # rows one task may sort for the final pick
-SAMPLE_ROWS = 20_000  # rows drawn to narrow a bracket
+from spendgrid.session import written_once
+
+BRACKET_ROWS = 10_000  # a bracket of at most so many rows is narrow enough to be sorted
+SAMPLE_ROWS = 20_000  # rows drawn to narrow a bracket, on average
 
 
 def _after(columns, bound):
@@ -31,30 +33,32 @@ def _inside(columns, low, high):
     return keep
 
 
-def order_statistics(df, columns, ranks, limit=CANDIDATE_LIMIT, sample_rows=SAMPLE_ROWS, total=None):
+def order_statistics(df, columns, ranks, limit=BRACKET_ROWS, sample_rows=SAMPLE_ROWS, total=None):
     """Rows at the 1-based ranks of df ordered by columns (non-NULL, jointly unique).
 
-    Each wanted rank keeps a bracket (low, high] with the number of rows below it.
-    A bracket larger than `limit` is narrowed by sampled cut points whose ranks are
-    counted exactly, so the sample affects only the number of passes, never the
-    result. The driver holds at most `sample_rows` rows and one row per rank.
+    Each wanted rank keeps a bracket (low, high] with the number of rows below it. Every
+    table starts with one bracket over all rows, which is narrowed by sampled cut points
+    whose ranks are counted exactly, and again until it has at most `limit` rows; these
+    are sorted. The sample affects only the number of passes, never the result. The
+    driver holds about `sample_rows` rows and one row per rank.
     """
     df = df.select(*columns)
     total = df.count() if total is None else total
     found = {}
     open_brackets = {(None, None): (0, total, sorted({r for r in ranks if 1 <= r <= total}))}
+    first = True
     while open_brackets:
         narrowed = {}
         for (low, high), (below, size, wanted) in open_brackets.items():
             if not wanted:
                 continue
             part = df.where(_inside(columns, low, high))
-            if size <= limit:
+            if size <= limit and not first:
                 found.update(_pick(part, columns, wanted, below))
                 continue
             for bracket, content in _narrow(part, columns, low, high, below, size, wanted, sample_rows):
                 narrowed[bracket] = content
-        open_brackets = narrowed
+        open_brackets, first = narrowed, False
     return found
 
 
@@ -71,7 +75,7 @@ def _pick(part, columns, wanted, below):
 
 def _narrow(part, columns, low, high, below, size, wanted, sample_rows):
     fraction = min(1.0, sample_rows / size)
-    drawn = part.sample(fraction=fraction, seed=7).limit(sample_rows + 1000).orderBy(*columns).collect()
+    drawn = part.sample(fraction=fraction, seed=7).orderBy(*columns).collect()
     sample = [tuple(row[c] for c in columns) for row in drawn]
     slack = 3 * int(len(sample) ** 0.5) + 1
     cuts = set()
@@ -122,33 +126,17 @@ def global_ntile(df, n, columns, total=None, **limits):
     return bucket
 
 
-def _place(columns, cuts, low, high):
-    """Number of cuts the row lies beyond, by binary search."""
-    if low == high:
-        return F.lit(low)
-    middle = (low + high) // 2
-    return F.when(_after(columns, cuts[middle]), _place(columns, cuts, middle + 1, high)).otherwise(
-        _place(columns, cuts, low, middle)
-    )
-
-
-def row_number_within(df, group, columns, name, limit=CANDIDATE_LIMIT, sample_rows=SAMPLE_ROWS, slices=256):
+def row_number_within(df, group, columns, name, slices=None):
     """Add row_number() over (partition by group order by columns), ascending.
 
-    A table of at most `limit` rows is numbered by a plain window. A larger one is cut
-    along the order at sampled points, numbered inside each slice and shifted by the
-    rows before it, so that no group has to fit one task. df must be deterministic
-    and the columns non-NULL and unique per group.
+    The table is cut along the order into ranges, one per task of a range partitioning,
+    numbered inside each range and shifted by the rows of the ranges before. No group has
+    to fit one task, and the ranges follow the table's size: their number is that of the
+    session's shuffle partitions unless `slices` is given. The ranges are written once, as
+    both steps must see the same ones. The columns must be non-NULL and unique per group.
     """
-    total = df.count()
-    if total <= limit:
-        order = Window.partitionBy(group).orderBy(*columns)
-        return df.withColumn(name, F.row_number().over(order).cast("bigint"))
-    drawn = df.select(*columns).sample(fraction=min(1.0, sample_rows / total), seed=7)
-    sample = [tuple(row) for row in drawn.limit(2 * sample_rows).orderBy(*columns).collect()]
-    slices = min(slices, -(-4 * total // limit), len(sample))
-    cuts = [sample[i * len(sample) // slices] for i in range(1, slices)]
-    placed = df.withColumn("_slice", _place(columns, cuts, 0, len(cuts)))
+    ranged = df.repartitionByRange(slices, *columns) if slices else df.repartitionByRange(*columns)
+    placed = written_once(ranged.withColumn("_slice", F.spark_partition_id()))
     before = Window.partitionBy(group).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         placed.groupBy(group, "_slice")

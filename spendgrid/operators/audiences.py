@@ -12,7 +12,8 @@ from spendgrid.functions.dialect import (
     pick_mode,
     ratio,
     round_half,
-    scaled,
+    exact_sum,
+    sum_where,
     weigh_modes,
 )
 from spendgrid.functions.labels import (
@@ -48,27 +49,23 @@ def demographic_members(customers):
 
 def spending_members(ccs):
     """Lifestyle shares and cross-category rules from one aggregate per customer."""
-    cents = scaled("dest_spend", 2)
     category, spend = F.col("CATEGORY_TWO"), F.col("dest_spend")
     groups = [
-        F.sum(F.when(category.isin(categories), cents).otherwise(F.lit(0))).alias(audience)
+        sum_where(category.isin(categories), "dest_spend").alias(audience)
         for audience, (categories, _, _) in LIFESTYLE.items()
     ]
     per_customer = ccs.groupBy("UNIQUE_ID").agg(
-        F.sum(cents).alias("total"),
+        exact_sum("dest_spend").alias("total"),
         *groups,
         F.size(F.collect_set(F.when(category.isin(PREMIUM_CATEGORIES) & (spend >= 2000), category))).alias("premium"),
         F.max((category == "Groceries") & (spend >= 5000)).alias("big_grocery"),
         F.max((category == "Clothing & Apparel") & (spend >= 2000)).alias("big_clothing"),
     )
-    hundred = F.lit(100.0)
     rules = {}
     for audience, (_, share, minimum) in LIFESTYLE.items():
         # the food rule tests the customer's whole spend, the others the group's
         tested = F.col("total") if audience == "L01" else F.col(audience)
-        rules[audience] = (ratio(F.col(audience) / hundred, F.col("total") / hundred) >= share) & (
-            tested / hundred >= minimum
-        )
+        rules[audience] = (ratio(audience, "total") >= share) & (tested >= minimum)
     rules["X01"] = F.col("premium") >= 3
     rules["X02"] = F.col("big_grocery") & F.col("big_clothing")
     return _matches(per_customer, rules)
@@ -106,10 +103,10 @@ def place_and_season_members(txns, as_of, months=12, seasonal_months=14):
     frequent one of the shorter window.
     """
     in_year = F.col("EFF_DATE") >= months_before(as_of, months)
-    day, cents = F.dayofmonth("EFF_DATE"), scaled("trns_amt", 2)
+    day = F.dayofmonth("EFF_DATE")
     pay_day = day.between(25, 31) | day.between(1, 3)
     season_sums = [
-        F.sum(F.when(F.month("EFF_DATE") == month, cents).otherwise(F.lit(0))).alias(audience)
+        sum_where(F.month("EFF_DATE") == month, "trns_amt").alias(audience)
         for audience, (month, _, _) in SEASONAL.items()
     ]
     by_province = (
@@ -119,7 +116,7 @@ def place_and_season_members(txns, as_of, months=12, seasonal_months=14):
             count_where(in_year).alias("year_rows"),
             count_where(in_year & pay_day).alias("pay_day_rows"),
             F.count("*").alias("rows"),
-            F.sum(cents).alias("cents"),
+            exact_sum("trns_amt").alias("spend"),
             *season_sums,
         )
     )
@@ -127,13 +124,13 @@ def place_and_season_members(txns, as_of, months=12, seasonal_months=14):
     home = F.min(F.when(placed, F.struct((-F.col("year_rows")).alias("n"), F.col("PROVINCE").alias("p"))))
     per_customer = by_province.groupBy("UNIQUE_ID").agg(
         home["p"].alias("home"),
-        *[F.sum(c).alias(c) for c in ("year_rows", "pay_day_rows", "rows", "cents", *SEASONAL)],
+        *[F.sum(c).alias(c) for c in ("year_rows", "pay_day_rows", "rows")],
+        *[exact_sum(c).alias(c) for c in ("spend", *SEASONAL)],
     )
     rules = {audience: F.col("home") == province for audience, province in PROVINCE_AUDIENCES.items()}
-    hundred = F.lit(100.0)
-    mean = ratio(F.col("cents") / hundred, "rows")
+    mean = ratio("spend", "rows")
     for audience, (_, multiple, minimum) in SEASONAL.items():
-        spend = F.col(audience) / hundred
+        spend = F.col(audience)
         rules[audience] = (spend >= mean * F.lit(multiple)) & (spend >= minimum)
     rules["S04"] = (ratio("pay_day_rows", "year_rows") >= 0.5) & (F.col("year_rows") >= 12)
     return _matches(per_customer, rules)
@@ -184,16 +181,16 @@ def audience_catalog(members, customers, features, segments, churn, min_size=100
         .join(churn.select("UNIQUE_ID", "churn_probability"), "UNIQUE_ID", "left")
         .withColumn("audience_id", F.explode("audiences"))
     )
-    measures = {"val_trns": 2, "age": 2, "estimated_income": 2, "churn_probability": 4}
+    measures = ["val_trns", "age", "estimated_income", "churn_probability"]
     cube = rows.groupBy("audience_id", "age_group", "income_group", "segment_name").agg(
         F.count("*").alias("n"),
         count_where(F.col("gender_label") == "Female").alias("women"),
-        *[F.sum(scaled(c, dp)).alias(f"{c}_sum") for c, dp in measures.items()],
+        *[exact_sum(c).alias(f"{c}_sum") for c in measures],
         *[F.count(c).alias(f"{c}_n") for c in measures],
     )
 
-    def mean(c, dp):
-        return ratio(F.sum(f"{c}_sum") / F.lit(float(10**dp)), F.sum(f"{c}_n"))
+    def mean(c):
+        return ratio(exact_sum(f"{c}_sum"), F.sum(f"{c}_n"))
 
     audience = F.col("audience_id")
     modes = {"age_group": "top_age_group", "income_group": "top_income_group", "segment_name": "top_segment"}
@@ -202,11 +199,11 @@ def audience_catalog(members, customers, features, segments, churn, min_size=100
         .groupBy("audience_id")
         .agg(
             F.sum("n").alias("audience_size"),
-            round_half(mean("val_trns", 2), 0).alias("avg_spend"),
-            round_half(mean("age", 2), 1).alias("avg_age"),
+            round_half(mean("val_trns"), 0).alias("avg_spend"),
+            round_half(mean("age"), 1).alias("avg_age"),
             pct(F.sum("women"), F.sum("n")).alias("pct_female"),
-            round_half(mean("estimated_income", 2), 0).alias("avg_income"),
-            round_half(mean("churn_probability", 4), 3).alias("avg_churn_prob"),
+            round_half(mean("estimated_income"), 0).alias("avg_income"),
+            round_half(mean("churn_probability"), 3).alias("avg_churn_prob"),
             *[pick_mode(value).alias(name) for value, name in modes.items()],
         )
         .where(F.col("audience_size") >= min_size)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from spendgrid.functions.dialect import (
     count_where,
-    distinct_ids,
+    distinct_counts,
     distinct_months,
     exact_avg,
     exact_sum,
@@ -16,7 +16,6 @@ from spendgrid.functions.dialect import (
     ratio,
     ratio_avg,
     round_half,
-    scaled,
     spread,
     sum_where,
     totals_within,
@@ -34,18 +33,33 @@ def _gap_days():
     return round_half(ratio(F.datediff(F.max("EFF_DATE"), F.min("EFF_DATE")), F.count("*") - 1), 2)
 
 
-def rfm_features(txns, as_of, months=12, min_txns=2, accuracy=10_000, bounded_ids=False):
-    """Behaviour of each customer over the last months, in one aggregation.
+VISITED = {
+    "NAV_CATEGORY_ID": "active_nav_categories",
+    "DESTINATION_ID": "active_destinations",
+    "SUBURB_ID": "active_suburbs",
+    "LOCATION_ID": "active_locations",
+}
 
-    Months are counted with a bit mask and, when the lookups are known to be small,
-    ids with sets, so nothing expands the rows. The median is a bounded sketch, exact
-    for customers with fewer rows than `accuracy`.
+
+def with_visited(features, rows, columns):
+    """Add the number of distinct ids per customer, 0 where there are none."""
+    counts = distinct_counts(rows, "UNIQUE_ID", columns)
+    return features.join(counts, "UNIQUE_ID", "left").na.fill(0, list(columns.values()))
+
+
+def rfm_features(txns, as_of, months=12, min_txns=2, accuracy=10_000):
+    """Behaviour of each customer over the last months.
+
+    Plain aggregates take one pass with map-side combining, months as bits; distinct
+    ids take another, on rows reduced to distinct ids first, and are joined on the
+    customer. The median is a bounded sketch, exact for customers with fewer rows than
+    `accuracy`.
     """
     n = F.count("*")
-    active_months = distinct_months("EFF_DATE", F.lit(as_of))
-    return (
-        last_months(txns, as_of, months)
-        .groupBy("UNIQUE_ID")
+    active_months = distinct_months("EFF_DATE", F.lit(as_of), months)
+    rows = last_months(txns, as_of, months)
+    plain = (
+        rows.groupBy("UNIQUE_ID")
         .agg(
             n.alias("nr_trns"),
             exact_sum("trns_amt").alias("val_trns"),
@@ -57,21 +71,18 @@ def rfm_features(txns, as_of, months=12, min_txns=2, accuracy=10_000, bounded_id
             round_half(ratio(n, active_months), 2).alias("mnthly_avg_nr"),
             round_half(ratio(exact_sum("trns_amt"), active_months), 2).alias("mnthly_avg_val"),
             _gap_days().alias("days_between"),
-            round_half(exact_avg("trns_dow", 0), 2).alias("avg_dow"),
-            round_half(exact_avg("trns_hour", 0), 2).alias("avg_hour"),
+            round_half(exact_avg("trns_dow"), 2).alias("avg_dow"),
+            round_half(exact_avg("trns_hour"), 2).alias("avg_hour"),
             count_where(_hours(6, 10)).alias("NR_TRNS_MORNING"),
             count_where(_hours(11, 16)).alias("NR_TRNS_MIDDAY"),
             count_where(_hours(17, 21)).alias("NR_TRNS_EVENING"),
             count_where(~_hours(6, 21)).alias("NR_TRNS_LATE"),
             count_where(is_weekend("trns_dow")).alias("NR_TRNS_WEEKEND"),
             count_where(~is_weekend("trns_dow")).alias("NR_TRNS_WEEK"),
-            distinct_ids("NAV_CATEGORY_ID", bounded_ids).alias("active_nav_categories"),
-            distinct_ids("DESTINATION_ID", bounded_ids).alias("active_destinations"),
-            distinct_ids("SUBURB_ID", bounded_ids).alias("active_suburbs"),
-            distinct_ids("LOCATION_ID", bounded_ids).alias("active_locations"),
         )
         .where(F.col("nr_trns") >= min_txns)
     )
+    return with_visited(plain, rows, VISITED)
 
 
 def rfm_scores(features, n=5, **limits):
@@ -89,7 +100,7 @@ def rfm_scores(features, n=5, **limits):
     ).withColumn("rfm_combined", F.concat(*[F.col(c).cast("string") for c in ("r_score", "f_score", "m_score")]))
 
 
-def customer_category_spend(txns, as_of, months=12, bounded_ids=False):
+def customer_category_spend(txns, as_of, months=12):
     """Spend per customer, category and merchant with the share inside the category."""
     spend = (
         last_months(txns, as_of, months)
@@ -104,9 +115,8 @@ def customer_category_spend(txns, as_of, months=12, bounded_ids=False):
     return totals_within(
         spend,
         ["UNIQUE_ID", "CATEGORY_TWO"],
-        bounded_ids,
         category_txn_count=F.sum("dest_txn_count"),
-        _cents=F.sum(scaled("dest_spend", 2)),
+        category_spend=exact_sum("dest_spend"),
     ).select(
         "UNIQUE_ID",
         "CATEGORY_TWO",
@@ -115,8 +125,8 @@ def customer_category_spend(txns, as_of, months=12, bounded_ids=False):
         "dest_spend",
         "last_txn_date",
         "category_txn_count",
-        (F.col("_cents") / F.lit(100.0)).alias("category_spend"),
-        round_half(ratio("dest_spend", F.col("_cents") / F.lit(100.0)) * F.lit(100.0), 1).alias("share_of_wallet_pct"),
+        "category_spend",
+        round_half(ratio("dest_spend", "category_spend") * F.lit(100.0), 1).alias("share_of_wallet_pct"),
     )
 
 
@@ -138,15 +148,14 @@ def merchant_totals(ccs):
         round_half(exact_sum("dest_spend"), 0).alias("total_spend"),
         round_half(ratio_avg(ratio("dest_spend", "dest_txn_count")), 2).alias("avg_txn_value"),
         round_half(ratio(exact_sum("dest_spend"), F.count("*")), 0).alias("spend_per_customer"),
-        round_half(exact_avg("share_of_wallet_pct", 1), 1).alias("avg_share_of_wallet"),
+        round_half(exact_avg("share_of_wallet_pct"), 1).alias("avg_share_of_wallet"),
     )
 
 
-def destination_metrics(totals, ccs, **limits):
+def destination_metrics(totals, ccs):
     """Merchant totals with market share, penetration and spend rank.
 
-    `totals` is merchant_totals as a written table: ranking a large one reads it
-    more than once.
+    `totals` is merchant_totals as a written table, which is read more than once.
     """
     categories = totals.groupBy("CATEGORY_TWO").agg(round_half(exact_sum("spend"), 0).alias("category_spend"))
     ranked = row_number_within(
@@ -154,7 +163,6 @@ def destination_metrics(totals, ccs, **limits):
         "CATEGORY_TWO",
         ["_order", "DESTINATION"],
         "spend_rank",
-        **limits,
     )
     return (
         ranked.join(categories, "CATEGORY_TWO")
@@ -189,8 +197,8 @@ class ActivityWindow:
     early: int = 9
 
 
-def activity(txns, as_of, window, min_txns=3, bounded_ids=False):
-    """Model features per customer over one window, in one aggregation."""
+def activity(txns, as_of, window, min_txns=3):
+    """Model features per customer over one window."""
     start = months_before(as_of, window.start)
     anchor = months_before(as_of, window.end) if window.end else F.lit(as_of)
     rows = in_window(txns, start, anchor if window.end else None)
@@ -199,16 +207,14 @@ def activity(txns, as_of, window, min_txns=3, bounded_ids=False):
     recent = day >= months_before(anchor, window.recent)
     early = day < months_before(anchor, window.early)
     previous = (day >= months_before(anchor, 2 * window.recent)) & ~recent
-    return (
+    plain = (
         rows.groupBy("UNIQUE_ID")
         .agg(
             n.alias("nr_trns"),
             exact_sum("trns_amt").alias("val_trns"),
             round_half(exact_avg("trns_amt"), 2).alias("avg_val"),
-            distinct_months("EFF_DATE", F.lit(as_of)).alias("active_months"),
+            distinct_months("EFF_DATE", F.lit(as_of), window.start).alias("active_months"),
             _gap_days().alias("days_between"),
-            distinct_ids("DESTINATION_ID", bounded_ids).alias("active_destinations"),
-            distinct_ids("NAV_CATEGORY_ID", bounded_ids).alias("active_nav_categories"),
             count_where(is_weekend("trns_dow")).alias("NR_TRNS_WEEKEND"),
             count_where(~is_weekend("trns_dow")).alias("NR_TRNS_WEEK"),
             pct(count_where(_hours(6, 10)), n).alias("pct_morning"),
@@ -223,3 +229,4 @@ def activity(txns, as_of, window, min_txns=3, bounded_ids=False):
         )
         .where(F.col("nr_trns") >= min_txns)
     )
+    return with_visited(plain, rows, {c: VISITED[c] for c in ("DESTINATION_ID", "NAV_CATEGORY_ID")})

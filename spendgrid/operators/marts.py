@@ -16,9 +16,9 @@ from spendgrid.functions.dialect import (
     null_safe_join,
     pct,
     pick_mode,
+    plain_number,
     ratio,
     round_half,
-    scaled,
     share_of_total,
     strict_greatest,
     strict_least,
@@ -52,16 +52,16 @@ def cluster_profiles(segments):
         round_half(F.min("val_trns"), 2).alias("min_total_spend"),
         round_half(F.max("val_trns"), 2).alias("max_total_spend"),
         round_half(exact_sum("val_trns"), 0).alias("total_segment_spend"),
-        round_half(exact_avg("nr_trns", 0), 1).alias("avg_transactions"),
+        round_half(exact_avg("nr_trns"), 1).alias("avg_transactions"),
         round_half(exact_avg("mnthly_avg_nr"), 1).alias("avg_monthly_txns"),
-        round_half(exact_avg("lst_trns_days", 0), 1).alias("avg_recency_days"),
+        round_half(exact_avg("lst_trns_days"), 1).alias("avg_recency_days"),
         round_half(exact_avg("days_between"), 1).alias("avg_days_between_txns"),
         round_half(exact_avg("avg_val"), 2).alias("avg_txn_value"),
-        round_half(exact_avg("active_destinations", 0), 1).alias("avg_merchants"),
-        round_half(exact_avg("active_nav_categories", 0), 1).alias("avg_categories"),
-        round_half(exact_avg("active_months", 0), 1).alias("avg_active_months"),
-        round_half(exact_avg("NR_TRNS_WEEKEND", 0), 1).alias("avg_weekend_txns"),
-        round_half(exact_avg("NR_TRNS_WEEK", 0), 1).alias("avg_weekday_txns"),
+        round_half(exact_avg("active_destinations"), 1).alias("avg_merchants"),
+        round_half(exact_avg("active_nav_categories"), 1).alias("avg_categories"),
+        round_half(exact_avg("active_months"), 1).alias("avg_active_months"),
+        round_half(exact_avg("NR_TRNS_WEEKEND"), 1).alias("avg_weekend_txns"),
+        round_half(exact_avg("NR_TRNS_WEEK"), 1).alias("avg_weekday_txns"),
         round_half(exact_avg("age"), 1).alias("avg_age"),
         round_half(exact_avg("estimated_income"), 0).alias("avg_income"),
         count_where(age.between(18, 25)).alias("age_18_25"),
@@ -142,8 +142,8 @@ def behavioral_summary(txns, segments):
             pct(F.sum("evening"), total).alias("pct_evening"),
             pct(late, total).alias("pct_late_night"),
             pct(F.sum("NR_TRNS_WEEKEND"), F.sum(F.col("NR_TRNS_WEEKEND") + F.col("NR_TRNS_WEEK"))).alias("pct_weekend"),
-            round_half(exact_avg("active_nav_categories", 0), 1).alias("avg_categories"),
-            round_half(exact_avg("active_destinations", 0), 1).alias("avg_merchants"),
+            round_half(exact_avg("active_nav_categories"), 1).alias("avg_categories"),
+            round_half(exact_avg("active_destinations"), 1).alias("avg_merchants"),
             round_half(exact_avg("avg_val"), 2).alias("avg_txn_value"),
             round_half(ratio(total, F.count("*")), 1).alias("avg_txns_per_customer"),
         )
@@ -156,24 +156,19 @@ def behavioral_summary(txns, segments):
 def geo_summary(txns):
     """Spend per province, municipality and category.
 
-    Merchants are counted on rows already reduced to one per place, category and
-    merchant, so only the customer count needs a distinct shuffle.
+    One scan: rows are first reduced to one per place, category, merchant and customer,
+    and merchants and customers are counted on these cells.
     """
     keys = ["PROVINCE", "MUNICIPALITY", "CATEGORY_TWO"]
     placed = txns.dropna(subset=["PROVINCE", "CATEGORY_TWO"])
-    amounts = (
-        placed.groupBy(*keys, "DESTINATION")
-        .agg(F.count("*").alias("n"), F.sum(scaled("trns_amt", 2)).alias("cents"))
-        .groupBy(*keys)
-        .agg(
-            F.sum("n").alias("transactions"),
-            round_half(F.sum("cents") / F.lit(100.0), 0).alias("total_spend"),
-            round_half(ratio(F.sum("cents") / F.lit(100.0), F.sum("n")), 2).alias("avg_txn"),
-            F.count("DESTINATION").alias("distinct_merchants"),
-        )
+    cells = placed.groupBy(*keys, "DESTINATION", "UNIQUE_ID").agg(F.count("*").alias("n"), exact_sum("trns_amt").alias("spend"))
+    return cells.groupBy(*keys).agg(
+        F.sum("n").alias("transactions"),
+        round_half(exact_sum("spend"), 0).alias("total_spend"),
+        round_half(ratio(exact_sum("spend"), F.sum("n")), 2).alias("avg_txn"),
+        F.count_distinct("DESTINATION").alias("distinct_merchants"),
+        F.count_distinct("UNIQUE_ID").alias("customers"),
     )
-    people = placed.groupBy(*keys).agg(F.count_distinct("UNIQUE_ID").alias("customers"))
-    return null_safe_join(amounts, people, keys, "inner")
 
 
 def monthly_trends(txns):
@@ -297,9 +292,9 @@ def category_scorecard(txns, ccs, benchmarks, churn, segments, as_of):
     )
     size = benchmarks.groupBy("CATEGORY_TWO").agg(
         F.count("*").alias("num_destinations"),
-        round_half(exact_sum("total_spend", 0), 0).alias("total_spend"),
+        round_half(exact_sum("total_spend"), 0).alias("total_spend"),
         round_half(exact_avg("avg_txn_value"), 2).alias("avg_txn_value"),
-        round_half(exact_avg("spend_per_customer", 0), 0).alias("avg_spend_per_customer"),
+        round_half(exact_avg("spend_per_customer"), 0).alias("avg_spend_per_customer"),
     )
     leader = benchmarks.where(F.col("spend_rank") == 1).select(
         "CATEGORY_TWO",
@@ -318,7 +313,7 @@ def category_scorecard(txns, ccs, benchmarks, churn, segments, as_of):
         .groupBy("CATEGORY_TWO")
         .agg(
             F.count("*").alias("total_customers"),
-            round_half(exact_avg("churn_probability", 4) * F.lit(100.0), 1).alias("avg_churn_pct"),
+            round_half(exact_avg("churn_probability") * F.lit(100.0), 1).alias("avg_churn_pct"),
             count_where(risky).alias("high_risk_customers"),
             pct(count_where(risky), count_where(scored)).alias("high_risk_pct"),
             pct(count_where(F.col("segment_name") == "Champions"), count_where(labelled)).alias("pct_champions"),
@@ -353,11 +348,11 @@ def category_scorecard(txns, ccs, benchmarks, churn, segments, as_of):
 def pitch_opportunities(benchmarks, ccs, churn):
     """Addressable market, gaps, composite score and action per merchant."""
     market = benchmarks.groupBy("CATEGORY_TWO").agg(
-        exact_sum("total_spend", 0).alias("category_total_spend"),
+        exact_sum("total_spend").alias("category_total_spend"),
         F.max("market_share_pct").alias("_leader_share"),
         F.max("penetration_pct").alias("_leader_penetration"),
         exact_avg("market_share_pct").alias("_mean_share"),
-        exact_avg("spend_per_customer", 0).alias("_mean_spend"),
+        exact_avg("spend_per_customer").alias("_mean_spend"),
         F.count("*").alias("total_competitors"),
     )
     n = Window.partitionBy()
@@ -368,7 +363,7 @@ def pitch_opportunities(benchmarks, ccs, churn):
         .join(churn.select("UNIQUE_ID", "churn_probability", "churn_risk_level"), "UNIQUE_ID")
         .groupBy("CATEGORY_TWO", "DESTINATION")
         .agg(
-            round_half(exact_avg("churn_probability", 4), 4).alias("_churn"),
+            round_half(exact_avg("churn_probability"), 4).alias("_churn"),
             count_where(F.col("churn_risk_level").isin(AT_RISK)).alias("_risky"),
         )
     )
@@ -445,7 +440,7 @@ def churn_explained(churn):
     )
     reason_3 = (
         F.when(narrow & ~dropped, text("Low merchant diversity (%d)", destinations))
-        .when(trend < 0.5, text("Spend trend ratio: %.2f", round_half(trend, 2)))
+        .when(trend < 0.5, F.concat(F.lit("Spend trend ratio: "), plain_number(round_half(trend, 2))))
         .when(months <= 6, text("Low engagement: %d active months", months))
         .otherwise("Multiple declining signals")
     )
@@ -479,14 +474,14 @@ def spend_momentum(txns, customers, as_of, months=12, min_months=3):
     day = F.lit(as_of)
 
     def monthly_mean(total, where):
-        return ratio(total, distinct_months("EFF_DATE", day, where))
+        return ratio(total, distinct_months("EFF_DATE", day, months, where))
 
     halves = (
         last_months(txns, as_of, months)
         .groupBy("UNIQUE_ID")
         .agg(
             exact_sum("trns_amt").alias("total_spend_12m"),
-            distinct_months("EFF_DATE", day).alias("active_months"),
+            distinct_months("EFF_DATE", day, months).alias("active_months"),
             round_half(monthly_mean(sum_where(recent, "trns_amt"), recent), 2).alias("avg_recent_6m"),
             round_half(monthly_mean(sum_where(~recent, "trns_amt"), ~recent), 2).alias("avg_prior_6m"),
             round_half(monthly_mean(count_where(recent), recent), 1).alias("avg_recent_txns"),
@@ -548,7 +543,7 @@ def category_propensity(txns, segments, ccs, as_of, months=12, max_adoption=90.0
 # --- merchants --------------------------------------------------------------
 
 
-def store_loyalty(ccs, min_customers=100, bounded_ids=False):
+def store_loyalty(ccs, min_customers=100):
     """Share-of-wallet loyalty and number of stores visited, per merchant."""
     rows = totals_within(
         ccs.select(
@@ -559,7 +554,6 @@ def store_loyalty(ccs, min_customers=100, bounded_ids=False):
             round_half("share_of_wallet_pct", 1).alias("loyalty_pct"),
         ),
         ["UNIQUE_ID", "CATEGORY_TWO"],
-        bounded_ids,
         stores=F.count("*"),
     )
     n, loyalty, stores = F.count("*"), F.col("loyalty_pct"), F.col("stores")
@@ -567,8 +561,8 @@ def store_loyalty(ccs, min_customers=100, bounded_ids=False):
         rows.groupBy("CATEGORY_TWO", "DESTINATION")
         .agg(
             n.alias("customers"),
-            round_half(exact_avg("loyalty_pct", 1), 1).alias("avg_loyalty_pct"),
-            round_half(exact_avg("stores", 0), 1).alias("avg_stores_visited"),
+            round_half(exact_avg("loyalty_pct"), 1).alias("avg_loyalty_pct"),
+            round_half(exact_avg("stores"), 1).alias("avg_stores_visited"),
             count_where(loyalty >= 50).alias("loyal_customers_50pct"),
             pct(count_where(loyalty >= 50), n).alias("pct_loyal_50"),
             count_where(loyalty >= 80).alias("loyal_customers_80pct"),
@@ -605,32 +599,42 @@ DAYS = ["sunday", "monday", "tuesday", "wednesday", "thursday", "friday", "satur
 def store_time_patterns(txns, as_of, months=12, min_txns=1000):
     """Hour and weekday profile per merchant.
 
-    Rows are first reduced to merchant x hour x weekday cells (at most 25 x 7 each);
-    all shares, baskets and modes follow from the cells without a second scan.
+    One scan: rows are first reduced to merchant x hour x weekday x customer cells, from
+    which both the merchant's cells (at most 25 x 7) and its customers follow.
     """
     keys = ["CATEGORY_TWO", "DESTINATION"]
     rows = last_months(txns, as_of, months)
-    cells = rows.groupBy(*keys, "trns_hour", "trns_dow").agg(
-        F.count("*").alias("n"), F.sum(scaled("trns_amt", 2)).alias("cents")
+    fine = rows.groupBy(*keys, "trns_hour", "trns_dow", "UNIQUE_ID").agg(
+        F.count("*").alias("n"), exact_sum("trns_amt").alias("spend")
+    )
+    # A customer is counted in one of its cells, of which it has 175 at most.
+    own = fine.groupBy(*keys, "UNIQUE_ID").agg(F.collect_list(F.struct("trns_hour", "trns_dow", "n", "spend")).alias("own"))
+    cells = (
+        own.select(*keys, F.posexplode("own").alias("place", "cell"))
+        .groupBy(*keys, "cell.trns_hour", "cell.trns_dow")
+        .agg(F.sum("cell.n").alias("n"), exact_sum("cell.spend").alias("spend"), F.count_if(F.col("place") == 0).alias("people"))
     )
     hour, dow = F.col("trns_hour"), F.col("trns_dow")
 
     def weight(where, value="n"):
         return F.coalesce(F.sum(F.when(where, F.col(value))), F.lit(0))
 
+    def spend_where(where):
+        return F.coalesce(exact_sum("spend", where), F.lit(0.0))
+
     total = F.sum("n")
     shares = [pct(weight(hour.between(*span)), total).alias(name) for name, span in HOUR_SHARES.items()]
     days = [pct(weight(dow == i + 1), total).alias(f"pct_{day}") for i, day in enumerate(DAYS)]
     baskets = [
-        round_half(ratio(weight(hour.between(*span), "cents") / F.lit(100.0), weight(hour.between(*span))), 2).alias(name)
+        round_half(ratio(spend_where(hour.between(*span)), weight(hour.between(*span))), 2).alias(name)
         for name, span in BASKETS.items()
     ]
-    profile = (
+    return (
         weigh_modes(cells, keys, ["trns_hour", "trns_dow"])
         .groupBy(*keys)
         .agg(
             total.alias("total_transactions"),
-            round_half(F.sum("cents") / F.lit(100.0), 0).alias("total_spend"),
+            round_half(exact_sum("spend"), 0).alias("total_spend"),
             *shares,
             pct(weight((hour >= 22) | (hour < 6)), total).alias("pct_late_night"),
             *days,
@@ -639,11 +643,10 @@ def store_time_patterns(txns, as_of, months=12, min_txns=1000):
             *baskets,
             pick_mode("trns_hour").alias("peak_hour"),
             pick_mode("trns_dow").alias("peak_day_number"),
+            F.sum("people").alias("unique_customers"),
         )
         .where(F.col("total_transactions") >= min_txns)
     )
-    people = rows.groupBy(*keys).agg(F.count_distinct("UNIQUE_ID").alias("unique_customers"))
-    return null_safe_join(profile, people, keys)
 
 
 def client_segment_mix(ccs, segments, min_customers=1000):

@@ -35,6 +35,7 @@ from spendgrid.functions.ordering import global_ntile, order_statistics
 from spendgrid.operators.features import ActivityWindow, activity
 from spendgrid.operators.staging import in_window
 
+# The inputs of the three models.
 SEGMENT_FEATURES = [
     "val_trns",
     "nr_trns",
@@ -111,11 +112,11 @@ def assign_segments(clustered, customers):
 # --- churn ------------------------------------------------------------------
 
 
-def churn_training_set(txns, customers, as_of, params, keep_id=False, bounded_ids=False):
+def churn_training_set(txns, customers, as_of, params, keep_id=False):
     """Observation-window features and whether the customer stayed away afterwards."""
     outcome = params.churn_outcome_months
     window = ActivityWindow(params.window_months, outcome, params.trend_recent_months, params.churn_early_months)
-    observed = activity(txns, as_of, window, params.min_model_txns, bounded_ids)
+    observed = activity(txns, as_of, window, params.min_model_txns)
     returned = (
         in_window(txns, months_before(as_of, outcome))
         .select("UNIQUE_ID")
@@ -129,9 +130,14 @@ def churn_training_set(txns, customers, as_of, params, keep_id=False, bounded_id
     return _with_person(labelled, customers).select(*key, *CHURN_FEATURES, "churned")
 
 
-def churn_features_current(txns, as_of, params, bounded_ids=False):
+def activity_current(txns, as_of, params):
+    """Features of the newest window, for scoring churn and value alike."""
     window = ActivityWindow(params.window_months, 0, params.trend_recent_months, params.trend_early_months)
-    return activity(txns, as_of, window, params.min_model_txns, bounded_ids).drop("spend_trend")
+    return activity(txns, as_of, window, params.min_model_txns)
+
+
+def churn_features_current(current):
+    return current.drop("spend_trend")
 
 
 def _split(rows):
@@ -165,30 +171,42 @@ def fit_churn(training, max_iter=50):
     return Pipeline(stages=stages).fit(class_weights(train.na.fill(0, CHURN_FEATURES)))
 
 
+CHURN_PERSON = ["age", "gender_label", "income_segment", "estimated_income", "credit_risk_class", "age_group", "income_group"]
+CLV_PERSON = ["age", "gender_label", "income_segment", "age_group", "income_group"]
+
+
+def attach_person(features, customers, columns):
+    """The scoring features with the demographics of the result, joined once."""
+    return features.join(customers.select("UNIQUE_ID", *columns), "UNIQUE_ID", "left")
+
+
+def _scored(model, features, customers, inputs, columns, results):
+    """Model results beside the features and the untouched demographics.
+
+    The model passes all columns on, so nothing is joined back: the demographics travel
+    in a struct while their namesakes, with gaps filled, are inputs of the model.
+    """
+    person = customers.select("UNIQUE_ID", F.struct(*columns).alias("_person"), *_PERSON)
+    rows = features.join(person, "UNIQUE_ID", "left").na.fill(0, inputs)
+    return model.transform(rows).select(*features.columns, "_person.*", *results)
+
+
 def predict_churn(model, features, customers):
-    """UNIQUE_ID, churn_probability and predicted_label for the scoring features."""
-    rows = _with_person(features, customers).na.fill(0, CHURN_FEATURES)
-    return model.transform(rows).select(
-        "UNIQUE_ID",
+    """The scoring features and demographics with churn_probability and predicted_label."""
+    results = [
         round_half(vector_to_array("_probability")[1], 4).alias("churn_probability"),
         F.col("predicted_label").cast("bigint").alias("predicted_label"),
-    )
+    ]
+    return _scored(model, features, customers, CHURN_FEATURES, CHURN_PERSON, results)
 
 
-def score_churn(predictions, features, customers):
+def score_churn(predictions):
     """Churn risk table: probability, level, activity and demographics."""
-    person = customers.select(
-        "UNIQUE_ID",
-        "age",
-        "gender_label",
-        "income_segment",
-        "estimated_income",
-        "credit_risk_class",
-        "age_group",
-        "income_group",
-    )
-    activity_columns = features.select(
+    return predictions.select(
         "UNIQUE_ID",
+        "churn_probability",
+        "predicted_label",
+        at_least(F.col("churn_probability"), CHURN_LEVELS).alias("churn_risk_level"),
         F.col("nr_trns").alias("total_txns"),
         F.col("val_trns").alias("total_spend"),
         "days_since_last",
@@ -197,23 +215,19 @@ def score_churn(predictions, features, customers):
         "active_months",
         "active_destinations",
         "txn_trend",
-    )
-    return (
-        predictions.withColumn("churn_risk_level", at_least(F.col("churn_probability"), CHURN_LEVELS))
-        .join(activity_columns, "UNIQUE_ID")
-        .join(person, "UNIQUE_ID", "left")
+        *CHURN_PERSON,
     )
 
 
 # --- lifetime value ---------------------------------------------------------
 
 
-def clv_training_set(txns, customers, as_of, params, keep_id=False, bounded_ids=False):
+def clv_training_set(txns, customers, as_of, params, keep_id=False):
     """Features from months -18 to -6 and the spend of the last 6 months."""
     window = ActivityWindow(
         params.clv_observation_start, params.clv_future_months, params.trend_recent_months, params.trend_early_months
     )
-    observed = activity(txns, as_of, window, params.min_model_txns, bounded_ids)
+    observed = activity(txns, as_of, window, params.min_model_txns)
     future = (
         in_window(txns, months_before(as_of, params.clv_future_months))
         .groupBy("UNIQUE_ID")
@@ -228,9 +242,8 @@ def clv_training_set(txns, customers, as_of, params, keep_id=False, bounded_ids=
     )
 
 
-def clv_features_current(txns, as_of, params, bounded_ids=False):
-    window = ActivityWindow(params.window_months, 0, params.trend_recent_months, params.trend_early_months)
-    return activity(txns, as_of, window, params.min_model_txns, bounded_ids).withColumnRenamed("days_since_last", "recency_days")
+def clv_features_current(current):
+    return current.withColumnRenamed("days_since_last", "recency_days")
 
 
 _CLV_INPUTS = ["recency_days" if c == "days_since_last" else c for c in CLV_FEATURES]
@@ -243,12 +256,11 @@ def fit_clv(training, max_iter=50):
 
 
 def predict_clv(model, features, customers):
-    """The scoring features with predicted_future_spend."""
-    rows = _with_person(features, customers).na.fill(0, _CLV_INPUTS)
-    return model.transform(rows).select(*features.columns, "predicted_future_spend")
+    """The scoring features and demographics with predicted_future_spend."""
+    return _scored(model, features, customers, _CLV_INPUTS, CLV_PERSON, ["predicted_future_spend"])
 
 
-def score_clv(predictions, customers, params, **limits):
+def score_clv(predictions, params, **limits):
     """Predictions floored at zero, capped at the top percentile and cut into tiers.
 
     `predictions` must be a written table: the cap and the tier limits are selected
@@ -262,7 +274,6 @@ def score_clv(predictions, customers, params, **limits):
     capped = valued.withColumn("_value", strict_least(F.col("_value"), F.lit(cap).cast("double")))
     tiers = {params.quantiles - i: tier for i, tier in enumerate(CLV_TIERS)}
     quintile = global_ntile(capped, params.quantiles, ["_value", "UNIQUE_ID"], total=total, **limits)
-    person = customers.select("UNIQUE_ID", "age", "gender_label", "income_segment", "age_group", "income_group")
     return capped.select(
         "UNIQUE_ID",
         round_half("_value", 2).alias("predicted_clv"),
@@ -272,20 +283,23 @@ def score_clv(predictions, customers, params, **limits):
         "recency_days",
         "spend_trend",
         lookup_text(quintile, tiers).alias("clv_tier"),
-    ).join(person, "UNIQUE_ID", "left")
+        *CLV_PERSON,
+    )
 
 
 # --- evaluation -------------------------------------------------------------
 
 
-def _distance(a, b):
-    return F.sqrt(
-        F.aggregate(
-            F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda total, squared: total + squared
-        )
+def squared_distance(a, b):
+    return F.aggregate(
+        F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda total, squared: total + squared
     )
 
 
+def _distance(a, b):
+    return F.sqrt(squared_distance(a, b))
+
+
 def davies_bouldin(clustered):
     """Davies-Bouldin index and mean squared distance of clustered vectors.
 
@@ -373,11 +387,39 @@ def evaluate_clv(model, training):
 def centroid_table(clustered):
     """Mean of each feature per cluster, in original units."""
     means = clustered.groupBy("centroid_id").agg(
-        *[round_half(exact_avg(c, 2), 2).alias(c) for c in SEGMENT_FEATURES]
+        *[round_half(exact_avg(c), 2).alias(c) for c in SEGMENT_FEATURES]
     )
     return means.unpivot("centroid_id", SEGMENT_FEATURES, "feature", "value")
 
 
+def centroid_pivot(centroids, k=5):
+    """The centroid table with features as rows and clusters as columns."""
+    wide = centroids.groupBy("feature").pivot("centroid_id", list(range(1, k + 1))).agg(F.max("value"))
+    return wide.withColumnsRenamed({str(i): f"cluster_{i}" for i in range(1, k + 1)})
+
+
+def fit_checks(churn_model, churn_training, clv_model, clv_training, tolerance=1e-3):
+    """Whether the gradient of each fitted loss vanishes on the rows it was fitted on.
+
+    Per model one aggregation: the weighted mean of error x feature for every scaled
+    feature and for the intercept.
+    """
+    train, _ = _split(churn_training)
+    churn = churn_model.transform(class_weights(train.na.fill(0, CHURN_FEATURES)))
+    churn = churn.select(vector_to_array("features").alias("x"), "_weight", (vector_to_array("_probability")[1] - F.col("churned")).alias("e"))
+    train, _ = _split(clv_training)
+    clv = clv_model.transform(train.na.fill(0, _CLV_INPUTS)).withColumn("e", F.col("predicted_future_spend") - F.col("future_spend"))
+    scale = F.greatest(F.stddev_samp("future_spend"), F.lit(1e-9))
+    clv = clv.select(vector_to_array("features").alias("x"), F.lit(1.0).alias("_weight"), "e", "future_spend")
+
+    def optimum(rows, n, unit, name):
+        slopes = [F.abs(F.sum(F.col("_weight") * F.col("e") * F.col("x")[i]) / F.sum("_weight") / unit) for i in range(n)]
+        slopes.append(F.abs(F.sum(F.col("_weight") * F.col("e")) / F.sum("_weight") / unit))
+        return rows.agg((F.greatest(*slopes) < tolerance).alias("at_optimum")).select(F.lit(name).alias("model"), "at_optimum")
+
+    return optimum(churn, len(CHURN_FEATURES), F.lit(1.0), "churn").union(optimum(clv, len(_CLV_INPUTS), scale, "clv"))
+
+
 def _curve(spark, rows):
     """Iteration, loss and change; at most max_iter rows."""
     step = Window.orderBy("iteration")

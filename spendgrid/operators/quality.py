@@ -119,8 +119,8 @@ def consistency_checks(segments, churn, clv, momentum):
 
     def gap(left, key, right, value, dp, high, low):
         means = left.select("UNIQUE_ID", key).join(right.select("UNIQUE_ID", value), "UNIQUE_ID").agg(
-            exact_avg(value, dp, where=F.col(key) == high).alias("high"),
-            exact_avg(value, dp, where=F.col(key) == low).alias("low"),
+            exact_avg(value, where=F.col(key) == high).alias("high"),
+            exact_avg(value, where=F.col(key) == low).alias("low"),
         )
         return means.select((F.col("high") > F.col("low")).cast("int").alias("value"))
 
@@ -145,6 +145,21 @@ def consistency_checks(segments, churn, clv, momentum):
     )
 
 
+def table_health(layers):
+    """Layer, name, rows and status of every table; `layers` maps a layer to named tables."""
+    parts = [
+        df.agg(F.count("*").alias("row_count")).select(
+            F.lit(layer).alias("layer"),
+            F.lit(name).alias("table_name"),
+            "row_count",
+            F.when(F.col("row_count") > 0, "populated").otherwise("empty").alias("status"),
+        )
+        for layer, tables in layers.items()
+        for name, df in tables.items()
+    ]
+    return _append(parts)
+
+
 # Metric -> (exclusive lower limit, exclusive upper limit).
 CLUSTER_LIMITS = {"davies_bouldin_index": [(None, 2.0), (None, 1.5)]}
 CHURN_LIMITS = {

@@ -1,203 +0,0 @@
-"""Parameterised reports: category, merchant and thresholds are arguments."""
-
-from spendgrid.operators.reports.audiences import (
-    audience_band_breakdown,
-    audience_provinces,
-    audience_spend_breakdown,
-    brand_bands,
-    brand_coverage,
-    brand_other_categories,
-    brand_predicates,
-    brand_profile,
-    brand_segments,
-    category_cross_shop,
-    category_demographics,
-    category_leaders,
-    category_months,
-    category_pair_overlap,
-    category_segments,
-    category_size,
-    client_categories,
-    client_cross_shop,
-    client_demographics,
-    destination_spellings,
-    multi_category_audience,
-    search_categories,
-    search_names,
-    season_skewed_audience,
-    store_overlap,
-)
-from spendgrid.operators.reports.customers import (
-    at_risk_profile,
-    best_and_worst_cohorts,
-    churn_by,
-    churn_levels,
-    churn_reasons,
-    churn_samples,
-    clv_by_band,
-    clv_by_segment,
-    clv_by_tier,
-    cohort_sizes,
-    momentum_mix,
-    probability_bands,
-    recent_cohorts,
-    retention_curve,
-    retention_milestones,
-    retention_pivot,
-    revenue_concentration,
-    risk_by_demographics,
-    segment_radar,
-    value_at_risk,
-    win_back,
-)
-from spendgrid.operators.reports.merchants import (
-    affinity_matrix,
-    benchmark_vs_competitors,
-    best_pitch_per_category,
-    category_list,
-    client_kpis,
-    client_vs_category_trend,
-    cross_sell,
-    defend_list,
-    demographic_rollup,
-    destination_list,
-    health_counts,
-    largest_pairs,
-    pick_default_client,
-    pitch_by_action,
-    pitch_ranking,
-    propensity_by_segment,
-    propensity_heatmap,
-    propensity_pivot,
-    province_rollup,
-    roi_scenarios,
-    scorecard_mix,
-    scorecard_top,
-    share_verdict,
-    strongest_affinities,
-    top_municipalities,
-    top_propensity,
-    wallet_bands,
-    wallet_summary,
-)
-from spendgrid.operators.reports.overview import (
-    CORRELATIONS,
-    FEATURES,
-    analysis_window,
-    band_distribution,
-    customer_profile,
-    data_overview,
-    feature_correlations,
-    feature_stats,
-    monthly_volume,
-    null_profile,
-    outlier_counts,
-    quintile_distribution,
-    sample_rows,
-    top_categories,
-    top_destinations,
-)
-from spendgrid.operators.reports.usage import (
-    finished_jobs,
-    usage_by_day,
-    usage_by_table,
-    usage_top,
-    usage_totals,
-)
-
-__all__ = [
-    "CORRELATIONS",
-    "FEATURES",
-    "affinity_matrix",
-    "analysis_window",
-    "at_risk_profile",
-    "audience_band_breakdown",
-    "audience_provinces",
-    "audience_spend_breakdown",
-    "band_distribution",
-    "benchmark_vs_competitors",
-    "best_and_worst_cohorts",
-    "best_pitch_per_category",
-    "brand_bands",
-    "brand_coverage",
-    "brand_other_categories",
-    "brand_predicates",
-    "brand_profile",
-    "brand_segments",
-    "category_cross_shop",
-    "category_demographics",
-    "category_leaders",
-    "category_list",
-    "category_months",
-    "category_pair_overlap",
-    "category_segments",
-    "category_size",
-    "churn_by",
-    "churn_levels",
-    "churn_reasons",
-    "churn_samples",
-    "client_categories",
-    "client_cross_shop",
-    "client_demographics",
-    "client_kpis",
-    "client_vs_category_trend",
-    "clv_by_band",
-    "clv_by_segment",
-    "clv_by_tier",
-    "cohort_sizes",
-    "cross_sell",
-    "customer_profile",
-    "data_overview",
-    "defend_list",
-    "demographic_rollup",
-    "destination_list",
-    "destination_spellings",
-    "feature_correlations",
-    "feature_stats",
-    "finished_jobs",
-    "health_counts",
-    "largest_pairs",
-    "momentum_mix",
-    "monthly_volume",
-    "multi_category_audience",
-    "null_profile",
-    "outlier_counts",
-    "pick_default_client",
-    "pitch_by_action",
-    "pitch_ranking",
-    "probability_bands",
-    "propensity_by_segment",
-    "propensity_heatmap",
-    "propensity_pivot",
-    "province_rollup",
-    "quintile_distribution",
-    "recent_cohorts",
-    "retention_curve",
-    "retention_milestones",
-    "retention_pivot",
-    "revenue_concentration",
-    "risk_by_demographics",
-    "roi_scenarios",
-    "sample_rows",
-    "scorecard_mix",
-    "scorecard_top",
-    "search_categories",
-    "search_names",
-    "season_skewed_audience",
-    "segment_radar",
-    "share_verdict",
-    "store_overlap",
-    "strongest_affinities",
-    "top_categories",
-    "top_destinations",
-    "top_municipalities",
-    "top_propensity",
-    "usage_by_day",
-    "usage_by_table",
-    "usage_top",
-    "usage_totals",
-    "value_at_risk",
-    "wallet_bands",
-    "wallet_summary",
-    "win_back",
-]

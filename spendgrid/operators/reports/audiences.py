@@ -4,7 +4,7 @@ from functools import reduce
 
 from pyspark.sql import functions as F
 
-from spendgrid.functions.dialect import count_where, exact_avg, exact_sum, local_frame, pct, round_half, scaled
+from spendgrid.functions.dialect import count_where, exact_avg, exact_sum, local_frame, pct, round_half
 from spendgrid.operators.reports.common import is_value
 from spendgrid.operators.staging import UNKNOWN, last_months
 
@@ -17,13 +17,13 @@ def audience_spend_breakdown(members, ccs, by, min_customers=50):
     Spend is first reduced to one row per customer and value and the audiences to
     one array per customer, so the join carries no duplicates.
     """
-    spend = ccs.groupBy("UNIQUE_ID", by).agg(F.sum(scaled("dest_spend", 2)).alias("cents"))
+    spend = ccs.groupBy("UNIQUE_ID", by).agg(exact_sum("dest_spend").alias("spend"))
     lists = members.groupBy("UNIQUE_ID").agg(F.collect_list("audience_id").alias("audiences"))
     return (
         spend.join(lists, "UNIQUE_ID")
-        .select(by, "cents", F.explode("audiences").alias("audience_id"))
+        .select(by, "spend", F.explode("audiences").alias("audience_id"))
         .groupBy("audience_id", by)
-        .agg(F.count("*").alias("customers"), round_half(F.sum("cents") / F.lit(100.0), 0).alias("spend"))
+        .agg(F.count("*").alias("customers"), round_half(exact_sum("spend"), 0).alias("spend"))
         .where(F.col("customers") >= min_customers)
     )
 
@@ -107,9 +107,9 @@ def _cross_shop(rows, audience, keys, n):
     return (
         rows.join(audience.select("UNIQUE_ID"), "UNIQUE_ID", "left_semi")
         .groupBy("UNIQUE_ID", *keys)
-        .agg(F.sum(scaled("dest_spend", 2)).alias("cents"))
+        .agg(exact_sum("dest_spend").alias("spend"))
         .groupBy(*keys)
-        .agg(F.count("*").alias("customers"), round_half(F.sum("cents") / F.lit(100.0), 0).alias("spend"))
+        .agg(F.count("*").alias("customers"), round_half(exact_sum("spend"), 0).alias("spend"))
         .orderBy(F.desc("spend"), *keys)
         .limit(n)
     )
@@ -163,10 +163,10 @@ def category_demographics(ccs, customers, category, band, keep_unknown=False):
     return (
         ccs.where(is_value("CATEGORY_TWO", category))
         .groupBy("UNIQUE_ID")
-        .agg(F.sum(scaled("dest_spend", 2)).alias("cents"))
+        .agg(exact_sum("dest_spend").alias("spend"))
         .join(bands, "UNIQUE_ID")
         .groupBy(band)
-        .agg(F.count("*").alias("customers"), round_half(F.sum("cents") / F.lit(100.0), 0).alias("spend"))
+        .agg(F.count("*").alias("customers"), round_half(exact_sum("spend"), 0).alias("spend"))
     )
 
 
@@ -282,6 +282,17 @@ def client_demographics(ccs, customers, client):
     )
 
 
+def pattern_shoppers(ccs, pattern):
+    """Customers of any merchant whose name matches a LIKE pattern, in any case."""
+    return ccs.where(F.upper("DESTINATION").like(pattern.upper())).select("UNIQUE_ID").distinct()
+
+
+def pattern_audience(ccs, customers, pattern, band):
+    """Shoppers of all merchants that match the pattern, per value of a band; a shopper counts once."""
+    people = customers.select("UNIQUE_ID", band)
+    return pattern_shoppers(ccs, pattern).join(people, "UNIQUE_ID").groupBy(band).agg(F.count("*").alias("customers"))
+
+
 def client_cross_shop(ccs, client, excluded_category, n=50):
     """Merchants outside the client's own category that its customers use."""
     buyers = ccs.where(is_value("DESTINATION", client))

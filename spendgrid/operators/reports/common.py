@@ -10,4 +10,4 @@ def is_value(column, value):
 
 
 def mean_pct(column="churn_probability"):
-    return round_half(exact_avg(column, 4) * F.lit(100.0), 1)
+    return round_half(exact_avg(column) * F.lit(100.0), 1)

@@ -71,7 +71,7 @@ def churn_levels(churn):
             F.count("*").alias("customers"),
             mean_pct().alias("avg_churn_pct"),
             round_half(exact_sum("total_spend"), 0).alias("spend"),
-            round_half(exact_avg("days_since_last", 0), 0).alias("avg_days"),
+            round_half(exact_avg("days_since_last"), 0).alias("avg_days"),
         )
         .withColumn("level_order", position_in(F.col("churn_risk_level"), levels).cast("bigint"))
         .orderBy("level_order")
@@ -108,9 +108,9 @@ def at_risk_profile(explained):
         mean_pct().alias("avg_churn_pct"),
         round_half(exact_avg("total_spend"), 0).alias("avg_spend"),
         round_half(exact_sum("total_spend"), 0).alias("total_spend_at_risk"),
-        round_half(exact_avg("days_since_last", 0), 0).alias("avg_days_inactive"),
-        round_half(exact_avg("txns_last_3m", 0), 1).alias("avg_recent_txns"),
-        round_half(exact_avg("txns_prev_3m", 0), 1).alias("avg_prior_txns"),
+        round_half(exact_avg("days_since_last"), 0).alias("avg_days_inactive"),
+        round_half(exact_avg("txns_last_3m"), 1).alias("avg_recent_txns"),
+        round_half(exact_avg("txns_prev_3m"), 1).alias("avg_prior_txns"),
     )
 
 
@@ -137,7 +137,7 @@ def momentum_mix(momentum, statuses=None):
     return rows.groupBy("momentum_status").agg(
         F.count("*").alias("customers"),
         round_half(exact_avg("total_spend_12m"), 0).alias("avg_spend"),
-        round_half(exact_avg("spend_change_pct", 1), 1).alias("avg_spend_change"),
+        round_half(exact_avg("spend_change_pct"), 1).alias("avg_spend_change"),
         round_half(exact_avg("urgency_score"), 2).alias("avg_urgency"),
         round_half(exact_sum("total_spend_12m"), 0).alias("total_spend"),
     )
@@ -171,7 +171,7 @@ def retention_milestones(cohorts, min_size=1000, months=(1, 3, 6, 12)):
     return (
         cohorts.where((F.col("cohort_size") >= min_size) & F.col("months_since_first").isin(list(months)))
         .groupBy(F.col("months_since_first").alias("months"))
-        .agg(round_half(exact_avg("retention_pct", 1), 2).alias("avg_retention_pct"))
+        .agg(round_half(exact_avg("retention_pct"), 2).alias("avg_retention_pct"))
     )
 
 
@@ -179,7 +179,7 @@ def retention_curve(cohorts, min_size=1000):
     return (
         cohorts.where((F.col("cohort_size") >= min_size) & F.col("months_since_first").between(0, 12))
         .groupBy("months_since_first")
-        .agg(round_half(exact_avg("retention_pct", 1), 1).alias("ret"))
+        .agg(round_half(exact_avg("retention_pct"), 1).alias("ret"))
     )
 
 

@@ -22,7 +22,7 @@ from spendgrid.operators.reports.common import is_value
 def pick_default_client(benchmarks, category=None):
     """Largest category (unless given) and its largest merchant, as plain values."""
     if category is None:
-        spend = benchmarks.groupBy("CATEGORY_TWO").agg(exact_sum("total_spend", 0).alias("spend"))
+        spend = benchmarks.groupBy("CATEGORY_TWO").agg(exact_sum("total_spend").alias("spend"))
         category = spend.orderBy(F.desc("spend"), "CATEGORY_TWO").first()["CATEGORY_TWO"]
     leader = benchmarks.where(is_value("CATEGORY_TWO", category)).orderBy(F.desc("total_spend"), "DESTINATION").first()
     return category, leader["DESTINATION"]
@@ -50,7 +50,7 @@ def wallet_summary(ccs, category, client):
         .agg(
             exact_sum("dest_spend").alias("category_spend"),
             exact_sum("dest_spend", where=of_client).alias("client_spend"),
-            exact_avg("share_of_wallet_pct", 1, where=of_client).alias("share"),
+            exact_avg("share_of_wallet_pct", where=of_client).alias("share"),
         )
     )
     buys = F.col("client_spend") > 0
@@ -58,7 +58,7 @@ def wallet_summary(ccs, category, client):
         F.count("*").alias("category_customers"),
         count_where(buys).alias("client_customers"),
         pct(count_where(buys), F.count("*")).alias("penetration"),
-        round_half(exact_avg("share", 1, where=buys), 1).alias("avg_share"),
+        round_half(exact_avg("share", where=buys), 1).alias("avg_share"),
         round_half(exact_sum("client_spend"), 0).alias("total_client_spend"),
         round_half(exact_sum("category_spend"), 0).alias("total_category_spend"),
     )
@@ -103,7 +103,7 @@ def share_verdict(benchmarks, category, client, n=5):
     mean = F.col("competitor_mean")
     return field.agg(
         F.max(F.when(is_client, F.col("market_share_pct"))).alias("client_share"),
-        exact_avg("market_share_pct", 2, where=~is_client).alias("competitor_mean"),
+        exact_avg("market_share_pct", where=~is_client).alias("competitor_mean"),
     ).select(
         "client_share",
         round_half(mean, 1).alias("competitor_mean"),
@@ -119,7 +119,7 @@ def client_vs_category_trend(trends, category, client):
         return [
             F.coalesce(F.sum(F.when(where, F.col("txn_count"))), F.lit(0)).alias(f"{prefix}_txns"),
             F.coalesce(F.sum(F.when(where, F.col("customer_count"))), F.lit(0)).alias(f"{prefix}_customers"),
-            F.coalesce(exact_sum("total_spend", 0, where=where), F.lit(0.0)).alias(f"{prefix}_spend"),
+            F.coalesce(exact_sum("total_spend", where=where), F.lit(0.0)).alias(f"{prefix}_spend"),
         ]
 
     return (
@@ -156,7 +156,7 @@ def province_rollup(geo, category):
         .agg(
             F.sum("customers").alias("customers"),
             F.sum("transactions").alias("transactions"),
-            exact_sum("total_spend", 0).alias("total_spend"),
+            exact_sum("total_spend").alias("total_spend"),
         )
         .withColumn("pct", share_of_total("total_spend"))
     )
@@ -166,7 +166,7 @@ def top_municipalities(geo, category, n=15):
     return (
         geo.where(is_value("CATEGORY_TWO", category))
         .groupBy("PROVINCE", "MUNICIPALITY")
-        .agg(F.sum("customers").alias("customers"), exact_sum("total_spend", 0).alias("total_spend"))
+        .agg(F.sum("customers").alias("customers"), exact_sum("total_spend").alias("total_spend"))
         .orderBy(F.desc("total_spend"), "PROVINCE", "MUNICIPALITY")
         .limit(n)
     )
@@ -177,14 +177,14 @@ def demographic_rollup(demographics, category, by):
     return (
         demographics.where(is_value("CATEGORY_TWO", category))
         .groupBy(*([by] if isinstance(by, str) else by))
-        .agg(F.sum("customers").alias("customers"), exact_sum("total_spend", 0).alias("spend"))
+        .agg(F.sum("customers").alias("customers"), exact_sum("total_spend").alias("spend"))
     )
 
 
 def category_list(benchmarks, n=20):
     return (
         benchmarks.groupBy("CATEGORY_TWO")
-        .agg(F.count("*").alias("destinations"), exact_sum("total_spend", 0).alias("total_spend"))
+        .agg(F.count("*").alias("destinations"), exact_sum("total_spend").alias("total_spend"))
         .orderBy(F.desc("total_spend"), "CATEGORY_TWO")
         .limit(n)
     )
@@ -225,9 +225,9 @@ def pitch_ranking(pitch, n=20):
 def pitch_by_action(pitch):
     return pitch.groupBy("recommended_action").agg(
         F.count("*").alias("num_clients"),
-        exact_sum("total_spend", 0).alias("total_spend"),
-        exact_sum("addressable_market", 0).alias("total_addressable"),
-        round_half(exact_avg("pitch_score", 2), 2).alias("avg_pitch_score"),
+        exact_sum("total_spend").alias("total_spend"),
+        exact_sum("addressable_market").alias("total_addressable"),
+        round_half(exact_avg("pitch_score"), 2).alias("avg_pitch_score"),
     )
 
 
@@ -302,6 +302,36 @@ def affinity_matrix(affinity, categories):
     )
 
 
+def largest_categories(affinity, top=15):
+    """Categories that occur in most pairs; ties go by name."""
+    names = affinity.select(F.explode(F.array("category_a", "category_b")).alias("category"))
+    return names.groupBy("category").agg(F.count("*").alias("pairs")).orderBy(F.desc("pairs"), "category").limit(top)
+
+
+def affinity_cells(affinity, top=15):
+    """Symmetric lift matrix of the categories in most pairs, a row per cell; missing pairs are 0."""
+    largest = largest_categories(affinity, top).agg(F.sort_array(F.collect_list("category")).alias("all"))
+    cells = largest.select(F.explode("all").alias("category"), "all").select("category", F.explode("all").alias("other"))
+    swapped = affinity.select(F.col("category_b").alias("category"), F.col("category_a").alias("other"), "lift")
+    both = affinity.select(F.col("category_a").alias("category"), F.col("category_b").alias("other"), "lift").union(swapped)
+    return cells.join(both, ["category", "other"], "left").na.fill(0.0, ["lift"])
+
+
+def adoption_pivot(propensity, top=15):
+    """Adoption rates with segments as rows and the categories of largest potential as columns.
+
+    At most `top` names come to the driver, to name the columns.
+    """
+    largest = (
+        propensity.groupBy("CATEGORY_TWO")
+        .agg(exact_sum("potential_revenue").alias("_potential"))
+        .orderBy(F.desc("_potential"), "CATEGORY_TWO")
+        .limit(top)
+        .collect()
+    )
+    return propensity_pivot(propensity, [r["CATEGORY_TWO"] for r in largest])
+
+
 def cross_sell(affinity, min_lift=1.2, max_jaccard=30.0, n=15):
     """Pairs with high lift and low overlap, with the customers still missing on each side."""
     return (
@@ -315,7 +345,7 @@ def cross_sell(affinity, min_lift=1.2, max_jaccard=30.0, n=15):
 
 def health_counts(scorecard):
     return scorecard.groupBy("health_status").agg(
-        F.count("*").alias("categories"), exact_sum("total_spend", 0).alias("total_spend")
+        F.count("*").alias("categories"), exact_sum("total_spend").alias("total_spend")
     )
 
 
@@ -357,7 +387,7 @@ def propensity_heatmap(propensity, top=15):
     """Adoption rates for the categories with the largest potential."""
     largest = (
         propensity.groupBy("CATEGORY_TWO")
-        .agg(exact_sum("potential_revenue", 0).alias("_potential"))
+        .agg(exact_sum("potential_revenue").alias("_potential"))
         .orderBy(F.desc("_potential"), "CATEGORY_TWO")
         .limit(top)
     )
@@ -382,6 +412,6 @@ def propensity_by_segment(propensity):
         .groupBy("segment_name")
         .agg(
             F.sum("unadopted_customers").alias("total_unadopted"),
-            exact_sum("potential_revenue", 0).alias("total_potential"),
+            exact_sum("potential_revenue").alias("total_potential"),
         )
     )

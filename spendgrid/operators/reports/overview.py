@@ -11,7 +11,6 @@ from spendgrid.functions.dialect import (
     pct,
     ratio,
     round_half,
-    scaled,
     spread,
 )
 from spendgrid.operators.reports.common import is_value
@@ -35,10 +34,10 @@ FEATURES = [
 
 def data_overview(txns):
     """One row of totals; names are counted on rows reduced to distinct names."""
-    cents, n = F.sum("cents"), F.sum("n")
+    spend, n = exact_sum("spend"), F.sum("n")
     reduced = txns.groupBy("CATEGORY_TWO", "DESTINATION", "PROVINCE").agg(
         F.count("*").alias("n"),
-        F.sum(scaled("trns_amt", 2)).alias("cents"),
+        exact_sum("trns_amt").alias("spend"),
         F.min("EFF_DATE").alias("first"),
         F.max("EFF_DATE").alias("last"),
     )
@@ -48,8 +47,8 @@ def data_overview(txns):
         first.alias("earliest_date"),
         last.alias("latest_date"),
         month_span(last, first).cast("bigint").alias("months_of_data"),
-        round_half(cents / F.lit(100.0), 0).alias("total_spend"),
-        round_half(ratio(cents / F.lit(100.0), n), 2).alias("avg_transaction"),
+        round_half(spend, 0).alias("total_spend"),
+        round_half(ratio(spend, n), 2).alias("avg_transaction"),
         F.count_distinct("CATEGORY_TWO").alias("distinct_categories"),
         F.count_distinct("DESTINATION").alias("distinct_destinations"),
         F.count_distinct("PROVINCE").alias("distinct_provinces"),
@@ -98,6 +97,17 @@ def customer_profile(customers):
     )
 
 
+def value_counts(customers, column):
+    """Customers per value, unknown ones included."""
+    return customers.groupBy(column).agg(F.count("*").alias("customers"))
+
+
+def income_range(customers):
+    """Smallest, largest and mean income of customers that have one."""
+    income = F.col("estimated_income")
+    return customers.where(income > 0).agg(F.min(income).alias("min_inc"), F.max(income).alias("max_inc"), round_half(exact_avg(income), 0).alias("avg_inc"))
+
+
 def band_distribution(customers, band):
     return customers.where(F.col(band) != UNKNOWN).groupBy(band).agg(F.count("*").alias("customers"))
 
@@ -205,8 +215,10 @@ def quintile_distribution(scores):
     )
 
 
-def sample_rows(df, n, seed=42, columns=FEATURES):
-    """About n random rows without a global sort: oversample, then limit."""
-    total = df.count()
-    fraction = min(1.0, 1.2 * n / total) if total else 1.0
-    return df.select(*columns).sample(fraction=fraction, seed=seed).limit(n)
+def sample_rows(df, n, seed=42, columns=FEATURES, key="UNIQUE_ID"):
+    """Exactly n rows (all, if fewer), every row as likely as any other: the smallest hashes of seed and key.
+
+    A top-n plan: each task keeps n rows, none are sorted globally.
+    """
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
+    return df.orderBy(digest, key).limit(n).select(*columns)

@@ -1,6 +1,5 @@
 """Raw transactions and snapshots to the two staged tables."""
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 # Raw snapshot column -> name.
@@ -70,19 +69,32 @@ def stage_transactions(raw, lookups):
         F.trunc("EFF_DATE", "MM").alias("txn_month"),
     )
     for name, key in LOOKUP_KEYS.items():
-        facts = facts.join(lookups[name], key, "left")
+        facts = _looked_up(facts, lookups[name], key)
     return facts.withColumnsRenamed({"X": "longitude", "Y": "latitude"})
 
 
+def _looked_up(facts, lookup, key):
+    """Left join that spreads the rows without a key, which match nothing.
+
+    A second join column is 0 for all rows with a key and random for the others, so that a
+    shuffle join does not send these to one task.
+    """
+    spread = F.when(F.col(key).isNull(), F.pmod(F.xxhash64("UNIQUE_ID", "EFF_DATE"), F.lit(1 << 20)) + 1).otherwise(0)
+    zero = F.when(F.col(key).isNull(), 1).otherwise(0).cast("bigint")
+    return facts.withColumn("_spread", spread.cast("bigint")).join(lookup.withColumn("_spread", zero), [key, "_spread"], "left").drop("_spread")
+
+
 def latest_snapshot(snapshots):
-    """Newest row per customer; rows of the same month are ordered by content."""
-    newest = Window.partitionBy("UNIQUE_ID").orderBy(F.col("month").desc(), *[F.col(c) for c in DEMOGRAPHICS])
-    return (
-        snapshots.where(F.col("UNIQUE_ID").isNotNull())
-        .withColumn("_n", F.row_number().over(newest))
-        .where(F.col("_n") == 1)
-        .drop("_n")
-    )
+    """Newest row per customer; rows of the same month are ordered by content, NULLs first.
+
+    A minimum per customer combines on the map side, where a ranking window would sort
+    every snapshot.
+    """
+    age = F.datediff(F.lit("9999-12-31").cast("date"), "month")
+    order = F.struct(F.col("month").isNull(), age, *[F.col(c) for c in DEMOGRAPHICS])
+    rest = F.struct(*[c for c in snapshots.columns if c != "UNIQUE_ID"])
+    newest = snapshots.where(F.col("UNIQUE_ID").isNotNull()).groupBy("UNIQUE_ID").agg(F.min_by(rest, order).alias("row"))
+    return newest.select("UNIQUE_ID", "row.*").select(*snapshots.columns)
 
 
 def stage_customers(snapshots):

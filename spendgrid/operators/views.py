@@ -61,10 +61,10 @@ def customer_segments(segments):
             F.count("*").alias("customers"),
             exact_sum("val_trns").alias("_spend"),
             round_half(exact_avg("val_trns"), 0).alias("avg_spend"),
-            round_half(exact_avg("nr_trns", 0), 0).alias("avg_transactions"),
-            round_half(exact_avg("lst_trns_days", 0), 0).alias("avg_recency_days"),
-            round_half(exact_avg("active_destinations", 0), 1).alias("avg_merchants"),
-            round_half(exact_avg("active_months", 0), 1).alias("avg_active_months"),
+            round_half(exact_avg("nr_trns"), 0).alias("avg_transactions"),
+            round_half(exact_avg("lst_trns_days"), 0).alias("avg_recency_days"),
+            round_half(exact_avg("active_destinations"), 1).alias("avg_merchants"),
+            round_half(exact_avg("active_months"), 1).alias("avg_active_months"),
         )
         .withColumn("pct_customers", share_of_total("customers"))
         .withColumn("pct_revenue", share_of_total("_spend"))
@@ -78,11 +78,11 @@ def churn_risk_summary(churn):
         churn.groupBy("churn_risk_level")
         .agg(
             F.count("*").alias("customers"),
-            round_half(exact_avg("churn_probability", 4) * F.lit(100.0), 1).alias("avg_churn_pct"),
+            round_half(exact_avg("churn_probability") * F.lit(100.0), 1).alias("avg_churn_pct"),
             round_half(exact_sum("total_spend"), 0).alias("total_spend_at_risk"),
             round_half(exact_avg("total_spend"), 0).alias("avg_spend"),
-            round_half(exact_avg("days_since_last", 0), 0).alias("avg_days_since_last"),
-            round_half(exact_avg("txns_last_3m", 0), 1).alias("avg_recent_txns"),
+            round_half(exact_avg("days_since_last"), 0).alias("avg_days_since_last"),
+            round_half(exact_avg("txns_last_3m"), 1).alias("avg_recent_txns"),
         )
         .withColumn("pct_of_total", share_of_total("customers"))
     )
@@ -97,10 +97,10 @@ def dashboard_segments(segments, summary):
     stats = segments.groupBy("segment_name").agg(
         F.count("*").alias("customers"),
         round_half(exact_avg("val_trns"), 0).alias("avg_spend"),
-        round_half(exact_avg("nr_trns", 0), 0).alias("avg_txns"),
-        round_half(exact_avg("lst_trns_days", 0), 0).alias("avg_recency_days"),
-        round_half(exact_avg("active_destinations", 0), 1).alias("avg_merchants"),
-        round_half(exact_avg("active_months", 0), 1).alias("avg_active_months"),
+        round_half(exact_avg("nr_trns"), 0).alias("avg_txns"),
+        round_half(exact_avg("lst_trns_days"), 0).alias("avg_recency_days"),
+        round_half(exact_avg("active_destinations"), 1).alias("avg_merchants"),
+        round_half(exact_avg("active_months"), 1).alias("avg_active_months"),
         round_half(
             ratio_avg(
                 ratio(F.col("NR_TRNS_WEEKEND") * F.lit(100.0), F.col("NR_TRNS_WEEKEND") + F.col("NR_TRNS_WEEK"))
@@ -221,27 +221,30 @@ def pitch_external(benchmarks):
     return benchmarks.select(*_PITCH, masked.alias("display_name"), F.lit("external").alias("view_mode"))
 
 
-def register_views(warehouse):
-    """Session temp views for the plain tables, by presentation name."""
-    names = {
-        "v_spend_share": "benchmarks",
-        "v_demographics": "demographic_summary",
-        "v_monthly_trends": "monthly_trends",
-        "v_churn_detail": "churn",
-        "v_behavioral": "behavioral_summary",
-        "v_cluster_profiles": "cluster_profiles",
-        "v_cohort_retention": "cohort_retention",
-        "v_category_affinity": "category_affinity",
-        "v_category_scorecard": "category_scorecard",
-        "v_pitch_opportunities": "pitch_opportunities",
-        "v_spend_momentum": "momentum",
-        "v_churn_explained": "churn_explained",
-        "v_category_propensity": "category_propensity",
-        "v_customer_clv": "clv",
-        "v_cluster_summary": "cluster_summary",
-        "v_audience_catalog": "audience_catalog",
-        "v_audience_client_overlap": "audience_client_overlap",
-    }
-    for view, table in names.items():
-        warehouse.table(table).createOrReplaceTempView(view)
+# Presentation name -> table.
+VIEW_TABLES = {
+    "v_spend_share": "benchmarks",
+    "v_demographics": "demographic_summary",
+    "v_monthly_trends": "monthly_trends",
+    "v_churn_detail": "churn",
+    "v_behavioral": "behavioral_summary",
+    "v_cluster_profiles": "cluster_profiles",
+    "v_cohort_retention": "cohort_retention",
+    "v_category_affinity": "category_affinity",
+    "v_category_scorecard": "category_scorecard",
+    "v_pitch_opportunities": "pitch_opportunities",
+    "v_spend_momentum": "momentum",
+    "v_churn_explained": "churn_explained",
+    "v_category_propensity": "category_propensity",
+    "v_customer_clv": "clv",
+    "v_cluster_summary": "cluster_summary",
+    "v_audience_catalog": "audience_catalog",
+    "v_audience_client_overlap": "audience_client_overlap",
+}
+
+
+def register_views(warehouse, names=tuple(VIEW_TABLES)):
+    """Session temp views for the plain tables, by presentation name; only the named ones are built."""
+    for view in names:
+        warehouse.table(VIEW_TABLES[view]).createOrReplaceTempView(view)
     return sorted(names)

@@ -3,7 +3,7 @@
 from functools import partial
 
 from spendgrid.params import SMALL_DATA
-from spendgrid.plans import queries_core, queries_reports  # noqa: F401  (fill the registry)
+from spendgrid.plans import queries_core, queries_more, queries_reports  # noqa: F401  (fill the registry)
 from spendgrid.plans.oracle import sql_for
 from spendgrid.plans.registry import QUERIES
 from spendgrid.plans.warehouse import Warehouse

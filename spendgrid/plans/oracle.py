@@ -420,7 +420,7 @@ RELATIONS = {
           when days_since_last > 60 then printf('Last seen %d days ago', days_since_last)
           else 'Spending trend declining' end as reason_2,
         case when narrow and not fell then printf('Low merchant diversity (%d)', active_destinations)
-          when txn_trend < 0.5 then printf('Spend trend ratio: %.2f', txn_trend)
+          when txn_trend < 0.5 then 'Spend trend ratio: ' || regexp_replace(printf('%.6f', txn_trend), '[.]?0+$', '')
           when active_months <= 6 then printf('Low engagement: %d active months', active_months)
           else 'Multiple declining signals' end as reason_3
       from f""",

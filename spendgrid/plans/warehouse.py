@@ -6,7 +6,6 @@ executor costs a re-read, not a recomputation. Views and reports stay lazy.
 """
 
 import hashlib
-from functools import reduce
 
 from pyspark.sql import functions as F
 
@@ -28,7 +27,7 @@ STORED = {
     "merchant_totals": _PLAIN,
     "destination_metrics": _MERCHANT,
     "churn_training": _PLAIN,
-    "churn_features": _PLAIN,
+    "activity_current": _PLAIN,
     "clv_training": _PLAIN,
     "segments": ([], ["segment_name"]),
     "churn": ([], ["churn_risk_level"]),
@@ -56,7 +55,6 @@ STORED = {
     "audience_catalog": _PLAIN,
     "audience_client_overlap": _MERCHANT,
 }
-SMALL_LOOKUP = 1_000_000
 _BUILT = {}
 
 
@@ -64,7 +62,8 @@ class Warehouse:
     """Derived tables of one set of raw tables, by name.
 
     `raw` is a callable returning RawTables and `key` names the source, usually its
-    folder. With modelled=False the segment, churn and value tables come from fixed
+    folder: derived tables are shared between warehouses of the same folder as long as
+    its files stay as they are. With modelled=False the segment, churn and value tables come from fixed
     formulas in place of fitted models, which makes every table reproducible in plain
     SQL; with modelled=True models are fitted.
     """
@@ -78,8 +77,9 @@ class Warehouse:
         self._raw = None
         self._lazy = {}
         app = spark.sparkContext.applicationId
-        # the staged and feature tables do not depend on the models
-        self._base = f"{app}/{_digest(key, self.params)}"
+        # The staged and feature tables do not depend on the models; other files, or the
+        # same files changed, are another source.
+        self._base = f"{app}/{_digest(key, state_of(spark, key), self.params)}"
         self._root = shared_folder(spark)
 
     @property
@@ -95,16 +95,6 @@ class Warehouse:
             _BUILT[slot] = staging.date_bounds(self.table("transactions"))
         return _BUILT[slot]
 
-    @property
-    def bounded_ids(self):
-        """Whether every lookup is small enough for a set of its ids to fit a task."""
-        slot = (self._root, self._base, "bounded_ids")
-        if slot not in _BUILT:
-            sizes = [lookup.limit(SMALL_LOOKUP + 1).agg(F.count("*").alias("n")) for lookup in self.raw.lookups.values()]
-            largest = reduce(lambda a, b: a.unionByName(b), sizes).agg(F.max("n")).first()[0]
-            _BUILT[slot] = largest <= SMALL_LOOKUP
-        return _BUILT[slot]
-
     def __getattr__(self, name):
         if name.startswith("_") or not hasattr(type(self), f"_build_{name}"):
             raise AttributeError(name)
@@ -115,16 +105,25 @@ class Warehouse:
             if name not in self._lazy:
                 self._lazy[name] = getattr(self, f"_build_{name}")()
             return self._lazy[name]
-        variant = "modelled" if self.modelled and name in _MODEL_TABLES else "fixed"
-        slot = (self._root, self._base, variant, name)
+        slot = self._slot(name)
         if slot not in _BUILT:
-            path = f"{self._root}/spendgrid/{self._base}/{variant}/{name}"
-            partition_by, cluster_by = STORED[name]
-            stored = write_table(getattr(self, f"_build_{name}")(), path, partition_by, cluster_by)
-            _BUILT[slot] = (path, stored.schema)
+            self.store_in(name, f"{self._root}/spendgrid/{self._base}/{slot[2]}/{name}")
         path, schema = _BUILT[slot]
         return self.spark.read.schema(schema).parquet(path)
 
+    def _slot(self, name):
+        variant = "modelled" if self.modelled and name in _MODEL_TABLES else "fixed"
+        return (self._root, self._base, variant, name)
+
+    def store_in(self, name, path):
+        """Build a stored table into path, or copy it there when it stands elsewhere already."""
+        slot = self._slot(name)
+        if slot in _BUILT and _BUILT[slot][0] == path:
+            return
+        built = self.table(name) if slot in _BUILT else getattr(self, f"_build_{name}")()
+        stored = write_table(built, path, *STORED[name])
+        _BUILT[slot] = (path, stored.schema)
+
     def scratch(self, name):
         """Folder in the shared folder for files of one query."""
         return f"{self._root}/spendgrid/{self._base}/scratch/{name}"
@@ -145,7 +144,7 @@ class Warehouse:
 
     def _build_customer_category_spend(self):
         return features.customer_category_spend(
-            self.transactions, self.as_of, self.params.window_months, self.bounded_ids
+            self.transactions, self.as_of, self.params.window_months
         )
 
     def _build_merchant_totals(self):
@@ -157,7 +156,7 @@ class Warehouse:
     def _build_rfm_features(self):
         p = self.params
         return features.rfm_features(
-            self.transactions, self.as_of, p.window_months, p.min_feature_txns, p.median_accuracy, self.bounded_ids
+            self.transactions, self.as_of, p.window_months, p.min_feature_txns, p.median_accuracy
         )
 
     def _build_rfm_scores(self):
@@ -177,19 +176,22 @@ class Warehouse:
 
     def _build_churn_training(self):
         return ml.churn_training_set(
-            self.transactions, self.customers, self.as_of, self.params, bounded_ids=self.bounded_ids
+            self.transactions, self.customers, self.as_of, self.params
         )
 
     def _build_clv_training(self):
         return ml.clv_training_set(
-            self.transactions, self.customers, self.as_of, self.params, bounded_ids=self.bounded_ids
+            self.transactions, self.customers, self.as_of, self.params
         )
 
+    def _build_activity_current(self):
+        return ml.activity_current(self.transactions, self.as_of, self.params)
+
     def _build_churn_features(self):
-        return ml.churn_features_current(self.transactions, self.as_of, self.params, self.bounded_ids)
+        return ml.churn_features_current(self.activity_current)
 
     def _build_clv_features(self):
-        return ml.clv_features_current(self.transactions, self.as_of, self.params, self.bounded_ids)
+        return ml.clv_features_current(self.activity_current)
 
     def _build_clustered(self):
         if self.modelled:
@@ -204,18 +206,18 @@ class Warehouse:
         if self.modelled:
             predictions = ml.predict_churn(self.model("churn"), scored, self.customers)
         else:
-            predictions = recency_as_churn(scored)
-        return ml.score_churn(predictions, scored, self.customers)
+            predictions = recency_as_churn(ml.attach_person(scored, self.customers, ml.CHURN_PERSON))
+        return ml.score_churn(predictions)
 
     def _build_clv_predictions(self):
         if self.modelled:
             return ml.predict_clv(self.model("clv"), self.clv_features, self.customers)
-        return self.clv_features.withColumn(
+        return ml.attach_person(self.clv_features, self.customers, ml.CLV_PERSON).withColumn(
             "predicted_future_spend", F.col("val_trns") / F.lit(2.0) - F.lit(2000.0)
         )
 
     def _build_clv(self):
-        return ml.score_clv(self.clv_predictions, self.customers, self.params)
+        return ml.score_clv(self.clv_predictions, self.params)
 
     # summary tables
 
@@ -280,7 +282,7 @@ class Warehouse:
 
     def _build_store_loyalty(self):
         return marts.store_loyalty(
-            self.customer_category_spend, self.params.min_store_customers, self.bounded_ids
+            self.customer_category_spend, self.params.min_store_customers
         )
 
     def _build_store_time_patterns(self):
@@ -345,24 +347,38 @@ _MODEL_TABLES = {
 
 
 def build_all(warehouse, folder, tables=tuple(STORED)):
-    """Write every table under folder, in dependency order; returns name -> path."""
-    paths = {}
+    """Write every table under folder, in dependency order; returns name -> path.
+
+    Each table is written once, to its place there, and tables that need it read it from there.
+    """
     for name in tables:
-        paths[name] = f"{folder}/{name}"
-        write_table(warehouse.table(name), paths[name], *STORED[name])
-    return paths
+        warehouse.store_in(name, f"{folder}/{name}")
+    return {name: f"{folder}/{name}" for name in tables}
 
 
 def recency_as_churn(features):
     """Churn scores without a model: days since the last purchase over a year."""
     probability = round_half(F.least(F.col("days_since_last"), F.lit(365)) / F.lit(365.0), 4)
     return features.select(
-        "UNIQUE_ID",
+        "*",
         probability.alias("churn_probability"),
         F.when(probability >= 0.5, 1).otherwise(0).cast("bigint").alias("predicted_label"),
     )
 
 
+def state_of(spark, folder):
+    """Names, sizes and times of the files in a folder; empty if it is no folder."""
+    top = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    files = top.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not files.exists(top):
+        return ()
+    found, listed = [], files.listFiles(top, True)
+    while listed.hasNext():
+        status = listed.next()
+        found.append((status.getPath().toString(), status.getLen(), status.getModificationTime()))
+    return tuple(sorted(found))
+
+
 def _digest(*parts):
     return hashlib.sha256(repr(parts).encode()).hexdigest()[:16]
 

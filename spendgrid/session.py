@@ -27,6 +27,15 @@ def build_session(app_name="spendgrid", master=None, **extra):
     return builder.getOrCreate()
 
 
+def written_once(df):
+    """The rows of df as written to the shared checkpoint folder, where their lineage ends."""
+    spark = df.sparkSession
+    folder = shared_folder(spark)
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(folder)
+    return df.checkpoint()
+
+
 def shared_folder(spark):
     """Folder every executor can reach, as named by the cluster.
 
@@ -34,9 +43,12 @@ def shared_folder(spark):
     a cluster a machine-local folder would lose data with its machine.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
+    local = spark.sparkContext.master.startswith("local")
+    if folder and not local and (":" not in folder or folder.startswith("file:")):
+        raise ValueError(f"spark.checkpoint.dir is {folder}, a folder of one machine; name one that all executors share")
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not local:
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     folder = tempfile.mkdtemp(prefix="spendgrid-")
     spark.conf.set("spark.checkpoint.dir", folder)

@@ -20,22 +20,30 @@ def write_table(df, path, partition_by=(), cluster_by=(), mode="overwrite"):
 
     The rebalance hint lets AQE split a partition value that holds a large share of
     the rows into several files and merge small ones, instead of sending each value
-    to a single task as repartition(column) would.
+    to a single task as repartition(column) would. Tables without partitions are only
+    sorted inside their tasks: cluster columns have few values, and dealing all rows out
+    by them would be a shuffle for nothing. Mode "replace" overwrites only the partitions
+    that df has rows for.
     """
     partition_by, cluster_by = list(partition_by), list(cluster_by)
     if partition_by:
         df = df.hint("rebalance", *[F.col(c) for c in partition_by])
-    elif cluster_by:
-        df = df.hint("rebalance", *[F.col(c) for c in cluster_by])
     if partition_by or cluster_by:
         df = df.sortWithinPartitions(*partition_by, *cluster_by)
-    writer = df.write.mode(mode).option("compression", "snappy")
+    writer = df.write.mode("overwrite" if mode == "replace" else mode).option("compression", "snappy")
+    if mode == "replace":
+        writer = writer.option("partitionOverwriteMode", "dynamic")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def exists(spark, path):
+    top = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return top.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(top)
+
+
 def write_csv(df, target, production_target=None, test=True, dry_run=False):
     """Write CSV to the test target, or to the production target when test is off."""
     path = target if test or production_target is None else production_target

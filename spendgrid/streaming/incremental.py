@@ -4,20 +4,36 @@ from pyspark.sql import functions as F
 
 from spendgrid.operators.staging import stage_transactions
 from spendgrid.sources.schemas import TRANSACTIONS
-from spendgrid.sources.tables import write_table
+from spendgrid.sources.tables import exists, write_table
 
 _PARTITION, _CLUSTER = ["txn_month"], ["CATEGORY_TWO", "DESTINATION"]
 
 
-def newer_than(raw, last_day):
-    """Raw rows after the newest staged day; everything when nothing is staged."""
-    return raw if last_day is None else raw.where(F.col("EFF_DATE") > F.lit(last_day))
+def changed_months(raw, staged):
+    """Months whose number of valid raw rows differs from what is staged."""
+    month = F.trunc("EFF_DATE", "MM").alias("txn_month")
+    valid = raw.dropna(subset=["UNIQUE_ID", "EFF_DATE", "trns_amt"])
+    there = staged.groupBy("txn_month").agg(F.count("*").alias("_staged"))
+    counts = valid.groupBy(month).agg(F.count("*").alias("_raw")).join(there, "txn_month", "left")
+    return counts.where(F.col("_raw") != F.coalesce("_staged", F.lit(0))).select("txn_month")
 
 
-def incremental_stage(raw, lookups, path, last_day):
-    """Stage only the days after last_day and append them to the table at path."""
-    staged = stage_transactions(newer_than(raw, last_day), lookups)
-    return write_table(staged, path, _PARTITION, _CLUSTER, mode="append")
+def incremental_stage(raw, lookups, path):
+    """Bring the staged table at path up to date with raw, rows that came late included.
+
+    Months in which rows have appeared, new ones as well as days staged before, are staged
+    again and replace their partition; the others are not touched. Running it again
+    changes nothing. The months are few, so their list goes through the driver.
+    """
+    spark = raw.sparkSession
+    if not exists(spark, path):
+        return write_table(stage_transactions(raw, lookups), path, _PARTITION, _CLUSTER)
+    staged = spark.read.parquet(path)
+    months = [r["txn_month"] for r in changed_months(raw, staged).collect()]
+    if not months:
+        return staged
+    fresh = stage_transactions(raw.where(F.trunc("EFF_DATE", "MM").isin(months)), lookups)
+    return write_table(fresh, path, _PARTITION, _CLUSTER, mode="replace")
 
 
 def stream_stage(spark, incoming, lookups, path, checkpoint, schema=TRANSACTIONS):
@@ -25,12 +41,14 @@ def stream_stage(spark, incoming, lookups, path, checkpoint, schema=TRANSACTIONS
 
     The checkpoint remembers which files are done. Each batch writes its own folder
     and replaces it when the batch is repeated after a failure, so a retry cannot
-    duplicate rows.
+    duplicate rows. The folder also names the query, whose id lives in the checkpoint: a
+    new checkpoint counts its batches from 0 again without touching what is there.
     """
 
     def stage(batch, batch_id):
+        query_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
         staged = stage_transactions(batch, lookups)
-        write_table(staged, f"{path}/batch={batch_id}", _PARTITION, _CLUSTER)
+        write_table(staged, f"{path}/query={query_id}/batch={batch_id}", _PARTITION, _CLUSTER)
 
     query = (
         spark.readStream.schema(schema)
@@ -46,4 +64,4 @@ def stream_stage(spark, incoming, lookups, path, checkpoint, schema=TRANSACTIONS
 
 
 def read_staged(spark, path):
-    return spark.read.parquet(path).drop("batch")
+    return spark.read.parquet(path).drop("query", "batch")

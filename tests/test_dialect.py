@@ -48,8 +48,8 @@ def test_distinct_months_and_exact_sums(spark):
     days = ["2024-01-05", "2024-01-20", "2023-12-31", "2023-03-01"]
     df = spark.createDataFrame([(dt.date.fromisoformat(x), 0.1) for x in days], "day date, amount double")
     row = df.agg(
-        d.distinct_months("day", F.lit(dt.date(2024, 1, 31))).alias("months"),
-        d.distinct_months("day", F.lit(dt.date(2024, 1, 31)), F.col("day") < "2020-01-01").alias("none"),
+        d.distinct_months("day", F.lit(dt.date(2024, 1, 31)), 12).alias("months"),
+        d.distinct_months("day", F.lit(dt.date(2024, 1, 31)), 12, F.col("day") < "2020-01-01").alias("none"),
         d.exact_sum("amount").alias("total"),
         d.exact_avg("amount").alias("mean"),
     ).first()
@@ -72,18 +72,31 @@ def test_modes_break_ties_low_and_count_null(spark):
     assert {r["k"]: r["v"] for r in picked.collect()} == expected
 
 
-@pytest.mark.parametrize("bounded", [True, False])
-def test_totals_and_distinct_ids_agree_on_both_paths(spark, bounded):
-    df = spark.createDataFrame([("a", 1), ("a", 1), ("a", 2), ("b", 3)], "k string, v int")
-    totals = d.totals_within(df, ["k"], bounded, total=F.sum("v"))
-    assert sorted((r["k"], r["v"], r["total"]) for r in totals.collect()) == [
-        ("a", 1, 4),
-        ("a", 1, 4),
-        ("a", 2, 4),
-        ("b", 3, 3),
-    ]
-    counts = df.groupBy("k").agg(d.distinct_ids("v", bounded).alias("n"))
-    assert {r["k"]: r["n"] for r in counts.collect()} == {"a": 2, "b": 1}
+def test_eighty_months_are_eighty(spark):
+    rows = spark.range(80).select(F.add_months(F.lit(dt.date(2024, 1, 31)), -F.col("id").cast("int")).alias("day"))
+    row = rows.agg(d.distinct_months("day", F.lit(dt.date(2024, 1, 31)), 80).alias("n")).first()
+    assert row["n"] == 80
+
+
+def test_sums_keep_small_and_large_amounts(spark):
+    small = spark.range(1000).select(F.lit(0.004).alias("x"))
+    assert small.agg(d.exact_sum("x").alias("s")).first()["s"] == 4.0
+    mixed = spark.createDataFrame([(4e13 + 0.25,), (-0.004,), (-4e13,), (5e7,)], "x double")
+    row = mixed.agg(d.exact_sum("x").alias("s"), d.spread("x").alias("sd"), d.sum_where(F.col("x") < 0, "x").alias("w")).first()
+    assert row["s"] == 50000000.246 and row["sd"] > 1e13 and row["w"] == -4e13 - 0.004
+
+
+def test_totals_and_distinct_counts(spark):
+    df = spark.createDataFrame([("a", 1, None), ("a", 1, 5), ("a", 2, None), ("b", 3, None), ("c", None, None)], "k string, v int, w int")
+    totals = d.totals_within(df.where("v > 0"), ["k"], total=F.sum("v"))
+    assert sorted((r["k"], r["v"], r["total"]) for r in totals.collect()) == [("a", 1, 4), ("a", 1, 4), ("a", 2, 4), ("b", 3, 3)]
+    counts = d.distinct_counts(df, "k", {"v": "n", "w": "m"})
+    assert {r["k"]: (r["n"], r["m"]) for r in counts.collect()} == {"a": (2, 1), "b": (1, 0)}
+
+
+def test_plain_numbers_have_no_trailing_zeros(spark):
+    numbers = [(0.3, "0.3"), (0.0, "0"), (2.0, "2"), (10.0, "10"), (0.25, "0.25"), (-1.5, "-1.5")]
+    assert [value(spark, d.plain_number(F.lit(x))) for x, _ in numbers] == [t for _, t in numbers]
 
 
 def test_money_label(spark):

@@ -3,14 +3,9 @@
 from collections import Counter, defaultdict
 
 import pytest
-from tests.compare import connect, differences
 from tests.helpers import by_key, day, staged
 
-import __spark_entry__ as entry
 from spendgrid.operators import audiences, features, marts
-from spendgrid.params import SMALL_DATA
-from spendgrid.plans import warehouse as plans
-from spendgrid.sources.order_tables import raw_tables
 
 AS_OF = day("2024-03-31")
 
@@ -35,13 +30,12 @@ def rows():
 NAMES = {1: "Groceries", 2: "Travel"}
 
 
-@pytest.mark.parametrize("bounded", [True, False])
-def test_spend_and_features(spark, rows, bounded):
+def test_spend_and_features(spark, rows):
     txns = staged(spark, rows)
     spend = defaultdict(float)
     for r in rows:
         spend[(r["UNIQUE_ID"], NAMES[r["CATEGORY_TWO_ID"]], f"Store {r['DESTINATION_ID']}")] += r["trns_amt"]
-    got = features.customer_category_spend(txns, AS_OF, bounded_ids=bounded).collect()
+    got = features.customer_category_spend(txns, AS_OF).collect()
     assert {(r["UNIQUE_ID"], r["CATEGORY_TWO"], r["DESTINATION"]): r["dest_spend"] for r in got} == spend
     totals = defaultdict(float)
     for (customer, category, _), value in spend.items():
@@ -50,7 +44,7 @@ def test_spend_and_features(spark, rows, bounded):
     stores = defaultdict(set)
     for r in rows:
         stores[r["UNIQUE_ID"]].add(r["DESTINATION_ID"])
-    table = by_key(features.rfm_features(txns, AS_OF, bounded_ids=bounded))
+    table = by_key(features.rfm_features(txns, AS_OF))
     assert {k: r["active_destinations"] for k, r in table.items()} == {k: len(v) for k, v in stores.items()}
     assert table["hot"]["nr_trns"] == 200
 
@@ -68,26 +62,3 @@ def test_overlap_and_loyalty(spark, rows):
     loyal = marts.store_loyalty(ccs, 1).collect()
     clients = Counter((s, c) for s, c, _ in visits)
     assert {(r["DESTINATION"], r["CATEGORY_TWO"]): r["customers"] for r in loyal} == clients
-
-
-@pytest.fixture(scope="module")
-def large_lookups(spark, folder):
-    """A warehouse whose lookups count as too large for sets and windows."""
-    limit, plans.SMALL_LOOKUP = plans.SMALL_LOOKUP, 3
-    w = plans.Warehouse(spark, f"{folder} large lookups", lambda: raw_tables(spark, folder), SMALL_DATA)
-    assert not w.bounded_ids
-    plans.SMALL_LOOKUP = limit
-    return w
-
-
-@pytest.mark.parametrize(
-    "table, query",
-    [
-        ("rfm_features", "rfm_features"),
-        ("churn_training", "churn_training_set"),
-        ("customer_category_spend", "customer_category_spend"),
-        ("store_loyalty", "store_loyalty"),
-    ],
-)
-def test_large_lookups_give_the_same_tables(large_lookups, folder, table, query):
-    assert differences(large_lookups.table(table), connect(folder), entry.oracle_sql()[query]) == ""

@@ -78,9 +78,17 @@ def test_incremental_append_takes_only_newer_days(spark, tmp_path):
     path = str(tmp_path / "staged")
     first = raw_rows(spark, [{"EFF_DATE": day("2024-01-01")}, {"EFF_DATE": day("2024-01-02")}])
     second = first.unionByName(raw_rows(spark, [{"EFF_DATE": day("2024-01-03")}]))
-    incremental.incremental_stage(first, lookups(spark), path, None)
-    table = incremental.incremental_stage(second, lookups(spark), path, day("2024-01-02"))
-    assert table.count() == 3
+    incremental.incremental_stage(first, lookups(spark), path)
+    assert incremental.incremental_stage(second, lookups(spark), path).count() == 3
+
+
+def test_late_rows_of_a_staged_day_are_staged(spark, tmp_path):
+    path = str(tmp_path / "staged")
+    first = raw_rows(spark, [{"EFF_DATE": day("2024-01-31")}, {"EFF_DATE": day("2024-02-02")}])
+    late = first.unionByName(raw_rows(spark, [{"EFF_DATE": day("2024-02-02")}, {"EFF_DATE": day("2024-02-01"), "trns_amt": None}]))
+    for raw, n in ((first, 2), (late, 3), (late, 3)):
+        assert incremental.incremental_stage(raw, lookups(spark), path).count() == n
+    assert spark.read.parquet(path).count() == 3
 
 
 def test_stream_stages_each_file_once(spark, tmp_path):
@@ -93,3 +101,8 @@ def test_stream_stages_each_file_once(spark, tmp_path):
     staged = incremental.read_staged(spark, path)
     assert sorted(r["UNIQUE_ID"] for r in staged.select("UNIQUE_ID").collect()) == ["a", "b", "d"]
     assert staged.where(F.col("DESTINATION") == "Store 1").count() == 3
+    # A new checkpoint counts batches from 0 again and leaves the staged rows alone.
+    later = str(tmp_path / "later")
+    raw_rows(spark, [{"UNIQUE_ID": "e"}]).write.parquet(later)
+    incremental.stream_stage(spark, later, lookups(spark), path, str(tmp_path / "offsets2"))
+    assert incremental.read_staged(spark, path).count() == 4

@@ -5,7 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 from tests.helpers import by_key, day, snapshot_rows, staged
 
-from spendgrid.operators import audiences, features, marts, ml, reports, staging
+from spendgrid.operators import audiences, features, marts, ml, staging
+from spendgrid.operators.reports import audiences as audience_reports, merchants as merchant_reports
 from spendgrid.params import Params
 
 AS_OF = day("2024-03-31")
@@ -20,29 +21,27 @@ def customers(spark, ids="abc"):
     return staging.stage_customers(snapshot_rows(spark, rows))
 
 
-@pytest.mark.parametrize("bounded", [True, False])
-def test_features_need_two_transactions(spark, bounded):
+def test_features_need_two_transactions(spark):
     rows = [
         {"UNIQUE_ID": "a"},
         {"UNIQUE_ID": "a", "EFF_DATE": day("2024-03-21"), "trns_amt": 30.0, "DESTINATION_ID": 2, "trns_time": "xx"},
         {"UNIQUE_ID": "b"},
     ]
-    got = by_key(features.rfm_features(staged(spark, rows), AS_OF, bounded_ids=bounded))
+    got = by_key(features.rfm_features(staged(spark, rows), AS_OF))
     assert set(got) == {"a"}
     a = got["a"]
     assert (a["nr_trns"], a["val_trns"], a["median_val"], a["days_between"]) == (2, 40.0, 10.0, 10.0)
     assert (a["active_destinations"], a["active_months"], a["avg_hour"], a["std_val"]) == (2, 1, 12.0, 14.14)
 
 
-@pytest.mark.parametrize("bounded", [True, False])
-def test_share_of_wallet(spark, bounded):
+def test_share_of_wallet(spark):
     rows = [
         {"UNIQUE_ID": "a", "trns_amt": 30.0},
         {"UNIQUE_ID": "a", "trns_amt": 10.0, "DESTINATION_ID": 2},
         {"UNIQUE_ID": "a", "trns_amt": 5.0, "CATEGORY_TWO_ID": 2},
         {"UNIQUE_ID": "b", "trns_amt": 0.0},
     ]
-    got = features.customer_category_spend(staged(spark, rows), AS_OF, bounded_ids=bounded).collect()
+    got = features.customer_category_spend(staged(spark, rows), AS_OF).collect()
     shares = {(r["UNIQUE_ID"], r["CATEGORY_TWO"], r["DESTINATION"]): r["share_of_wallet_pct"] for r in got}
     assert shares == {
         ("a", "Groceries", "Store 1"): 75.0,
@@ -125,11 +124,10 @@ def test_store_without_category_is_kept(spark):
     assert [(r["CATEGORY_TWO"], r["unique_customers"]) for r in got] == [(None, 2)]
 
 
-@pytest.mark.parametrize("bounded", [True, False])
-def test_loyalty_bands_partition_customers(spark, bounded):
+def test_loyalty_bands_partition_customers(spark):
     rows = [{"UNIQUE_ID": f"c{i}", "DESTINATION_ID": j} for i in range(1, 10) for j in range(1, i + 1)]
     ccs = features.customer_category_spend(staged(spark, rows), AS_OF)
-    for r in marts.store_loyalty(ccs, 1, bounded).collect():
+    for r in marts.store_loyalty(ccs, 1).collect():
         bands = [r[c] for c in r.asDict() if c.startswith("band_")]
         assert sum(bands) == r["customers"]
 
@@ -181,8 +179,8 @@ def test_spending_and_season_rules(spark):
 def test_wallet_bands_partition_the_client(spark):
     rows = [{"UNIQUE_ID": f"c{i}", "DESTINATION_ID": 1 + (i + j) % 4} for i in range(8) for j in range(1 + i % 4)]
     ccs = features.customer_category_spend(staged(spark, rows), AS_OF)
-    bands = reports.wallet_bands(ccs, "Groceries", "Store 1").agg(F.sum("customers")).first()[0]
-    summary = reports.wallet_summary(ccs, "Groceries", "Store 1").first()
+    bands = merchant_reports.wallet_bands(ccs, "Groceries", "Store 1").agg(F.sum("customers")).first()[0]
+    summary = merchant_reports.wallet_summary(ccs, "Groceries", "Store 1").first()
     assert bands == summary["client_customers"]
     assert summary["category_customers"] == 8
 
@@ -193,5 +191,5 @@ def test_excluded_pattern_binds_to_the_last_one(spark):
         rows,
         "DESTINATION string, CATEGORY_TWO string, customers int, total_spend double, market_share_pct double, spend_rank int",
     )
-    got = reports.search_names(bench, "CATEGORY_TWO", ["%PHARM%", "%HEALTH%"], ["%PET%"])
+    got = audience_reports.search_names(bench, "CATEGORY_TWO", ["%PHARM%", "%HEALTH%"], ["%PET%"])
     assert sorted(r["CATEGORY_TWO"] for r in got.collect()) == ["Health", "Pharmacy Pets"]
