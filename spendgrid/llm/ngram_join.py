@@ -117,28 +117,36 @@ def _long(values):
     return pa.array(np.asarray(values, np.uint64).view(np.int64))
 
 
-def signatures(rows, k, threshold):
-    """at, doc_id, n, class and keys of every row of (at, doc_id, text)."""
+def signatures(rows, k):
+    """at, doc_id, n and class of every row of (at, doc_id, text)."""
 
     def sign(batches):
-        bands = Bands(threshold)
         for batch in batches:
             for first, end, data, offsets in byte_chunks(batch.column(2)):
                 sets = list(shingle_sets(data, offsets, k))
-                keys = [part_keys(s, bands) for s in sets]
-                bounds = np.concatenate([[0], np.cumsum([len(x) for x in keys])]).astype(np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).slice(first, end - first),
-                        batch.column(1).slice(first, end - first),
-                        pa.array([len(s) for s in sets], pa.int64()),
-                        _long([class_of(s) for s in sets]),
-                        pa.ListArray.from_arrays(bounds, _long(np.concatenate(keys))),
-                    ],
-                    ["at", "doc_id", "n", "class", "keys"],
-                )
-
-    return rows.mapInArrow(sign, "at long, doc_id long, n long, class long, keys array<long>")
+                own = [batch.column(i).slice(first, end - first) for i in (0, 1)]
+                yield pa.RecordBatch.from_arrays([*own, pa.array([len(s) for s in sets], pa.int64()), _long([class_of(s) for s in sets])], ["at", "doc_id", "n", "class"])
+
+    return rows.mapInArrow(sign, "at long, doc_id long, n long, class long")
+
+
+def part_postings(texts, k, threshold):
+    """(key, class) of all parts of all texts, each class once a task: copies meet before the shuffle."""
+
+    def post(batches):
+        bands, seen = Bands(threshold), set()
+        for batch in batches:
+            for _, _, data, offsets in byte_chunks(batch.column(0)):
+                keys, classes = [], []
+                for s in shingle_sets(data, offsets, k):
+                    if len(s) and (own := int(class_of(s))) not in seen:
+                        seen.add(own)
+                        keys.append(part_keys(s, bands))
+                        classes.append(own)
+                if keys:
+                    yield pa.RecordBatch.from_arrays([_long(np.concatenate(keys)), _long(np.repeat(np.array(classes, np.uint64), [len(x) for x in keys]))], ["key", "class"])
+
+    return texts.mapInArrow(post, "key long, class long")
 
 
 def meetings(postings):
@@ -303,9 +311,9 @@ def jaccard_components(docs, k=5, threshold="0.8", id_col="doc_id", text_col="te
     spark = docs.sparkSession
     rows = pick(docs, doc_id=id_col, text=text_col).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = rows.select(F.xxhash64("doc_id", "text").alias("at"), "doc_id", "text")
-    signed = cut(signatures(rows, k, threshold))
-    distinct = signed.where("n > 0").groupBy("class").agg(F.first("keys").alias("keys"))
-    met = cut(meetings(distinct.select(F.explode("keys").alias("key"), "class")))
+    signed = cut(signatures(rows, k))
+    # The texts are hashed again rather than keep or shuffle the keys of all rows.
+    met = cut(meetings(part_postings(rows.select("text"), k, threshold)))
     release(spark)
     members = cut(components(met).select(F.col("node").alias("class"), F.col("component").alias("group")))
     stand = signed.where("n > 0").groupBy("class").agg(F.min("at").alias("at")).join(members, "class").select("at", "class")

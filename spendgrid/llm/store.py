@@ -2,6 +2,7 @@
 
 import contextlib
 import gc
+import time
 import uuid
 
 from pyarrow import fs
@@ -21,8 +22,10 @@ def cut(df):
 
 def release(spark):
     """Let Spark's cleaner remove the shuffle and checkpoint files of tables no longer in use."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):  # Python lets go of the plans first, then the JVM finds them unused
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.2)
 
 
 def new_folder(spark, name):
