@@ -1,7 +1,8 @@
 """Language identification by bit-sliced Bloom filters of n-grams.
 
-Training counts the byte 4-grams of all learnable texts and keeps, per language, the most
-frequent ones. A filter slot is a mask with one bit per language; the AND of an n-gram's
+Training counts the byte 4-grams of all learnable texts. A language contains an n-gram that
+is not far rarer in it than in the language where it is most common (foreign words in a
+text teach little), and keeps the most frequent of these. A filter slot is a mask with one bit per language; the AND of an n-gram's
 slots is the set of languages that contain it, so one probe answers for all languages. A
 text counts the hits of every language (a popcount per bit), takes off the share that the
 filter's false positives explain, and goes to the language with most hits left.
@@ -31,6 +32,7 @@ GRAM = 4
 GRAMS_PER_LANGUAGE = 20_000
 SLOTS_PER_GRAM = 16
 PROBES = 3
+LEAST_RATE = 0.2
 
 # Every byte but ASCII letters and those of longer characters counts as a space.
 _AS_LETTER = np.full(256, 0x20, np.uint8)
@@ -94,9 +96,13 @@ def fit(texts, text_col="text", language_col="lang", grams=GRAMS_PER_LANGUAGE):
     """Learn from all rows with a language. The model has at most `grams` n-grams a language."""
     rows = pick(texts, text=text_col, language=language_col).select(F.col("text").cast("string").alias("text"), F.col("language").cast("string").alias("language")).where("text IS NOT NULL AND language IS NOT NULL")
     counts = cut(count_grams(rows))
+    sizes = counts.groupBy("language").agg(F.sum("n").alias("total"))
+    rated = counts.join(sizes, "language").withColumn("rate", F.col("n") / F.col("total"))
+    highest = rated.groupBy("gram").agg(F.max("rate").alias("highest"))
+    own = rated.join(highest, "gram").where(F.col("rate") >= LEAST_RATE * F.col("highest"))
     rank = F.row_number().over(Window.partitionBy("language").orderBy(F.col("n").desc(), "gram"))
-    top = counts.withColumn("rank", rank).where(F.col("rank") <= grams).groupBy("language").agg(F.collect_list("gram").alias("grams"), F.first("language").alias("name")).collect()
-    totals = {r["language"]: r["n"] for r in counts.groupBy("language").agg(F.sum("n").alias("n")).collect()}
+    top = own.withColumn("rank", rank).where(F.col("rank") <= grams).groupBy("language").agg(F.collect_list("gram").alias("grams"), F.first("language").alias("name")).collect()
+    totals = {r["language"]: r["total"] for r in sizes.collect()}
     return build({r["language"]: np.array(r["grams"], np.uint64) for r in top}, totals)
 
 
