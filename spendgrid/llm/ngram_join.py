@@ -5,8 +5,9 @@
 2. Candidates. Two linked sets of at most h shingles differ in at most d = 2h(1-t)/(1+t)
    of them. The hash space is cut into more than d parts, so one part at least is equal in
    both and not empty. Classes meet by the contents of their parts, in bands of set size: a
-   class takes part in its own band and in the next ones that its partners can lie in. The
-   first class of a meeting is linked to the others as a candidate, no pairs are formed.
+   class takes part in its own band and in the next ones that its partners can lie in.
+   Shingles that very many documents have (found on a bounded sample) are left out of the
+   parts wherever the others fill enough of them; that loses no link. The first class of a meeting is linked to the others as a candidate, no pairs are formed.
    Connected candidates form a group; links exist only inside groups.
 3. Tiles. A group of up to TILE_ROWS classes is one tile; a larger one is cut into tiles by
    size band and hash, each joined by the group's first class. Within a tile, sizes are
@@ -37,6 +38,10 @@ from spendgrid.llm.store import cut, pick, release
 TILE_ROWS = 256
 BITMAP_BITS = 2048
 BAND_RATIO = 1.3
+COMMON_SAMPLE = 10_000
+COMMON_COUNT = 4
+COMMON_MOST = 100_000
+COMMON_BITS = 1 << 22
 
 
 class Bands:
@@ -99,20 +104,59 @@ def class_of(s):
         return mix(np.sum(mix(s ^ np.uint64(0xA0761D6478BD642F))) + np.uint64(len(s)))
 
 
-def part_keys(s, bands):
-    """A key for every part of the set that a linked set may share."""
-    out, spread = [], mix(s + np.uint64(0x8EBC6AF09C88C6E3))
-    high = s >> np.uint64(32)
+def part_keys(s, bands, common=None):
+    """A key for every part of the set that a linked set may share.
+
+    Parts are taken of the rare shingles, by which the sets differ no more than by all. If
+    these leave too few parts with contents, the parts of all shingles are added: two linked
+    sets then share a rare part, or both have keys of all shingles.
+    """
+    rare = s if common is None else s[~common[(s & np.uint64(len(common) - 1)).astype(np.int64)]]
+    out = []
     for band, parts, most in bands.of(len(s)):
-        part = (high * np.uint64(parts)) >> np.uint64(32)
-        first = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
-        salt = np.uint64((band + 1) << 40)
-        out.append(mix(np.add.reduceat(spread, first) ^ mix(part[first] + salt)))
-        if len(first) <= most:  # too few parts with contents: the shared one may be empty
-            out.append(mix(mix(np.setdiff1d(np.arange(parts, dtype=np.uint64), part[first]) + salt)))
+        salt = (band + 1) << 40
+        if len(rare):
+            out.append(_keys_of(rare, parts, salt)[0])
+        if common is None or not len(rare) or len(out[-1]) <= most:
+            keys, filled = _keys_of(s, parts, salt if common is None else salt + (1 << 62))
+            out.append(keys)
+            if len(keys) <= most:  # too few again: the shared part may be empty
+                empty = np.setdiff1d(np.arange(parts, dtype=np.uint64), filled)
+                out.append(mix(mix(empty + np.uint64(salt + (1 << 61)))))
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
+def _keys_of(s, parts, salt):
+    part = ((s >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
+    first = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
+    spread = mix(s + np.uint64(0x8EBC6AF09C88C6E3))
+    return mix(np.add.reduceat(spread, first) ^ mix(part[first] + np.uint64(salt))), part[first]
+
+
+def common_shingles(rows, k, n_rows):
+    """A table of bits by shingle hash: set where a shingle occurs in many documents.
+
+    Counted on about COMMON_SAMPLE documents, whatever the size of the corpus; at most
+    COMMON_MOST shingles come to the driver. Which shingles count as common changes only
+    how many classes meet, never what is linked.
+    """
+
+    def count(batches):
+        for batch in batches:
+            for _, _, data, offsets in byte_chunks(batch.column(0)):
+                sets = list(shingle_sets(data, offsets, k))
+                tokens, n = np.unique(np.concatenate(sets), return_counts=True)
+                yield pa.RecordBatch.from_arrays([_long(tokens), pa.array(n)], ["token", "n"])
+
+    every = max(1, n_rows // COMMON_SAMPLE)
+    sample = rows.where(F.pmod("at", F.lit(every)) == 0).select("text")
+    counts = sample.mapInArrow(count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
+    top = counts.where(F.col("n") >= COMMON_COUNT).orderBy(F.desc("n"), "token").limit(COMMON_MOST).select("token").collect()
+    bits = np.zeros(COMMON_BITS, bool)
+    bits[np.array([r["token"] for r in top], np.int64).view(np.uint64) & np.uint64(COMMON_BITS - 1)] = True
+    return bits
+
+
 def _long(values):
     return pa.array(np.asarray(values, np.uint64).view(np.int64))
 
@@ -130,7 +174,7 @@ def signatures(rows, k):
     return rows.mapInArrow(sign, "at long, doc_id long, n long, class long")
 
 
-def part_postings(texts, k, threshold):
+def part_postings(texts, k, threshold, common=None):
     """(key, class) of all parts of all texts, each class once a task: copies meet before the shuffle."""
 
     def post(batches):
@@ -141,7 +185,7 @@ def part_postings(texts, k, threshold):
                 for s in shingle_sets(data, offsets, k):
                     if len(s) and (own := int(class_of(s))) not in seen:
                         seen.add(own)
-                        keys.append(part_keys(s, bands))
+                        keys.append(part_keys(s, bands, common))
                         classes.append(own)
                 if keys:
                     yield pa.RecordBatch.from_arrays([_long(np.concatenate(keys)), _long(np.repeat(np.array(classes, np.uint64), [len(x) for x in keys]))], ["key", "class"])
@@ -313,7 +357,8 @@ def jaccard_components(docs, k=5, threshold="0.8", id_col="doc_id", text_col="te
     rows = rows.select(F.xxhash64("doc_id", "text").alias("at"), "doc_id", "text")
     signed = cut(signatures(rows, k))
     # The texts are hashed again rather than keep or shuffle the keys of all rows.
-    met = cut(meetings(part_postings(rows.select("text"), k, threshold)))
+    common = common_shingles(rows, k, signed.count())
+    met = cut(meetings(part_postings(rows.select("text"), k, threshold, common)))
     release(spark)
     members = cut(components(met).select(F.col("node").alias("class"), F.col("component").alias("group")))
     stand = signed.where("n > 0").groupBy("class").agg(F.min("at").alias("at")).join(members, "class").select("at", "class")

@@ -87,16 +87,18 @@ def test_one_document_of_each_component_stays(spark):
     assert kept[0].__fields__ == docs.columns
 
 
-def test_bands_share_a_part(spark):
-    """Sets within the threshold always have an equal key."""
+@pytest.mark.parametrize("share", [None, 0.02, 0.3, 0.9, 1.0])
+def test_bands_share_a_part(share):
+    """Sets within the threshold always have an equal key, whichever shingles count as common."""
     import numpy as np
 
     rng, bands = np.random.default_rng(5), ngram_join.Bands("0.85")
-    for _ in range(3000):
+    common = None if share is None else rng.random(1 << 10) < share
+    for _ in range(2000):
         n = int(rng.integers(1, rng.choice([8, 30, 300])))
         base = np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64))
         cut, more = rng.integers(0, n // 5 + 1, 2)
         other = np.unique(np.concatenate([base[cut:], rng.integers(0, 1 << 63, more, dtype=np.uint64)]))
         both = len(np.intersect1d(base, other))
         if len(other) and 100 * both >= 85 * len(np.union1d(base, other)) and not np.array_equal(base, other):
-            assert np.intersect1d(ngram_join.part_keys(base, bands), ngram_join.part_keys(other, bands)).size
+            assert np.intersect1d(ngram_join.part_keys(base, bands, common), ngram_join.part_keys(other, bands, common)).size
