@@ -16,7 +16,8 @@ def warehouse(spark, folder, modelled=False, params=SMALL_DATA):
 
 def run(name, spark, folder):
     query = QUERIES[name]
-    return query.build(warehouse(spark, folder, query.modelled))
+    w = warehouse(spark, folder, query.modelled)
+    return w.finished(query.build(w))
 
 
 def spark_queries():

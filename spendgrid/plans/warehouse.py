@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 from spendgrid.functions.dialect import round_half
 from spendgrid.operators import audiences, features, marts, ml, staging
 from spendgrid.params import Params
-from spendgrid.session import shared_folder
-from spendgrid.sources.tables import write_table
+from spendgrid.session import shared_folder, written_once
+from spendgrid.sources.tables import delete, write_table
 
 # Written tables: name -> (partition columns, cluster columns).
 _MERCHANT = ([], ["CATEGORY_TWO", "DESTINATION"])
@@ -76,6 +76,7 @@ class Warehouse:
         self._raw_source = raw
         self._raw = None
         self._lazy = {}
+        self._scratch = []
         app = spark.sparkContext.applicationId
         # The staged and feature tables do not depend on the models; other files, or the
         # same files changed, are another source.
@@ -125,8 +126,17 @@ class Warehouse:
         _BUILT[slot] = (path, stored.schema)
 
     def scratch(self, name):
-        """Folder in the shared folder for files of one query."""
-        return f"{self._root}/spendgrid/{self._base}/scratch/{name}"
+        """Folder in the shared folder for files of one query, until it is finished()."""
+        self._scratch.append(f"{self._root}/spendgrid/{self._base}/scratch/{name}")
+        return self._scratch[-1]
+
+    def finished(self, result):
+        """The result of a query; if it has written scratch files, it is stored and they go."""
+        if self._scratch:
+            result = written_once(result)
+        while self._scratch:
+            delete(self.spark, self._scratch.pop())
+        return result
 
     def model(self, name):
         slot = (self._root, self._base, "model", name)

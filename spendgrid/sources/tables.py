@@ -44,6 +44,11 @@ def exists(spark, path):
     return top.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(top)
 
 
+def delete(spark, path):
+    top = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    top.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(top, True)
+
+
 def write_csv(df, target, production_target=None, test=True, dry_run=False):
     """Write CSV to the test target, or to the production target when test is off."""
     path = target if test or production_target is None else production_target

@@ -16,10 +16,10 @@ def con(folder):
 @pytest.mark.parametrize("name", sorted(CHECKS))
 def test_query_matches_sql(spark, folder, con, name):
     problem = differences(QUERIES[name](spark, folder), con, CHECKS[name])
-    assert problem in ("", "no rows")
+    assert problem == ""
 
 
-@pytest.mark.parametrize("name", ["model_evaluate_clusters", "model_centroids", "report_feature_sample"])
+@pytest.mark.parametrize("name", ["model_evaluate_clusters", "model_centroids"])
 def test_query_without_sql_has_rows(spark, folder, name):
     assert QUERIES[name](spark, folder).count() > 0
 
