@@ -92,8 +92,9 @@ def _mix(base, weights, share, most, seed):
     return ranked.withColumn("copies", F.least(crossed, F.ceil(F.col("step"))))
 
 
-def mixed(docs, **options):
+def mixed(docs, id_col="doc_id", text_col="text", source_col="source", **options):
     """The mixed corpus: each document as often as it is taken, with the columns of docs."""
-    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("whole"), "*")
-    out = mix(rows, **options).where("copies > 0")
+    whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("whole")
+    named = [F.col(f"`{c}`").alias(name) for c, name in ((id_col, "doc_id"), (text_col, "text"), (source_col, "source"))]
+    out = mix(docs.select(whole, *named), columns=["whole"], **options).where("copies > 0")
     return out.select("whole", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("whole.*")

@@ -22,8 +22,8 @@ ODD = [
 
 
 def odd_documents(spark, rows=ODD):
-    schema = "doc_id long, text string, lang string, source string, n_chars long, score double, id long, size long, length long, component_id long, bits long, `key` string"
-    return spark.createDataFrame([(*r, len(r[1] or ""), 0.5, 7, 3, 9, 4, 1, "k") for r in rows], schema)
+    schema = "doc_id long, text string, lang string, source string, n_chars long, score double, id long, size long, length long, component_id long, bits long, `key` string, whole string"
+    return spark.createDataFrame([(*r, len(r[1] or ""), 0.5, 7, 3, 9, 4, 1, "k", "w") for r in rows], schema)
 
 
 def no_documents(spark):
