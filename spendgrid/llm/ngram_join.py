@@ -321,7 +321,7 @@ def linked(members, sets, threshold):
     guests = first.withColumnsRenamed({"band": "b", "slice": "s"}).join(tiles, "group").where("band <> b OR slice <> s")
     guests = guests.select(tile.alias("tile"), "class", "n", "bitmap", "hashes", F.col("class").alias("label"), F.lit(True).alias("asks"))
     edges = cut(compare(own.union(guests), threshold))
-
+    release(sets.sparkSession)
     large = sized.where(F.col("m") > TILE_ROWS)
     if large.isEmpty():
         return edges
