@@ -76,10 +76,11 @@ def benchmark_vs_competitors(benchmarks, category, client, n=5):
     """The client by name and its n largest competitors by number."""
     rows = benchmarks.where(is_value("CATEGORY_TWO", category))
     mine = is_value("DESTINATION", client)
+    others = rows.where(~mine).orderBy(F.desc("total_spend"), "DESTINATION").limit(n)
+    few = rows.where(mine).unionByName(others)  # a top-n plan; the window sees n + 1 rows
     place = F.row_number().over(Window.partitionBy("CATEGORY_TWO", mine).orderBy(F.desc("total_spend"), "DESTINATION"))
     return (
-        rows.withColumn("_place", place)
-        .where(F.col("_place") <= n)
+        few.withColumn("_place", place)
         .select(
             F.when(mine, F.lit(client))
             .otherwise(F.concat(F.lit("Competitor "), F.col("_place").cast("string")))
@@ -233,21 +234,21 @@ def pitch_by_action(pitch):
 
 def best_pitch_per_category(pitch, n=20):
     """Best-scored merchant of each category that does not already lead it."""
-    order = Window.partitionBy("CATEGORY_TWO").orderBy(F.desc("pitch_score"), "DESTINATION")
+    columns = [
+        "DESTINATION",
+        "total_spend",
+        "market_share_pct",
+        "gap_to_leader_pct",
+        "addressable_market",
+        "pitch_score",
+        "recommended_action",
+    ]
+    order = F.struct(-F.col("pitch_score"), "DESTINATION")  # a minimum combines on the map side
     return (
         pitch.where(F.col("spend_rank") > 1)
-        .withColumn("_n", F.row_number().over(order))
-        .where(F.col("_n") == 1)
-        .select(
-            "CATEGORY_TWO",
-            "DESTINATION",
-            "total_spend",
-            "market_share_pct",
-            "gap_to_leader_pct",
-            "addressable_market",
-            "pitch_score",
-            "recommended_action",
-        )
+        .groupBy("CATEGORY_TWO")
+        .agg(F.min_by(F.struct(*columns), order).alias("best"))
+        .select("CATEGORY_TWO", "best.*")
         .orderBy(F.desc("addressable_market"), "CATEGORY_TWO")
         .limit(n)
     )
