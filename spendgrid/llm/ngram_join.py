@@ -304,25 +304,29 @@ def _edges(pairs):
 def linked(members, sets, threshold):
     """Edges that connect the classes of every group exactly as all links would.
 
-    members: (class, group), with the group's smallest class as its name.
+    members: (class, group), with the group's smallest class as its name. The tiles are laid
+    out on sizes alone; the sets travel to their tiles only.
     """
+    spark = sets.sparkSession
     counts = members.groupBy("group").agg(F.count("*").alias("m"))
     step = 1.001 * float(np.log(1 / float(threshold)))  # a little wider, against rounding
-    sized = sets.join(members, "class").join(counts, "group")
+    placed = sets.select("class", "n").join(members, "class").join(counts, "group")
     # Linked sets lie in the same or the next band, as a band is as wide as the threshold.
     band = F.when(F.col("m") > TILE_ROWS, F.floor(F.log(F.col("n").cast("double")) / step)).otherwise(0)
-    sized = sized.withColumn("band", band)
-    slices = sized.groupBy("group", "band").agg(F.ceil(F.count("*") / TILE_ROWS).alias("slices"))
-    sized = cut(sized.join(slices, ["group", "band"]).withColumn("slice", F.pmod(F.xxhash64("class"), F.col("slices"))))
-    tile = F.xxhash64("group", "band", "slice")
-    own = sized.select(tile.alias("tile"), "class", "n", "bitmap", "hashes", F.col("class").alias("label"), F.lit(True).alias("asks"))
-    tiles = sized.where(F.col("m") > TILE_ROWS).select("group", "band", "slice").distinct()
-    first = sized.where(F.col("class") == F.col("group")).select("group", "class", "n", "bitmap", "hashes", "band", "slice")
-    guests = first.withColumnsRenamed({"band": "b", "slice": "s"}).join(tiles, "group").where("band <> b OR slice <> s")
-    guests = guests.select(tile.alias("tile"), "class", "n", "bitmap", "hashes", F.col("class").alias("label"), F.lit(True).alias("asks"))
-    edges = cut(compare(own.union(guests), threshold))
-    release(sets.sparkSession)
-    large = sized.where(F.col("m") > TILE_ROWS)
+    placed = placed.withColumn("band", band)
+    slices = placed.groupBy("group", "band").agg(F.ceil(F.count("*") / TILE_ROWS).alias("slices"))
+    placed = placed.join(slices, ["group", "band"]).withColumn("slice", F.pmod(F.xxhash64("class"), F.col("slices")))
+    placed = cut(placed.select("class", "group", "m", "band", "slice"))
+    tile = F.xxhash64("group", "band", "slice").alias("tile")
+    same = [F.col("class").alias("label"), F.lit(True).alias("asks")]
+    large = placed.where(F.col("m") > TILE_ROWS)
+    tiles = large.select("group", "band", "slice").distinct()
+    first = large.where(F.col("class") == F.col("group")).select("group", "class", F.col("band").alias("b"), F.col("slice").alias("s"))
+    guests = first.join(tiles, "group").where("band <> b OR slice <> s")
+    seats = placed.select(tile, "class", *same).union(guests.select(tile, "class", *same))
+    edges = cut(compare(seated(seats, sets), threshold))
+    release(spark)
+
     if large.isEmpty():
         return edges
     parts = components(edges)
@@ -330,7 +334,7 @@ def linked(members, sets, threshold):
     by_part = large.groupBy("group", "label").agg(F.count("*").alias("k"))
     whole = by_part.groupBy("group").agg(F.count("*").alias("parts"), F.max_by("label", F.struct("k", "label")).alias("main")).where("parts > 1")
     apart = large.join(whole, "group").withColumn("asks", F.col("label") != F.col("main"))
-    apart = cut(apart.select("group", "band", "slice", "class", "n", "bitmap", "hashes", "label", "asks"))
+    apart = cut(apart.select("group", "band", "slice", "class", "label", "asks"))
     if apart.isEmpty():
         return edges
     asking = apart.where("asks")
@@ -340,10 +344,16 @@ def linked(members, sets, threshold):
     asked = asking.select("group", F.col("band").alias("q_band"), "block").distinct()
     pairs = asked.join(places, "group").where("abs(band - q_band) <= 1")
     pair_tile = F.xxhash64("group", "q_band", "block", "band", "slice").alias("tile")
-    columns = ["class", "n", "bitmap", "hashes", "label", "asks"]
+    columns = ["class", "label", "asks"]
     left = asking.withColumnRenamed("band", "q_band").drop("slice").join(pairs, ["group", "q_band", "block"]).select(pair_tile, *columns)
     right = apart.join(pairs, ["group", "band", "slice"]).select(pair_tile, *columns)
-    return edges.union(compare(left.union(right).dropDuplicates(["tile", "class"]), threshold))
+    seats = left.union(right).dropDuplicates(["tile", "class"])
+    return edges.union(compare(seated(seats, sets), threshold))
+
+
+def seated(seats, sets):
+    """The sets of (tile, class, label, asks), in the columns that compare() takes."""
+    return seats.join(sets, "class").select("tile", "class", "n", "bitmap", "hashes", "label", "asks")
 
 
 def jaccard_components(docs, k=5, threshold="0.8", id_col="doc_id", text_col="text"):
