@@ -12,8 +12,9 @@ at a pair of indexed suffixes, and about one suffix in seventy is enough.
 * Levels of equal rank merge into one of the next rank, so there are at most as many levels
   as the number of batches has binary digits.
 * For candidates the texts are fetched and every window is compared with those of the other
-  contexts that begin alike. Suffixes with very many different contexts are first dealt by
-  the bytes that a few neighbouring windows share, so no task has to hold all of them.
+  contexts that begin alike. Where more than HOT_ROWS contexts begin alike, each window is a
+  row of its own hash instead: the hashes are counted, combined before the shuffle, and those
+  counted more than once are joined back to their windows, so no task holds a beginning.
 
 Hashes of 64 bits stand for strings. Rows are told apart by a hash of id and text. Results
 for special inputs: a null text is empty; texts shorter than `length` keep all bytes; rows
@@ -33,7 +34,6 @@ from spendgrid.llm.store import bound_batches, cut, new_folder, pick, release, r
 
 GRAM = 64
 HOT_ROWS = 20_000
-HOT_WINDOWS = 16
 MATCH = "gram long, context long, at long, first int, windows int, place int, whole boolean"
 ENTRY = "gram long, context long, at long, first int, windows int, place int"
 
@@ -180,32 +180,45 @@ class SuffixIndex:
 
 
 def _fetch(length):
-    """Windows of the candidates with their bytes: from (at, text, asked) to one row per key."""
+    """Windows of the candidates, from (at, text, asked): with their bytes, one row per entry.
+
+    Entries with a hot beginning give one row per window, without bytes: its key is the hash
+    of the window, its place and the beginning.
+    """
 
     def fetch(batches):
         for batch in batches:
             asked = batch.column(2).to_pylist()
             for first, end, data, offsets in byte_chunks(batch.column(1)):
-                spans, raw, out = SpanHash(data), data.tobytes(), []
+                spans, raw, out, hot = SpanHash(data), data.tobytes(), [], []
                 for i, own in zip(range(first, end), batch.column(0).slice(first, end - first).to_pylist()):
                     base = int(offsets[i - first])
                     for x in asked[i]:
-                        top, low = x["place"], x["place"] - x["windows"] + 1
-                        for a, b in [(low, top)] if not x["hot"] else [(max(low, c), min(top, c + HOT_WINDOWS - 1)) for c in range(low - low % HOT_WINDOWS, top + 1, HOT_WINDOWS)]:
-                            begin = x["first"] + top - b
-                            key = x["gram"]
-                            if x["hot"]:  # bytes that all windows of the slice share
-                                c, anchor = a - a % HOT_WINDOWS, base + x["first"] + top
-                                shared = spans(np.array([anchor - c]), np.array([anchor - c - HOT_WINDOWS + 1 + length]))
-                                with np.errstate(over="ignore"):
-                                    key = int(mix(shared + np.uint64(key % (1 << 64)) + np.uint64(c))[0].view(np.int64))
-                            out.append((key, own, begin, b - a + 1, b, not x["whole"], raw[base + begin : base + begin + b - a + length]))
+                        begin, n, place = x["first"], x["windows"], x["place"]
+                        if x["hot"]:
+                            hot.append((own, begin, n, place, x["gram"], not x["whole"], base))
+                        else:
+                            out.append((x["gram"], own, begin, n, place, not x["whole"], raw[base + begin : base + begin + n - 1 + length]))
                 if out:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), _WINDOWS)], ["key", "at", "first", "windows", "place", "asks", "bytes"])
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), _WINDOWS)], _COLUMNS)
+                for a in range(0, len(hot), 4096):
+                    yield hot_windows(spans, hot[a : a + 4096])
+
+    def hot_windows(spans, rows):
+        own, begin, n, place, gram, asks, base = (np.array(c) for c in zip(*rows))
+        n = n.astype(np.int64)
+        row = np.repeat(np.arange(len(n)), n)
+        step = ranges(np.zeros(len(n), np.int64), n)
+        start = base[row] + begin[row] + step
+        key = mix(spans(start, start + length) + mix(gram.astype(np.int64).view(np.uint64)[row] + (place[row] - step).astype(np.uint64)))
+        ones = np.ones(len(row), np.int32)
+        out = [_signed(key), pa.array(own[row]), pa.array((begin[row] + step).astype(np.int32)), pa.array(ones), pa.array((place[row] - step).astype(np.int32)), pa.array(asks[row]), pa.nulls(len(row), pa.binary())]
+        return pa.RecordBatch.from_arrays(out, _COLUMNS)
 
     return fetch
 
 
+_COLUMNS = ["key", "at", "first", "windows", "place", "asks", "bytes"]
 _WINDOWS = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.bool_(), pa.binary()]
 
 
@@ -271,11 +284,19 @@ def repeated_spans(rows, length=200, gram=GRAM, batches=4):
     contexts = matches.where("whole").groupBy("gram", "context").agg(F.min(F.struct("at", "first", "windows", "place", "whole")).alias("e")).select("gram", "e.*")
     single = matches.where("NOT whole").select("gram", "at", "first", "windows", "place", "whole")
     different = contexts.union(single)
-    mixed = different.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram", (F.col("n") > HOT_ROWS).alias("hot"))
+    mixed = cut(different.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram", (F.col("n") > HOT_ROWS).alias("hot")))
     asked = different.join(mixed, "gram").groupBy("at").agg(F.collect_list(F.struct("gram", "first", "windows", "place", "whole", "hot")).alias("asked"))
     texts = rows.join(asked, "at").dropDuplicates(["at"]).select("at", "text", "asked")
     windows = texts.mapInArrow(_fetch(length), "key long, at long, first int, windows int, place int, asks boolean, bytes binary")
-    partly = windows.repartition("key").sortWithinPartitions("key").mapInArrow(_equal_windows(length), "at long, first long, end long")
+    hot = not mixed.where("hot").isEmpty()
+    if hot:
+        windows = cut(windows)
+    partly = windows.where("bytes IS NOT NULL") if hot else windows
+    partly = partly.repartition("key").sortWithinPartitions("key").mapInArrow(_equal_windows(length), "at long, first long, end long")
+    if hot:
+        single = windows.where("bytes IS NULL").select("key", "at", F.col("first").cast("long").alias("first"), "asks")
+        often = single.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+        partly = partly.union(single.where("asks").join(often, "key").select("at", "first", (F.col("first") + length).alias("end")))
     spans = cut(long_matches.union(partly).groupBy("at").agg(F.collect_list(F.struct("first", "end")).alias("spans")))
     release(spark)
     return spans

@@ -52,6 +52,31 @@ def test_every_window_is_judged(spark, monkeypatch, length, gram, hot):
         assert out == brute(rows, length)
 
 
+def test_no_task_holds_a_hot_passage(spark, monkeypatch):
+    rng = random.Random(3)
+    passage = "".join(rng.choice("abcdefgh ") for _ in range(300))
+    around = lambda: "".join(rng.choice("abcdefgh ") for _ in range(50))
+    rows = [(i, around() + passage + around()) for i in range(80)]
+    monkeypatch.setattr(suffix_dedup, "HOT_ROWS", 20)
+    compare = suffix_dedup._equal_windows
+
+    def bounded(length):
+        run = compare(length)
+
+        def count(batches):
+            held = list(batches)
+            keys = Counter(k for b in held for k in b.column(0).to_pylist())
+            if keys and max(keys.values()) > 20:
+                raise ValueError(f"{max(keys.values())} rows of one key in a task")
+            yield from run(iter(held))
+
+        return count
+
+    monkeypatch.setattr(suffix_dedup, "_equal_windows", bounded)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert sorted((tuple(r) for r in suffix_dedup.removed(docs).collect()), key=str) == brute(rows, 200)
+
+
 def test_sample(spark, folder):
     rows = [(r["doc_id"], r["text"]) for r in sample(spark, folder).collect()]
     assert sorted((tuple(r) for r in suffix_dedup.removed(sample(spark, folder)).collect()), key=str) == brute(rows, 200)
