@@ -68,10 +68,10 @@ def op7_language_id(spark, folder):
 def op8_warc(spark, folder):
     """Writes the archives to the shared folder and reads them back, payloads of responses included."""
     with store.scratch(spark, "op8") as place:
-        warc.write_warc(_read(spark, folder, "pages"), place)
+        manifest = warc.write_manifest(warc.write_warc(_read(spark, folder, "pages"), place), place)
         digest = F.regexp_replace("payload_digest", "^sha1:", "")
-        responses = warc.read_warc(spark, place, ["record_type", "page_id", "payload_digest", "payload"]).where("record_type = 'response'")
-        revisits = warc.read_warc(spark, place, ["record_type", "page_id", "payload_digest", "payload_length", "refers_to"]).where("record_type = 'revisit'")
+        responses = warc.read_warc(spark, place, ["record_type", "page_id", "payload_digest", "payload"], manifest).where("record_type = 'response'")
+        revisits = warc.read_warc(spark, place, ["record_type", "page_id", "payload_digest", "payload_length", "refers_to"], manifest).where("record_type = 'revisit'")
         out = responses.select("page_id", F.octet_length("payload").cast("long").alias("payload_bytes"), digest.alias("payload_digest"), "record_type", F.lit(None).cast("long").alias("refers_to"))
         page = F.regexp_extract("refers_to", r"^<urn:page:(-?\d+)>$", 1).cast("long")
         return store.cut(out.union(revisits.select("page_id", F.col("payload_length"), digest, "record_type", page)))

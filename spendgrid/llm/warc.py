@@ -19,6 +19,7 @@ import uuid
 import zlib
 
 import pyarrow as pa
+import pyarrow.parquet as pq
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import functions as F
@@ -135,6 +136,17 @@ def write_warc(pages, folder, id_col="page_id", url_col="url", payload_col="html
     return cut(rows.mapInArrow(write, "path string, bytes long, records long"))
 
 
+def write_manifest(written, folder):
+    """Write what write_warc returned into the folder; gives the path for read_warc.
+
+    A task that runs twice leaves archives of both attempts in the folder, perhaps cut off;
+    only those of the attempt that counted are listed here.
+    """
+    path = f"{folder}/manifest-{uuid.uuid4().hex}"
+    written.select("path", "bytes").write.parquet(path)
+    return path
+
+
 def _archive(path, size, records):
     return pa.RecordBatch.from_pydict({"path": [path], "bytes": [size], "records": [records]})
 
@@ -265,8 +277,8 @@ class ArchivePartition(InputPartition):
 class WarcReader(DataSourceReader):
     """One partition per archive. Predicates on header columns are decided from the headers."""
 
-    def __init__(self, folder, schema, batch_bytes=1 << 22):
-        self.folder, self.columns, self.batch_bytes = folder, [(f.name, f.dataType.simpleString()) for f in schema], batch_bytes
+    def __init__(self, folder, schema, batch_bytes=1 << 22, manifest=None):
+        self.folder, self.columns, self.batch_bytes, self.manifest = folder, [(f.name, f.dataType.simpleString()) for f in schema], batch_bytes, manifest
         self.tests = []
 
     def pushFilters(self, filters):
@@ -287,6 +299,10 @@ class WarcReader(DataSourceReader):
         return True
 
     def partitions(self):
+        if self.manifest:
+            files, base = filesystem(self.manifest)
+            listed = pq.read_table(base, filesystem=files, columns=["path", "bytes"]).to_pylist()
+            return [ArchivePartition(*x) for x in sorted((r["path"], r["bytes"]) for r in listed)] or [ArchivePartition(None, 0)]
         files, base = filesystem(self.folder)
         found = files.get_file_info(fs.FileSelector(base, allow_not_found=True, recursive=True)) if files.get_file_info(base).type != fs.FileType.File else [files.get_file_info(base)]
         archives = [ArchivePartition(f.path, f.size) for f in found if f.type == fs.FileType.File and f.path.endswith((".warc", ".warc.gz"))]
@@ -330,16 +346,18 @@ class WarcSource(DataSource):
         return SCHEMA
 
     def reader(self, schema: StructType):
-        return WarcReader(self.options["path"], schema)
+        return WarcReader(self.options["path"], schema, manifest=self.options.get("manifest"))
 
 
-def read_warc(spark, folder, columns=None):
+def read_warc(spark, folder, columns=None, manifest=None):
     """The records of all archives in the folder, with the named columns of SCHEMA.
 
+    With the path of a manifest (see write_manifest) only the archives it lists are read.
     Turns on filter pushdown into Python data sources for the session, which Spark leaves
     off: without it predicates are applied to the rows that the source returns.
     """
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(WarcSource)
     kinds = dict(c.strip().split(" ") for c in SCHEMA.split(","))
-    return spark.read.format("warc").schema(", ".join(f"{c} {kinds[c]}" for c in columns or kinds)).load(folder)
+    reader = spark.read.format("warc").schema(", ".join(f"{c} {kinds[c]}" for c in columns or kinds))
+    return (reader.option("manifest", manifest) if manifest else reader).load(folder)

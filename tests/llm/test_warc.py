@@ -3,6 +3,7 @@
 import base64
 import gzip
 import hashlib
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
@@ -52,6 +53,27 @@ def test_round_trip(spark):
         assert warc.read_warc(spark, place, ["page_id"]).where("page_id > 4").count() == 2
 
 
+def test_files_of_failed_attempts_are_not_read(spark, folder, monkeypatch):
+    write = warc.write_warc
+
+    def twice(pages, place, **more):
+        written = write(pages, place, **more)
+        path = written.where("bytes > 500").first()["path"]
+        shutil.copy(path, path.replace(".warc.gz", "-again.warc.gz"))
+        with open(path, "rb") as whole, open(path.replace(".warc.gz", "-cut.warc.gz"), "wb") as short:
+            short.write(whole.read()[:-40])
+        return written
+
+    monkeypatch.setattr(warc, "write_warc", twice)
+    out = QUERIES["op8_warc"](spark, folder).collect()
+    rows = [(r["page_id"], r["url"], r["html"]) for r in spark.read.parquet(f"{folder}/pages.parquet").collect()]
+    found = [(r["page_id"], r["payload_bytes"], r["payload_digest"], r["record_type"], r["refers_to"]) for r in out]
+    assert sorted(found, key=str) == brute(rows)
+    with store.scratch(spark, "test") as place:
+        none = write(pages(spark, []), place)
+        assert warc.read_warc(spark, place, manifest=warc.write_manifest(none, place)).count() == 0
+
+
 def test_small_payloads_are_not_revisited(spark):
     with store.scratch(spark, "test") as place:
         warc.write_warc(pages(spark), place, least_bytes=100)
