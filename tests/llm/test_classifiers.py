@@ -41,6 +41,20 @@ def test_quality_of_odd_rows(spark):
     assert quality_rank.score(no_documents(spark), quality_rank.fit(no_documents(spark), labels.limit(0))).count() == 0
 
 
+@pytest.mark.parametrize("same", [True, False])
+def test_training_rows_are_bounded_where_ids_repeat(spark, monkeypatch, same):
+    rows = [(0, "one text!" if same else f"text {i}!") for i in range(300)] + [(i, f"the words {i} of it") for i in range(1, 601)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 2 == 0)) for i in range(601)], "doc_id long, quality int")
+    seen, train = [], quality_rank.train
+    monkeypatch.setattr(quality_rank, "train", lambda x, better, n: seen.append(x) or train(x, better, n))
+    quality_rank.fit(docs, labels, max_rows=100)
+    quality_rank.fit(docs, labels, max_rows=2000)
+    quality_rank.fit(docs, labels, max_rows=600)
+    repeated = [int((x[:, quality_rank.FEATURES.index("exclamations")] > 0).sum()) for x in seen]
+    assert [len(x) for x in seen] == [100, 900, 600] and repeated[1] == 300 and 15 <= repeated[0] <= 55
+
+
 def test_pairs_recover_an_order():
     rng = np.random.default_rng(1)
     x = rng.normal(size=(400, len(quality_rank.FEATURES)))
