@@ -110,3 +110,44 @@ select page_id, size::bigint as payload_bytes, {_BASE32} as payload_digest,
   case when page_id = newest then 'response' else 'revisit' end as record_type,
   case when page_id <> newest then newest end as refers_to
 from p join newest using (sha)"""
+
+_H = ", ".join(f"('0x' || substr(sha, {8 * i + 1}, 8))::bigint as h{i + 1}" for i in range(4))
+FILL_IN_MIDDLE = rf"""
+with d as (
+  select doc_id, coalesce(text, '') as text, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') as u,
+    sha256('7:' || coalesce(doc_id::varchar, '')) as sha from documents),
+h as (select *, len(u)::bigint as n, {_H} from d),
+c as (
+  select *, least(h1 % (n + 1), h2 % (n + 1)) as a, greatest(h1 % (n + 1), h2 % (n + 1)) as b,
+    case when text = '' or contains(text, '<P>') or contains(text, '<S>') or contains(text, '<M>') or h3 % 100 >= 100 then 'plain'
+      when h4 % 100 < 50 then 'spm' else 'psm' end as form from h),
+p as (
+  select *, coalesce(array_to_string(u[1:a], ''), '') as pre, coalesce(array_to_string(u[a + 1:b], ''), '') as mid,
+    coalesce(array_to_string(u[b + 1:n], ''), '') as suf from c)
+select doc_id, n, form, case when form <> 'plain' then length(pre) end as prefix_chars,
+  case when form <> 'plain' then length(mid) end as middle_chars,
+  sha256(case form when 'plain' then text when 'psm' then '<P>' || pre || '<S>' || suf || '<M>' || mid
+    else '<S>' || suf || '<P>' || pre || '<M>' || mid end) as output_sha256,
+  sha256(case when form = 'plain' then text else pre || mid || suf end) as restored_sha256
+from p"""
+
+HARD_NEGATIVES = """
+with v as (
+  select distinct vec_id, (case when vec_id % 7 = 0 then (label + 1) % 10 else label end)::bigint as label,
+    list_transform(embedding, lambda x: floor(256 * x::double)) as q from embeddings
+  where vec_id is not null and label is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0),
+scored as (
+  select a.vec_id as anchor_id, a.label = b.label as same, b.vec_id as other_id, list_dot_product(a.q, b.q)::bigint as score
+  from v a join v b on a.vec_id % 100 = 0 and a.vec_id <> b.vec_id),
+positives as (
+  select *, row_number() over (partition by anchor_id order by score desc, other_id) as positive_rank from scored where same
+  qualify positive_rank <= 5),
+ranked as (
+  select p.anchor_id, p.other_id as positive_id, p.positive_rank, n.other_id as negative_id,
+    p.score as positive_score, n.score as negative_score,
+    row_number() over (partition by p.anchor_id, p.other_id order by n.score desc, n.other_id) as rank
+  from positives p join scored n
+    on n.anchor_id = p.anchor_id and not n.same and 80 * p.score <= 100 * n.score and 100 * n.score <= 100 * p.score)
+select anchor_id, positive_id, rank::int as rank, negative_id, positive_score, negative_score, positive_rank::int as positive_rank
+from ranked where rank <= 5"""

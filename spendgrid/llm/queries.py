@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from spendgrid.llm import checks, langid, mixing, ngram_join, packing, quality_rank, quality_rules, store, suffix_dedup, token_files, topk, warc
+from spendgrid.llm import bpe, checks, fim, langid, mixing, negatives, ngram_join, packing, quality_rank, quality_rules, store, suffix_dedup, token_files, topk, warc
 
 
 def _read(spark, folder, table):
@@ -88,6 +88,27 @@ def op10_token_files(spark, folder):
         return store.cut(token_files.read_token_files(files, place, with_ids=False).drop("ids"))
 
 
+def op11_bpe_words(spark, folder):
+    """Blocks and words are written to the shared folder; only digests of ids and texts are returned."""
+    import public_tokenizers
+
+    with store.scratch(spark, "op11") as place:
+        out = bpe.encode(_read(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), place, with_text=True)
+        return store.cut(out.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256")))
+
+
+def op12_fill_in_middle(spark, folder):
+    out = fim.fill_in_middle(_read(spark, folder, "documents"))
+    named = out.select("*", F.sha2("output", 256).alias("output_sha256"))
+    kept = ("doc_id", "n", "form", "prefix_chars", "middle_chars", "output_sha256")
+    return fim.restored(named, kept).select(*kept, F.sha2("text", 256).alias("restored_sha256"))
+
+
+def op13_hard_negatives(spark, folder):
+    moved = lambda vec_id, label: F.when(vec_id % 7 == 0, (label + 1) % 10).otherwise(label)
+    return negatives.hard_negatives(_read(spark, folder, "embeddings"), relabel=moved)
+
+
 QUERIES = {
     "op1_quality_ranking": op1_quality_ranking,
     "op2_ngram_jaccard": op2_ngram_jaccard,
@@ -99,6 +120,9 @@ QUERIES = {
     "op8_warc": op8_warc,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_token_files": op10_token_files,
+    "op11_bpe_words": op11_bpe_words,
+    "op12_fill_in_middle": op12_fill_in_middle,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 SQL = {
@@ -107,4 +131,6 @@ SQL = {
     "op4_quality_rules": checks.QUALITY_RULES,
     "op6_exact_topk": checks.EXACT_TOPK,
     "op8_warc": checks.WARC,
+    "op12_fill_in_middle": checks.FILL_IN_MIDDLE,
+    "op13_hard_negatives": checks.HARD_NEGATIVES,
 }

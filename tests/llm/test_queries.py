@@ -16,6 +16,9 @@ OWED = {
     "op8_warc": "page_id payload_bytes payload_digest record_type refers_to",
     "op9_best_fit_packing": "doc_id piece start length ids_crc32 sequence_id offset",
     "op10_token_files": "doc_id start n_tokens ids_crc32",
+    "op11_bpe_words": "doc_id n_tokens ids_sha256 decoded_sha256",
+    "op12_fill_in_middle": "doc_id n form prefix_chars middle_chars output_sha256 restored_sha256",
+    "op13_hard_negatives": "anchor_id positive_id rank negative_id positive_score negative_score",
 }
 
 
