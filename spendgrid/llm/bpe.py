@@ -3,14 +3,14 @@
 1. Texts are split into words in Spark, as the tokenizer file's normalizer and pattern do
    it. Documents are taken in blocks of bounded size; a block is written once, as its
    distinct words and, per document, the places of its words in that list.
-2. The distinct words of all blocks form one table, in which the tokenizers library encodes
-   each word once. A word without white space is encoded alike wherever it stands.
-3. Decoding: the ids of the distinct words are exploded and joined with the table of id and
-   piece; the pieces of a word are joined in their order. `decoded` does the same for any
-   table of ids.
-4. Ids and decoded words are joined to the blocks by word, and in its block every document
-   picks those of its words by position. A word is at most once in a block, so the rows of
-   the most frequent word are as many as there are blocks, and texts never travel.
+2. The words of all blocks are dealt out and sorted by word: equal words stand together, and
+   the tokenizers library encodes each distinct word once. A word without white space is
+   encoded alike wherever it stands.
+3. The ids go back to the blocks, and in its block every document joins those of its words by
+   position. A word is at most once in a block, so the rows of the most frequent word are as
+   many as there are blocks, and texts never travel.
+4. Decoding joins ids to pieces. The vocabulary, as large as its file, is the side that every
+   task holds, so ids are joined where they are, chunk by chunk, and no token is shuffled.
 
 Splitting is vectorised over the code points of a chunk for characters whose normal form
 and class do not depend on their neighbours; the library itself says what these are, one
@@ -31,18 +31,21 @@ import json
 import os
 import re
 import unicodedata
-import uuid
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, LongType, StringType, StructField, StructType
 
 from spendgrid.llm.arrays import byte_chunks, ranges, row_of
 from spendgrid.llm.store import pick
+from spendgrid.sources.tables import write_bucketed
 
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 16 << 20
+
+IDS_BYTES = 1 << 20  # of ids decoded at once, or one text
 
 # The pattern whose words split_fast() finds; files with another pattern are split by the library.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -75,7 +78,11 @@ class Words:
         self.normalizer = whole.normalizer
         self.splitter = Tokenizer.from_str(json.dumps({**spec, "normalizer": None, "pre_tokenizer": split})).pre_tokenizer
         self.encoder = Tokenizer.from_str(json.dumps({**spec, "normalizer": None, "pre_tokenizer": levels}))
-        self.pieces = whole.get_vocab(with_added_tokens=True)
+        pieces = whole.get_vocab(with_added_tokens=True)
+        listed = [None] * (max(pieces.values()) + 1)
+        for piece, number in pieces.items():
+            listed[number] = piece
+        self.pieces = pa.array(listed, pa.large_string())
         special = sorted((t["content"] for t in spec["added_tokens"]), key=len, reverse=True)
         self.special = [t.encode() for t in special]
         self.cut = re.compile("(" + "|".join(map(re.escape, special)) + ")") if special else None
@@ -201,64 +208,68 @@ def words_of(path):
 def write_blocks(docs, path, place, id_col="doc_id", text_col="text"):
     """Writes all documents as blocks to the folder `place` and returns the table.
 
-    A row with words is a block's list of distinct words; a row with codes is a document:
-    for each of its words the place in that list, 2 bytes each or 4 as `wide` says.
+    A row with words is a block's list of distinct words. The other rows hold documents of
+    the block: their ids, how many words they have, and the places of these in the list.
     """
     rows = pick(docs, doc_id=id_col, text=text_col).select("doc_id", F.col("text").cast("string").alias("text"))
-    schema = StructType([StructField("block", StringType()), StructField("words", ArrayType(StringType())), StructField("doc_id", rows.schema["doc_id"].dataType), StructField("wide", IntegerType()), StructField("codes", BinaryType())])
+    columns = [("block", LongType()), ("words", ArrayType(StringType())), ("doc_ids", ArrayType(rows.schema["doc_id"].dataType)), ("counts", ArrayType(LongType())), ("codes", BinaryType())]
+    schema = StructType([StructField(*c) for c in columns])
 
     def run(batches):
         splitter = words_of(path)
-        held, size, ids = [], 0, None
+        held, size = [], 0
+        # Unique within this one write: of several attempts at a task, one is committed.
+        block = TaskContext.get().partitionId() << 32
         for batch in batches:
             for first, end, data, offsets in byte_chunks(batch.column("text")):
-                own = batch.column("doc_id").slice(first, end - first)
                 if held and size + len(data) > BLOCK_BYTES:
-                    yield from packed(held, schema)
-                    held, size = [], 0
+                    yield from packed(block, held, schema)
+                    block, held, size = block + 1, [], 0
                 words, at = splitter.split(data, offsets)
-                held.append((own, words, np.searchsorted(at, np.arange(len(own) + 1))))
+                # Words of a chunk are few distinct ones: from here on it holds these and 4 bytes a word.
+                held.append((batch.column("doc_id").slice(first, end - first), np.bincount(at, minlength=end - first), words.dictionary_encode()))
                 size += len(data)
         if held:
-            yield from packed(held, schema)
+            yield from packed(block, held, schema)
+
+    # About a block per task of the scan, so about a file per bucket; what joins the blocks later comes to them.
+    spark = docs.sparkSession
+    buckets = max(rows.rdd.getNumPartitions(), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return write_bucketed(rows.mapInArrow(run, schema), place, "block", buckets, deal=False)
+
+
+def packed(block, held, schema):
+    """A block's list of words, frequent ones first, and its documents."""
+    words = pa.concat_arrays([coded.dictionary for *_, coded in held]).dictionary_encode()
+    place, words = words.indices.to_numpy(), words.dictionary
+    starts = np.cumsum([0] + [len(coded.dictionary) for *_, coded in held])
+    codes = [place[start:][coded.indices.to_numpy()] for start, (*_, coded) in zip(starts, held)]
+    order = np.argsort(-sum(np.bincount(c, minlength=len(words)) for c in codes), kind="stable")
+    number = np.empty(len(words), np.uint32)
+    number[order] = np.arange(len(words))
+    own = held[0][0].type
+    arrow = [pa.int64(), pa.list_(pa.string()), pa.list_(own), pa.list_(pa.int64()), pa.binary()]
 
-    rows.mapInArrow(run, schema).write.parquet(place, compression="zstd")
-    return docs.sparkSession.read.schema(schema).parquet(place)
+    def row(*values):
+        return pa.RecordBatch.from_arrays([pa.array([x], t) if not isinstance(x, pa.Array) else one(x.cast(t.value_type)) for x, t in zip(values, arrow)], schema.names)
 
+    def one(values):
+        return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
 
-def packed(held, schema):
-    """A block's list of words and its documents; frequent words come first in the list."""
-    coded = pa.concat_arrays([words for _, words, _ in held]).dictionary_encode()
-    codes, words = coded.indices.to_numpy().astype(np.int64), coded.dictionary
-    order = np.argsort(-np.bincount(codes, minlength=len(words)), kind="stable")
-    number = np.empty(len(words), np.int64)
-    number[order] = np.arange(len(words))
-    width = 2 if len(words) <= 1 << 16 else 4
-    flat = number[codes].astype(f"<u{width}")
-    block = uuid.uuid4().hex
-    arrow = [pa.string(), pa.list_(pa.string()), held[0][0].type, pa.int32(), pa.binary()]
-    listed = pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words.take(pa.array(order)).cast(pa.string()))
-    yield pa.RecordBatch.from_arrays([pa.array([block], arrow[0]), listed, pa.nulls(1, arrow[2]), pa.nulls(1, arrow[3]), pa.nulls(1, arrow[4])], schema.names)
-    begin = 0
-    for own, _, ends in held:
-        n = len(own)
-        part = binary(flat[begin : begin + ends[-1]], ends)
-        yield pa.RecordBatch.from_arrays([pa.array([block] * n, arrow[0]), pa.nulls(n, arrow[1]), own, pa.array(np.full(n, width), arrow[3]), part], schema.names)
-        begin += ends[-1]
-
-
-def write_words(blocks, path, place):
-    """Writes word and ids (little-endian unsigned 32-bit numbers) of every distinct word."""
+    yield row(block, words.take(pa.array(order)), None, None, None)
+    for (ids, counts, _), c in zip(held, codes):
+        yield row(block, None, ids, pa.array(counts, pa.int64()), squeezed(number[c]))
 
-    def run(batches):
-        coder = words_of(path)
-        for batch in batches:
-            ids, lengths = coder.encode(batch.column(0).to_pylist())
-            yield pa.RecordBatch.from_arrays([batch.column(0), binary(ids, np.concatenate([[0], np.cumsum(lengths)]))], ["word", "ids"])
 
-    words = blocks.where("words IS NOT NULL").select(F.explode("words").alias("word")).distinct()
-    words.mapInArrow(run, "word string, ids binary").write.parquet(place, compression="zstd")
-    return blocks.sparkSession.read.schema("word string, ids binary").parquet(place)
+def squeezed(numbers):
+    """Numbers of 32 bits as compressed bytes: all lowest bytes, then all second ones, and so on."""
+    planes = np.ascontiguousarray(np.asarray(numbers).astype("<u4").view(np.uint8).reshape(-1, 4).T)
+    return pa.Codec("zstd", 3).compress(pa.py_buffer(planes), asbytes=True)
+
+
+def unsqueezed(data, n):
+    planes = np.frombuffer(pa.Codec("zstd").decompress(data, 4 * n), np.uint8).reshape(4, n)
+    return np.ascontiguousarray(planes.T).view("<u4").reshape(-1).astype(np.int64)
 
 
 def binary(numbers, bounds):
@@ -267,72 +278,93 @@ def binary(numbers, bounds):
     return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(bounds) - 1, [None, pa.py_buffer(ends), pa.py_buffer(numbers.tobytes())]).cast(pa.binary())
 
 
-def piece_table(spark, path):
-    """id and piece of the vocabulary, special tokens included; as large as the file says."""
-    pieces = words_of(path).pieces
-    return spark.createDataFrame(pa.table({"id": pa.array(pieces.values(), pa.int64()), "piece": pa.array(pieces.keys(), pa.string())}))
+NAMES = ["block", "n_words", "n_ids", "places", "lengths", "ids"]
 
 
-def decoded(rows, path, key, ids_col="ids"):
-    """rows with text: the pieces of their ids, joined by spaces.
+def encoded_words(blocks, path):
+    """block, places and ids of the words of all blocks, each distinct word encoded once.
 
-    key: a column that is distinct and not null. Ids outside the vocabulary add nothing, as in
-    the library; null ids decode to an empty text.
+    A row holds some words of a block, all numbers squeezed(): their places in its list, how
+    many ids each has, and the ids one after another.
     """
+    listed = blocks.where("words IS NOT NULL").select("block", F.posexplode("words").alias("place", "word"))
 
-    def explode(batches):
+    def run(batches):
+        coder, last, ending = words_of(path), None, None
         for batch in batches:
-            for first, end, data, offsets in byte_chunks(batch.column(1)):
-                counts = np.diff(offsets) // 4
-                own = batch.column(0).slice(first, end - first).take(pa.array(np.repeat(np.arange(end - first), counts)))
-                yield pa.RecordBatch.from_arrays([own, pa.array(ranges(np.zeros(len(counts), np.int64), counts)), pa.array(np.ascontiguousarray(data).view("<u4").astype(np.int64))], ["own", "at", "id"])
-
-    own = rows.schema[key].dataType.simpleString()
-    exploded = rows.select(key, ids_col).mapInArrow(explode, f"own {own}, at long, id long")
-    found = exploded.join(piece_table(rows.sparkSession, path), "id").groupBy("own").agg(F.array_sort(F.collect_list(F.struct("at", "piece"))).alias("found"))
-    text = found.select(F.col("own").alias("decoded key"), F.array_join("found.piece", " ").alias("decoded text"))
-    whole = rows.join(text, F.col(key) == F.col("decoded key"), "left")
-    return whole.select(*rows.columns, F.coalesce("decoded text", F.lit("")).alias("text"))
-
-
-def encoded(blocks, table):
-    """doc_id, n_tokens, ids (binary) and text of all documents of blocks.
-
-    table: word, ids, text of all distinct words; without text, the result has none.
+            if not batch.num_rows:
+                continue
+            coded = batch.column("word").dictionary_encode()
+            words = coded.dictionary.to_pylist()
+            # Words come sorted: only the first may have been the last one of the batch before.
+            repeated = words[0] == last
+            ids, lengths = coder.encode(words[repeated:])
+            if repeated:
+                ids, lengths = np.concatenate([ending, ids]), np.concatenate([[len(ending)], lengths])
+            starts = np.cumsum(lengths) - lengths
+            last, ending = words[-1], ids[starts[-1] :]
+            block, word = batch.column("block").to_numpy(), coded.indices.to_numpy()
+            order = np.argsort(block, kind="stable")
+            block, word, place = block[order], word[order], batch.column("place").to_numpy()[order]
+            cuts = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]]))
+            own = lengths[word]
+            bounds = np.append(cuts, len(block))
+            sums = np.concatenate([[0], np.cumsum(own)])[bounds]
+            flat = ids[ranges(starts[word], own)]
+            columns = [[squeezed(x[a:b]) for a, b in zip(e[:-1], e[1:])] for x, e in ((place, bounds), (own, bounds), (flat, sums))]
+            yield pa.RecordBatch.from_arrays([pa.array(block[cuts]), pa.array(np.diff(bounds)), pa.array(np.diff(sums)), *(pa.array(c, pa.binary()) for c in columns)], NAMES)
+
+    return listed.repartition("word").sortWithinPartitions("word").mapInArrow(run, "block long, n_words long, n_ids long, places binary, lengths binary, ids binary")
+
+
+def encode(docs, path, place, id_col="doc_id", text_col="text"):
+    """doc_id, n_tokens and ids (little-endian unsigned 32-bit numbers) of every row of docs.
+
+    place: a shared folder for the blocks, which the result reads.
     """
-    listed = blocks.where("words IS NOT NULL").select("block", F.posexplode("words").alias("number", "word"))
-    filled = listed.join(table, "word").drop("word")
-    docs = blocks.where("codes IS NOT NULL").select("block", "doc_id", "wide", "codes").toDF("block", "doc_id", "wide", "codes")
-    texts = "text" in table.columns
-    schema = StructType([docs.schema["doc_id"], *StructType.fromDDL("n_tokens long, ids binary, text string").fields[: 3 if texts else 2]])
-
-    def whole(docs, words):
-        words = words.sort_by("number")
-        known, ends = np.zeros(0, "<u4"), np.zeros(1, np.int64)
-        for _, _, data, offsets in byte_chunks(words.column("ids").combine_chunks(), 1 << 60):
-            known, ends = np.ascontiguousarray(data).view("<u4"), offsets // 4
-        text = words.column("text").combine_chunks().cast(pa.large_string()) if texts else None
-        width = docs.column("wide")[0].as_py()
+    blocks = write_blocks(docs, path, place, id_col, text_col)
+    words = encoded_words(blocks, path)
+    held = blocks.where("codes IS NOT NULL").select("block", "doc_ids", "counts", "codes").toDF("block", "doc_ids", "counts", "codes")
+    schema = StructType([StructField("doc_id", blocks.schema["doc_ids"].dataType.elementType), *StructType.fromDDL("n_tokens long, ids binary").fields])
+
+    def joined(held, words):
+        def whole(column, sizes):
+            parts = [unsqueezed(x, n) for x, n in zip(words.column(column).to_pylist(), words.column(sizes).to_pylist())]
+            return np.concatenate([np.zeros(0, np.int64), *parts])
+
+        places, lengths, ids = whole("places", "n_words"), whole("lengths", "n_words"), whole("ids", "n_ids").astype("<u4")
+        count, start = np.zeros(len(places), np.int64), np.zeros(len(places), np.int64)
+        count[places] = lengths
+        start[places] = np.cumsum(lengths) - lengths
         out = []
-        for first, end, raw, offsets in byte_chunks(docs.column("codes").combine_chunks()):
-            at, bounds = np.ascontiguousarray(raw).view(f"<u{width}").astype(np.int64), offsets // width
-            lengths = np.diff(ends)[at]
-            sums = np.concatenate([[0], np.cumsum(lengths)])[bounds]
-            columns = [docs.column("doc_id").combine_chunks().slice(first, end - first), pa.array(np.diff(sums), pa.int64()), binary(known[ranges(ends[at], lengths)], sums)]
-            if texts:
-                lists = pa.LargeListArray.from_arrays(pa.array(bounds, pa.int64()), text.take(pa.array(at)))
-                columns.append(pc.binary_join(lists, pa.scalar(" ", pa.large_string())).cast(pa.string()))
-            out.append(pa.RecordBatch.from_arrays(columns, schema.names))
+        for row in range(held.num_rows):
+            counts = held.column("counts")[row].values.to_numpy()
+            at = unsqueezed(held.column("codes")[row].as_py(), int(counts.sum()))
+            own = count[at]
+            sums = np.concatenate([[0], np.cumsum(own)])[np.concatenate([[0], np.cumsum(counts)])]
+            out.append(pa.RecordBatch.from_arrays([held.column("doc_ids")[row].values, pa.array(np.diff(sums), pa.int64()), binary(ids[ranges(start[at], own)], sums)], schema.names))
         return pa.Table.from_batches(out)
 
-    return docs.groupBy("block").cogroup(filled.groupBy("block")).applyInArrow(whole, schema)
+    return held.groupBy("block").cogroup(words.groupBy("block")).applyInArrow(joined, schema)
 
 
-def encode(docs, path, place, with_text=False, id_col="doc_id", text_col="text"):
-    """doc_id, n_tokens and ids of every row of docs, and with_text the text they decode to.
+def decoded(rows, path, keep=("doc_id",), ids_col="ids"):
+    """The columns to keep and text: the pieces of the ids, joined by spaces.
 
-    place: a shared folder for the blocks and the table of words; the result reads them.
+    Ids outside the vocabulary add nothing, as in the library; null ids give an empty text.
     """
-    blocks = write_blocks(docs, path, f"{place}/blocks", id_col, text_col)
-    words = write_words(blocks, path, f"{place}/words")
-    return encoded(blocks, decoded(words, path, "word") if with_text else words)
+    chosen = rows.select(*keep, ids_col)
+    schema = StructType([*chosen.schema.fields[: len(keep)], StructField("text", StringType())])
+
+    def run(batches):
+        pieces = words_of(path).pieces
+        for batch in batches:
+            for first, end, data, offsets in byte_chunks(batch.column(len(keep)), IDS_BYTES):
+                ids = np.ascontiguousarray(data).view("<u4")
+                known = (ids < len(pieces)) & pieces.is_valid().to_numpy(zero_copy_only=False)[np.minimum(ids, len(pieces) - 1)]
+                bounds = np.concatenate([[0], np.cumsum(known)])[offsets // 4]
+                lists = pa.LargeListArray.from_arrays(pa.array(bounds, pa.int64()), pieces.take(pa.array(ids[known])))
+                text = pc.binary_join(lists, pa.scalar(" ", pa.large_string())).cast(pa.string())
+                yield pa.RecordBatch.from_arrays([*(batch.column(i).slice(first, end - first) for i in range(len(keep))), text], schema.names)
+
+    return chosen.mapInArrow(run, schema)

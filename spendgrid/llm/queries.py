@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from spendgrid.llm import bpe, checks, fim, langid, mixing, negatives, ngram_join, packing, quality_rank, quality_rules, store, suffix_dedup, token_files, topk, warc
+from spendgrid.sources.tables import forget_bucketed
 
 
 def _read(spark, folder, table):
@@ -89,12 +90,16 @@ def op10_token_files(spark, folder):
 
 
 def op11_bpe_words(spark, folder):
-    """Blocks and words are written to the shared folder; only digests of ids and texts are returned."""
+    """Blocks are written to the shared folder; only digests of ids and texts are returned."""
     import public_tokenizers
 
+    path = public_tokenizers.path("word_bpe_49k.json")
     with store.scratch(spark, "op11") as place:
-        out = bpe.encode(_read(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), place, with_text=True)
-        return store.cut(out.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256")))
+        rows = bpe.encode(_read(spark, folder, "documents"), path, place).withColumn("ids_sha256", F.sha2("ids", 256))
+        kept = ("doc_id", "n_tokens", "ids_sha256")
+        out = store.cut(bpe.decoded(rows, path, kept).select(*kept, F.sha2("text", 256).alias("decoded_sha256")))
+        forget_bucketed(spark, place)
+        return out
 
 
 def op12_fill_in_middle(spark, folder):

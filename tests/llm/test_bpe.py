@@ -2,6 +2,7 @@
 
 import json
 import random
+import uuid
 
 import numpy as np
 import pytest
@@ -39,7 +40,7 @@ def library(text):
 
 
 def check(spark, docs, tmp_path, **names):
-    out = bpe.encode(docs, FILE, f"file://{tmp_path}", with_text=True, **names)
+    out = bpe.decoded(bpe.encode(docs, FILE, f"file://{tmp_path}/blocks", **names), FILE, ("doc_id", "n_tokens", "ids"))
     rows = [(r[0], r[1]) for r in docs.select(names.get("id_col", "doc_id"), F.col("`" + names.get("text_col", "text") + "`")).collect()]
     key = lambda r: repr(r)
     want = sorted(((i, len(ids) // 4, ids, text) for i, t in rows for ids, text in [library(t)]), key=key)
@@ -71,31 +72,47 @@ def test_sample_of_the_table(spark, folder, tmp_path):
     check(spark, spark.read.parquet(f"{folder}/documents.parquet"), tmp_path)
 
 
-def test_long_text_wide_codes_and_clashing_names(spark, tmp_path):
+def test_long_text_many_words_and_clashing_names(spark, tmp_path):
     long = " ".join(f"w{i}q" for i in range(90_000))  # over 65,536 distinct words and 4 MB
     long = (long + " ") * 6
     docs = spark.createDataFrame([("a", long, 1, "z"), ("b", "x y", 2, "z")], "block string, `the``text` string, codes int, words string")
-    rows = bpe.encode(docs, FILE, f"file://{tmp_path}", True, "block", "the`text").orderBy("doc_id").collect()
-    want = library(long)
-    assert (bytes(rows[0]["ids"]), rows[0]["text"]) == want and rows[1]["text"] == library("x y")[1]
+    out = bpe.encode(docs, FILE, f"file://{tmp_path}/blocks", "block", "the`text")
+    rows = bpe.decoded(out, FILE, ("doc_id", "ids")).orderBy("doc_id").collect()
+    assert (bytes(rows[0]["ids"]), rows[0]["text"]) == library(long) and rows[1]["text"] == library("x y")[1]
 
 
-def test_every_distinct_word_is_encoded_once(spark, tmp_path):
+def test_every_distinct_word_is_encoded_once(spark, tmp_path, monkeypatch):
     docs = odd_documents(spark, [(i, "same words here " * 20 + f"own{i % 9}", None, None) for i in range(200)]).repartition(4)
     blocks = bpe.write_blocks(docs, FILE, f"file://{tmp_path}/b")
-    words = [r["word"] for r in bpe.write_words(blocks, FILE, f"file://{tmp_path}/w").collect()]
-    assert len(words) == len(set(words)) == 3 + 1 + 9
+    seen = tmp_path / "seen"
+    seen.mkdir()
+
+    class Counted(bpe.Words):
+        def encode(self, words):
+            (seen / uuid.uuid4().hex).write_text("\n".join(words))
+            return super().encode(words)
+
+    monkeypatch.setattr(bpe, "Words", Counted)
+    monkeypatch.setattr(bpe, "words_of", lambda path: Counted(path))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 3)
+    try:
+        rows = bpe.encoded_words(blocks, FILE).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    words = [w for f in seen.iterdir() for w in f.read_text().split()]
+    assert sorted(words) == sorted(["same", "words", "here", "own", *"012345678"])
+    assert sum(r["n_words"] for r in rows) == sum(len(r["words"]) for r in blocks.where("words IS NOT NULL").collect())
 
 
 def test_decoding_any_ids(spark):
     ids = [[], [49406, 320, 49407], [5, 60_000, 7], list(range(2000))]
     df = spark.createDataFrame([(i, np.array(x, "<u4").tobytes(), "t") for i, x in enumerate(ids)] + [(9, None, "t")], "key long, ids binary, own string")
-    found = {r["key"]: r["text"] for r in bpe.decoded(df, FILE, "key").collect()}
+    found = {r["key"]: r["text"] for r in bpe.decoded(df, FILE, ("key", "own")).collect()}
     assert found == {**{i: CODER.decode(x, skip_special_tokens=False) for i, x in enumerate(ids)}, 9: ""}
 
 
 def test_empty_table_and_other_files(spark, tmp_path):
-    assert bpe.encode(no_documents(spark), FILE, f"file://{tmp_path}", True).count() == 0
+    assert bpe.decoded(bpe.encode(no_documents(spark), FILE, f"file://{tmp_path}/blocks"), FILE).count() == 0
     with pytest.raises(ValueError):
         bpe.Words(path("byte_bpe_50k.json"))
     spec = json.load(open(FILE))
