@@ -11,10 +11,14 @@ SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
-_BASE = np.uint64(0x9E3779B97F4A7C15)
-_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
-_BYTE = np.random.default_rng(7).integers(1, 1 << 63, 256, dtype=np.uint64)
-_powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+# Two primes below 2^31 with a base each: products of two residues fit 64 bits, and unlike
+# arithmetic modulo 2^64 there is no short text that collides whatever the base is.
+_PRIMES = np.array([2147483647, 2147483629], np.uint64)
+_rng = np.random.default_rng(7)
+_BASES = [int(x) for x in _rng.integers(1 << 29, 1 << 30, 2)]
+_INVERSES = [pow(b, -1, int(p)) for b, p in zip(_BASES, _PRIMES)]
+_BYTE = _rng.integers(1 << 29, 1 << 30, (2, 256), dtype=np.uint64)
+_powers = np.ones((4, 1), np.uint64)
 
 
 def mix(x):
@@ -45,25 +49,37 @@ def byte_chunks(column, limit=CHUNK_BYTES):
 
 
 def powers(n):
-    if len(_powers[0]) < n:
+    """The first n powers of both bases, and of their inverses."""
+    global _powers
+    if _powers.shape[1] < n:
         n = max(n, CHUNK_BYTES + 2)
-        for i, base in enumerate((_BASE, _INVERSE)):
-            steps = np.full(n, base, np.uint64)
-            steps[0] = 1
-            _powers[i] = np.cumprod(steps)
+        out = np.ones((4, n), np.uint64)
+        for row, base in enumerate([*_BASES, *_INVERSES]):
+            prime, known, step = _PRIMES[row % 2], 1, base
+            while known < n:  # every round doubles what is known
+                end = min(2 * known, n)
+                out[row, known:end] = out[row, : end - known] * np.uint64(step) % prime
+                known, step = 2 * known, step * step % int(prime)
+        _powers = out
     return _powers
 
 
 class SpanHash:
-    """64-bit hashes of spans of a byte array; equal bytes give equal hashes wherever they stand."""
+    """64-bit hashes of spans of a byte array; equal bytes give equal hashes wherever they stand.
+
+    Two polynomials modulo primes just below 2^31, so 62 bits tell spans apart.
+    """
 
     def __init__(self, data):
-        up, self.down = powers(len(data) + 1)
-        self.sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(_BYTE[data] * up[: len(data)], out=self.sums[1:])
+        up = powers(len(data) + 1)
+        self.down = up[2:]
+        self.sums = np.zeros((2, len(data) + 1), np.uint64)
+        for i in range(2):  # residues below 2^31: the sum of 2^32 of them fits
+            np.cumsum(_BYTE[i][data] * up[i, : len(data)] % _PRIMES[i], out=self.sums[i, 1:])
 
     def __call__(self, starts, ends):
-        return mix((self.sums[ends] - self.sums[starts]) * self.down[starts] + (ends - starts).astype(np.uint64))
+        both = [(s[ends] - s[starts]) % p * d[starts] % p for s, p, d in zip(self.sums, _PRIMES, self.down)]
+        return mix(((both[0] << np.uint64(32)) | both[1]) + mix((ends - starts).astype(np.uint64)))
 
 
 def row_of(positions, offsets):

@@ -19,14 +19,14 @@ _LETTER = np.zeros(256, bool)
 _LETTER[list(b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")] = True
 
 
+_encoders = {}
+
+
 def shared_encoder(path):
     """The encoder of this Python process, which serves many tasks and keeps what it has encoded."""
-    import tokenizers
-
-    held = tokenizers.__dict__.setdefault("_spendgrid_encoders", {})
-    if path not in held:
-        held[path] = Encoder(path)
-    return held[path]
+    if path not in _encoders:
+        _encoders[path] = Encoder(path)
+    return _encoders[path]
 
 
 class Encoder:

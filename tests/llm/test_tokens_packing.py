@@ -105,3 +105,12 @@ def test_empty_table(spark):
     with store.scratch(spark, "test") as place:
         files = token_files.write_token_files(no_documents(spark), place, tokenizer())
         assert token_files.read_token_files(files, place).count() == 0
+
+
+def test_pieces_that_collide_modulo_a_power_of_two(spark, tmp_path):
+    from tests.llm.test_ngram_join import thue_morse
+
+    docs = spark.createDataFrame(list(enumerate(thue_morse())), "doc_id long, text string")
+    files = token_files.write_token_files(docs, f"file://{tmp_path}", tokenizer())
+    found = {r["doc_id"]: list(r["ids"]) for r in token_files.read_token_files(files, f"file://{tmp_path}").collect()}
+    assert found == {i: ids for i, ids in encoded(docs, 2)}
