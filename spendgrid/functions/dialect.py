@@ -57,6 +57,17 @@ def exact_sum(x, where=None):
     return _joined(*[F.sum(part) for part in _parts(x)])
 
 
+def partial_sum(x, name):
+    """Aggregates of a sum that merged_sum() completes, so that it can be kept per month."""
+    whole, fraction = _parts(x)
+    return [F.sum(whole).alias(f"{name}_whole"), F.sum(fraction).alias(f"{name}_millionths")]
+
+
+def merged_sum(name):
+    """The total of sums kept by partial_sum(); equal to exact_sum() over all their rows."""
+    return _joined(F.sum(f"{name}_whole"), F.sum(f"{name}_millionths"))
+
+
 def exact_sum_over(x, window):
     return _joined(*[F.sum(part).over(window) for part in _parts(x)])
 

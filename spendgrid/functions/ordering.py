@@ -5,7 +5,7 @@ n - 1 rows at the bucket ends matter, so those are selected exactly and every
 row is then placed by comparing it with literals: no shuffle of the wide table.
 """
 
-from bisect import bisect_right
+from dataclasses import dataclass
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -34,71 +34,97 @@ def _inside(columns, low, high):
 
 
 def order_statistics(df, columns, ranks, limit=BRACKET_ROWS, sample_rows=SAMPLE_ROWS, total=None):
-    """Rows at the 1-based ranks of df ordered by columns (non-NULL, jointly unique).
+    """Rows at the 1-based ranks of df ordered by columns (non-NULL, jointly unique)."""
+    return order_statistics_of(df, {"": (columns, ranks)}, limit, sample_rows, total)[""]
 
-    Each wanted rank keeps a bracket (low, high] with the number of rows below it. Every
-    table starts with one bracket over all rows, which is narrowed by sampled cut points
-    whose ranks are counted exactly, and again until it has at most `limit` rows; these
-    are sorted. The sample affects only the number of passes, never the result. The
-    driver holds about `sample_rows` rows and one row per rank.
+
+@dataclass(frozen=True)
+class _Bracket:
+    """Rows after `low` up to `high` in one order, with those before it and the ranks wanted in it."""
+
+    order: str
+    columns: tuple
+    low: tuple | None
+    high: tuple | None
+    below: int
+    size: int
+    ranks: tuple
+
+    def holds(self):
+        return _inside(self.columns, self.low, self.high)
+
+
+def order_statistics_of(df, wanted, limit=BRACKET_ROWS, sample_rows=SAMPLE_ROWS, total=None):
+    """For each named order of df, (columns, ranks), the rows at its 1-based ranks.
+
+    The columns of an order are non-NULL and jointly unique. Each wanted rank keeps a bracket
+    (low, high] with the number of rows below it. Every order starts with one bracket over
+    all rows, which is narrowed by sampled cut points whose ranks are counted exactly, and
+    again until it has at most `limit` rows; these are sorted. All brackets of all orders
+    share a job for the samples, one for the counts, and at the end one for the rows. The
+    sample affects only the number of passes, never the result. The driver holds about
+    `sample_rows` rows and at most `limit` rows per rank.
     """
-    df = df.select(*columns)
+    df = df.select(*dict.fromkeys(c for columns, _ in wanted.values() for c in columns))
     total = df.count() if total is None else total
-    found = {}
-    open_brackets = {(None, None): (0, total, sorted({r for r in ranks if 1 <= r <= total}))}
-    first = True
-    while open_brackets:
-        narrowed = {}
-        for (low, high), (below, size, wanted) in open_brackets.items():
-            if not wanted:
-                continue
-            part = df.where(_inside(columns, low, high))
-            if size <= limit and not first:
-                found.update(_pick(part, columns, wanted, below))
-                continue
-            for bracket, content in _narrow(part, columns, low, high, below, size, wanted, sample_rows):
-                narrowed[bracket] = content
-        open_brackets, first = narrowed, False
+    small, wide = [], []
+    for order, (columns, ranks) in wanted.items():
+        ranks = tuple(sorted({r for r in ranks if 1 <= r <= total}))
+        if ranks:
+            wide.append(_Bracket(order, tuple(columns), None, None, 0, total, ranks))
+    seed = 7
+    while wide:
+        narrowed = _narrow(df, wide, sample_rows, seed)
+        seed += len(wide)
+        small += [b for b in narrowed if b.size <= limit]
+        wide = [b for b in narrowed if b.size > limit]
+    found = {order: {} for order in wanted}
+    for bracket, rows in zip(small, _rows_of(df, small, [F.lit(True)] * len(small))):
+        for rank in bracket.ranks:
+            found[bracket.order][rank] = rows[rank - bracket.below - 1]
     return found
 
 
-def _pick(part, columns, wanted, below):
-    # The part is at most `limit` rows, a proven bound for this one sort.
-    position = F.row_number().over(Window.orderBy(*columns))
-    rows = (
-        part.withColumn("_rank", position)
-        .where(F.col("_rank").isin([r - below for r in wanted]))
-        .collect()
-    )
-    return {row["_rank"] + below: tuple(row[c] for c in columns) for row in rows}
-
-
-def _narrow(part, columns, low, high, below, size, wanted, sample_rows):
-    fraction = min(1.0, sample_rows / size)
-    drawn = part.sample(fraction=fraction, seed=7).orderBy(*columns).collect()
-    sample = [tuple(row[c] for c in columns) for row in drawn]
-    slack = 3 * int(len(sample) ** 0.5) + 1
-    cuts = set()
-    for rank in wanted:
-        centre = int((rank - below) / size * len(sample))
-        for index in (centre - slack, centre + slack):
-            cuts.add(min(max(index, 0), len(sample) - 1))
-    cuts = [sample[i] for i in sorted(cuts)]
-    edges = [low, *cuts, high]
-    brackets = list(zip(edges[:-1], edges[1:]))
-    counts = part.agg(
-        *[F.count_if(_inside(columns, a, b)).alias(f"c{i}") for i, (a, b) in enumerate(brackets)]
-    ).first()
-    starts, running = [], below
-    for count in counts:
-        starts.append(running)
-        running += count
-    content = {}
-    for rank in wanted:
-        # last bracket that starts before this rank
-        i = bisect_right(starts, rank - 1) - 1
-        content.setdefault(i, []).append(rank)
-    return [(brackets[i], (starts[i], counts[i], ranks)) for i, ranks in content.items()]
+def _rows_of(df, brackets, chosen):
+    """The chosen rows of every bracket in its order, by one job."""
+    if not brackets:
+        return []
+    tags = F.array_compact(F.array(*[F.when(b.holds() & keep, F.lit(i)) for i, (b, keep) in enumerate(zip(brackets, chosen))]))
+    rows = [[] for _ in brackets]
+    for row in df.select("*", F.explode(tags).alias("_bracket")).collect():
+        rows[row["_bracket"]].append(tuple(row[c] for c in brackets[row["_bracket"]].columns))
+    return [sorted(held, key=_sort_key) for held in rows]
+
+
+def _sort_key(row):
+    """The order of Spark, which puts NaN last."""
+    return tuple((v != v, 0 if v != v else v) for v in row)
+
+
+def _narrow(df, brackets, sample_rows, seed):
+    """Smaller brackets around the ranks of each bracket: a sampling job and a counting job."""
+    drawn = [F.rand(seed + i) < min(1.0, sample_rows / b.size) for i, b in enumerate(brackets)]
+    parts = []
+    for bracket, sample in zip(brackets, _rows_of(df, brackets, drawn)):
+        slack = 3 * int(len(sample) ** 0.5) + 1
+        cuts = set()
+        for rank in bracket.ranks:
+            centre = int((rank - bracket.below) / bracket.size * len(sample))
+            cuts.update(min(max(i, 0), len(sample) - 1) for i in (centre - slack, centre + slack) if sample)
+        edges = [bracket.low, *(sample[i] for i in sorted(cuts)), bracket.high]
+        parts.append(list(zip(edges[:-1], edges[1:])))
+    flat = [_inside(b.columns, low, high) for b, edges in zip(brackets, parts) for low, high in edges]
+    counts = iter(df.agg(*[F.count_if(inside).alias(f"c{i}") for i, inside in enumerate(flat)]).first())
+    out = []
+    for bracket, edges in zip(brackets, parts):
+        below = bracket.below
+        for low, high in edges:
+            size = next(counts)
+            ranks = tuple(r for r in bracket.ranks if below < r <= below + size)
+            if ranks:
+                out.append(_Bracket(bracket.order, bracket.columns, low, high, below, size, ranks))
+            below += size
+    return out
 
 
 def bucket_ends(total, n):
@@ -116,9 +142,19 @@ def global_ntile(df, n, columns, total=None, **limits):
 
     df must be deterministic (a written table), since it is read more than once.
     """
+    return global_ntiles(df, n, {"": columns}, total, **limits)[""]
+
+
+def global_ntiles(df, n, orders, total=None, **limits):
+    """global_ntile() for several named orders of df, whose ends are selected together."""
     total = df.count() if total is None else total
     ends = bucket_ends(total, n)
-    rows = order_statistics(df, columns, ends, total=total, **limits)
+    found = order_statistics_of(df, {name: (columns, ends) for name, columns in orders.items()}, total=total, **limits)
+    return {name: ntile_of(columns, ends, found[name]) for name, columns in orders.items()}
+
+
+def ntile_of(columns, ends, rows):
+    """ntile() as a column, given the rows at the ends of all buckets but the last."""
     bucket = F.lit(1)
     for end in ends:
         if end in rows:

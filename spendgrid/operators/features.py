@@ -20,7 +20,7 @@ from spendgrid.functions.dialect import (
     sum_where,
     totals_within,
 )
-from spendgrid.functions.ordering import global_ntile, row_number_within
+from spendgrid.functions.ordering import global_ntiles, row_number_within
 from spendgrid.operators.staging import in_window, last_months
 
 
@@ -87,16 +87,13 @@ def rfm_features(txns, as_of, months=12, min_txns=2, accuracy=10_000):
 
 def rfm_scores(features, n=5, **limits):
     """Quintiles of recency (reversed), frequency and spend; ties go by customer id."""
-    total = features.count()
-
-    def quintile(column):
-        return global_ntile(features, n, [column, "UNIQUE_ID"], total=total, **limits)
-
+    columns = ("lst_trns_days", "nr_trns", "val_trns")
+    recency, frequency, spend = global_ntiles(features, n, {c: [c, "UNIQUE_ID"] for c in columns}, **limits).values()
     return features.select(
         "*",
-        (F.lit(n + 1) - quintile("lst_trns_days")).cast("bigint").alias("r_score"),
-        quintile("nr_trns").cast("bigint").alias("f_score"),
-        quintile("val_trns").cast("bigint").alias("m_score"),
+        (F.lit(n + 1) - recency).cast("bigint").alias("r_score"),
+        frequency.cast("bigint").alias("f_score"),
+        spend.cast("bigint").alias("m_score"),
     ).withColumn("rfm_combined", F.concat(*[F.col(c).cast("string") for c in ("r_score", "f_score", "m_score")]))
 
 
@@ -112,6 +109,11 @@ def customer_category_spend(txns, as_of, months=12):
             F.max("EFF_DATE").alias("last_txn_date"),
         )
     )
+    return wallet_shares(spend)
+
+
+def wallet_shares(spend):
+    """Add category totals and the merchant's share to spend per customer, category and merchant."""
     return totals_within(
         spend,
         ["UNIQUE_ID", "CATEGORY_TWO"],

@@ -31,7 +31,7 @@ from spendgrid.functions.dialect import (
     sum_where,
 )
 from spendgrid.functions.labels import CHURN_LEVELS, CLV_TIERS, SEGMENTS
-from spendgrid.functions.ordering import global_ntile, order_statistics
+from spendgrid.functions.ordering import bucket_ends, ntile_of, order_statistics
 from spendgrid.operators.features import ActivityWindow, activity
 from spendgrid.operators.staging import in_window
 
@@ -268,12 +268,14 @@ def score_clv(predictions, params, **limits):
     """
     floored = strict_greatest(F.col("predicted_future_spend"), F.lit(0.0))
     valued = predictions.withColumn("_value", floored)
-    total = valued.count()
-    top = max(1, ceil(params.clv_cap_percentile * total))
-    cap = order_statistics(valued, ["_value", "UNIQUE_ID"], [top], total=total, **limits).get(top, (None,))[0]
-    capped = valued.withColumn("_value", strict_least(F.col("_value"), F.lit(cap).cast("double")))
+    total, order = valued.count(), ["_value", "UNIQUE_ID"]
+    top, ends = max(1, ceil(params.clv_cap_percentile * total)), bucket_ends(total, params.quantiles)
+    found = order_statistics(valued, order, [top, *ends], total=total, **limits)
+    capped = valued.withColumn("_value", strict_least(F.col("_value"), F.lit(found.get(top, (None,))[0]).cast("double")))
+    if max(ends) > top:  # only then does the cap change the order at the end of a tier
+        found = order_statistics(capped, order, ends, total=total, **limits)
     tiers = {params.quantiles - i: tier for i, tier in enumerate(CLV_TIERS)}
-    quintile = global_ntile(capped, params.quantiles, ["_value", "UNIQUE_ID"], total=total, **limits)
+    quintile = ntile_of(order, ends, found)
     return capped.select(
         "UNIQUE_ID",
         round_half("_value", 2).alias("predicted_clv"),

@@ -34,10 +34,11 @@ class Params:
     min_cohort_size: int = 1000
     min_breakdown_customers: int = 50
     seasonal_months: int = 14
+    customer_buckets: int = 400
 
 
 # The test tables hold about a hundred stores and a thousand customers, so the
-# size floors are lowered there; every other value stays at its default.
+# size floors and the number of buckets are lowered there; every other value stays at its default.
 SMALL_DATA = Params(
     min_shared_customers=20,
     min_client_customers=10,
@@ -47,4 +48,5 @@ SMALL_DATA = Params(
     frequent_txns=15,
     min_cohort_size=10,
     min_breakdown_customers=10,
+    customer_buckets=8,
 )

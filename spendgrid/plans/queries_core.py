@@ -5,15 +5,15 @@ from functools import partial
 
 from pyspark.sql import functions as F
 
-from spendgrid.operators import ml, quality, views
+from spendgrid.operators import ml, partials, quality, staging, views
 from spendgrid.operators.reports import overview, usage
 from spendgrid.plans import oracle as o
 from spendgrid.plans.oracle import div, mean, n_where, percent, rnd, text, texts, total
 from spendgrid.plans.registry import CHURN_MEAN, RISKY, add
 from spendgrid.sources import ingest, samples
 from spendgrid.sources.order_tables import read_table
-from spendgrid.sources.tables import export_json, table_overview, write_table
-from spendgrid.streaming import incremental
+from spendgrid.sources.tables import delete, export_json, table_overview, write_table
+from spendgrid.streaming import incremental, ledger
 
 SOURCE_TABLES = ["lineitem", "orders", "customer", "part", "supplier", "nation", "region", "events"]
 JOBS_SINCE = "2024-01-08 00:00:00"
@@ -452,18 +452,31 @@ add(
 )
 
 
+def _refreshed(w, name, then=None):
+    """A source folder through three runs: early days with wrong amounts, then all days put right, then unchanged.
+
+    Days that come late, a corrected file and a file that is taken away again are among the
+    changes. Returns the results of the three runs.
+    """
+    folder, path = _scratch(w, f"{name}-files"), f"{_scratch(w, name)}/staged"
+    facts, day = w.raw.transactions, F.col("EFF_DATE")
+    late = F.dayofmonth(day).isin(7, 20) & (F.month(day) % 3 == 0)
+    known = (day <= F.lit("2000-12-15").cast("date")) & ~late
+    wrong = known & (F.month(day) == 5)
+    facts.where(known & ~wrong).write.parquet(f"{folder}/early")
+    facts.where(wrong).withColumn("trns_amt", F.col("trns_amt") + 1).write.parquet(f"{folder}/may")
+    facts.where(known & (F.dayofmonth(day) == 9)).withColumn("EFF_DATE", F.add_months(day, 600)).write.parquet(f"{folder}/mistake")
+    run = partial(ledger.refresh, w.spark, folder, w.raw.lookups, path, then)
+    first = run()
+    facts.where(wrong).write.mode("overwrite").parquet(f"{folder}/may")
+    facts.where(~known | day.isNull()).write.parquet(f"{folder}/late")
+    delete(w.spark, f"{folder}/mistake")
+    return path, [first, run(), run()]
+
+
 def _incremental(w):
-    """Stage most days up to 2000, then what came later or late, and count per month."""
-    raw, path = w.raw, _scratch(w, "incremental")
-    late = F.dayofmonth("EFF_DATE").isin(7, 20) & (F.month("EFF_DATE") % 3 == 0)
-    known = (F.col("EFF_DATE") <= F.lit("2000-12-15").cast("date")) & ~late
-    write_table(
-        incremental.stage_transactions(raw.transactions.where(known), raw.lookups),
-        path,
-        ["txn_month"],
-    )
-    table = incremental.incremental_stage(raw.transactions, raw.lookups, path)
-    return overview.monthly_volume(table)
+    """Count per month what three runs over changing files have staged."""
+    return overview.monthly_volume(_refreshed(w, "incremental")[1][-1].table)
 
 
 _VOLUME = f"""select txn_month as month, count(*) as transactions, count(distinct UNIQUE_ID) as customers,
@@ -471,17 +484,46 @@ _VOLUME = f"""select txn_month as month, count(*) as transactions, count(distinc
 add("incremental_append", _incremental, _VOLUME)
 
 
+def _ledger_months(w):
+    """The ledger's rows per month beside what the last run has read: nothing, as nothing had changed."""
+    path, runs = _refreshed(w, "ledger")
+    known = ledger.merged(ledger.Ledger(w.spark, f"{path}.ledger").entries())
+    last = F.lit(len(runs[-1].scanned) + len(runs[-1].changed) + len(runs[-1].removed)).cast("bigint")
+    return known.select("txn_month", F.col("rows").alias("row_count"), last.alias("read_again"))
+
+
+add(
+    "incremental_ledger",
+    _ledger_months,
+    "select txn_month, count(*) as row_count, 0::bigint as read_again from txn group by all",
+)
+
+
+def _incremental_spend(w):
+    """Customer spend by category and merchant, merged out of monthly partials that follow the ledger."""
+    kept = _scratch(w, "spend")
+    _, runs = _refreshed(w, "spend-facts", partial(partials.refresh_partials, path=kept))
+    p, facts = w.params, runs[-1].table
+    return partials.customer_category_spend(w.spark.read.parquet(kept), facts, staging.date_bounds(facts), p.window_months)
+
+
+add("incremental_customer_category_spend", _incremental_spend, "select * from ccs")
+
+
 def _streamed(w):
-    """Raw facts arriving as files, staged by two runs of the stream."""
-    incoming, path = _scratch(w, "incoming"), _scratch(w, "streamed")
+    """Raw facts arriving as files, staged by two runs of the stream; some files bring known rows again."""
+    incoming, path = _scratch(w, "incoming"), f"{_scratch(w, 'streamed')}/staged"
     facts = w.raw.transactions
     run = partial(
         incremental.stream_stage, w.spark, incoming, w.raw.lookups, path, _scratch(w, "offsets"), facts.schema
     )
     late = F.col("EFF_DATE") >= F.lit("2001-01-01").cast("date")
-    facts.where(~late).write.parquet(incoming)
+    # One file for each part: a row that a part has twice is in one file, as two purchases.
+    whole = facts.where(~late).withColumn("_part", F.trunc("EFF_DATE", "year").cast("string"))
+    whole.repartition("_part").drop("_part").write.parquet(incoming)
     run()
-    facts.where(late).write.mode("append").parquet(incoming)
+    again = late | (F.col("EFF_DATE") >= F.lit("2000-06-01").cast("date"))
+    facts.where(again).repartition(F.trunc("EFF_DATE", "year")).write.mode("append").parquet(incoming)
     run()
     return overview.monthly_volume(incremental.read_staged(w.spark, path))
 

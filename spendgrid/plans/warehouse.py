@@ -13,7 +13,7 @@ from spendgrid.functions.dialect import round_half
 from spendgrid.operators import audiences, features, marts, ml, staging
 from spendgrid.params import Params
 from spendgrid.session import shared_folder, written_once
-from spendgrid.sources.tables import delete, write_table
+from spendgrid.sources.tables import bucketed_name, delete, write_bucketed, write_table
 
 # Written tables: name -> (partition columns, cluster columns).
 _MERCHANT = ([], ["CATEGORY_TWO", "DESTINATION"])
@@ -55,6 +55,20 @@ STORED = {
     "audience_catalog": _PLAIN,
     "audience_client_overlap": _MERCHANT,
 }
+# Tables with rows per customer that others join on the customer: dealt into buckets by it.
+CUSTOMER = "UNIQUE_ID"
+BUCKETED = {
+    "customers",
+    "rfm_features",
+    "customer_category_spend",
+    "rfm_scores",
+    "activity_current",
+    "segments",
+    "churn",
+    "clv",
+    "momentum",
+    "audience_members",
+}
 _BUILT = {}
 
 
@@ -110,6 +124,8 @@ class Warehouse:
         if slot not in _BUILT:
             self.store_in(name, f"{self._root}/spendgrid/{self._base}/{slot[2]}/{name}")
         path, schema = _BUILT[slot]
+        if name in BUCKETED:
+            return self.spark.table(bucketed_name(path))
         return self.spark.read.schema(schema).parquet(path)
 
     def _slot(self, name):
@@ -122,7 +138,10 @@ class Warehouse:
         if slot in _BUILT and _BUILT[slot][0] == path:
             return
         built = self.table(name) if slot in _BUILT else getattr(self, f"_build_{name}")()
-        stored = write_table(built, path, *STORED[name])
+        if name in BUCKETED:
+            stored = write_bucketed(built, path, CUSTOMER, self.params.customer_buckets, STORED[name][1])
+        else:
+            stored = write_table(built, path, *STORED[name])
         _BUILT[slot] = (path, stored.schema)
 
     def scratch(self, name):

@@ -1,5 +1,7 @@
 """Reading raw tables and writing derived ones."""
 
+import hashlib
+
 from pyspark.sql import functions as F
 
 from spendgrid.sources.order_tables import RawTables
@@ -39,6 +41,43 @@ def write_table(df, path, partition_by=(), cluster_by=(), mode="overwrite"):
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bucketed_name(path):
+    """Name in the session catalog of the bucketed table that lies at path."""
+    return "spendgrid_" + hashlib.sha256(path.encode()).hexdigest()[:16]
+
+
+def write_bucketed(df, path, key, buckets, sort_by=(), deal=True):
+    """Replace a table dealt into buckets by a hash of key, one sorted file per bucket.
+
+    Tables with equally many buckets of the same key join and aggregate on it without a
+    shuffle. The number of buckets is fixed when the table is written: choose it so that a
+    bucket of the largest of them fits a task. With deal=False the rows stay in their
+    tasks, and each task writes a file for every bucket that it has rows of.
+    """
+    spark, name = df.sparkSession, bucketed_name(path)
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    writer = (df.repartition(buckets, key) if deal else df).write.mode("overwrite").format("parquet").option("compression", "snappy")
+    writer.option("path", path).bucketBy(buckets, key).sortBy(*(sort_by or [key])).saveAsTable(name)
+    return spark.table(name)
+
+
+def forget_bucketed(spark, path):
+    """Take a bucketed table out of the session catalog; its files stay."""
+    spark.sql(f"DROP TABLE IF EXISTS {bucketed_name(path)}")
+
+
+def read_bucketed(spark, path, schema, key, buckets, sort_by=()):
+    """A bucketed table that another session has written; it is entered into the catalog."""
+    name, order = bucketed_name(path), ", ".join(f"`{c}`" for c in (sort_by or [key]))
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(
+        f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY (`{key}`) SORTED BY ({order}) "
+        f"INTO {buckets} BUCKETS LOCATION '{path}'"
+    )
+    return spark.table(name)
+
+
 def exists(spark, path):
     top = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return top.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(top)
@@ -49,6 +88,27 @@ def delete(spark, path):
     top.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(top, True)
 
 
+def files_of(spark, folder):
+    """(path, size, time of change) of all data files below a folder, by path."""
+    top = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    files = top.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not files.exists(top):
+        return []
+    found, listed = [], files.listFiles(top, True)
+    while listed.hasNext():
+        status = listed.next()
+        if not status.getPath().getName().startswith(("_", ".")):
+            found.append((status.getPath().toString(), status.getLen(), status.getModificationTime()))
+    return sorted(found)
+
+
+def subfolders(spark, folder):
+    """Names of what lies directly in a folder; none if there is no folder."""
+    top = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    files = top.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return sorted(s.getPath().getName() for s in files.listStatus(top)) if files.exists(top) else []
+
+
 def write_csv(df, target, production_target=None, test=True, dry_run=False):
     """Write CSV to the test target, or to the production target when test is off."""
     path = target if test or production_target is None else production_target

@@ -4,36 +4,44 @@ from pyspark.sql import functions as F
 
 from spendgrid.operators.staging import stage_transactions
 from spendgrid.sources.schemas import TRANSACTIONS
-from spendgrid.sources.tables import exists, write_table
+from spendgrid.sources.tables import delete, exists, write_table
+from spendgrid.streaming import ledger
+from spendgrid.streaming.ledger import CLUSTER as _CLUSTER
+from spendgrid.streaming.ledger import PARTITION as _PARTITION
 
-_PARTITION, _CLUSTER = ["txn_month"], ["CATEGORY_TWO", "DESTINATION"]
 
+def incremental_stage(raw, lookups, path):
+    """Bring the staged table at path up to date with raw, whatever has changed in it.
 
-def changed_months(raw, staged):
-    """Months whose number of valid raw rows differs from what is staged."""
-    month = F.trunc("EFF_DATE", "MM").alias("txn_month")
-    valid = raw.dropna(subset=["UNIQUE_ID", "EFF_DATE", "trns_amt"])
-    there = staged.groupBy("txn_month").agg(F.count("*").alias("_staged"))
-    counts = valid.groupBy(month).agg(F.count("*").alias("_raw")).join(there, "txn_month", "left")
-    return counts.where(F.col("_raw") != F.coalesce("_staged", F.lit(0))).select("txn_month")
+    Months whose rows differ from those staged, new, late and corrected ones alike, replace
+    their partition; months without rows any more go; the others are not touched. Running
+    it again changes nothing. Every row of raw is scanned for that: a source that is a
+    folder of files is better brought up to date by ledger.refresh().
+    """
+    return ledger.refresh_rows(raw, lookups, path).table
 
 
-def incremental_stage(raw, lookups, path):
-    """Bring the staged table at path up to date with raw, rows that came late included.
+def new_copies(batch, seen):
+    """The rows of batch that earlier batches have not brought, and the state they leave.
 
-    Months in which rows have appeared, new ones as well as days staged before, are staged
-    again and replace their partition; the others are not touched. Running it again
-    changes nothing. The months are few, so their list goes through the driver.
+    A row may rightly occur several times in a file, but a file that brings a row again
+    does not add to it: a row counts as often as in the file that has it most often. seen:
+    (txn_month, first, second, copies) of the batches before, the two hashes naming a row.
+    Both sides are aggregated before they meet, so a row that is repeated very often is one row there.
     """
-    spark = raw.sparkSession
-    if not exists(spark, path):
-        return write_table(stage_transactions(raw, lookups), path, _PARTITION, _CLUSTER)
-    staged = spark.read.parquet(path)
-    months = [r["txn_month"] for r in changed_months(raw, staged).collect()]
-    if not months:
-        return staged
-    fresh = stage_transactions(raw.where(F.trunc("EFF_DATE", "MM").isin(months)), lookups)
-    return write_table(fresh, path, _PARTITION, _CLUSTER, mode="replace")
+    columns = [c for c in batch.columns if c != "_file"]
+    keyed = batch.select("*", *[ledger.row_hash(columns, i).alias(name) for i, name in enumerate(("first", "second"), 3)])
+    own = ["txn_month", "first", "second"]
+    most = (
+        keyed.withColumn("txn_month", F.trunc("EFF_DATE", "MM"))
+        .groupBy(*own, "_file")
+        .agg(F.count("*").alias("n"), F.first(F.struct(*columns)).alias("row"))
+        .groupBy(*own)
+        .agg(F.max("n").alias("n"), F.first("row").alias("row"))
+    )
+    held = seen.groupBy(*own).agg(F.sum("copies").alias("held"))
+    extra = most.join(held, own, "left").withColumn("copies", F.col("n") - F.coalesce("held", F.lit(0))).where("copies > 0")
+    return extra
 
 
 def stream_stage(spark, incoming, lookups, path, checkpoint, schema=TRANSACTIONS):
@@ -43,17 +51,37 @@ def stream_stage(spark, incoming, lookups, path, checkpoint, schema=TRANSACTIONS
     and replaces it when the batch is repeated after a failure, so a retry cannot
     duplicate rows. The folder also names the query, whose id lives in the checkpoint: a
     new checkpoint counts its batches from 0 again without touching what is there.
+
+    Rows that several files have are staged once: the state, the hashes of the rows that
+    each batch has added, lies beside the table by month, and a batch reads that of its own
+    months only. It is written before the batch's rows; a repeated batch leaves out its own.
     """
+    seen_path = f"{path}.seen"
+    state = "txn_month date, first bigint, second bigint, copies bigint, query string, batch bigint"
 
     def stage(batch, batch_id):
-        query_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-        staged = stage_transactions(batch, lookups)
-        write_table(staged, f"{path}/query={query_id}/batch={batch_id}", _PARTITION, _CLUSTER)
+        own = batch.sparkSession
+        query_id = own.sparkContext.getLocalProperty("sql.streaming.queryId")
+        batch = ledger.valid(batch)
+        seen = own.createDataFrame([], state)
+        if exists(own, seen_path):
+            months = [r["m"] for r in batch.select(F.trunc("EFF_DATE", "MM").alias("m")).distinct().collect()]
+            earlier = (F.col("query") != query_id) | (F.col("batch") != batch_id)
+            seen = own.read.schema(state).parquet(seen_path).where(F.col("txn_month").isin(months) & earlier)
+        kept = f"{seen_path}.pending/query={query_id}/batch={batch_id}"
+        new_copies(batch, seen).write.mode("overwrite").parquet(kept)
+        extra = own.read.parquet(kept)
+        added = extra.select("first", "second", "copies", F.lit(query_id).alias("query"), F.lit(batch_id).alias("batch"), "txn_month")
+        write_table(added, seen_path, ["txn_month", "query", "batch"], mode="replace")
+        rows = extra.select("row", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*")
+        write_table(stage_transactions(rows, lookups), f"{path}/query={query_id}/batch={batch_id}", _PARTITION, _CLUSTER)
+        delete(own, kept)
 
     query = (
         spark.readStream.schema(schema)
         .option("maxFilesPerTrigger", 1000)
         .parquet(incoming)
+        .select("*", F.col("_metadata.file_path").alias("_file"))
         .writeStream.foreachBatch(stage)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
