@@ -81,6 +81,12 @@ class SpanHash:
         both = [(s[ends] - s[starts]) % p * d[starts] % p for s, p, d in zip(self.sums, _PRIMES, self.down)]
         return mix(((both[0] << np.uint64(32)) | both[1]) + mix((ends - starts).astype(np.uint64)))
 
+    def windows(self, width):
+        """The hashes of all spans of this width, by their start."""
+        n = self.sums.shape[1] - width
+        both = [(s[width:] - s[:n]) % p * d[:n] % p for s, p, d in zip(self.sums, _PRIMES, self.down)]
+        return mix(((both[0] << np.uint64(32)) | both[1]) + mix(np.array([width], np.uint64)))
+
 
 def row_of(positions, offsets):
     """The row that holds each position."""

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from spendgrid.llm.arrays import SpanHash, byte_chunks, mix, ranges, row_of
-from spendgrid.llm.store import bound_batches, cut, new_folder, pick, release, remove
+from spendgrid.llm.store import bound_batches, column_named, cut, new_folder, pick, release, remove
 
 GRAM = 64
 HOT_ROWS = 20_000
@@ -51,7 +51,7 @@ def sparse_suffixes(data, offsets, length, gram):
         return none
     spans = SpanHash(data)
     n, width = len(data) - gram + 1, length - gram + 1
-    grams = mix((spans.sums[gram:] - spans.sums[:n]) * spans.down[:n] + np.uint64(gram))
+    grams = spans.windows(gram)
     # The upper half of the hash orders the grams, the position breaks ties to the left.
     ranked = (grams & np.uint64(0xFFFFFFFF00000000)) | np.arange(n, dtype=np.uint64)
     blocks = -(-n // width)
@@ -363,7 +363,7 @@ def without_repeats(docs, length=200, batches=4, id_col="doc_id", text_col="text
                 out.append(_rest(raw, whole).decode())
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.string()), batch.column(2)], ["cut", "row"])
 
-    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"), F.col(f"`{id_col}`").cast("long").alias("doc_id"))
+    rows = docs.select(F.struct(*map(column_named, docs.columns)).alias("row"), F.coalesce(column_named(text_col).cast("string"), F.lit("")).alias("text"), column_named(id_col).cast("long").alias("doc_id"))
     rows = rows.select(F.xxhash64("doc_id", "text").alias("at"), "text", "row")
     spans = repeated_spans(rows.select("at", "text"), length, batches=batches)
     marked = rows.join(spans, "at", "left")
