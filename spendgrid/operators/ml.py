@@ -32,6 +32,7 @@ from spendgrid.functions.dialect import (
 )
 from spendgrid.functions.labels import CHURN_LEVELS, CLV_TIERS, SEGMENTS
 from spendgrid.functions.ordering import bucket_ends, ntile_of, order_statistics
+from spendgrid.operators import lloyd
 from spendgrid.operators.features import ActivityWindow, activity
 from spendgrid.operators.staging import in_window
 
@@ -438,36 +439,29 @@ def training_curve(spark, model):
     return _curve(spark, [(i, float(loss)) for i, loss in enumerate(history)])
 
 
-def segment_training_curve(scores, iterations=range(1, 21), k=5, seed=42):
-    """Cost after each given number of iterations; a fit reports only its last, so refit."""
-    scaled = _scaled(scores)
+def segment_training_curve(scores, k=5, max_iter=20, seed=42):
+    """Cost of k clusters before each step of one fit, and after its last."""
+    rows = _scaled(scores)
     try:
-        rows = [(i, _fit_k(scaled, k, i, seed).summary.trainingCost) for i in iterations]
+        costs = lloyd.fit(rows, [k], max_iter, seed).costs.get(k, [])
     finally:
-        scaled.unpersist()
-    return _curve(scores.sparkSession, rows)
+        rows.unpersist()
+    return _curve(scores.sparkSession, list(enumerate(costs)))
 
 
 def _scaled(scores):
     rows = scores.na.fill(0, SEGMENT_FEATURES).select(*SEGMENT_FEATURES)
-    return Pipeline(stages=_vectors(SEGMENT_FEATURES)).fit(rows).transform(rows).select("features").persist()
-
-
-def _fit_k(scaled, k, max_iter, seed):
-    return KMeans(k=k, maxIter=max_iter, seed=seed, featuresCol="features", predictionCol="centroid_id").fit(scaled)
+    return lloyd.prepared(Pipeline(stages=_vectors(SEGMENT_FEATURES)).fit(rows).transform(rows))
 
 
 def elbow(scores, ks=range(3, 9), max_iter=20, seed=42):
-    """Davies-Bouldin index per number of clusters; the fits are discarded."""
-    scaled = _scaled(scores)
+    """Davies-Bouldin index per number of clusters; all are fitted in one loop and discarded."""
+    rows = _scaled(scores)
     try:
-        rows = []
-        for k in ks:
-            value = davies_bouldin(_fit_k(scaled, k, max_iter, seed).transform(scaled)).first()
-            rows.append((k, value["davies_bouldin_index"], value["mean_squared_distance"]))
+        found = lloyd.davies_bouldin(rows, lloyd.fit(rows, list(ks), max_iter, seed).centres)
     finally:
-        scaled.unpersist()
-    return local_frame(scores.sparkSession, rows, ["k", "davies_bouldin_index", "mean_squared_distance"])
+        rows.unpersist()
+    return local_frame(scores.sparkSession, [(k, *found.get(k, (float("nan"),) * 2)) for k in ks], ["k", "davies_bouldin_index", "mean_squared_distance"])
 
 
 # --- rules without a model --------------------------------------------------

@@ -543,7 +543,7 @@ add("model_centroids", lambda w: ml.centroid_table(w.clustered), modelled=True)
 add("model_churn_training_curve", lambda w: ml.training_curve(w.spark, w.model("churn")), modelled=True)
 add(
     "model_segment_training_curve",
-    lambda w: ml.segment_training_curve(w.rfm_scores, (1, 2, 4, 8, 16, 20), w.params.segments, w.params.seed),
+    lambda w: ml.segment_training_curve(w.rfm_scores, w.params.segments, w.params.kmeans_iterations, w.params.seed),
     modelled=True,
 )
 add("model_elbow", lambda w: ml.elbow(w.rfm_scores, range(3, 9)), modelled=True)

@@ -266,6 +266,26 @@ def _metric_ranges(w):
     return out
 
 
+
+
+def _curve_checks(w):
+    """The cost of the segments' training, step by step: it starts, falls and never rises."""
+    p = w.params
+    curve = ml.segment_training_curve(w.rfm_scores, p.segments, p.kmeans_iterations, p.seed)
+    return curve.agg(
+        (F.count("*") >= 2).alias("has_steps"),
+        F.count_if(F.col("improvement") > 0).alias("rises"),
+        (F.max_by("loss", "iteration") < F.min_by("loss", "iteration")).alias("falls"),
+        (F.min("loss") > 0).alias("positive"),
+    )
+
+
+add(
+    "check_model_segment_curve",
+    _curve_checks,
+    "select true as has_steps, 0::bigint as rises, true as falls, true as positive",
+    modelled=True,
+)
 add(
     "check_model_metrics",
     _metric_ranges,

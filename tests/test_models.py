@@ -67,3 +67,52 @@ def test_curve_and_split(w):
     assert curve[0]["improvement"] is None and curve[-1]["loss"] <= curve[0]["loss"]
     train, test = ml._split(w.churn_training)
     assert train.count() + test.count() == w.churn_training.count()
+
+
+def plain_lloyd(x, centres, steps):
+    import numpy as np
+
+    costs = []
+    for _ in range(steps):
+        distances = ((x[:, None, :] - centres[None]) ** 2).sum(2)
+        own = distances.argmin(1)
+        costs.append(distances.min(1).sum())
+        centres = np.array([x[own == i].mean(0) if (own == i).any() else c for i, c in enumerate(centres)])
+    return costs
+
+
+def test_all_k_in_one_loop_equal_plain_steps(spark):
+    import numpy as np
+    from pyspark.ml.linalg import Vectors
+
+    from spendgrid.operators import lloyd
+
+    rng = np.random.default_rng(3)
+    points = np.concatenate([rng.normal(c, 2.5, (150, 9)) for c in (0, 4, 9)])
+    df = spark.createDataFrame([(Vectors.dense(x),) for x in points], ["features"]).repartition(3)
+    rows = lloyd.prepared(df)
+    # The first centres are those of the loop without a step.
+    start = lloyd.fit(rows, [2, 3, 5], max_iter=0, seed=1).centres
+    trace = lloyd.fit(rows, [2, 3, 5], max_iter=12, seed=1)
+    for k, costs in trace.costs.items():
+        assert costs == pytest.approx(plain_lloyd(points, start[k], len(costs)))
+        assert all(b <= a * (1 + 1e-12) for a, b in zip(costs, costs[1:])) and len(costs) <= 13
+    found = lloyd.davies_bouldin(rows, trace.centres)
+    for k, centres in trace.centres.items():
+        own = ((points[:, None, :] - centres[None]) ** 2).sum(2).argmin(1)
+        clustered = spark.createDataFrame([(int(c), Vectors.dense(x)) for c, x in zip(own, points)], ["centroid_id", "features"])
+        want = ml.davies_bouldin(clustered).first()
+        assert found[k] == pytest.approx((want["davies_bouldin_index"], want["mean_squared_distance"]))
+    rows.unpersist()
+
+
+def test_repeated_points_and_no_points(spark):
+    from pyspark.ml.linalg import Vectors
+
+    from spendgrid.operators import lloyd
+
+    same = lloyd.prepared(spark.createDataFrame([(Vectors.dense([1.0, 2.0]),)] * 7, ["features"]))
+    assert lloyd.fit(same, [3]).costs == {3: [0.0]}
+    assert lloyd.davies_bouldin(same, lloyd.fit(same, [3]).centres) == {3: (None, 0.0)}
+    none = same.where("false")
+    assert lloyd.fit(none, [2]).costs == {}
