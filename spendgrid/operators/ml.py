@@ -81,9 +81,22 @@ def _vectors(inputs):
     ]
 
 
+def _fitted(stages, rows):
+    """A fitted pipeline that keeps the losses of its training and lets go of the rest.
+
+    The summary of a model holds the training data and their session, and goes into every task
+    that applies the model; a session in which writes are observed cannot be sent there.
+    """
+    model = Pipeline(stages=stages).fit(rows)
+    last = model.stages[-1]
+    model.losses = [float(x) for x in getattr(last.summary, "objectiveHistory", ())]
+    last._java_obj.setSummary(rows.sparkSession._jvm.scala.Option.empty())
+    return model
+
+
 def fit_segments(scores, k=5, max_iter=20, seed=42):
     kmeans = KMeans(k=k, maxIter=max_iter, seed=seed, featuresCol="features", predictionCol="centroid_id")
-    return Pipeline(stages=[*_vectors(SEGMENT_FEATURES), kmeans]).fit(scores.na.fill(0, SEGMENT_FEATURES))
+    return _fitted([*_vectors(SEGMENT_FEATURES), kmeans], scores.na.fill(0, SEGMENT_FEATURES))
 
 
 def cluster(model, scores):
@@ -168,8 +181,7 @@ def fit_churn(training, max_iter=50):
         probabilityCol="_probability",
         rawPredictionCol="_score",
     )
-    stages = [*_vectors(CHURN_FEATURES), model]
-    return Pipeline(stages=stages).fit(class_weights(train.na.fill(0, CHURN_FEATURES)))
+    return _fitted([*_vectors(CHURN_FEATURES), model], class_weights(train.na.fill(0, CHURN_FEATURES)))
 
 
 CHURN_PERSON = ["age", "gender_label", "income_segment", "estimated_income", "credit_risk_class", "age_group", "income_group"]
@@ -253,7 +265,7 @@ _CLV_INPUTS = ["recency_days" if c == "days_since_last" else c for c in CLV_FEAT
 def fit_clv(training, max_iter=50):
     train, _ = _split(training)
     model = LinearRegression(labelCol="future_spend", maxIter=max_iter, predictionCol="predicted_future_spend")
-    return Pipeline(stages=[*_vectors(_CLV_INPUTS), model]).fit(train.na.fill(0, _CLV_INPUTS))
+    return _fitted([*_vectors(_CLV_INPUTS), model], train.na.fill(0, _CLV_INPUTS))
 
 
 def predict_clv(model, features, customers):
@@ -435,8 +447,7 @@ def _curve(spark, rows):
 
 def training_curve(spark, model):
     """Loss per iteration of a fitted churn or lifetime-value pipeline."""
-    history = model.stages[-1].summary.objectiveHistory
-    return _curve(spark, [(i, float(loss)) for i, loss in enumerate(history)])
+    return _curve(spark, list(enumerate(model.losses)))
 
 
 def segment_training_curve(scores, k=5, max_iter=20, seed=42):

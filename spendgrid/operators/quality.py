@@ -4,7 +4,7 @@ from functools import reduce
 
 from pyspark.sql import functions as F
 
-from spendgrid.functions.dialect import count_where, exact_avg, exact_sum, ratio, round_half, share_of_total
+from spendgrid.functions.dialect import count_where, exact_avg, exact_sum, local_frame, ratio, round_half, share_of_total
 from spendgrid.functions.labels import SEGMENTS
 
 
@@ -55,30 +55,55 @@ def table_checks(profiles, segments, benchmarks, trends):
     )
 
 
-def segment_checks(segments):
-    """Balance, order and names of the segments."""
-    per_segment = segments.groupBy("segment_name").agg(
-        F.count("*").alias("n"), exact_avg("val_trns").alias("spend"), F.lit(1).alias("one")
+def measured_checks(spark, profiles, segments, benchmarks, trends):
+    """table_checks() out of what was measured while the four tables were written."""
+    rows = segments["row_count"]
+    return _append(
+        [
+            _check(name, local_frame(spark, [(None if value is None else float(value),)], ["value"]), passed)
+            for name, value, passed in (
+                ("five segment profiles", profiles["row_count"], lambda v: v == 5),
+                ("no NULL segment name", segments["unnamed"], lambda v: v == 0),
+                ("under 5% without age", 100.0 * segments["without_age"] / rows if rows else None, lambda v: v < 5),
+                ("every merchant has a market share", benchmarks["without_share"], lambda v: v == 0),
+                ("at least three months of trends", trends["months"], lambda v: v >= 3),
+            )
+        ]
     )
+
+
+def segment_checks(segments):
+    """Balance, order and names of the segments, and repeated customers: one aggregation each."""
+    per_segment = segments.groupBy("segment_name").agg(F.count("*").alias("n"), exact_avg("val_trns").alias("spend"))
     shares = per_segment.withColumn("share", share_of_total("n"))
     highest = F.max_by("segment_name", F.col("spend"))
     lowest = F.min_by("segment_name", F.col("spend"))
     known = count_where(F.col("segment_name").isin(SEGMENTS))
-    return _append(
-        [
-            _check("largest segment under 40%", _one(shares, F.max("share")), lambda v: v < 40),
-            _check("smallest segment over 5%", _one(shares, F.min("share")), lambda v: v > 5),
-            _check("exactly five segments", _one(shares, F.count("*")), lambda v: v == 5),
-            _check("first segment spends most", _one(per_segment, (highest == SEGMENTS[0]).cast("int")), lambda v: v == 1),
-            _check("last segment spends least", _one(per_segment, (lowest == SEGMENTS[-1]).cast("int")), lambda v: v == 1),
-            _check("all segment names known", _one(per_segment, known), lambda v: v == 5),
-            _check(
-                "no duplicate customers",
-                _one(segments, F.count("*") - F.count_distinct("UNIQUE_ID")),
-                lambda v: v == 0,
-            ),
-        ]
+    repeated = segments.groupBy("UNIQUE_ID").agg((F.count("*") - 1).alias("more")).agg(F.sum("more").alias("repeated"))
+    found = shares.agg(
+        F.max("share").alias("largest"),
+        F.min("share").alias("smallest"),
+        F.count("*").alias("segments"),
+        (highest == SEGMENTS[0]).cast("int").alias("first"),
+        (lowest == SEGMENTS[-1]).cast("int").alias("last"),
+        known.alias("known"),
     )
+    checks = [
+        ("largest segment under 40%", "largest", F.col("value") < 40),
+        ("smallest segment over 5%", "smallest", F.col("value") > 5),
+        ("exactly five segments", "segments", F.col("value") == 5),
+        ("first segment spends most", "first", F.col("value") == 1),
+        ("last segment spends least", "last", F.col("value") == 1),
+        ("all segment names known", "known", F.col("value") == 5),
+        ("no duplicate customers", "repeated", F.col("value") == 0),
+    ]
+    measured = found.join(repeated, F.lit(True))
+    rows = F.array(*[F.struct(F.lit(name).alias("check_name"), F.col(c).cast("double").alias("value")) for name, c, _ in checks])
+    passed = F.lit(False)
+    for name, _, condition in checks:
+        passed = F.when(F.col("check_name") == name, F.coalesce(condition, F.lit(False))).otherwise(passed)
+    status = F.when(passed, "PASS").otherwise("FAIL")
+    return measured.select(F.explode(rows).alias("c")).select("c.*").select("check_name", status.alias("status"), F.col("value").alias("detail"))
 
 
 def churn_checks(churn):
@@ -160,6 +185,12 @@ def table_health(layers):
     return _append(parts)
 
 
+def measured_health(spark, layers):
+    """table_health() out of row counts that were measured while the tables were written."""
+    rows = [(layer, name, n, "populated" if n else "empty") for layer, tables in layers.items() for name, n in tables.items()]
+    return local_frame(spark, rows, ["layer", "table_name", "row_count", "status"]).withColumn("row_count", F.col("row_count").cast("bigint"))
+
+
 # Metric -> (exclusive lower limit, exclusive upper limit).
 CLUSTER_LIMITS = {"davies_bouldin_index": [(None, 2.0), (None, 1.5)]}
 CHURN_LIMITS = {

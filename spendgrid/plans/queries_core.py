@@ -293,7 +293,9 @@ def _checks(*rows):
 
 add(
     "quality_table_checks",
-    lambda w: quality.table_checks(w.cluster_profiles, w.segments, w.benchmarks, w.monthly_trends),
+    lambda w: quality.measured_checks(
+        w.spark, *[w.measures(t) for t in ("cluster_profiles", "segments", "destination_metrics", "monthly_trends")]
+    ),
     _checks(
         ("five segment profiles", "select count(*) from profiles", "v = 5"),
         ("no NULL segment name", f"select {n_where('segment_name is null')} from seg", "v = 0"),

@@ -9,11 +9,11 @@ import hashlib
 
 from pyspark.sql import functions as F
 
-from spendgrid.functions.dialect import round_half
+from spendgrid.functions.dialect import count_where, distinct_months, round_half
 from spendgrid.operators import audiences, features, marts, ml, staging
 from spendgrid.params import Params
 from spendgrid.session import shared_folder, written_once
-from spendgrid.sources.tables import bucketed_name, delete, write_bucketed, write_table
+from spendgrid.sources.tables import Watch, bucketed_name, delete, write_bucketed, write_table
 
 # Written tables: name -> (partition columns, cluster columns).
 _MERCHANT = ([], ["CATEGORY_TWO", "DESTINATION"])
@@ -69,7 +69,15 @@ BUCKETED = {
     "momentum",
     "audience_members",
 }
-_BUILT = {}
+# Conditions whose rows are counted while a table is written.
+WATCHED = {
+    "segments": {"unnamed": "segment_name IS NULL", "without_age": "age IS NULL"},
+    # The benchmarks are the merchants with spend.
+    "destination_metrics": {"benchmarks": "total_spend > 0", "without_share": "total_spend > 0 AND market_share_pct IS NULL"},
+    "clv": {"negative": "predicted_clv < 0"},
+}
+TREND_MONTHS = 1200  # months of trends that are told apart, back from the newest day
+_BUILT, _MEASURED = {}, {}
 
 
 class Warehouse:
@@ -138,11 +146,24 @@ class Warehouse:
         if slot in _BUILT and _BUILT[slot][0] == path:
             return
         built = self.table(name) if slot in _BUILT else getattr(self, f"_build_{name}")()
+        watch = Watch(**self._metrics_of(name))
         if name in BUCKETED:
-            stored = write_bucketed(built, path, CUSTOMER, self.params.customer_buckets, STORED[name][1])
+            stored = write_bucketed(built, path, CUSTOMER, self.params.customer_buckets, STORED[name][1], watch=watch)
         else:
-            stored = write_table(built, path, *STORED[name])
+            stored = write_table(built, path, *STORED[name], watch=watch)
         _BUILT[slot] = (path, stored.schema)
+        _MEASURED[slot] = watch.values()
+
+    def _metrics_of(self, name):
+        """What is measured while a table is written, besides its rows."""
+        if name == "monthly_trends":
+            return {"months": distinct_months("month", F.lit(self.as_of), TREND_MONTHS)}
+        return {metric: count_where(F.expr(condition)) for metric, condition in WATCHED.get(name, {}).items()}
+
+    def measures(self, name):
+        """The metrics of a stored table, as they were when it was written."""
+        self.table(name)
+        return _MEASURED[self._slot(name)]
 
     def scratch(self, name):
         """Folder in the shared folder for files of one query, until it is finished()."""

@@ -2,6 +2,7 @@
 
 import hashlib
 
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from spendgrid.sources.order_tables import RawTables
@@ -17,7 +18,26 @@ def load_raw(spark, folder):
     )
 
 
-def write_table(df, path, partition_by=(), cluster_by=(), mode="overwrite"):
+class Watch:
+    """Metrics of the rows of a write, taken by the tasks that write them: no scan of its own.
+
+    Metrics are aggregates without DISTINCT. They are observed in the last stage of the write,
+    in which a partition counts once, however often it is tried.
+    """
+
+    def __init__(self, **metrics):
+        self.metrics = {"row_count": F.count(F.lit(1)), **metrics}
+        self.observation = Observation()
+
+    def on(self, df):
+        return df.observe(self.observation, *[metric.alias(name) for name, metric in self.metrics.items()])
+
+    def values(self):
+        """Name -> value, once the write is done."""
+        return dict(self.observation.get)
+
+
+def write_table(df, path, partition_by=(), cluster_by=(), mode="overwrite", watch=None):
     """Replace a table, one folder per partition value, sorted for row-group pruning.
 
     The rebalance hint lets AQE split a partition value that holds a large share of
@@ -32,6 +52,7 @@ def write_table(df, path, partition_by=(), cluster_by=(), mode="overwrite"):
         df = df.hint("rebalance", *[F.col(c) for c in partition_by])
     if partition_by or cluster_by:
         df = df.sortWithinPartitions(*partition_by, *cluster_by)
+    df = df if watch is None else watch.on(df)
     writer = df.write.mode("overwrite" if mode == "replace" else mode).option("compression", "snappy")
     if mode == "replace":
         writer = writer.option("partitionOverwriteMode", "dynamic")
@@ -46,7 +67,7 @@ def bucketed_name(path):
     return "spendgrid_" + hashlib.sha256(path.encode()).hexdigest()[:16]
 
 
-def write_bucketed(df, path, key, buckets, sort_by=(), deal=True):
+def write_bucketed(df, path, key, buckets, sort_by=(), deal=True, watch=None):
     """Replace a table dealt into buckets by a hash of key, one sorted file per bucket.
 
     Tables with equally many buckets of the same key join and aggregate on it without a
@@ -56,7 +77,9 @@ def write_bucketed(df, path, key, buckets, sort_by=(), deal=True):
     """
     spark, name = df.sparkSession, bucketed_name(path)
     spark.sql(f"DROP TABLE IF EXISTS {name}")
-    writer = (df.repartition(buckets, key) if deal else df).write.mode("overwrite").format("parquet").option("compression", "snappy")
+    df = df.repartition(buckets, key) if deal else df
+    df = df if watch is None else watch.on(df)
+    writer = df.write.mode("overwrite").format("parquet").option("compression", "snappy")
     writer.option("path", path).bucketBy(buckets, key).sortBy(*(sort_by or [key])).saveAsTable(name)
     return spark.table(name)
 

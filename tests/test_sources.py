@@ -1,6 +1,7 @@
 import hashlib
 import json
 
+import pytest
 from pyspark.sql import functions as F
 from tests.helpers import day, lookups, raw_rows
 
@@ -106,3 +107,29 @@ def test_stream_stages_each_file_once(spark, tmp_path):
     raw_rows(spark, [{"UNIQUE_ID": "e"}]).write.parquet(later)
     incremental.stream_stage(spark, later, lookups(spark), path, str(tmp_path / "offsets2"))
     assert incremental.read_staged(spark, path).count() == 4
+
+
+@pytest.mark.parametrize("partitioned", [True, False])
+def test_metrics_are_taken_by_the_write(spark, tmp_path, partitioned):
+    df = spark.range(1000).select((F.col("id") % 7).alias("m"), F.when(F.col("id") % 10 > 0, F.col("id")).alias("v"))
+    watch = tables.Watch(missing=F.count_if(F.col("v").isNull()))
+    path = str(tmp_path / "t")
+    written = tables.write_table(df, path, ["m"] if partitioned else [], ["v"], watch=watch)
+    assert watch.values() == {"row_count": 1000, "missing": 100} and written.count() == 1000
+    watch = tables.Watch()
+    tables.write_bucketed(df, str(tmp_path / "b"), "m", 3, watch=watch)
+    assert watch.values() == {"row_count": 1000}
+
+
+def test_measures_of_stored_tables_cause_no_job(spark, folder):
+    from spendgrid.operators import quality
+    from spendgrid.plans.catalog import warehouse
+
+    w = warehouse(spark, folder)
+    names = ("cluster_profiles", "segments", "destination_metrics", "monthly_trends")
+    measured = [w.measures(t) for t in names]
+    checks = quality.measured_checks(spark, *measured)
+    assert "FileScan" not in checks._jdf.queryExecution().executedPlan().toString()
+    scanned = quality.table_checks(w.cluster_profiles, w.segments, w.benchmarks, w.monthly_trends)
+    assert sorted(map(tuple, checks.collect())) == sorted(map(tuple, scanned.collect()))
+    assert [m["row_count"] for m in measured] == [w.table(t).count() for t in names]
