@@ -145,18 +145,6 @@ def distinct_months(day, as_of, months, where=None):
     return reduce(lambda a, b: a + b, counts).cast("bigint")
 
 
-def distinct_counts(df, key, columns):
-    """One row per key with the number of distinct non-NULL values of each column.
-
-    Rows are first reduced to distinct (key, column, value), on the map side too, and
-    shuffled by all three: a key with very many values is spread over many tasks. A key
-    without any value has no row.
-    """
-    values = F.array(*[F.struct(F.lit(i).alias("i"), F.col(c).cast("string").alias("v")) for i, c in enumerate(columns)])
-    pairs = df.select(key, F.explode(values).alias("p")).where("p.v IS NOT NULL").select(key, "p.i", "p.v").distinct()
-    return pairs.groupBy(key).agg(*[F.count_if(F.col("i") == i).alias(name) for i, name in enumerate(columns.values())])
-
-
 def totals_within(df, keys, **sums):
     """Add totals per group; `sums` maps a new column to an aggregate.
 

@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from spendgrid.functions.dialect import (
     count_where,
-    distinct_counts,
     distinct_months,
     exact_avg,
     exact_sum,
@@ -41,24 +40,26 @@ VISITED = {
 }
 
 
-def with_visited(features, rows, columns):
-    """Add the number of distinct ids per customer, 0 where there are none."""
-    counts = distinct_counts(rows, "UNIQUE_ID", columns)
-    return features.join(counts, "UNIQUE_ID", "left").na.fill(0, list(columns.values()))
+def visited(columns, where=None):
+    """The number of distinct ids of each column, as aggregates.
+
+    A set per customer holds at most as many ids as the dimension has, and tasks merge their
+    sets before the shuffle, so this needs no pass of its own.
+    """
+    chosen = lambda c: F.col(c) if where is None else F.when(where, F.col(c))
+    return [F.size(F.collect_set(chosen(c))).cast("bigint").alias(name) for c, name in columns.items()]
 
 
 def rfm_features(txns, as_of, months=12, min_txns=2, accuracy=10_000):
     """Behaviour of each customer over the last months.
 
-    Plain aggregates take one pass with map-side combining, months as bits; distinct
-    ids take another, on rows reduced to distinct ids first, and are joined on the
-    customer. The median is a bounded sketch, exact for customers with fewer rows than
-    `accuracy`.
+    One pass with map-side combining: months as bits, distinct ids as sets. The median is a
+    bounded sketch, exact for customers with fewer rows than `accuracy`.
     """
     n = F.count("*")
     active_months = distinct_months("EFF_DATE", F.lit(as_of), months)
     rows = last_months(txns, as_of, months)
-    plain = (
+    return (
         rows.groupBy("UNIQUE_ID")
         .agg(
             n.alias("nr_trns"),
@@ -79,10 +80,10 @@ def rfm_features(txns, as_of, months=12, min_txns=2, accuracy=10_000):
             count_where(~_hours(6, 21)).alias("NR_TRNS_LATE"),
             count_where(is_weekend("trns_dow")).alias("NR_TRNS_WEEKEND"),
             count_where(~is_weekend("trns_dow")).alias("NR_TRNS_WEEK"),
+            *visited(VISITED),
         )
         .where(F.col("nr_trns") >= min_txns)
     )
-    return with_visited(plain, rows, VISITED)
 
 
 def rfm_scores(features, n=5, **limits):
@@ -199,36 +200,66 @@ class ActivityWindow:
     early: int = 9
 
 
+    def first_day(self, as_of):
+        return months_before(as_of, self.start)
+
+    def end_day(self, as_of):
+        return months_before(as_of, self.end) if self.end else F.lit(as_of)
+
+    def holds(self, as_of):
+        """Whether a row lies in the window; an open one takes every row from its first day on."""
+        inside = F.col("EFF_DATE") >= self.first_day(as_of)
+        return inside & (F.col("EFF_DATE") < self.end_day(as_of)) if self.end else inside
+
+
+def activities(txns, as_of, windows, more=()):
+    """Model features per customer over several windows, by one scan and one aggregation.
+
+    windows: name -> ActivityWindow. The features of a window are columns beginning with its
+    name; activity_in() takes them out. more: further aggregates over all rows that any
+    window may need. Every aggregate combines on the map side.
+    """
+    start = F.least(*[w.first_day(as_of) for w in windows.values()]) if len(windows) > 1 else next(iter(windows.values())).first_day(as_of)
+    ends = [w.end for w in windows.values()]
+    until = months_before(as_of, min(ends)) if all(ends) and not more else None
+    columns = [c for name, w in windows.items() for c in _activity(name, w, as_of)]
+    return in_window(txns, start, until).groupBy("UNIQUE_ID").agg(*columns, *more)
+
+
+def _activity(name, window, as_of):
+    inside, anchor, day = window.holds(as_of), window.end_day(as_of), F.col("EFF_DATE")
+    n, amount = count_where(inside), F.col("trns_amt")
+    own_day = F.when(inside, day)
+    recent = inside & (day >= months_before(anchor, window.recent))
+    early = inside & (day < months_before(anchor, window.early))
+    previous = inside & (day >= months_before(anchor, 2 * window.recent)) & (day < months_before(anchor, window.recent))
+    columns = {
+        "nr_trns": n,
+        "val_trns": exact_sum(amount, where=inside),
+        "avg_val": round_half(exact_avg(amount, where=inside), 2),
+        "active_months": distinct_months("EFF_DATE", F.lit(as_of), window.start, where=inside),
+        "days_between": round_half(ratio(F.datediff(F.max(own_day), F.min(own_day)), n - 1), 2),
+        "NR_TRNS_WEEKEND": count_where(inside & is_weekend("trns_dow")),
+        "NR_TRNS_WEEK": count_where(inside & ~is_weekend("trns_dow")),
+        "pct_morning": pct(count_where(inside & _hours(6, 10)), n),
+        "pct_evening": pct(count_where(inside & _hours(17, 21)), n),
+        "txn_trend": F.coalesce(round_half(ratio(count_where(recent), count_where(early)), 2), F.lit(0.0)),
+        "spend_trend": F.coalesce(round_half(ratio(sum_where(recent, amount), sum_where(early, amount)), 2), F.lit(0.0)),
+        "days_since_last": F.datediff(anchor, F.max(own_day)).cast("bigint"),
+        "txns_last_3m": count_where(recent),
+        "txns_prev_3m": count_where(previous),
+    }
+    sets = visited({c: f"{name}{VISITED[c]}" for c in ("DESTINATION_ID", "NAV_CATEGORY_ID")}, where=inside)
+    return [*[column.alias(f"{name}{c}") for c, column in columns.items()], *sets]
+
+
+def activity_in(wide, name, min_txns=3, more=()):
+    """The features of one window out of activities(), of customers with enough rows in it."""
+    own = [c for c in wide.columns if c.startswith(name) and c not in more and c != "UNIQUE_ID"]
+    rows = wide.where(F.col(f"{name}nr_trns") >= min_txns)
+    return rows.select("UNIQUE_ID", *[F.col(c).alias(c.removeprefix(name)) for c in own], *more)
+
+
 def activity(txns, as_of, window, min_txns=3):
     """Model features per customer over one window."""
-    start = months_before(as_of, window.start)
-    anchor = months_before(as_of, window.end) if window.end else F.lit(as_of)
-    rows = in_window(txns, start, anchor if window.end else None)
-    n = F.count("*")
-    day = F.col("EFF_DATE")
-    recent = day >= months_before(anchor, window.recent)
-    early = day < months_before(anchor, window.early)
-    previous = (day >= months_before(anchor, 2 * window.recent)) & ~recent
-    plain = (
-        rows.groupBy("UNIQUE_ID")
-        .agg(
-            n.alias("nr_trns"),
-            exact_sum("trns_amt").alias("val_trns"),
-            round_half(exact_avg("trns_amt"), 2).alias("avg_val"),
-            distinct_months("EFF_DATE", F.lit(as_of), window.start).alias("active_months"),
-            _gap_days().alias("days_between"),
-            count_where(is_weekend("trns_dow")).alias("NR_TRNS_WEEKEND"),
-            count_where(~is_weekend("trns_dow")).alias("NR_TRNS_WEEK"),
-            pct(count_where(_hours(6, 10)), n).alias("pct_morning"),
-            pct(count_where(_hours(17, 21)), n).alias("pct_evening"),
-            F.coalesce(round_half(ratio(count_where(recent), count_where(early)), 2), F.lit(0.0)).alias("txn_trend"),
-            F.coalesce(
-                round_half(ratio(sum_where(recent, "trns_amt"), sum_where(early, "trns_amt")), 2), F.lit(0.0)
-            ).alias("spend_trend"),
-            F.datediff(anchor, F.max("EFF_DATE")).cast("bigint").alias("days_since_last"),
-            count_where(recent).alias("txns_last_3m"),
-            count_where(previous).alias("txns_prev_3m"),
-        )
-        .where(F.col("nr_trns") >= min_txns)
-    )
-    return with_visited(plain, rows, {c: VISITED[c] for c in ("DESTINATION_ID", "NAV_CATEGORY_ID")})
+    return activity_in(activities(txns, as_of, {"": window}), "", min_txns)

@@ -33,8 +33,7 @@ from spendgrid.functions.dialect import (
 from spendgrid.functions.labels import CHURN_LEVELS, CLV_TIERS, SEGMENTS
 from spendgrid.functions.ordering import bucket_ends, ntile_of, order_statistics
 from spendgrid.operators import lloyd
-from spendgrid.operators.features import ActivityWindow, activity
-from spendgrid.operators.staging import in_window
+from spendgrid.operators.features import ActivityWindow, activities, activity_in
 
 # The inputs of the three models.
 SEGMENT_FEATURES = [
@@ -126,28 +125,40 @@ def assign_segments(clustered, customers):
 # --- churn ------------------------------------------------------------------
 
 
-def churn_training_set(txns, customers, as_of, params, keep_id=False):
-    """Observation-window features and whether the customer stayed away afterwards."""
-    outcome = params.churn_outcome_months
-    window = ActivityWindow(params.window_months, outcome, params.trend_recent_months, params.churn_early_months)
-    observed = activity(txns, as_of, window, params.min_model_txns)
-    returned = (
-        in_window(txns, months_before(as_of, outcome))
-        .select("UNIQUE_ID")
-        .distinct()
-        .withColumn("_back", F.lit(True))
-    )
-    labelled = observed.join(returned, "UNIQUE_ID", "left").withColumn(
-        "churned", F.when(F.col("_back").isNull(), 1).otherwise(0).cast("bigint")
-    )
+def _windows(params):
+    """The three windows that the models learn from and score, by the prefix of their columns."""
+    p = params
+    return {
+        "churn_": ActivityWindow(p.window_months, p.churn_outcome_months, p.trend_recent_months, p.churn_early_months),
+        "now_": ActivityWindow(p.window_months, 0, p.trend_recent_months, p.trend_early_months),
+        "clv_": ActivityWindow(p.clv_observation_start, p.clv_future_months, p.trend_recent_months, p.trend_early_months),
+    }
+
+
+def customer_activity(txns, as_of, params):
+    """The features of all model windows and both outcomes per customer, by one scan of the facts."""
+    day = F.col("EFF_DATE")
+    back = F.max(day >= months_before(as_of, params.churn_outcome_months)).alias("back")
+    future = exact_sum("trns_amt", where=day >= months_before(as_of, params.clv_future_months)).alias("future_spend")
+    return activities(txns, as_of, _windows(params), [back, future])
+
+
+def churn_training_set(txns, customers, as_of, params, keep_id=False, wide=None):
+    """Observation-window features and whether the customer stayed away afterwards.
+
+    wide: customer_activity(), where it is at hand.
+    """
+    wide = customer_activity(txns, as_of, params) if wide is None else wide
+    observed = activity_in(wide, "churn_", params.min_model_txns, ["back"])
+    labelled = observed.withColumn("churned", F.when(F.col("back"), 0).otherwise(1).cast("bigint"))
     key = ["UNIQUE_ID"] if keep_id else []
     return _with_person(labelled, customers).select(*key, *CHURN_FEATURES, "churned")
 
 
-def activity_current(txns, as_of, params):
+def activity_current(txns, as_of, params, wide=None):
     """Features of the newest window, for scoring churn and value alike."""
-    window = ActivityWindow(params.window_months, 0, params.trend_recent_months, params.trend_early_months)
-    return activity(txns, as_of, window, params.min_model_txns)
+    wide = customer_activity(txns, as_of, params) if wide is None else wide
+    return activity_in(wide, "now_", params.min_model_txns)
 
 
 def churn_features_current(current):
@@ -235,20 +246,13 @@ def score_churn(predictions):
 # --- lifetime value ---------------------------------------------------------
 
 
-def clv_training_set(txns, customers, as_of, params, keep_id=False):
+def clv_training_set(txns, customers, as_of, params, keep_id=False, wide=None):
     """Features from months -18 to -6 and the spend of the last 6 months."""
-    window = ActivityWindow(
-        params.clv_observation_start, params.clv_future_months, params.trend_recent_months, params.trend_early_months
-    )
-    observed = activity(txns, as_of, window, params.min_model_txns)
-    future = (
-        in_window(txns, months_before(as_of, params.clv_future_months))
-        .groupBy("UNIQUE_ID")
-        .agg(exact_sum("trns_amt").alias("future_spend"))
-    )
+    wide = customer_activity(txns, as_of, params) if wide is None else wide
+    observed = activity_in(wide, "clv_", params.min_model_txns, ["future_spend"])
     key = ["UNIQUE_ID"] if keep_id else []
     return (
-        _with_person(observed.join(future, "UNIQUE_ID", "left"), customers)
+        _with_person(observed, customers)
         .na.fill(0, ["future_spend"])
         .select(*key, *CLV_FEATURES, "future_spend")
         .withColumnRenamed("days_since_last", "recency_days")

@@ -27,7 +27,7 @@ STORED = {
     "merchant_totals": _PLAIN,
     "destination_metrics": _MERCHANT,
     "churn_training": _PLAIN,
-    "activity_current": _PLAIN,
+    "customer_activity": _PLAIN,
     "clv_training": _PLAIN,
     "segments": ([], ["segment_name"]),
     "churn": ([], ["churn_risk_level"]),
@@ -62,7 +62,7 @@ BUCKETED = {
     "rfm_features",
     "customer_category_spend",
     "rfm_scores",
-    "activity_current",
+    "customer_activity",
     "segments",
     "churn",
     "clv",
@@ -224,18 +224,21 @@ class Warehouse:
     def _fit_clv(self):
         return ml.fit_clv(self.clv_training, self.params.model_iterations)
 
+    def _build_customer_activity(self):
+        return ml.customer_activity(self.transactions, self.as_of, self.params)
+
     def _build_churn_training(self):
         return ml.churn_training_set(
-            self.transactions, self.customers, self.as_of, self.params
+            self.transactions, self.customers, self.as_of, self.params, wide=self.customer_activity
         )
 
     def _build_clv_training(self):
         return ml.clv_training_set(
-            self.transactions, self.customers, self.as_of, self.params
+            self.transactions, self.customers, self.as_of, self.params, wide=self.customer_activity
         )
 
     def _build_activity_current(self):
-        return ml.activity_current(self.transactions, self.as_of, self.params)
+        return ml.activity_current(self.transactions, self.as_of, self.params, wide=self.customer_activity)
 
     def _build_churn_features(self):
         return ml.churn_features_current(self.activity_current)

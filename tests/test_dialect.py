@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from spendgrid.functions import dialect as d
+from spendgrid.operators.features import visited
 
 
 def value(spark, column):
@@ -90,8 +91,8 @@ def test_totals_and_distinct_counts(spark):
     df = spark.createDataFrame([("a", 1, None), ("a", 1, 5), ("a", 2, None), ("b", 3, None), ("c", None, None)], "k string, v int, w int")
     totals = d.totals_within(df.where("v > 0"), ["k"], total=F.sum("v"))
     assert sorted((r["k"], r["v"], r["total"]) for r in totals.collect()) == [("a", 1, 4), ("a", 1, 4), ("a", 2, 4), ("b", 3, 3)]
-    counts = d.distinct_counts(df, "k", {"v": "n", "w": "m"})
-    assert {r["k"]: (r["n"], r["m"]) for r in counts.collect()} == {"a": (2, 1), "b": (1, 0)}
+    counts = df.groupBy("k").agg(*visited({"v": "n", "w": "m"}), *visited({"v": "few"}, where=F.col("v") < 2))
+    assert {r["k"]: (r["n"], r["m"], r["few"]) for r in counts.collect()} == {"a": (2, 1, 1), "b": (1, 0, 0), "c": (0, 0, 0)}
 
 
 def test_plain_numbers_have_no_trailing_zeros(spark):

@@ -1,3 +1,4 @@
+import datetime as dt
 from itertools import combinations
 from math import floor
 
@@ -193,3 +194,21 @@ def test_excluded_pattern_binds_to_the_last_one(spark):
     )
     got = audience_reports.search_names(bench, "CATEGORY_TWO", ["%PHARM%", "%HEALTH%"], ["%PET%"])
     assert sorted(r["CATEGORY_TWO"] for r in got.collect()) == ["Health", "Pharmacy Pets"]
+
+
+def test_all_model_windows_take_one_scan(spark, tmp_path):
+    from spendgrid.sources.tables import write_table
+
+    rows = [{"UNIQUE_ID": f"u{i % 3}", "EFF_DATE": AS_OF - dt.timedelta(days=9 * i), "DESTINATION_ID": i % 4 + 1, "trns_amt": 1.5 * i} for i in range(80)]
+    txns = write_table(staged(spark, rows), str(tmp_path / "t"), ["txn_month"], ["CATEGORY_TWO"])
+    wide = ml.customer_activity(txns, AS_OF, Params())
+    plan = wide._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and plan.count("Exchange hashpartitioning") == 1 and "PartitionFilters: [isnotnull(txn_month" in plan
+    for build in (ml.churn_training_set, ml.clv_training_set):
+        apart = build(txns, customers(spark, ["u0", "u1"]), AS_OF, Params(), keep_id=True)
+        shared = build(txns, customers(spark, ["u0", "u1"]), AS_OF, Params(), keep_id=True, wide=wide)
+        assert by_key(apart) == by_key(shared) != {}
+    # Each window alone gives what it gives beside the others.
+    for name, window in ml._windows(Params()).items():
+        alone = by_key(features.activity(txns, AS_OF, window, 3))
+        assert alone == by_key(features.activity_in(wide, name, 3)) != {}
