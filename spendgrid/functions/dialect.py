@@ -216,6 +216,11 @@ def plain_number(x):
     return F.regexp_replace(digits, r"\.?0+$", "")
 
 
+def count_label(x):
+    """A whole number as text with thousands separated: 1,234,567."""
+    return F.format_number(col_of(x).cast("bigint"), 0)
+
+
 def money_label(x):
     """R1.2M / R3.4k / R56 display text."""
     x = col_of(x).cast("double")

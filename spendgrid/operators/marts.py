@@ -153,22 +153,31 @@ def behavioral_summary(txns, segments):
 # --- categories, places, months ---------------------------------------------
 
 
+def customers_per(rows, keys, name):
+    """Distinct customers per group, from rows reduced to one per group and customer before the shuffle."""
+    return rows.select(*keys, "UNIQUE_ID").distinct().groupBy(*keys).agg(F.count("UNIQUE_ID").alias(name))
+
+
 def geo_summary(txns):
     """Spend per province, municipality and category.
 
-    One scan: rows are first reduced to one per place, category, merchant and customer,
-    and merchants and customers are counted on these cells.
+    Two narrow scans: totals per place, category and merchant shrink on the map side to a few
+    rows a task, and customers are counted on three columns.
     """
     keys = ["PROVINCE", "MUNICIPALITY", "CATEGORY_TWO"]
     placed = txns.dropna(subset=["PROVINCE", "CATEGORY_TWO"])
-    cells = placed.groupBy(*keys, "DESTINATION", "UNIQUE_ID").agg(F.count("*").alias("n"), exact_sum("trns_amt").alias("spend"))
-    return cells.groupBy(*keys).agg(
-        F.sum("n").alias("transactions"),
-        round_half(exact_sum("spend"), 0).alias("total_spend"),
-        round_half(ratio(exact_sum("spend"), F.sum("n")), 2).alias("avg_txn"),
-        F.count_distinct("DESTINATION").alias("distinct_merchants"),
-        F.count_distinct("UNIQUE_ID").alias("customers"),
+    totals = (
+        placed.groupBy(*keys, "DESTINATION")
+        .agg(F.count("*").alias("n"), exact_sum("trns_amt").alias("spend"))
+        .groupBy(*keys)
+        .agg(
+            F.sum("n").alias("transactions"),
+            round_half(exact_sum("spend"), 0).alias("total_spend"),
+            round_half(ratio(exact_sum("spend"), F.sum("n")), 2).alias("avg_txn"),
+            F.count("DESTINATION").alias("distinct_merchants"),
+        )
     )
+    return null_safe_join(totals, customers_per(placed, keys, "customers"), keys)
 
 
 def monthly_trends(txns):
@@ -599,21 +608,12 @@ DAYS = ["sunday", "monday", "tuesday", "wednesday", "thursday", "friday", "satur
 def store_time_patterns(txns, as_of, months=12, min_txns=1000):
     """Hour and weekday profile per merchant.
 
-    One scan: rows are first reduced to merchant x hour x weekday x customer cells, from
-    which both the merchant's cells (at most 25 x 7) and its customers follow.
+    Two narrow scans: a merchant has at most 25 x 7 cells, which shrink on the map side, and its
+    customers are counted on three columns.
     """
     keys = ["CATEGORY_TWO", "DESTINATION"]
     rows = last_months(txns, as_of, months)
-    fine = rows.groupBy(*keys, "trns_hour", "trns_dow", "UNIQUE_ID").agg(
-        F.count("*").alias("n"), exact_sum("trns_amt").alias("spend")
-    )
-    # A customer is counted in one of its cells, of which it has 175 at most.
-    own = fine.groupBy(*keys, "UNIQUE_ID").agg(F.collect_list(F.struct("trns_hour", "trns_dow", "n", "spend")).alias("own"))
-    cells = (
-        own.select(*keys, F.posexplode("own").alias("place", "cell"))
-        .groupBy(*keys, "cell.trns_hour", "cell.trns_dow")
-        .agg(F.sum("cell.n").alias("n"), exact_sum("cell.spend").alias("spend"), F.count_if(F.col("place") == 0).alias("people"))
-    )
+    cells = rows.groupBy(*keys, "trns_hour", "trns_dow").agg(F.count("*").alias("n"), exact_sum("trns_amt").alias("spend"))
     hour, dow = F.col("trns_hour"), F.col("trns_dow")
 
     def weight(where, value="n"):
@@ -629,7 +629,7 @@ def store_time_patterns(txns, as_of, months=12, min_txns=1000):
         round_half(ratio(spend_where(hour.between(*span)), weight(hour.between(*span))), 2).alias(name)
         for name, span in BASKETS.items()
     ]
-    return (
+    profile = (
         weigh_modes(cells, keys, ["trns_hour", "trns_dow"])
         .groupBy(*keys)
         .agg(
@@ -643,10 +643,10 @@ def store_time_patterns(txns, as_of, months=12, min_txns=1000):
             *baskets,
             pick_mode("trns_hour").alias("peak_hour"),
             pick_mode("trns_dow").alias("peak_day_number"),
-            F.sum("people").alias("unique_customers"),
         )
         .where(F.col("total_transactions") >= min_txns)
     )
+    return null_safe_join(profile, customers_per(rows, keys, "unique_customers"), keys)
 
 
 def client_segment_mix(ccs, segments, min_customers=1000):

@@ -4,7 +4,7 @@ from functools import reduce
 
 from pyspark.sql import functions as F
 
-from spendgrid.functions.dialect import count_where, exact_avg, exact_sum, local_frame, ratio, round_half, share_of_total
+from spendgrid.functions.dialect import count_label, count_where, exact_avg, exact_sum, local_frame, ratio, round_half, share_of_total
 from spendgrid.functions.labels import SEGMENTS
 
 
@@ -191,6 +191,14 @@ def measured_health(spark, layers):
     return local_frame(spark, rows, ["layer", "table_name", "row_count", "status"]).withColumn("row_count", F.col("row_count").cast("bigint"))
 
 
+def count_listing(spark, counts):
+    """Tables by falling number of rows, with the number as a label; counts as measured by the writes."""
+    listed = local_frame(spark, list(counts.items()), ["table_name", "row_count"])
+    return listed.select("table_name", F.col("row_count").cast("bigint").alias("row_count"), count_label("row_count").alias("row_label")).orderBy(
+        F.desc("row_count"), "table_name"
+    )
+
+
 # Metric -> (exclusive lower limit, exclusive upper limit).
 CLUSTER_LIMITS = {"davies_bouldin_index": [(None, 2.0), (None, 1.5)]}
 CHURN_LIMITS = {

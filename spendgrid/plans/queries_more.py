@@ -123,6 +123,12 @@ add(
         for t, rel in names.items()
     ),
 )
+_LISTED = {t: rel for names in HEALTH.values() for t, rel in names.items() if t != "benchmarks"}
+add(
+    "report_count_listing",
+    lambda w: quality.count_listing(w.spark, {t: w.measures(t)["row_count"] for t in _LISTED}),
+    " union all ".join(f"select '{t}' as table_name, count(*) as row_count, format('{{:,}}', count(*)) as row_label from {rel}" for t, rel in _LISTED.items()),
+)
 
 
 def _json_of_all(w):
