@@ -18,6 +18,8 @@ documents; a source without words has target 0; an empty table gives no rows.
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from spendgrid.llm.store import column_named
+
 WORD = r"[^\x20\x09-\x0D]+"
 SLICE_ROWS = 50_000
 BANDS_PER_OCTAVE = 8
@@ -63,7 +65,7 @@ def mix(docs, id_col="doc_id", text_col="text", source_col="source", weights=(5,
     """
     named = {"size", "source_size", "target", "copies"}
     keep = [c for c in columns or docs.columns if c.lower() not in named]
-    base = docs.select(F.struct(*(F.col(f"`{c}`") for c in keep)).alias("row"), F.col(f"`{id_col}`").cast("string").alias("id"), F.col(f"`{source_col}`").cast("string").alias("source"), word_count(F.col(f"`{text_col}`").cast("string")).alias("size"))
+    base = docs.select(F.struct(*(column_named(c) for c in keep)).alias("row"), column_named(id_col).cast("string").alias("id"), column_named(source_col).cast("string").alias("source"), word_count(column_named(text_col).cast("string")).alias("size"))
     return _mix(base, weights, share, most, seed).select("row.*", "size", "source_size", "target", "copies")
 
 
@@ -94,7 +96,7 @@ def _mix(base, weights, share, most, seed):
 
 def mixed(docs, id_col="doc_id", text_col="text", source_col="source", **options):
     """The mixed corpus: each document as often as it is taken, with the columns of docs."""
-    whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("whole")
-    named = [F.col(f"`{c}`").alias(name) for c, name in ((id_col, "doc_id"), (text_col, "text"), (source_col, "source"))]
+    whole = F.struct(*map(column_named, docs.columns)).alias("whole")
+    named = [column_named(c).alias(name) for c, name in ((id_col, "doc_id"), (text_col, "text"), (source_col, "source"))]
     out = mix(docs.select(whole, *named), columns=["whole"], **options).where("copies > 0")
     return out.select("whole", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("whole.*")

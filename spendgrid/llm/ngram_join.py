@@ -14,9 +14,12 @@
    compared first, then the popcount of the XOR of the bitmaps bounds the overlap from above,
    and what remains is decided by intersecting the sorted arrays. Pairs already connected
    need no check.
-4. Groups of several tiles that are still apart get the tiles of all pairs of different
-   parts: those outside the largest part against everybody. So every link counts, and no
-   bucket is capped.
+4. Groups of several tiles that are still apart: a link between two parts has at least
+   t * n shingles in common with a class of another part, so a class goes on only if so many
+   of its shingles occur in another part of its group, which is counted exactly. Documents
+   that share a template, but little else, end here. Those that go on get the tiles of all
+   pairs of different parts: those outside the largest part against everybody. So every link
+   counts, and no bucket is capped.
 
 Hashes of 64 bits stand for shingles and sets. Results for special inputs: null texts and
 texts without words have no shingles and no links; a text with fewer words than a shingle is
@@ -33,7 +36,7 @@ from pyspark.sql import functions as F
 
 from spendgrid.llm.arrays import LOWER, SpanHash, byte_chunks, mix, word_spans
 from spendgrid.llm.components import components
-from spendgrid.llm.store import cut, pick, release
+from spendgrid.llm.store import column_named, cut, pick, release
 
 TILE_ROWS = 256
 BITMAP_BITS = 2048
@@ -332,9 +335,15 @@ def linked(members, sets, threshold):
     parts = components(edges)
     large = large.join(parts.withColumnRenamed("node", "class"), "class", "left").withColumn("label", F.coalesce("component", "class"))
     by_part = large.groupBy("group", "label").agg(F.count("*").alias("k"))
-    whole = by_part.groupBy("group").agg(F.count("*").alias("parts"), F.max_by("label", F.struct("k", "label")).alias("main")).where("parts > 1")
-    apart = large.join(whole, "group").withColumn("asks", F.col("label") != F.col("main"))
-    apart = cut(apart.select("group", "band", "slice", "class", "label", "asks"))
+    several = by_part.groupBy("group").agg(F.count("*").alias("parts")).where("parts > 1")
+    apart = cut(large.join(several, "group").select("group", "band", "slice", "class", "label"))
+    if apart.isEmpty():
+        return edges
+    apart = cut(linkable(apart, sets, threshold))
+    release(spark)
+    by_part = apart.groupBy("group", "label").agg(F.count("*").alias("k"))
+    main = by_part.groupBy("group").agg(F.count("*").alias("parts"), F.max_by("label", F.struct("k", "label")).alias("main")).where("parts > 1")
+    apart = cut(apart.join(main, "group").select("group", "band", "slice", "class", "label", (F.col("label") != F.col("main")).alias("asks")))
     if apart.isEmpty():
         return edges
     asking = apart.where("asks")
@@ -351,6 +360,32 @@ def linked(members, sets, threshold):
     return edges.union(compare(seated(seats, sets), threshold))
 
 
+def linkable(apart, sets, threshold):
+    """The classes of (group, class, label, ...) that may have a link to another label of their group.
+
+    Such a link takes at least threshold * n common shingles, so as many shingles of the class
+    must occur under another label.
+    """
+
+    def explode(batches):
+        for batch in batches:
+            hashes = [np.frombuffer(x, np.int64) for x in batch.column(3).to_pylist()]
+            at = np.repeat(np.arange(len(hashes)), [len(x) for x in hashes])
+            group, own, label = (batch.column(i).to_numpy()[at] for i in range(3))
+            with np.errstate(over="ignore"):
+                token = mix(np.concatenate([np.zeros(0, np.int64), *hashes]).view(np.uint64) + mix(group.view(np.uint64)))
+            yield pa.RecordBatch.from_arrays([_long(token), pa.array(own), pa.array(label)], ["token", "class", "label"])
+
+    rows = apart.join(sets, "class")
+    tokens = rows.select("group", "class", "label", "hashes").mapInArrow(explode, "token long, class long, label long")
+    own = Window.partitionBy("token")  # buffered by Spark, on disk where a shingle has very many classes
+    tokens = tokens.withColumn("least", F.min("label").over(own)).withColumn("largest", F.max("label").over(own))
+    shared = tokens.where("least < largest").groupBy("class").agg(F.count("*").alias("shared"))
+    t = Fraction(threshold).limit_denominator(10_000)
+    kept = rows.join(shared, "class").where(F.col("shared") * t.denominator >= F.col("n") * t.numerator)
+    return kept.select(*apart.columns)
+
+
 def seated(seats, sets):
     """The sets of (tile, class, label, asks), in the columns that compare() takes."""
     return seats.join(sets, "class").select("tile", "class", "n", "bitmap", "hashes", "label", "asks")
@@ -391,8 +426,8 @@ def one_of_each(docs, k=5, threshold="0.8", id_col="doc_id", text_col="text"):
     out = cut(jaccard_components(docs, k, threshold, id_col, text_col))
     first = out.where("n_shingles > 0").groupBy("component").agg(F.min_by("at", F.struct(F.col("doc_id").isNull(), "doc_id", "at")).alias("at"))
     keep = first.select("at", F.lit(True).alias("alone")).union(out.where("n_shingles = 0").select("at", F.lit(False)).distinct())
-    at = F.xxhash64(F.col(f"`{id_col}`").cast("long"), F.col(f"`{text_col}`").cast("string"))
-    rows = docs.select(at.alias("at"), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")).join(keep, "at")
+    at = F.xxhash64(column_named(id_col).cast("long"), column_named(text_col).cast("string"))
+    rows = docs.select(at.alias("at"), F.struct(*map(column_named, docs.columns)).alias("row")).join(keep, "at")
     # Repeated rows share their hash: where there are shingles, one of them stays.
     number = F.row_number().over(Window.partitionBy("at").orderBy("at"))
     return rows.withColumn("number", number).where("number = 1 OR NOT alone").select("row.*")

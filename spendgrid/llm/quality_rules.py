@@ -16,6 +16,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import functions as F
 
+from spendgrid.llm.store import column_named
+
 WINDOW_WORDS = 8
 MEASURES = ["n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "n_upper", "n_marks", "n_echo_words"]
 
@@ -64,8 +66,8 @@ def measure(docs, id_col="doc_id", text_col="text", keep=None):
     line. n_repeat_words: words in 8-word windows that occur twice or more in the text.
     n_echo_words: words equal to the word before.
     """
-    own = F.col(f"`{id_col}`").alias("doc_id") if keep is None else keep
-    rows = docs.select(own, F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
+    own = column_named(id_col).alias("doc_id") if keep is None else keep
+    rows = docs.select(own, F.coalesce(column_named(text_col).cast("string"), F.lit("")).alias("text"))
     own = rows.columns[0]
     words = F.array_remove(F.split("text", r"[\x20\x09-\x0D]+"), "")
     lines = F.filter(F.split("text", "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
@@ -130,7 +132,7 @@ def kept(policy):
 
 def passing(docs, policy=POLICIES["v2"], id_col="doc_id", text_col="text"):
     """The documents that the policy keeps, with the columns of docs."""
-    whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("whole")
+    whole = F.struct(*map(column_named, docs.columns)).alias("whole")
     return measure(docs, id_col, text_col, whole).withColumn("bits", _bits()).where(kept(policy)).select("whole.*")
 
 

@@ -67,9 +67,9 @@ def pick(df, **columns):
     What follows runs Python on them, in batches of bounded size.
     """
     bound_batches(df.sparkSession)
-    return df.select(*(named(old).alias(new) for new, old in columns.items()))
+    return df.select(*(column_named(old).alias(new) for new, old in columns.items()))
 
 
-def named(column):
+def column_named(column):
     """The column of exactly this name, whatever characters it holds."""
     return F.col("`" + column.replace("`", "``") + "`")

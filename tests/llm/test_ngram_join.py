@@ -102,3 +102,43 @@ def test_bands_share_a_part(share):
         both = len(np.intersect1d(base, other))
         if len(other) and 100 * both >= 85 * len(np.union1d(base, other)) and not np.array_equal(base, other):
             assert np.intersect1d(ngram_join.part_keys(base, bands, common), ngram_join.part_keys(other, bands, common)).size
+
+
+def thue_morse(n=1024):
+    """A word and its complement, which collide in every polynomial hash modulo 2^64."""
+    bits = [bin(i).count("1") % 2 for i in range(n)]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+
+
+def test_words_that_collide_modulo_a_power_of_two(spark):
+    docs = spark.createDataFrame(list(enumerate(thue_morse())), "doc_id long, text string")
+    assert sorted(r["component_id"] for r in ngram_join.joined(docs, 4, "0.85").collect()) == [0, 1]
+
+
+@pytest.mark.parametrize("own", [0.25, 0.4])
+def test_documents_of_one_template_are_not_seated_together(spark, monkeypatch, own):
+    """Unlinked documents of one template: seats grow with their number, not with its square."""
+    seats = []
+    plain = ngram_join.seated
+    monkeypatch.setattr(ngram_join, "seated", lambda s, sets: seats.append(s.count()) or plain(s, sets))
+    monkeypatch.setattr(ngram_join, "TILE_ROWS", 16)
+    template = [f"t{i}" for i in range(100)]
+    numbers = []
+    for n in (100, 400):
+        rows = []
+        for i in range(n):
+            mine = [f"o{i}x{j}" for j in range(int(100 * own / (1 - own)))]
+            rows.append((i, " ".join(template[: 100 - len(mine) % 7] + mine)))
+        rows += [(n + i, " ".join([*template, f"z{i}"])) for i in range(40)]  # linked with each other
+        docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+        seats.clear()
+        found = {r["doc_id"]: r["component_id"] for r in ngram_join.joined(docs, 2, "0.8").collect()}
+        assert found == {d: c for d, _, c in brute(rows, 2, 80, 100)}
+        numbers.append(sum(seats))
+    assert numbers[1] <= 5 * numbers[0] + 100
+
+
+def test_column_names_with_backticks(spark):
+    docs = spark.createDataFrame([(1, "a b c d e f", 1), (2, "a b c d e f", 2)], "`doc``id` long, `te``xt` string, `o``ther` int")
+    kept = ngram_join.one_of_each(docs, id_col="doc`id", text_col="te`xt").collect()
+    assert [tuple(r) for r in kept] == [(1, "a b c d e f", 1)]
