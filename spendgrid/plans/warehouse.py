@@ -13,7 +13,7 @@ from spendgrid.functions.dialect import count_where, distinct_months, round_half
 from spendgrid.operators import audiences, features, marts, ml, staging
 from spendgrid.params import Params
 from spendgrid.session import shared_folder, written_once
-from spendgrid.sources.tables import Watch, bucketed_name, delete, write_bucketed, write_table
+from spendgrid.sources.tables import Watch, bucketed_name, delete, exists, write_bucketed, write_table
 
 # Written tables: name -> (partition columns, cluster columns).
 _MERCHANT = ([], ["CATEGORY_TWO", "DESTINATION"])
@@ -129,7 +129,7 @@ class Warehouse:
                 self._lazy[name] = getattr(self, f"_build_{name}")()
             return self._lazy[name]
         slot = self._slot(name)
-        if slot not in _BUILT:
+        if not self._stands(slot):
             self.store_in(name, f"{self._root}/spendgrid/{self._base}/{slot[2]}/{name}")
         path, schema = _BUILT[slot]
         if name in BUCKETED:
@@ -140,12 +140,22 @@ class Warehouse:
         variant = "modelled" if self.modelled and name in _MODEL_TABLES else "fixed"
         return (self._root, self._base, variant, name)
 
+    def _stands(self, slot):
+        """Whether a stored table is there; one whose files or catalog entry have gone is to be built again."""
+        if slot in _BUILT:
+            path, name = _BUILT[slot][0], slot[-1]
+            listed = name not in BUCKETED or self.spark.catalog.tableExists(bucketed_name(path))
+            if not (listed and exists(self.spark, path)):
+                del _BUILT[slot]
+        return slot in _BUILT
+
     def store_in(self, name, path):
         """Build a stored table into path, or copy it there when it stands elsewhere already."""
         slot = self._slot(name)
-        if slot in _BUILT and _BUILT[slot][0] == path:
+        stands = self._stands(slot)
+        if stands and _BUILT[slot][0] == path:
             return
-        built = self.table(name) if slot in _BUILT else getattr(self, f"_build_{name}")()
+        built = self.table(name) if stands else getattr(self, f"_build_{name}")()
         watch = Watch(**self._metrics_of(name))
         if name in BUCKETED:
             stored = write_bucketed(built, path, CUSTOMER, self.params.customer_buckets, STORED[name][1], watch=watch)
