@@ -235,7 +235,7 @@ def write_blocks(docs, path, place, id_col="doc_id", text_col="text"):
     # About a block per task of the scan, so about a file per bucket; what joins the blocks later comes to them.
     spark = docs.sparkSession
     buckets = max(rows.rdd.getNumPartitions(), int(spark.conf.get("spark.sql.shuffle.partitions")))
-    return write_bucketed(rows.mapInArrow(run, schema), place, "block", buckets, deal=False)
+    return write_bucketed(rows.mapInArrow(run, schema), place, "block", buckets, deal=False, compression="zstd")
 
 
 def packed(block, held, schema):
