@@ -6,6 +6,8 @@ executor costs a re-read, not a recomputation. Views and reports stay lazy.
 """
 
 import hashlib
+import threading
+import uuid
 
 from pyspark.sql import functions as F
 
@@ -78,6 +80,10 @@ WATCHED = {
 }
 TREND_MONTHS = 1200  # months of trends that are told apart, back from the newest day
 _BUILT, _MEASURED = {}, {}
+# Threads of a session share the tables: the first that asks for one builds it, others wait for it.
+_LOCKS = {}
+# Application ids tell seconds apart at best, so sessions that share a folder may have the same.
+_PROCESS = uuid.uuid4().hex[:12]
 
 
 class Warehouse:
@@ -102,7 +108,7 @@ class Warehouse:
         app = spark.sparkContext.applicationId
         # The staged and feature tables do not depend on the models; other files, or the
         # same files changed, are another source.
-        self._base = f"{app}/{_digest(key, state_of(spark, key), self.params)}"
+        self._base = f"{app}-{_PROCESS}/{_digest(key, state_of(spark, key), self.params)}"
         self._root = shared_folder(spark)
 
     @property
@@ -114,9 +120,10 @@ class Warehouse:
     @property
     def as_of(self):
         slot = (self._root, self._base, "as_of")
-        if slot not in _BUILT:
-            _BUILT[slot] = staging.date_bounds(self.table("transactions"))
-        return _BUILT[slot]
+        with _lock(slot):
+            if slot not in _BUILT:
+                _BUILT[slot] = staging.date_bounds(self.table("transactions"))
+            return _BUILT[slot]
 
     def __getattr__(self, name):
         if name.startswith("_") or not hasattr(type(self), f"_build_{name}"):
@@ -129,9 +136,10 @@ class Warehouse:
                 self._lazy[name] = getattr(self, f"_build_{name}")()
             return self._lazy[name]
         slot = self._slot(name)
-        if not self._stands(slot):
-            self.store_in(name, f"{self._root}/spendgrid/{self._base}/{slot[2]}/{name}")
-        path, schema = _BUILT[slot]
+        with _lock(slot):
+            if not self._stands(slot):
+                self.store_in(name, f"{self._root}/spendgrid/{self._base}/{slot[2]}/{name}")
+            path, schema = _BUILT[slot]
         if name in BUCKETED:
             return self.spark.table(bucketed_name(path))
         return self.spark.read.schema(schema).parquet(path)
@@ -152,17 +160,18 @@ class Warehouse:
     def store_in(self, name, path):
         """Build a stored table into path, or copy it there when it stands elsewhere already."""
         slot = self._slot(name)
-        stands = self._stands(slot)
-        if stands and _BUILT[slot][0] == path:
-            return
-        built = self.table(name) if stands else getattr(self, f"_build_{name}")()
-        watch = Watch(**self._metrics_of(name))
-        if name in BUCKETED:
-            stored = write_bucketed(built, path, CUSTOMER, self.params.customer_buckets, STORED[name][1], watch=watch)
-        else:
-            stored = write_table(built, path, *STORED[name], watch=watch)
-        _BUILT[slot] = (path, stored.schema)
-        _MEASURED[slot] = watch.values()
+        with _lock(slot):
+            stands = self._stands(slot)
+            if stands and _BUILT[slot][0] == path:
+                return
+            built = self.table(name) if stands else getattr(self, f"_build_{name}")()
+            watch = Watch(**self._metrics_of(name))
+            if name in BUCKETED:
+                stored = write_bucketed(built, path, CUSTOMER, self.params.customer_buckets, STORED[name][1], watch=watch)
+            else:
+                stored = write_table(built, path, *STORED[name], watch=watch)
+            _BUILT[slot] = (path, stored.schema)
+            _MEASURED[slot] = watch.values()
 
     def _metrics_of(self, name):
         """What is measured while a table is written, besides its rows."""
@@ -190,9 +199,10 @@ class Warehouse:
 
     def model(self, name):
         slot = (self._root, self._base, "model", name)
-        if slot not in _BUILT:
-            _BUILT[slot] = getattr(self, f"_fit_{name}")()
-        return _BUILT[slot]
+        with _lock(slot):
+            if slot not in _BUILT:
+                _BUILT[slot] = getattr(self, f"_fit_{name}")()
+            return _BUILT[slot]
 
     # staged tables and features
 
@@ -442,6 +452,11 @@ def state_of(spark, folder):
     return tuple(sorted(found))
 
 
+def _lock(slot):
+    """Lock of one stored table or value; a build takes those of what it reads, which never lead back to it."""
+    return _LOCKS.setdefault(slot, threading.RLock())
+
+
 def _digest(*parts):
     return hashlib.sha256(repr(parts).encode()).hexdigest()[:16]
 

@@ -1,6 +1,9 @@
 """Stored tables outlive a cleared shared folder, and the shared folder is the one that the session names."""
 
 import os
+import subprocess
+import sys
+from concurrent.futures import ThreadPoolExecutor
 from types import SimpleNamespace
 
 import pytest
@@ -30,6 +33,25 @@ def test_tables_that_have_gone_are_built_again(spark, folder, tmp_path):
     assert rows(spark, names[0], folder) == before[0]
 
 
+def test_queries_of_one_session_run_at_the_same_time(spark, folder, tmp_path):
+    os.symlink(folder, tmp_path / "in")
+    names = ("cohort_retention", "churn_rules", "category_affinity", "churn_risk", "clv_training_set", "behavioral_summary")
+    with ThreadPoolExecutor(len(names)) as threads:
+        at_once = list(threads.map(lambda name: rows(spark, name, str(tmp_path / "in")), names))
+    assert at_once == [rows(spark, name, folder) for name in names]
+
+
+def test_sessions_with_one_application_id_write_to_folders_of_their_own(tmp_path):
+    code = (
+        "from types import SimpleNamespace as S; from spendgrid.plans import warehouse as w; w.state_of = lambda *_: ();"
+        f"s = S(conf={{'spark.checkpoint.dir': '{tmp_path}'}}, sparkContext=S(master='local', applicationId='app-20261202000000-0000'));"
+        "print(w.Warehouse(s, 'in', None)._base, w.Warehouse(s, 'in', None)._base)"
+    )
+    top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    said = [subprocess.run([sys.executable, "-c", code], cwd=top, capture_output=True, text=True, check=True).stdout.split() for _ in range(2)]
+    assert [len(set(x)) for x in said] == [1, 1] and said[0] != said[1]
+
+
 @pytest.mark.parametrize("named", ["file:///mnt/shared/", "/mnt/shared", "hdfs://x/y"])
 def test_the_checkpoint_folder_of_a_cluster_is_used(named):
     context = SimpleNamespace(master="spark://host:7077")
