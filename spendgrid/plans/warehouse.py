@@ -15,7 +15,7 @@ from spendgrid.functions.dialect import count_where, distinct_months, round_half
 from spendgrid.operators import audiences, features, marts, ml, staging
 from spendgrid.params import Params
 from spendgrid.session import shared_folder, written_once
-from spendgrid.sources.tables import Watch, bucketed_name, delete, exists, write_bucketed, write_table
+from spendgrid.sources.tables import Watch, bucketed_name, delete, extent, write_bucketed, write_table
 
 # Written tables: name -> (partition columns, cluster columns).
 _MERCHANT = ([], ["CATEGORY_TWO", "DESTINATION"])
@@ -139,7 +139,7 @@ class Warehouse:
         with _lock(slot):
             if not self._stands(slot):
                 self.store_in(name, f"{self._root}/spendgrid/{self._base}/{slot[2]}/{name}")
-            path, schema = _BUILT[slot]
+            path, schema, _ = _BUILT[slot]
         if name in BUCKETED:
             return self.spark.table(bucketed_name(path))
         return self.spark.read.schema(schema).parquet(path)
@@ -149,11 +149,11 @@ class Warehouse:
         return (self._root, self._base, variant, name)
 
     def _stands(self, slot):
-        """Whether a stored table is there; one whose files or catalog entry have gone is to be built again."""
+        """Whether a stored table is there as it was written; one that has lost files or its catalog entry is built again."""
         if slot in _BUILT:
-            path, name = _BUILT[slot][0], slot[-1]
+            (path, _, written), name = _BUILT[slot], slot[-1]
             listed = name not in BUCKETED or self.spark.catalog.tableExists(bucketed_name(path))
-            if not (listed and exists(self.spark, path)):
+            if not (listed and extent(self.spark, path) == written):
                 del _BUILT[slot]
         return slot in _BUILT
 
@@ -170,7 +170,7 @@ class Warehouse:
                 stored = write_bucketed(built, path, CUSTOMER, self.params.customer_buckets, STORED[name][1], watch=watch)
             else:
                 stored = write_table(built, path, *STORED[name], watch=watch)
-            _BUILT[slot] = (path, stored.schema)
+            _BUILT[slot] = (path, stored.schema, extent(self.spark, path))
             _MEASURED[slot] = watch.values()
 
     def _metrics_of(self, name):
