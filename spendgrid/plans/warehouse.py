@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from spendgrid.functions.dialect import count_where, distinct_months, round_half
 from spendgrid.operators import audiences, features, marts, ml, staging
 from spendgrid.params import Params
-from spendgrid.session import shared_folder, written_once
+from spendgrid.session import release, shared_folder, written_once
 from spendgrid.sources.tables import Watch, bucketed_name, delete, extent, write_bucketed, write_table
 
 # Written tables: name -> (partition columns, cluster columns).
@@ -78,6 +78,8 @@ WATCHED = {
     "destination_metrics": {"benchmarks": "total_spend > 0", "without_share": "total_spend > 0 AND market_share_pct IS NULL"},
     "clv": {"negative": "predicted_clv < 0"},
 }
+# Where the stored transactions take so many bytes, the shuffle files of a table go once it is written.
+RELEASE_BYTES = 32 << 20
 TREND_MONTHS = 1200  # months of trends that are told apart, back from the newest day
 _BUILT, _MEASURED = {}, {}
 # Threads of a session share the tables: the first that asks for one builds it, others wait for it.
@@ -164,14 +166,28 @@ class Warehouse:
             stands = self._stands(slot)
             if stands and _BUILT[slot][0] == path:
                 return
-            built = self.table(name) if stands else getattr(self, f"_build_{name}")()
-            watch = Watch(**self._metrics_of(name))
-            if name in BUCKETED:
-                stored = write_bucketed(built, path, CUSTOMER, self.params.customer_buckets, STORED[name][1], watch=watch)
-            else:
-                stored = write_table(built, path, *STORED[name], watch=watch)
+            parts = [self.table(name)] if stands else getattr(self, f"_parts_of_{name}", lambda: [getattr(self, f"_build_{name}")()])()
+            measured = []
+            while parts:
+                built, watch = parts.pop(0), Watch(**self._metrics_of(name))
+                if name in BUCKETED:
+                    stored = write_bucketed(built, path, CUSTOMER, self.params.customer_buckets, STORED[name][1], watch=watch)
+                else:
+                    stored = write_table(built, path, *STORED[name], mode="append" if measured else "overwrite", watch=watch)
+                measured.append(watch.values())
+                if parts:  # the shuffle files of a part go before the next one's come
+                    del built
+                    release(self.spark)
             _BUILT[slot] = (path, stored.schema, extent(self.spark, path))
-            _MEASURED[slot] = watch.values()
+            _MEASURED[slot] = measured[0] if len(measured) == 1 else {m: sum(x[m] for x in measured) for m in measured[0]}
+            del built
+            if self._is_large():
+                release(self.spark)
+
+    def _is_large(self):
+        """Whether shuffle files are worth a collection of the driver's garbage."""
+        slot = self._slot("transactions")
+        return slot in _BUILT and _BUILT[slot][2][1] >= RELEASE_BYTES
 
     def _metrics_of(self, name):
         """What is measured while a table is written, besides its rows."""
@@ -209,6 +225,9 @@ class Warehouse:
     def _build_transactions(self):
         return staging.stage_transactions(self.raw.transactions, self.raw.lookups)
 
+    def _parts_of_transactions(self):
+        return [staging.stage_transactions(part, self.raw.lookups) for part in self.raw.parts()]
+
     def _build_customers(self):
         return staging.stage_customers(self.raw.snapshots)
 
