@@ -2,8 +2,10 @@
 
 from spendgrid.params import SMALL_DATA
 from spendgrid.plans import warehouse
+from spendgrid.plans.catalog import spark_queries
 from spendgrid.session import release
 from spendgrid.sources import order_tables
+from spendgrid.streaming import incremental
 
 
 def shuffles(spark):
@@ -39,3 +41,15 @@ def test_stored_transactions_are_the_same_and_their_shuffles_go(spark, folder, m
     assert sliced.measures("transactions")["row_count"] == len(expected) and rows_of(table) == rows_of(whole.transactions)
     sliced.rfm_features
     assert shuffles(spark) <= before
+
+
+def test_a_stream_in_slices_stages_the_same(spark, folder, monkeypatch):
+    run = spark_queries()["incremental_stream"]
+    whole = rows_of(run(spark, folder))
+    monkeypatch.setattr(order_tables, "SLICE_BYTES", 1 << 15)
+    monkeypatch.setattr(incremental, "SLICE_ROWS", 2500)
+    left, write = [], incremental.write_table
+    monkeypatch.setattr(incremental, "write_table", lambda df, path, *a, **b: left.append((path, b.get("mode"))) or write(df, path, *a, **b))
+    assert rows_of(run(spark, folder)) == whole and len(whole) > 70
+    staged = [mode for path, mode in left if "batch=" in path]
+    assert staged[0] == "overwrite" and staged.count("overwrite") == 2 and staged.count("append") >= 2
