@@ -407,7 +407,10 @@ def jaccard_components(docs, k=5, threshold="0.8", id_col="doc_id", text_col="te
     release(spark)
     members = cut(components(met).select(F.col("node").alias("class"), F.col("component").alias("group")))
     stand = signed.where("n > 0").groupBy("class").agg(F.min("at").alias("at")).join(members, "class").select("at", "class")
-    sets = cut(stored_sets(rows.join(stand, "at").select("class", "text"), k).dropDuplicates(["class"]))
+    # Repeated rows meet where the join has dealt them: the sets, larger than the texts, need no shuffle of their own.
+    chosen = rows.join(stand, "at").select("at", "class", "text").distinct()
+    sets = cut(stored_sets(chosen.select("class", "text"), k))
+    del chosen, stand
     release(spark)
     found = components(linked(members, sets, threshold))
     out = signed.select("at", "doc_id", F.col("n").alias("n_shingles"), "class").join(found.withColumnRenamed("node", "class"), "class", "left")
@@ -417,6 +420,7 @@ def jaccard_components(docs, k=5, threshold="0.8", id_col="doc_id", text_col="te
 def joined(docs, k=5, threshold="0.8", id_col="doc_id", text_col="text"):
     """doc_id, n_shingles and component_id, the smallest doc_id that links reach."""
     out = cut(jaccard_components(docs, k, threshold, id_col, text_col))
+    release(docs.sparkSession)
     least = out.where("n_shingles > 0").groupBy("component").agg(F.min("doc_id").alias("least"))
     return out.join(least, "component", "left").select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"))
 
@@ -424,6 +428,7 @@ def joined(docs, k=5, threshold="0.8", id_col="doc_id", text_col="text"):
 def one_of_each(docs, k=5, threshold="0.8", id_col="doc_id", text_col="text"):
     """docs without all but one document (the one with the smallest id) of each component."""
     out = cut(jaccard_components(docs, k, threshold, id_col, text_col))
+    release(docs.sparkSession)
     first = out.where("n_shingles > 0").groupBy("component").agg(F.min_by("at", F.struct(F.col("doc_id").isNull(), "doc_id", "at")).alias("at"))
     keep = first.select("at", F.lit(True).alias("alone")).union(out.where("n_shingles = 0").select("at", F.lit(False)).distinct())
     at = F.xxhash64(column_named(id_col).cast("long"), column_named(text_col).cast("string"))

@@ -142,3 +142,16 @@ def test_column_names_with_backticks(spark):
     docs = spark.createDataFrame([(1, "a b c d e f", 1), (2, "a b c d e f", 2)], "`doc``id` long, `te``xt` string, `o``ther` int")
     kept = ngram_join.one_of_each(docs, id_col="doc`id", text_col="te`xt").collect()
     assert [tuple(r) for r in kept] == [(1, "a b c d e f", 1)]
+
+
+def test_sets_are_dealt_once(spark, monkeypatch):
+    """A class has one set although its rows repeat, without a shuffle of the sets; its shuffle files do not stay."""
+    text = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, text)] * 5 + [(2, text + " end")] * 3 + [(3, text + " end of it")] + [(4, " ".join(f"v{i}" for i in range(40)))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found, plain = [], ngram_join.stored_sets
+    monkeypatch.setattr(ngram_join, "stored_sets", lambda r, k: found.append(plain(r, k)) or found[-1])
+    out = sorted((r["doc_id"], r["component_id"]) for r in ngram_join.joined(docs, 5, "0.8").collect())
+    assert out == [(1, 1)] * 5 + [(2, 1)] * 3 + [(3, 1), (4, 4)]
+    classes = [r["class"] for r in found[0].select("class").collect()]
+    assert len(classes) == len(set(classes)) == 3
